@@ -230,6 +230,8 @@ def rolling_zscore(df: DataFrame, key: str = "compte_id", ts: str = "date_transa
     per (key, bucket), so a hot key spreads over as many tasks as it has
     buckets, at the cost of (1 + ceil(days/bucket_days))x rows.
     The z-score is NULL when the frame has fewer than two values or sd = 0.
+    The mean is reported as an exact decimal (half up at 6 places): cent
+    amounts averaged over 2^k rows land exactly on rounding ties.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     span = days * MICROS_PER_DAY
@@ -244,11 +246,12 @@ def rolling_zscore(df: DataFrame, key: str = "compte_id", ts: str = "date_transa
     x = F.col(value).cast("double")
     stats = rep.select(
         "transaction_id", key, ts, value, "_shift",
+        F.avg(F.col(value)).over(w).alias("_mean_dec"),
         F.avg(x).over(w).alias("_mean"), F.stddev_samp(x).over(w).alias("_sd"))
     targets = stats.where(F.col("_shift") == 0)
     z = F.when(F.col("_sd") > 0, (F.col(value).cast("double") - F.col("_mean")) / F.col("_sd"))
     out = targets.select("transaction_id", key, ts, value,
-                         F.round("_mean", 6).alias("moyenne_90j"),
+                         F.col("_mean_dec").cast("decimal(18,6)").alias("moyenne_90j"),
                          F.round("_sd", 6).alias("ecart_type_90j"),
                          F.round(z, 6).alias("z_score"))
     absz = F.abs(F.col("z_score"))

@@ -283,6 +283,242 @@ def q_aml(spark, sf):
     return marts.aml_suspects(wh(spark, sf).fct_transactions)
 
 
+# --- incremental (F1-F7, F11) ---------------------------------------------------
+
+from ledgerline.operators import incremental as inc  # noqa: E402
+from ledgerline.operators import snapshot as snap  # noqa: E402
+from ledgerline.operators import facts, staging  # noqa: E402
+from ledgerline.operators.staging import STG_TRANSACTIONS_COLUMNS as STG_TX  # noqa: E402
+from ledgerline.plans import fixtures as FX  # noqa: E402
+
+_STG_VIR = ["virement_id", "tenant_id", "compte_source_id", "compte_dest_id", "montant", "devise",
+            "date_virement", "date_execution", "motif", "reference", "statut", "type_virement",
+            "frais", "created_at", "updated_at", "_loaded_at"]
+_FCT_VIR = ["virement_id", "tenant_id", "compte_id", "contrepartie_compte_id", "virement_leg",
+            "montant_signe", "montant", "devise", "date_virement", "statut", "_loaded_at"]
+_FCT = ["transaction_id", "external_transaction_id", "tenant_id", "compte_id", "categorie_id",
+        "date_transaction", "jour_transaction", "semaine_transaction", "mois_transaction",
+        "date_valeur", "date_settlement", "montant", "devise", "montant_eur", "montant_signe",
+        "montant_signe_eur", "frais", "montant_net", "type_operation", "sens", "statut",
+        "moyen_paiement", "canal", "type_compte", "customer_segment", "pays_compte",
+        "nom_categorie", "type_categorie", "groupe", "marchand_nom", "marchand_categorie",
+        "marchand_pays", "marchand_mcc", "aml_score", "aml_flag", "fraud_score",
+        "is_flagged_for_review", "is_reconciled", "reconciliation_batch_id", "source_system",
+        "created_at", "updated_at", "_loaded_at"]
+
+
+def fx_sql(final: str, extra: dict[str, str]) -> str:
+    return O.with_models(final, *O.ALL_MODELS, FX.duckdb_fixture_ctes(), extra)
+
+
+def _fix(spark, sf) -> tuple[Warehouse, FX.SparkFixtures]:
+    w = wh(spark, sf)
+    return w, FX.SparkFixtures(w.raw)
+
+
+_MERGE_CTES = {"stg_t": O.stg_tx_sql("tx_cut"), "stg_d": O.stg_tx_sql("tx_delta")}
+
+
+@register("merge_upsert", fx_sql(
+    O.merge_sql("stg_t", "stg_d", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE), _MERGE_CTES))
+def q_merge_upsert(spark, sf):
+    _, f = _fix(spark, sf)
+    return inc.merge(staging.stg_transactions(f.tx_cut()), staging.stg_transactions(f.tx_delta()),
+                     "transaction_id", FX.STG_TX_UPDATE)
+
+
+@register("merge_upsert_outer_join", fx_sql(
+    O.merge_sql("stg_t", "stg_d", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE), _MERGE_CTES))
+def q_merge_upsert_outer(spark, sf):
+    """Same merge forced through the full-outer-join plan (large-delta path)."""
+    _, f = _fix(spark, sf)
+    return inc.merge(staging.stg_transactions(f.tx_cut()), staging.stg_transactions(f.tx_delta()),
+                     "transaction_id", FX.STG_TX_UPDATE, broadcast_rows=-1)
+
+
+@register("merge_all_columns", fx_sql(
+    O.merge_sql("vir_t", "vir_d", ["virement_id"], _STG_VIR, _STG_VIR, None),
+    {"vir_t": O.stg_vir_sql("vir_cut"), "vir_d": O.stg_vir_sql("vir_delta")}))
+def q_merge_all(spark, sf):
+    _, f = _fix(spark, sf)
+    return inc.merge(staging.stg_virements(f.vir_cut()), staging.stg_virements(f.vir_delta()),
+                     "virement_id", None)
+
+
+@register("merge_composite_key", fx_sql(
+    O.merge_sql("legs_t", "legs_d", ["virement_id", "virement_leg"], _FCT_VIR, _FCT_VIR, None),
+    {"vir_t": O.stg_vir_sql("vir_cut"), "vir_d": O.stg_vir_sql("vir_delta"),
+     "legs_t": O.fct_vir_sql("vir_t"), "legs_d": O.fct_vir_sql("vir_d")}))
+def q_merge_composite(spark, sf):
+    _, f = _fix(spark, sf)
+    t = facts.fct_virements(staging.stg_virements(f.vir_cut()))
+    d = facts.fct_virements(staging.stg_virements(f.vir_delta()))
+    return inc.merge(t, d, ["virement_id", "virement_leg"], None)
+
+
+@register("merge_new_columns", fx_sql(
+    O.merge_sql("stg_t", "stg_dn", ["transaction_id"], STG_TX, STG_TX + ["canal_detail"],
+                FX.STG_TX_UPDATE),
+    {**_MERGE_CTES, "stg_dn": "SELECT *, canal || '/' || moyen_paiement AS canal_detail FROM stg_d"}))
+def q_merge_new_cols(spark, sf):
+    _, f = _fix(spark, sf)
+    d = staging.stg_transactions(f.tx_delta())
+    d = d.withColumn("canal_detail", F.concat(F.col("canal"), F.lit("/"), F.col("moyen_paiement")))
+    return inc.merge(staging.stg_transactions(f.tx_cut()), d, "transaction_id", FX.STG_TX_UPDATE)
+
+
+def incremental_fact_run(w: Warehouse, raw_before: DataFrame, raw_after: DataFrame,
+                         days: int = 7) -> DataFrame:
+    """one incremental run of staging then fact, each with its lookback
+    window and column-limited merge, starting from tables built on
+    ``raw_before`` and reading ``raw_after``."""
+    stg_t = staging.stg_transactions(raw_before)
+    stg_d = staging.stg_transactions(inc.lookback(raw_after, stg_t, "_loaded_at", days))
+    stg_new = inc.merge(stg_t, stg_d, "transaction_id", FX.STG_TX_UPDATE)
+    norm = lambda stg: facts.int_transactions_normalisees(stg, w.stg_comptes, w.stg_categories)
+    fct_t = w.fact_from(norm(stg_t))
+    fct_d = w.fact_from(norm(inc.lookback(stg_new, fct_t, "_loaded_at", days)))
+    return inc.merge(fct_t, fct_d, "transaction_id", FX.FCT_TX_UPDATE)
+
+
+@register("merge_lookback", fx_sql(
+    O.merge_sql("fct_t", "fct_d", ["transaction_id"], _FCT, _FCT, FX.FCT_TX_UPDATE),
+    {"stg_t": O.stg_tx_sql("tx_cut"),
+     "stg_lb": O.stg_tx_sql(f"({O.lookback_sql('tx_v2', 'stg_t', 7)})"),
+     "stg_new": O.merge_sql("stg_t", "stg_lb", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE),
+     "norm_t": O.norm_sql("stg_t"), "fct_t": O.fact_sql("norm_t"),
+     "norm_d": O.norm_sql(f"({O.lookback_sql('stg_new', 'fct_t', 7)})"), "fct_d": O.fact_sql("norm_d")}))
+def q_merge_lookback(spark, sf):
+    w, f = _fix(spark, sf)
+    return incremental_fact_run(w, f.tx_cut(), f.tx_v2(), 7)
+
+
+@register("merge_full_refresh", fx_sql("SELECT * FROM fct_v2",
+                                       {"stg_v2": O.stg_tx_sql("tx_v2"), "norm_v2": O.norm_sql("stg_v2"),
+                                        "fct_v2": O.fact_sql("norm_v2")}))
+def q_merge_full_refresh(spark, sf):
+    w, f = _fix(spark, sf)
+    fresh = w.fact_from(facts.int_transactions_normalisees(
+        staging.stg_transactions(f.tx_v2()), w.stg_comptes, w.stg_categories))
+    return inc.merge(None, fresh, "transaction_id", FX.FCT_TX_UPDATE)
+
+
+# --- microbatch (E4/F6) -------------------------------------------------------------
+
+_EV_DAY = (f"CAST(date_transaction AS DATE) >= DATE '{FX.MICROBATCH_START}' AND "
+           f"CAST(date_transaction AS DATE) < DATE '{FX.MICROBATCH_END}'")
+
+
+@register("fct_transactions_microbatch", fx_sql(
+    f"SELECT * FROM ev_fct_t WHERE NOT ({_EV_DAY}) UNION ALL SELECT * FROM ev_fct_s WHERE {_EV_DAY}",
+    {"ev_stg_t": O.stg_tx_sql(f"(SELECT * FROM raw_event_transactions WHERE date_transaction < "
+                              f"TIMESTAMP '{FX.MICROBATCH_TARGET_END} 00:00:00')"),
+     "ev_norm_t": O.norm_sql("ev_stg_t"), "ev_fct_t": O.fact_sql("ev_norm_t"),
+     "ev_stg_s": O.stg_tx_sql("events_altered"), "ev_norm_s": O.norm_sql("ev_stg_s"),
+     "ev_fct_s": O.fact_sql("ev_norm_s")}))
+def q_microbatch(spark, sf):
+    w, f = _fix(spark, sf)
+
+    def fact_of(raw):
+        return w.fact_from(facts.int_transactions_normalisees(
+            staging.stg_transactions(raw), w.stg_comptes, w.stg_categories))
+    ev = w.raw.event_transactions()
+    target = fact_of(ev.where(F.col("date_transaction")
+                              < F.lit(f"{FX.MICROBATCH_TARGET_END} 00:00:00").cast("timestamp_ntz")))
+    source = fact_of(f.events_altered())
+    return inc.replace_batches(target, source, "date_transaction", FX.MICROBATCH_START,
+                               FX.MICROBATCH_END)
+
+
+# --- snapshot / SCD2 (F8, F9, D5) ----------------------------------------------------
+
+_T1, _T2, _T3 = FX.SNAPSHOT_TIMES
+_SNAP_CTES = {
+    "h1": O.snapshot_sql(None, "accounts_run1", "compte_id", FX.SNAPSHOT_SOURCE, FX.SNAPSHOT_CHECK, _T1),
+    "h2": O.snapshot_sql("h1", "accounts_run2", "compte_id", FX.SNAPSHOT_SOURCE, FX.SNAPSHOT_CHECK, _T2),
+    "h3": O.snapshot_sql("h2", "accounts_run3", "compte_id", FX.SNAPSHOT_SOURCE, FX.SNAPSHOT_CHECK, _T3),
+}
+
+
+def snapshot_runs(spark, sf, runs: int) -> DataFrame:
+    _, f = _fix(spark, sf)
+    hist = None
+    for r in range(1, runs + 1):
+        hist = snap.snapshot_check(hist, f.accounts_at(r), "compte_id", FX.SNAPSHOT_CHECK,
+                                   FX.SNAPSHOT_TIMES[r - 1])
+    return hist
+
+
+register("snapshot_two_runs", fx_sql("SELECT * FROM h2", _SNAP_CTES))(
+    lambda spark, sf: snapshot_runs(spark, sf, 2))
+register("snapshot_three_runs", fx_sql("SELECT * FROM h3", _SNAP_CTES))(
+    lambda spark, sf: snapshot_runs(spark, sf, 3))
+
+_SK_NULL = "'_dbt_utils_surrogate_key_null_'"
+
+
+@register("dim_comptes_scd2", fx_sql(f"""
+    SELECT md5(coalesce(CAST(compte_id AS VARCHAR), {_SK_NULL}) || '-' ||
+               coalesce(strftime(dbt_valid_from, '%Y-%m-%d %H:%M:%S.%f'), {_SK_NULL})) AS dim_compte_sk,
+           compte_id, tenant_id, numero_compte, iban, email, nom_client, prenom_client, type_compte, devise,
+           statut, kyc_level, kyc_date_verification, aml_flag, customer_segment, is_pep, risk_score,
+           dbt_valid_from AS date_debut_validite, dbt_valid_to AS date_fin_validite,
+           dbt_valid_to IS NULL AS is_current,
+           row_number() OVER (PARTITION BY compte_id ORDER BY dbt_valid_from) AS version_number,
+           updated_at
+    FROM h3""", _SNAP_CTES))
+def q_scd2(spark, sf):
+    return dims.dim_comptes_scd2(snapshot_runs(spark, sf, 3))
+
+
+# --- anomalies (G6) and dense balance (Q6) -----------------------------------------
+
+_SEV = "CASE WHEN abs(z_score) > 5 THEN 'high' WHEN abs(z_score) > 4 THEN 'medium' ELSE 'low' END"
+
+
+@register("anomaly_zscore", fx_sql(f"""
+    SELECT transaction_id, compte_id, date_transaction, montant_eur, moyenne_90j, ecart_type_90j, z_score,
+           coalesce(abs(z_score) > 3, false) AS is_anomalie, {_SEV} AS severite
+    FROM (
+      SELECT transaction_id, compte_id, date_transaction, montant_eur,
+             CAST(CASE WHEN n = 0 THEN NULL ELSE
+                  CAST(sign(sc) * ((2 * abs(sc) * 10000 + n) // (2 * n)) AS DECIMAL(38,0)) * 0.000001
+                  END AS DECIMAL(18,6)) AS moyenne_90j,
+             round(sd, 6) AS ecart_type_90j,
+             round(CASE WHEN sd > 0 THEN (x - m) / sd END, 6) AS z_score
+      FROM (
+        SELECT *, avg(x) OVER w AS m, stddev_samp(x) OVER w AS sd,
+               CAST(sum(montant_eur) OVER w * 100 AS HUGEINT) AS sc, count(montant_eur) OVER w AS n
+        FROM (SELECT *, CAST(montant_eur AS DOUBLE) AS x, epoch_us(date_transaction) AS us
+              FROM ev_fct WHERE statut = 'validee')
+        WINDOW w AS (PARTITION BY compte_id ORDER BY us
+                     RANGE BETWEEN {90 * 86_400_000_000} PRECEDING AND 1 PRECEDING)))""",
+    {"ev_stg": O.stg_tx_sql("raw_event_transactions"), "ev_norm": O.norm_sql("ev_stg"),
+     "ev_fct": O.fact_sql("ev_norm")}))
+def q_zscore(spark, sf):
+    return marts.anomaly_zscore(events_wh(spark, sf).fct_transactions)
+
+
+@register("mart_solde_dense", fx_sql(f"""
+    SELECT b.tenant_id, b.compte_id, CAST(g.d AS DATE) AS jour,
+           CAST(CASE WHEN CAST(g.d AS DATE) = b.jour THEN b.flux ELSE 0 END AS DECIMAL(18,2)) AS flux_total_jour,
+           CAST(b.bal AS DECIMAL(18,2)) AS solde_cumule_eur
+    FROM (
+      SELECT c.tenant_id, f.compte_id, f.jour, f.flux,
+             c.solde_initial + sum(f.flux) OVER (PARTITION BY f.compte_id ORDER BY f.jour
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bal,
+             coalesce(CAST(lead(f.jour) OVER (PARTITION BY f.compte_id ORDER BY f.jour) - 1 AS DATE),
+                      DATE '{O.FX_SPINE_END}' - 1) AS upto
+      FROM (SELECT compte_id, jour, sum(flux_transactions + flux_virements) AS flux FROM flows GROUP BY 1, 2) f
+      JOIN dim_comptes c ON f.compte_id = c.compte_id
+    ) b, generate_series(b.jour, b.upto, INTERVAL 1 DAY) g(d)
+    WHERE b.jour <= DATE '{O.FX_SPINE_END}' - 1""", _FLOWS))
+def q_solde_dense(spark, sf):
+    w = wh(spark, sf)
+    return marts.mart_solde_dense(w.fct_transactions, w.fct_virements, w.dim_comptes,
+                                  w.params.fx_end)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
