@@ -519,6 +519,157 @@ def q_solde_dense(spark, sf):
                                   w.params.fx_end)
 
 
+# --- data quality (I1-I15) -------------------------------------------------------
+
+from ledgerline.operators import quality as Q  # noqa: E402
+from ledgerline.plans import suite  # noqa: E402
+from ledgerline.sources.adapters import AS_OF  # noqa: E402
+
+_AS_OF_TS = f"{AS_OF} 00:00:00"
+
+
+@register("dq_suite", O.model_query(suite.suite_sql()))
+def q_dq_suite(spark, sf):
+    return Q.run_suite(suite.reference_checks(wh(spark, sf)))
+
+
+@register("dq_unique", O.model_query(
+    "SELECT compte_id, count(*) AS n_records FROM stg_compte_titulaires WHERE compte_id IS NOT NULL "
+    "GROUP BY compte_id HAVING count(*) > 1"))
+def q_dq_unique(spark, sf):
+    return Q.unique(wh(spark, sf).stg_compte_titulaires, "compte_id")
+
+
+@register("dq_not_null", O.model_query("SELECT * FROM dim_comptes WHERE date_ouverture IS NULL"))
+def q_dq_not_null(spark, sf):
+    return Q.not_null(wh(spark, sf).dim_comptes, "date_ouverture")
+
+
+@register("dq_accepted_values", O.model_query(
+    "SELECT * FROM stg_transactions WHERE type_operation IS NOT NULL "
+    "AND type_operation NOT IN ('credit', 'debit')"))
+def q_dq_accepted_values(spark, sf):
+    return Q.accepted_values(wh(spark, sf).stg_transactions, "type_operation", ["credit", "debit"])
+
+
+@register("dq_relationships", O.model_query(
+    "SELECT * FROM stg_transactions t WHERE t.categorie_id IS NOT NULL AND NOT EXISTS "
+    "(SELECT 1 FROM stg_categories c WHERE c.categorie_id = t.categorie_id)"))
+def q_dq_relationships(spark, sf):
+    w = wh(spark, sf)
+    return Q.relationships(w.stg_transactions, "categorie_id", w.stg_categories, "categorie_id")
+
+
+@register("dq_accepted_range", O.model_query(
+    "SELECT * FROM fct_transactions WHERE montant_eur IS NOT NULL AND (montant_eur < 0 OR montant_eur > 100000000)"))
+def q_dq_accepted_range(spark, sf):
+    return Q.accepted_range(wh(spark, sf).fct_transactions, "montant_eur", 0, 100_000_000)
+
+
+@register("dq_row_count_delta", O.model_query("""
+    SELECT n_model, n_compare, delta_pct FROM (
+      SELECT a.n AS n_model, b.n AS n_compare,
+             round(abs(a.n - b.n) * 100.0 / nullif(b.n, 0), 4) AS delta_pct
+      FROM (SELECT count(*) AS n FROM fct_transactions) a, (SELECT count(*) AS n FROM stg_transactions) b)
+    WHERE delta_pct > 10"""))
+def q_dq_row_count_delta(spark, sf):
+    w = wh(spark, sf)
+    return Q.row_count_delta(w.fct_transactions, w.stg_transactions, 10.0)
+
+
+@register("dq_freshness", O.model_query(f"""
+    SELECT 'raw_transactions' AS source, max_loaded_at, age_hours,
+           CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > 6 THEN 'error'
+                WHEN age_hours > 2 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max(_loaded_at) AS max_loaded_at,
+                 round((epoch_us(TIMESTAMP '{_AS_OF_TS}') - epoch_us(max(_loaded_at))) / 3600000000.0, 4)
+                   AS age_hours
+          FROM raw_transactions)"""))
+def q_dq_freshness(spark, sf):
+    return Q.freshness(wh(spark, sf).raw_transactions, "_loaded_at", _AS_OF_TS, 2, 6,
+                       "raw_transactions")
+
+
+@register("dq_tenant_sla", O.model_query(f"""
+    SELECT t.tenant_id, t.tenant_code, t.sla_freshness_hours, l.max_loaded_at,
+           round((epoch_us(TIMESTAMP '{_AS_OF_TS}') - epoch_us(l.max_loaded_at)) / 3600000000.0, 4) AS age_hours
+    FROM stg_tenants t LEFT JOIN (SELECT tenant_id, max(_loaded_at) AS max_loaded_at FROM raw_transactions
+                                  GROUP BY tenant_id) l ON t.tenant_id = l.tenant_id
+    WHERE l.max_loaded_at IS NULL
+       OR (epoch_us(TIMESTAMP '{_AS_OF_TS}') - epoch_us(l.max_loaded_at)) / 3600000000.0 > t.sla_freshness_hours"""))
+def q_dq_tenant_sla(spark, sf):
+    w = wh(spark, sf)
+    return Q.tenant_sla(w.raw_transactions, w.stg_tenants, "_loaded_at", _AS_OF_TS)
+
+
+@register("dq_nonempty", O.model_query(
+    "SELECT 'raw_transactions' AS model, true AS is_empty FROM (SELECT count(*) AS n FROM raw_transactions) "
+    "WHERE n = 0"))
+def q_dq_nonempty(spark, sf):
+    return Q.nonempty(wh(spark, sf).raw_transactions, "raw_transactions")
+
+
+@register("dq_one_current", fx_sql("""
+    SELECT coalesce(c.compte_id, s.compte_id) AS compte_id, coalesce(c.n_current, 0) AS n_current,
+           s.compte_id IS NOT NULL AS in_source
+    FROM (SELECT compte_id, CAST(sum(CASE WHEN dbt_valid_to IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_current
+          FROM h3 GROUP BY compte_id) c
+    FULL OUTER JOIN (SELECT DISTINCT compte_id FROM accounts_run3) s ON c.compte_id = s.compte_id
+    WHERE coalesce(c.n_current, 0) > 1 OR (coalesce(c.n_current, 0) = 0 AND s.compte_id IS NOT NULL)""",
+    _SNAP_CTES))
+def q_dq_one_current(spark, sf):
+    _, f = _fix(spark, sf)
+    return Q.one_current(dims.dim_comptes_scd2(snapshot_runs(spark, sf, 3)), f.accounts_at(3))
+
+
+@register("dq_fx_recompute", O.model_query("""
+    SELECT * FROM (
+      SELECT f.transaction_id, f.devise, f.jour_transaction, f.montant, f.montant_eur,
+             CAST(round(CAST(f.montant AS DECIMAL(38,2)) * r.taux, 2) AS DECIMAL(18,2)) AS montant_eur_recalcule
+      FROM fct_transactions f JOIN int_fx_rates_daily r
+        ON f.jour_transaction = r.date_cotation AND f.devise = r.devise_cible)
+    WHERE abs(montant_eur - montant_eur_recalcule) > abs(montant_eur_recalcule) * 0.0001
+       OR (montant_eur IS NULL) <> (montant_eur_recalcule IS NULL)"""))
+def q_dq_fx_recompute(spark, sf):
+    w = wh(spark, sf)
+    return Q.fx_recompute(w.fct_transactions, w.int_fx_rates_daily)
+
+
+@register("dq_volume_anomaly", O.model_query("""
+    SELECT jour, n, round(m, 6) AS moyenne, round(sd, 6) AS ecart_type,
+           round(CASE WHEN sd > 0 THEN (n - m) / sd END, 6) AS z_score
+    FROM (SELECT jour, n, avg(n) OVER w AS m, stddev_samp(n) OVER w AS sd
+          FROM (SELECT CAST(date_transaction AS DATE) AS jour, count(*) AS n FROM fct_transactions GROUP BY 1)
+          WINDOW w AS (ORDER BY jour - DATE '1970-01-01' RANGE BETWEEN 28 PRECEDING AND 1 PRECEDING))
+    WHERE abs(round(CASE WHEN sd > 0 THEN (n - m) / sd END, 6)) > 3"""))
+def q_dq_volume_anomaly(spark, sf):
+    return Q.volume_anomaly(wh(spark, sf).fct_transactions, "date_transaction", 28, 3.0)
+
+
+@register("dq_allocation_sum", O.model_query("""
+    SELECT compte_id, somme_facteurs, nb_actifs FROM (
+      SELECT compte_id, sum(allocation_factor) AS somme_facteurs,
+             count(CASE WHEN is_active = true THEN 1 END) AS nb_actifs
+      FROM bridge GROUP BY compte_id)
+    WHERE nb_actifs > 0 AND abs(somme_facteurs - 1.0) > 0.000001"""))
+def q_dq_allocation_sum(spark, sf):
+    return Q.allocation_sum(wh(spark, sf).bridge_comptes_titulaires)
+
+
+@register("dq_contract", None)
+def q_dq_contract(spark, sf):
+    from ledgerline.contracts import FCT_TRANSACTIONS_CONTRACT
+    return Q.contract(spark, wh(spark, sf).fct_transactions, FCT_TRANSACTIONS_CONTRACT)
+
+
+@register("dq_schema_diff", None)
+def q_dq_schema_diff(spark, sf):
+    """Schema change of the staging table when the delta brings a new column."""
+    old = q_merge_upsert(spark, sf).schema
+    new = q_merge_new_cols(spark, sf).schema
+    return Q.schema_diff(spark, old, new)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
