@@ -670,6 +670,55 @@ def q_dq_schema_diff(spark, sf):
     return Q.schema_diff(spark, old, new)
 
 
+# --- bulk load (A1-A7) ---------------------------------------------------------------
+
+from ledgerline import schemas as SCH  # noqa: E402
+from ledgerline.plans import load_fixture as LF  # noqa: E402
+from ledgerline.sources import loader  # noqa: E402
+
+_LOAD_MEMO: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _loaded(spark, sf, table: str, on_error: str = "continue") -> loader.LoadResult:
+    k = (spark.sparkContext.applicationId, sf)
+    if k not in _LOAD_MEMO:
+        _LOAD_MEMO[k] = LF.build_load_fixture(RawTables(spark, sf))
+    return loader.load_csv(spark, _LOAD_MEMO[k][table], SCH.RAW_SCHEMAS[table], LF.LOAD_TS,
+                           on_error=on_error, repartition=spark.sparkContext.defaultParallelism)
+
+
+@register("load_transactions", O.model_query(LF.expected_transactions_sql()))
+def q_load_tx(spark, sf):
+    return _loaded(spark, sf, "raw_transactions").good
+
+
+@register("load_rejects", O.model_query(LF.expected_rejects_sql()))
+def q_load_rejects(spark, sf):
+    return _loaded(spark, sf, "raw_transactions").rejects.select("transaction_id", "_error_columns")
+
+
+@register("load_abort_clean", O.model_query(
+    "SELECT * EXCLUDE (_loaded_at), CAST('" + LF.LOAD_TS + "' AS TIMESTAMP) AS _loaded_at FROM raw_tenants"))
+def q_load_abort(spark, sf):
+    return _loaded(spark, sf, "raw_tenants", on_error="abort").good
+
+
+@register("load_row_counts", O.model_query(f"""
+    SELECT * FROM (
+      SELECT 'raw_comptes' AS table_name, count(*) AS row_count FROM raw_comptes
+      UNION ALL SELECT 'raw_tenants', count(*) FROM raw_tenants
+      UNION ALL SELECT 'raw_transactions', count(*) FROM ({LF.expected_transactions_sql()}) t)
+    ORDER BY table_name"""))
+def q_load_counts(spark, sf):
+    return loader.load_row_counts({t: _loaded(spark, sf, t).good
+                                   for t in ("raw_tenants", "raw_comptes", "raw_transactions")})
+
+
+@register("load_history", None)
+def q_load_history(spark, sf):
+    return loader.failed_only(_loaded(spark, sf, "raw_transactions").history)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
