@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import incremental as inc
-from ledgerline.session import scratch_dir
+from ledgerline.session import cut_lineage, scratch_dir
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -81,10 +81,15 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
     """F1 storage: merge ``delta`` into the table at ``path``, rewriting only
     the partitions the delta touches. The partition column must not be in the
     update list (a key never changes partition). Returns the touched values."""
+    # The delta is used several times (touched partitions, size check, keys,
+    # rows): materialise it once in the shared checkpoint folder so its
+    # upstream pipeline runs once and a lost executor does not recompute it.
+    delta = cut_lineage(delta)
+    n_delta = delta.count()
     touched = [r[0] for r in delta.select(partition_col).distinct().collect()]
     if not touched:
         return []
     target = read_table(spark, path).where(F.col(partition_col).isin(touched))
-    merged = inc.merge(target.select(*[c for c in target.columns]), delta, key, update_cols)
+    merged = inc.merge(target, delta, key, update_cols, delta_rows=n_delta)
     overwrite_partitions(merged, path, [partition_col], sort_by, bloom_cols)
     return touched
