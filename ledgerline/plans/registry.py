@@ -719,6 +719,90 @@ def q_load_history(spark, sf):
     return loader.failed_only(_loaded(spark, sf, "raw_transactions").history)
 
 
+# --- generator, exports, audit, streaming (A12-A14, F10, K1) ------------------------
+
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from ledgerline.operators import audit  # noqa: E402
+from ledgerline.session import scratch_dir  # noqa: E402
+from ledgerline.sources import sinks, synth  # noqa: E402
+from ledgerline.sources import tables as TB  # noqa: E402
+from ledgerline.streaming.stream_merge import stream_merge  # noqa: E402
+
+
+@register("synthetic_transactions", None)
+def q_synth(spark, sf):
+    """One synthetic bank transaction per driver order key (scales with orders)."""
+    raw = RawTables(spark, sf)
+    ids = raw.driver("orders").select(F.col("o_orderkey").alias("id"))
+    return synth.synthetic_transactions(ids, raw._n_customers(), n_tenants=8, seed=42)
+
+
+def _kpi_sql() -> str:
+    return REGISTRY["mart_tenant_kpis_daily"][1]
+
+
+@register("export_tenant_kpis", f"SELECT * FROM ({_kpi_sql()}) k QUALIFY jour = max(jour) OVER ()")
+def q_export_kpis(spark, sf):
+    out = scratch_dir(spark, f"export-kpis-{_uuid.uuid4().hex[:8]}")
+    return sinks.export_tenant_kpis(wh(spark, sf).mart_tenant_kpis_daily, out)
+
+
+@register("export_compliance", O.model_query("""
+    SELECT tenant_id, transaction_id, compte_id, date_transaction, montant, devise, montant_eur, aml_flag,
+           aml_score, fraud_score, is_flagged_for_review, statut
+    FROM fct_transactions WHERE aml_flag <> 'clean'"""))
+def q_export_compliance(spark, sf):
+    out = scratch_dir(spark, f"export-aml-{_uuid.uuid4().hex[:8]}")
+    return sinks.export_compliance_report(wh(spark, sf).fct_transactions, out)
+
+
+_RUN_ID = "run-0001"
+
+
+_LB_CTES = {
+    "stg_t": O.stg_tx_sql("tx_cut"),
+    "stg_lb": O.stg_tx_sql(f"({O.lookback_sql('tx_v2', 'stg_t', 7)})"),
+    "stg_new": O.merge_sql("stg_t", "stg_lb", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE),
+    "norm_t": O.norm_sql("stg_t"), "fct_t": O.fact_sql("norm_t"),
+    "norm_d": O.norm_sql(f"({O.lookback_sql('stg_new', 'fct_t', 7)})"), "fct_d": O.fact_sql("norm_d"),
+    "merged": O.merge_sql("fct_t", "fct_d", ["transaction_id"], _FCT, _FCT, FX.FCT_TX_UPDATE),
+}
+
+
+@register("run_audit", fx_sql(f"""
+    SELECT '{_RUN_ID}' AS run_id, 'fct_transactions' AS model, 'pre' AS phase, count(*) AS row_count FROM fct_t
+    UNION ALL SELECT '{_RUN_ID}', 'fct_transactions', 'post', count(*) FROM merged""", _LB_CTES))
+def q_run_audit(spark, sf):
+    w, f = _fix(spark, sf)
+    started = _dt.datetime(2000, 1, 5, 6, 0, 0)
+    norm = facts.int_transactions_normalisees(staging.stg_transactions(f.tx_cut()), w.stg_comptes,
+                                              w.stg_categories)
+    before = w.fact_from(norm)
+    after = incremental_fact_run(w, f.tx_cut(), f.tx_v2(), 7)
+    rows = (audit.audit_row(spark, before, _RUN_ID, "fct_transactions", "pre", "inv-1", "dev", started)
+            .unionByName(audit.audit_row(spark, after, _RUN_ID, "fct_transactions", "post", "inv-1",
+                                         "dev", started)))
+    audit.append_audit(rows, scratch_dir(spark, f"audit-{_uuid.uuid4().hex[:8]}"))
+    return rows.select("run_id", "model", "phase", "row_count")
+
+
+@register("stream_merge", REGISTRY["merge_upsert"][1])
+def q_stream_merge(spark, sf):
+    _, f = _fix(spark, sf)
+    base = scratch_dir(spark, f"stream-{_uuid.uuid4().hex[:8]}")
+    month = F.trunc(F.col("date_transaction"), "MM").alias("_mois")
+    target = staging.stg_transactions(f.tx_cut())
+    TB.write_table(target.select("*", month), f"{base}/table", ["_mois"], ["transaction_id"])
+    delta = staging.stg_transactions(f.tx_delta())
+    delta.repartition(3).write.mode("overwrite").parquet(f"{base}/input")
+    stream_merge(spark, f"{base}/input", delta.schema, f"{base}/table", "transaction_id", "_mois",
+                 FX.STG_TX_UPDATE, f"{base}/_checkpoint", max_files_per_trigger=1,
+                 prepare=lambda b: b.select("*", F.trunc(F.col("date_transaction"), "MM").alias("_mois")))
+    return TB.read_table(spark, f"{base}/table").select(*STG_TX)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

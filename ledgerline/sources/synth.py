@@ -1,0 +1,122 @@
+"""Synthetic bank transactions (A12), re-aimed as a Spark job.
+
+The reference's single-machine generator draws rows in Python batches. Here
+every column is an expression of the row id: each draw is a uniform taken
+from ``xxhash64(id, seed, column name)``, so a row's values do not depend on
+partitioning or task order and the job scales with the id frame. Weighted
+choices are ``when`` chains over cumulative weights; the lognormal amount uses
+Box-Muller; beta(1, b) uses its inverse CDF 1 - (1 - u)^(1/b).
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline import schemas as S
+
+# --- fixed values of the generator (distributions to reproduce) ------------------
+STATUTS_TX = ["validee", "en_attente", "rejetee", "annulee", "en_cours_verification"]
+STATUTS_TX_WEIGHTS = [0.92, 0.03, 0.02, 0.01, 0.02]
+TYPES_OPERATION = ["debit", "credit"]
+TYPES_OPERATION_WEIGHTS = [0.78, 0.22]
+AML_FLAGS = ["clean", "watchlist_check", "manual_review", "suspicious", "cleared"]
+AML_WEIGHTS = [0.985, 0.005, 0.005, 0.002, 0.003]
+DEVISES = ["EUR", "USD", "GBP", "CHF", "SEK", "NOK", "DKK", "PLN", "CZK", "JPY"]
+DEVISES_WEIGHTS = [0.55, 0.15, 0.10, 0.05, 0.03, 0.03, 0.03, 0.02, 0.02, 0.02]
+CANAUX = ["web", "mobile_ios", "mobile_android", "api", "batch", "atm", "pos"]
+CANAUX_WEIGHTS = [0.20, 0.28, 0.30, 0.15, 0.04, 0.02, 0.01]
+MOYENS_PAIEMENT = ["carte", "virement", "prelevement", "cheque", "especes", "wallet"]
+N_CATEGORIES = 30
+BASE_DATE = "2023-01-01 00:00:00"
+N_DAYS = 730
+AMOUNT_MU, AMOUNT_SIGMA = 3.5, 1.2
+AML_BETA_B, FRAUD_BETA_B = 30, 50
+FEE_SHARE, RECONCILED_SHARE, BATCH_SHARE, REVERSAL_SHARE = 0.15, 0.90, 0.90, 0.005
+
+_SCALE = 2 ** 53
+
+
+def uniform(seed: int, name: str, id_col: str = "id") -> Column:
+    """U[0,1) from a hash of (id, seed, column name)."""
+    h = F.xxhash64(F.col(id_col), F.lit(seed), F.lit(name))
+    return F.pmod(h, F.lit(_SCALE)).cast("double") / F.lit(float(_SCALE))
+
+
+def choice(u: Column, values: list[str], weights: list[float] | None = None) -> Column:
+    weights = weights or [1.0 / len(values)] * len(values)
+    acc, expr = 0.0, None
+    for v, w in zip(values[:-1], weights[:-1]):
+        acc += w
+        expr = (F.when(u < acc, F.lit(v)) if expr is None else expr.when(u < acc, F.lit(v)))
+    last = F.lit(values[-1])
+    return last if expr is None else expr.otherwise(last)
+
+
+def normal(seed: int, name: str, id_col: str = "id") -> Column:
+    u1 = F.lit(1.0) - uniform(seed, name + ":1", id_col)  # (0, 1]
+    u2 = uniform(seed, name + ":2", id_col)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+
+
+def beta1(u: Column, b: int) -> Column:
+    return F.lit(1.0) - F.pow(F.lit(1.0) - u, F.lit(1.0 / b))
+
+
+def synthetic_transactions(ids: DataFrame, n_accounts: int, n_tenants: int, seed: int = 42,
+                           id_col: str = "id") -> DataFrame:
+    """Raw-shaped transactions, one per id. Accounts and tenants are drawn
+    uniformly (as the reference does, independently of each other)."""
+    u = lambda name: uniform(seed, name, id_col)
+    ts = (F.lit(BASE_DATE).cast("timestamp_ntz")
+          + F.make_dt_interval(F.floor(u("day") * N_DAYS).cast("int"),
+                               F.floor(u("hour") * 24).cast("int"),
+                               F.floor(u("minute") * 60).cast("int")))
+    montant = F.round(F.exp(F.lit(AMOUNT_MU) + F.lit(AMOUNT_SIGMA) * normal(seed, "amount", id_col)), 2)
+    devise = choice(u("devise"), DEVISES, DEVISES_WEIGHTS)
+    taux = F.when(devise == "EUR", F.lit(1.0)).otherwise(F.round(F.lit(0.85) + u("taux") * 0.45, 6))
+    op = choice(u("type_operation"), TYPES_OPERATION, TYPES_OPERATION_WEIGHTS)
+    aml = choice(u("aml_flag"), AML_FLAGS, AML_WEIGHTS)
+    statut = choice(u("statut"), STATUTS_TX, STATUTS_TX_WEIGHTS)
+    rules = {
+        "transaction_id": F.col(id_col),
+        "external_transaction_id": F.concat(F.lit("EXT-"), F.upper(F.hex(F.xxhash64(F.col(id_col), F.lit(seed))))),
+        "tenant_id": (F.floor(u("tenant") * n_tenants) + 1),
+        "compte_id": (F.floor(u("compte") * n_accounts) + 1),
+        "date_transaction": ts,
+        "montant": montant,
+        "devise": devise,
+        "taux_change_applique": taux,
+        "montant_eur": F.round(montant * taux, 2),
+        "frais": F.when(u("fee") < FEE_SHARE, F.round(u("fee_amount") * 2.5, 2)).otherwise(F.lit(0)),
+        "type_operation": op,
+        "sens": F.when(op == "debit", "sortant").otherwise("entrant"),
+        "categorie_id": F.floor(u("categorie") * N_CATEGORIES) + 1,
+        "moyen_paiement": choice(u("moyen"), MOYENS_PAIEMENT),
+        "canal": choice(u("canal"), CANAUX, CANAUX_WEIGHTS),
+        "statut": statut,
+        "aml_score": F.round(beta1(u("aml_score"), AML_BETA_B) * 100, 2),
+        "aml_flag": aml,
+        "fraud_score": F.round(beta1(u("fraud_score"), FRAUD_BETA_B) * 100, 2),
+        "is_flagged_for_review": aml.isin("suspicious", "manual_review"),
+        "is_reconciled": u("reconciled") < RECONCILED_SHARE,
+        "reconciliation_batch_id": F.when(
+            u("batch") < BATCH_SHARE,
+            F.concat(F.lit("BATCH-"), F.date_format(ts, "yyyyMMdd"), F.lit("-"),
+                     (F.floor(u("batch_n") * 50) + 1).cast("string"))),
+        "source_system": choice(u("source"), ["core_banking_v1", "core_banking_v2",
+                                              "payment_gateway", "batch_import"]),
+        "created_at": ts,
+        "updated_at": ts,
+        "is_test": F.lit(False),
+        "is_reversal": u("reversal") < REVERSAL_SHARE,
+    }
+    cols = []
+    for name, typ in S.RAW_TRANSACTIONS:
+        if name == "_loaded_at":
+            continue
+        expr = rules.get(name, F.lit(None))
+        cols.append(expr.cast(S.spark_type(typ)).alias(name))
+    return ids.select(*cols)
