@@ -1,0 +1,21 @@
+"""Join-side helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension sides with at most this many rows are broadcast.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its size.
+
+    Low-cardinality dimensions (tenants, categories) must not be hash-joined
+    with a large fact: the shuffle would send all rows of one tenant or
+    category to one task. The count is bounded (``limit(max_rows + 1)``), so
+    the check costs at most ``max_rows`` rows; a side over the bound is left to
+    the planner (sort-merge, or AQE's runtime broadcast)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

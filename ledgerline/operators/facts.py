@@ -4,7 +4,8 @@ Join strategy, with sizes at the 100 TB target in mind:
 * transactions x accounts (both grow with data): equi-join on ``compte_id``;
   no hint, so AQE picks sort-merge or, when the account side turns out small
   at runtime, broadcast. A hot account is split by AQE's skew-join handling.
-* transactions x categories: left join, AQE decides from the runtime size.
+* transactions x categories: the category side is broadcast after a bounded
+  size check (a hash join on ~hundreds of category ids would skew).
 * transactions x FX: broadcast behind the parameter-derived bound of
   ``fx_for_join``.
 The fact's row filter (``statut``, ``is_reversal``) is written before the joins
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import trunc_date
+from ledgerline.functions.joins import broadcast_if_small
 
 
 def int_transactions_normalisees(stg_tx: DataFrame, stg_comptes: DataFrame,
@@ -26,9 +28,9 @@ def int_transactions_normalisees(stg_tx: DataFrame, stg_comptes: DataFrame,
         F.col("compte_id").alias("_c_compte_id"), "type_compte",
         F.col("devise").alias("devise_compte"), "customer_segment",
         F.col("pays").alias("pays_compte"), "kyc_level", "is_pep")
-    cats = stg_categories.select(
+    cats = broadcast_if_small(stg_categories.select(
         F.col("categorie_id").alias("_k_categorie_id"), "nom_categorie", "type_categorie",
-        "groupe")
+        "groupe"))
     out = (stg_tx
            .join(comptes, stg_tx["compte_id"] == comptes["_c_compte_id"], "left")
            .join(cats, stg_tx["categorie_id"] == cats["_k_categorie_id"], "left"))

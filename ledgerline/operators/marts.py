@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import day_diff, month_diff, pct, trunc_date
+from ledgerline.functions.joins import broadcast_if_small
 
 MONEY = "decimal(18,2)"
 
@@ -42,8 +43,8 @@ def mart_tenant_kpis_daily(fact: DataFrame, dim_ten: DataFrame) -> DataFrame:
         F.avg("fraud_score").cast("decimal(10,6)").alias("fraud_score_moyen"),
         F.max("fraud_score").alias("fraud_score_max"),
     )
-    t = dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code", "tenant_name",
-                       "contract_tier")
+    t = broadcast_if_small(dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code",
+                                          "tenant_name", "contract_tier"))
     j = agg.join(t, agg["tenant_id"] == t["_t_tenant_id"], "left")
     return j.select(
         "jour", "tenant_id", "tenant_code", "tenant_name", "contract_tier", "nb_transactions",

@@ -69,7 +69,13 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
                        f"{out_dir}/mart_cohortes_retention")
     tables.write_table(marts.aml_suspects(fact), f"{out_dir}/mart_aml_suspects", ["tenant_id"])
 
-    # 5. data tests on the built models; report stored
+    # 5. data tests on the stored models (each check reads a table, not the
+    #    pipeline that built it); report stored
+    w.fct_transactions = fact
+    w.dim_comptes = tables.read_table(spark, f"{out_dir}/dim_comptes")
+    w.dim_tenants = tables.read_table(spark, f"{out_dir}/dim_tenants")
+    w.dim_categories = tables.read_table(spark, f"{out_dir}/dim_categories")
+    w.fct_virements = tables.read_table(spark, f"{out_dir}/fct_virements")
     report = Q.run_suite(suite.reference_checks(w))
     tables.write_table(report, f"{out_dir}/dq_report")
 
