@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a local test run) is a scratch folder created.
+    and the master is local (a test run) is a scratch folder created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(a machine-local folder does not survive executor loss)")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
