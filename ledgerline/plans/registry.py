@@ -368,17 +368,62 @@ def q_merge_new_cols(spark, sf):
 
 
 def incremental_fact_run(w: Warehouse, raw_before: DataFrame, raw_after: DataFrame,
-                         days: int = 7) -> DataFrame:
+                         days: int = 7, touch_loaded_at: bool = False,
+                         delete_unqualified: bool = False) -> DataFrame:
     """one incremental run of staging then fact, each with its lookback
     window and column-limited merge, starting from tables built on
-    ``raw_before`` and reading ``raw_after``."""
+    ``raw_before`` and reading ``raw_after``.
+
+    Options for the quirks: ``touch_loaded_at`` (Q4) adds ``_loaded_at`` to
+    both update lists, so an updated row advances the watermark;
+    ``delete_unqualified`` (Q3) removes from the fact the keys whose new
+    version no longer qualifies (rejected, cancelled, reversal)."""
+    extra = ["_loaded_at"] if touch_loaded_at else []
     stg_t = staging.stg_transactions(raw_before)
     stg_d = staging.stg_transactions(inc.lookback(raw_after, stg_t, "_loaded_at", days))
-    stg_new = inc.merge(stg_t, stg_d, "transaction_id", FX.STG_TX_UPDATE)
+    stg_new = inc.merge(stg_t, stg_d, "transaction_id", FX.STG_TX_UPDATE + extra)
     norm = lambda stg: facts.int_transactions_normalisees(stg, w.stg_comptes, w.stg_categories)
     fct_t = w.fact_from(norm(stg_t))
-    fct_d = w.fact_from(norm(inc.lookback(stg_new, fct_t, "_loaded_at", days)))
-    return inc.merge(fct_t, fct_d, "transaction_id", FX.FCT_TX_UPDATE)
+    window = inc.lookback(stg_new, fct_t, "_loaded_at", days)
+    fct_d = w.fact_from(norm(window))
+    drop = None
+    if delete_unqualified:
+        keep = F.col("statut").isin(*facts.FACT_STATUSES) & (F.col("is_reversal") == F.lit(False))
+        drop = window.where(~F.coalesce(keep, F.lit(False))).select("transaction_id")
+    return inc.merge(fct_t, fct_d, "transaction_id", FX.FCT_TX_UPDATE + extra, delete_keys=drop)
+
+
+def _lookback_ctes(extra: list[str] | None = None, delete: bool = False) -> dict[str, str]:
+    extra = extra or []
+    ctes = {
+        "stg_t": O.stg_tx_sql("tx_cut"),
+        "stg_lb": O.stg_tx_sql(f"({O.lookback_sql('tx_v2', 'stg_t', 7)})"),
+        "stg_new": O.merge_sql("stg_t", "stg_lb", ["transaction_id"], STG_TX, STG_TX,
+                               FX.STG_TX_UPDATE + extra),
+        "norm_t": O.norm_sql("stg_t"), "fct_t": O.fact_sql("norm_t"),
+        "win": O.lookback_sql("stg_new", "fct_t", 7),
+        "norm_d": O.norm_sql("win"), "fct_d": O.fact_sql("norm_d"),
+        "merged": O.merge_sql("fct_t", "fct_d", ["transaction_id"], _FCT, _FCT, FX.FCT_TX_UPDATE + extra),
+    }
+    if delete:
+        ctes["merged_del"] = ("SELECT * FROM merged WHERE transaction_id NOT IN (SELECT transaction_id FROM win "
+                              "WHERE NOT coalesce(statut IN ('validee', 'en_attente') AND is_reversal = false, false))")
+    return ctes
+
+
+@register("merge_touch_loaded_at", None)
+def q_merge_touch(spark, sf):
+    w, f = _fix(spark, sf)
+    return incremental_fact_run(w, f.tx_cut(), f.tx_v2(), 7, touch_loaded_at=True)
+
+
+@register("merge_delete_unqualified", None)
+def q_merge_delete(spark, sf):
+    w, f = _fix(spark, sf)
+    # With the watermark advanced on update (Q4 option), so that the status
+    # changes reach the fact's window and the deletions are visible.
+    return incremental_fact_run(w, f.tx_cut(), f.tx_v2(), 7, touch_loaded_at=True,
+                                delete_unqualified=True)
 
 
 @register("merge_lookback", fx_sql(
@@ -803,6 +848,69 @@ def q_stream_merge(spark, sf):
     return TB.read_table(spark, f"{base}/table").select(*STG_TX)
 
 
+# --- options of the quirks and small operators (Q5, Q14, Q16, A10) -----------------
+
+_FLOWS_TENANT = {"flows": _FLOWS["flows"].replace(
+    "ON tx.compte_id = v.compte_id AND tx.jour = v.jour",
+    "ON tx.compte_id = v.compte_id AND tx.jour = v.jour AND tx.tenant_id = v.tenant_id")}
+
+
+@register("mart_solde_join_tenant", O.with_models("""
+    SELECT f.tenant_id, f.compte_id, f.jour, f.flux_transactions, f.flux_virements,
+           CAST(f.flux_transactions + f.flux_virements AS DECIMAL(18,2)) AS flux_total_jour,
+           CAST(c.solde_initial + sum(f.flux_transactions + f.flux_virements) OVER (
+                PARTITION BY f.compte_id ORDER BY f.jour, f.tenant_id, f.flux_transactions, f.flux_virements
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS solde_cumule_eur
+    FROM flows f JOIN dim_comptes c ON f.compte_id = c.compte_id""", *O.ALL_MODELS, _FLOWS_TENANT))
+def q_solde_join_tenant(spark, sf):
+    w = wh(spark, sf)
+    return marts.mart_solde_journalier(w.fct_transactions, w.fct_virements, w.dim_comptes,
+                                       join_tenant=True)
+
+
+@register("dim_categories_orphans", O.model_query(
+    "SELECT * FROM stg_categories WHERE categorie_id NOT IN (SELECT categorie_id FROM cat_tree)"))
+def q_orphans(spark, sf):
+    from ledgerline.operators.hierarchy import unreachable_nodes
+    w = wh(spark, sf)
+    return unreachable_nodes(w.stg_categories, w.dim_categories)
+
+
+@register("dq_fx_unique", O.model_query(
+    "SELECT devise_cible, date_cotation, count(*) AS n_records FROM stg_fx_rates "
+    "GROUP BY devise_cible, date_cotation HAVING count(*) > 1"))
+def q_fx_unique(spark, sf):
+    return Q.unique(wh(spark, sf).stg_fx_rates, "devise_cible", "date_cotation")
+
+
+@register("sql_tenant_totals", O.model_query("""
+    SELECT tenant_code, CAST(sum(nb_transactions) AS BIGINT) AS nb_transactions,
+           CAST(sum(volume_net_eur) AS DECIMAL(18,2)) AS volume_net_eur
+    FROM (SELECT a.*, t.tenant_code FROM (
+            SELECT tenant_id, count(*) AS nb_transactions,
+                   CAST(sum(CASE WHEN type_operation = 'credit' AND statut = 'validee' THEN montant_eur ELSE 0 END)
+                      - sum(CASE WHEN type_operation = 'debit' AND statut = 'validee' THEN montant_eur ELSE 0 END)
+                        AS DECIMAL(18,2)) AS volume_net_eur
+            FROM fct_transactions GROUP BY tenant_id, jour_transaction) a
+          LEFT JOIN dim_tenants t ON a.tenant_id = t.tenant_id)
+    GROUP BY tenant_code"""))
+def q_sql_totals(spark, sf):
+    """A10: models as temp views, queried with spark.sql."""
+    w = wh(spark, sf)
+    w.register_views(["mart_tenant_kpis_daily"])
+    return spark.sql("""
+        SELECT tenant_code, CAST(sum(nb_transactions) AS BIGINT) AS nb_transactions,
+               CAST(sum(volume_net_eur) AS DECIMAL(18,2)) AS volume_net_eur
+        FROM mart_tenant_kpis_daily GROUP BY tenant_code""")
+
+
+REGISTRY["merge_touch_loaded_at"] = (REGISTRY["merge_touch_loaded_at"][0],
+                                     fx_sql("SELECT * FROM merged", _lookback_ctes(["_loaded_at"])))
+REGISTRY["merge_delete_unqualified"] = (REGISTRY["merge_delete_unqualified"][0],
+                                        fx_sql("SELECT * FROM merged_del",
+                                               _lookback_ctes(["_loaded_at"], delete=True)))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

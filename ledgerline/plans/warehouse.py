@@ -31,6 +31,12 @@ class Warehouse:
     params: Params = field(default_factory=Params)
     use_events: bool = False  # transactions from the dense `events` table
 
+    def register_views(self, names: list[str]) -> None:
+        """A10: expose models as temp views (``view``/``ephemeral`` sinks), so
+        they can be queried with ``spark.sql``; nothing is stored."""
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(n)
+
     # staging
     @cached_property
     def stg_tenants(self) -> DataFrame:
