@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,20 +212,38 @@ class Check:
     column: str | None
     failing: Callable[[], DataFrame]
     severity: str = "error"
+    # Row-level tests may also give the model frame and the failing-row
+    # predicate, so the suite can count several tests in one scan.
+    frame: Callable[[], DataFrame] | None = None
+    predicate: Column | None = None
+
+
+def _report_row(c: Check, n: Column) -> Column:
+    return F.struct(F.lit(c.name).alias("test_name"), F.lit(c.model).alias("model"),
+                    F.lit(c.column).cast("string").alias("column_name"),
+                    F.lit(c.severity).alias("severity"), n.cast("bigint").alias("n_failures"))
 
 
 def run_suite(checks: list[Check]) -> DataFrame:
     """Report: one row per check with its failure count and status.
 
-    All counts are aggregates of the failing-row frames unioned into one plan,
-    so the suite is one Spark job; the report is the only thing collected by
-    a caller."""
+    Row-level checks of one model are conditional counts in a single
+    aggregate (one scan per model); the others (uniqueness, relationships)
+    count their failing-row frames. Everything is unioned into one plan, so
+    the suite is one Spark job and only the report reaches a caller."""
     parts = []
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
-        parts.append(c.failing().agg(F.count(F.lit(1)).alias("n_failures")).select(
-            F.lit(c.name).alias("test_name"), F.lit(c.model).alias("model"),
-            F.lit(c.column).cast("string").alias("column_name"),
-            F.lit(c.severity).alias("severity"), "n_failures"))
+        if c.frame is not None and c.predicate is not None:
+            by_model.setdefault(c.model, []).append(c)
+        else:
+            parts.append(c.failing().agg(F.count(F.lit(1)).alias("_n"))
+                         .select(F.inline(F.array(_report_row(c, F.col("_n"))))))
+    for cs in by_model.values():
+        agg = cs[0].frame().agg(*[F.count(F.when(c.predicate, F.lit(1))).alias(f"_c{i}")
+                                  for i, c in enumerate(cs)])
+        parts.append(agg.select(F.inline(F.array(*[_report_row(c, F.col(f"_c{i}"))
+                                                   for i, c in enumerate(cs)]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

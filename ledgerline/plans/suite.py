@@ -7,6 +7,8 @@ test declaration. ``reference_checks`` turns the specs into Spark checks;
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import quality as Q
 from ledgerline.operators.quality import Check
 from ledgerline.plans.warehouse import Warehouse
@@ -76,10 +78,27 @@ def _failing(w: Warehouse, kind: str, model: str, col: str, args: dict):
     raise ValueError(kind)
 
 
+def _predicate(kind: str, col: str, args: dict):
+    c = F.col(col)
+    if kind == "not_null":
+        return c.isNull()
+    if kind == "accepted_values":
+        return c.isNotNull() & ~c.isin(*args["values"])
+    if kind == "accepted_range":
+        return c.isNotNull() & ((c < args["min"]) | (c > args["max"]))
+    return None
+
+
 def reference_checks(w: Warehouse) -> list[Check]:
-    return [Check(test_name(k, m, c), m, c,
-                  (lambda k=k, m=m, c=c, a=a: _failing(w, k, m, c, a)), a.get("severity", "error"))
-            for k, m, c, a in TESTS]
+    out = []
+    for k, m, c, a in TESTS:
+        pred = _predicate(k, c, a)
+        out.append(Check(test_name(k, m, c), m, c,
+                         (lambda k=k, m=m, c=c, a=a: _failing(w, k, m, c, a)),
+                         a.get("severity", "error"),
+                         frame=(lambda m=m: getattr(w, m)) if pred is not None else None,
+                         predicate=pred))
+    return out
 
 
 # DuckDB names of the model CTEs (the oracle's recursive hierarchy CTE).
