@@ -70,13 +70,14 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
     tables.write_table(marts.aml_suspects(fact), f"{out_dir}/mart_aml_suspects", ["tenant_id"])
 
     # 5. data tests on the stored models (each check reads a table, not the
-    #    pipeline that built it); report stored
-    w.fct_transactions = fact
-    w.dim_comptes = tables.read_table(spark, f"{out_dir}/dim_comptes")
-    w.dim_tenants = tables.read_table(spark, f"{out_dir}/dim_tenants")
-    w.dim_categories = tables.read_table(spark, f"{out_dir}/dim_categories")
-    w.fct_virements = tables.read_table(spark, f"{out_dir}/fct_virements")
-    report = Q.run_suite(suite.reference_checks(w))
+    #    pipeline that built it); report stored. A separate model graph keeps
+    #    the caller's ``w`` lazy: its frames must not pin this run's files,
+    #    which the next incremental run replaces.
+    stored = Warehouse(w.raw, w.params, w.use_events)
+    stored.fct_transactions = fact
+    for name in ("dim_comptes", "dim_tenants", "dim_categories", "fct_virements"):
+        setattr(stored, name, tables.read_table(spark, f"{out_dir}/{name}"))
+    report = Q.run_suite(suite.reference_checks(stored))
     tables.write_table(report, f"{out_dir}/dq_report")
 
     # 6. exports
