@@ -8,6 +8,7 @@ with a reliable checkpoint into the cluster's checkpoint folder.
 
 Nodes that are not reachable from a root (children of a filtered-out parent,
 cycles) do not appear, as in the reference; ``unreachable_nodes`` reports them.
+A tree deeper than ``max_depth`` raises instead of losing its lower levels.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 from ledgerline.session import cut_lineage
 
 
+class HierarchyDepthError(RuntimeError):
+    pass
+
+
 def resolve_hierarchy(df: DataFrame, id_col: str = "categorie_id",
                       parent_col: str = "categorie_parent_id",
                       label_col: str = "nom_categorie", sep: str = " > ",
@@ -28,7 +33,7 @@ def resolve_hierarchy(df: DataFrame, id_col: str = "categorie_id",
                 .select(*cols, F.col(label_col).alias(path_col), F.col(id_col).alias(root_col)))
     levels = [frontier]
     child = df.select(*[F.col(c).alias(f"_c_{c}") for c in cols])
-    for depth in range(1, max_depth):
+    for depth in range(1, max_depth + 1):
         nxt = (frontier.select(F.col(id_col).alias("_p_id"), F.col(path_col).alias("_p_path"),
                                F.col(root_col).alias("_p_root"))
                .join(child, F.col("_p_id") == F.col(f"_c_{parent_col}"), "inner")
@@ -39,6 +44,11 @@ def resolve_hierarchy(df: DataFrame, id_col: str = "categorie_id",
             nxt = cut_lineage(nxt)
         if nxt.limit(1).count() == 0:
             break
+        if depth == max_depth:
+            # Levels 0..max_depth-1 are allowed; a non-empty next level means a
+            # deeper tree (or duplicate ids forming a loop reachable from a
+            # root). Fail rather than drop those rows.
+            raise HierarchyDepthError(f"hierarchy deeper than max_depth={max_depth}")
         levels.append(nxt)
         frontier = nxt
     out = levels[0]

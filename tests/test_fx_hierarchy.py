@@ -39,3 +39,13 @@ def test_hierarchy_paths_and_orphans(spark):
     assert out[3] == ("Loisirs > Restaurant > Fast-food", 1)
     assert set(out) == {1, 2, 3}
     assert sorted(r.categorie_id for r in unreachable_nodes(df, res).collect()) == [4, 5, 6]
+
+
+def test_hierarchy_depth_is_never_truncated(spark):
+    import pytest
+    from ledgerline.operators.hierarchy import HierarchyDepthError
+    chain = [(i, i - 1 if i > 1 else None, f"L{i}") for i in range(1, 5)]  # levels 0..3
+    df = spark.createDataFrame(chain, "categorie_id bigint, categorie_parent_id bigint, nom_categorie string")
+    assert resolve_hierarchy(df, max_depth=4).count() == 4  # exactly max_depth levels: kept whole
+    with pytest.raises(HierarchyDepthError):
+        resolve_hierarchy(df, max_depth=3)  # a fourth level exists: fail, do not drop it
