@@ -20,9 +20,17 @@ def latest_day(kpis: DataFrame, day_col: str = "jour") -> DataFrame:
     return kpis.join(F.broadcast(last), F.col(day_col) == F.col("_last"), "inner").drop("_last")
 
 
+def _by_tenant(df: DataFrame) -> DataFrame:
+    """Group rows by tenant before a per-tenant directory write, so each task
+    writes few tenant directories (not one small file per tenant per task).
+    REBALANCE lets AQE split a hot tenant over several tasks and merge small
+    ones, where a hash repartition would send a whole tenant to one task."""
+    return df.hint("rebalance", "tenant_id")
+
+
 def export_tenant_kpis(kpis: DataFrame, path: str) -> DataFrame:
     out = latest_day(kpis)
-    out.write.mode("overwrite").partitionBy("tenant_id").json(path)
+    _by_tenant(out).write.mode("overwrite").partitionBy("tenant_id").json(path)
     return out
 
 
@@ -34,5 +42,6 @@ def compliance_extract(fact: DataFrame) -> DataFrame:
 
 def export_compliance_report(fact: DataFrame, path: str) -> DataFrame:
     out = compliance_extract(fact)
-    out.write.mode("overwrite").option("header", True).partitionBy("tenant_id").csv(path)
+    (_by_tenant(out).write.mode("overwrite").option("header", True)
+     .partitionBy("tenant_id").csv(path))
     return out
