@@ -5,7 +5,8 @@ Prints one JSON line:
 
 Steps mirror a production run: build and store the fact (layout: month
 partitions, sorted by tenant and id, bloom filter on the id), then the
-profiled BI queries on the stored fact (H1-H3), the marts, one incremental
+profiled BI queries on the stored fact (H1-H3: first run as ``*_cold``, then
+the median of three runs), the marts, one incremental
 upsert of the stored fact (copy-on-write of touched months only), a
 microbatch replacement of 13 day partitions, and the data-test suite.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 import uuid
@@ -59,10 +61,23 @@ def main() -> None:
           lambda: tables.write_table(w.fct_transactions, fact_path, **FACT_LAYOUT))
     fact = tables.read_table(spark, fact_path)
 
-    timed("h1_tenant_month", lambda: marts.bi_tenant_month(fact).collect())
-    timed("h2_point_lookup",
-          lambda: marts.bi_point_lookup(fact, registry.LOOKUP_TRANSACTION_ID).collect())
-    timed("h3_aml_filter", lambda: marts.bi_aml_filter(fact).collect())
+    # BI latencies (H1-H3): the first run of each is reported as ``*_cold``
+    # (query compilation included); the headline key is the median of three
+    # further runs, as an interactive query on a running cluster would see.
+    bi = {
+        "h1_tenant_month": lambda: marts.bi_tenant_month(fact).collect(),
+        "h2_point_lookup":
+            lambda: marts.bi_point_lookup(fact, registry.LOOKUP_TRANSACTION_ID).collect(),
+        "h3_aml_filter": lambda: marts.bi_aml_filter(fact).collect(),
+    }
+    for name, q in bi.items():
+        timed(f"{name}_cold", q)
+        runs = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            q()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
 
     timed("mart_tenant_kpis_daily", lambda: noop(marts.mart_tenant_kpis_daily(fact, w.dim_tenants)))
     timed("mart_solde_journalier",
@@ -78,14 +93,16 @@ def main() -> None:
         return wh.fact_from(facts.int_transactions_normalisees(
             staging.stg_transactions(raw_tx), wh.stg_comptes, wh.stg_categories))
     inc_path = f"{base}/fct_incremental"
-    tables.write_table(fact_of(f.tx_cut()), inc_path, **FACT_LAYOUT)
+    tables.write_table(fact_of(f.tx_cut()), inc_path, **FACT_LAYOUT, watermark_col="_loaded_at")
 
     def incremental():
         target = tables.read_table(spark, inc_path)
         from ledgerline.operators import incremental as inc
-        delta = fact_of(inc.lookback(f.tx_v2(), target, "_loaded_at", 7))
+        high = tables.table_watermark(spark, inc_path, "_loaded_at")
+        delta = fact_of(inc.lookback(f.tx_v2(), target, "_loaded_at", 7, high=high))
         return tables.upsert_table(spark, inc_path, delta, "transaction_id", "mois_transaction",
-                                   FX.FCT_TX_UPDATE, FACT_LAYOUT["sort_by"], FACT_LAYOUT["bloom_cols"])
+                                   FX.FCT_TX_UPDATE, FACT_LAYOUT["sort_by"], FACT_LAYOUT["bloom_cols"],
+                                   watermark_col="_loaded_at")
     timed("incremental_merge", incremental)
 
     # Microbatch: 13 day partitions of the events fact replaced in one job.

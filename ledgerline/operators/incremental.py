@@ -150,13 +150,15 @@ def max_value(df: DataFrame, col: str):
 
 
 def lookback(source: DataFrame, target: DataFrame | None, ts_col: str = "_loaded_at",
-             days: int = 7) -> DataFrame:
+             days: int = 7, high=None) -> DataFrame:
     """Rows of ``source`` loaded at most ``days`` before the
     target's newest load time. No target, or an empty one, means a full build.
-    The bound is a literal, so the filter reaches the Parquet scan."""
+    The bound is a literal, so the filter reaches the Parquet scan.
+    ``high``: the target's newest load time when already known (a stored
+    table's recorded watermark), which saves the max over the target."""
     if target is None:
         return source
-    hi = max_value(target, ts_col)
+    hi = high if high is not None else max_value(target, ts_col)
     if hi is None:
         return source
     bound = (hi - dt.timedelta(days=days)).isoformat(sep=" ")

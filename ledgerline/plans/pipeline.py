@@ -13,7 +13,6 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators import incremental as inc
 from ledgerline.operators import quality as Q
 from ledgerline.plans import fixtures as FX
 from ledgerline.plans import suite
@@ -48,13 +47,15 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
     # 3. fact: first run builds all; later runs upsert the lookback window
     fact_path = f"{out_dir}/fct_transactions"
     if _exists(fact_path):
-        target = tables.read_table(spark, fact_path)
+        high = tables.table_watermark(spark, fact_path, "_loaded_at")
         delta = w.fact_from(w.int_transactions_normalisees.where(
-            F.col("_loaded_at") >= F.lit(_lookback_bound(target, lookback_days)).cast("timestamp_ntz")))
+            F.col("_loaded_at") >= F.lit(_lookback_bound(high, lookback_days)).cast("timestamp_ntz")))
         tables.upsert_table(spark, fact_path, delta, "transaction_id", "mois_transaction",
-                            FX.FCT_TX_UPDATE, FACT_LAYOUT["sort_by"], FACT_LAYOUT["bloom_cols"])
+                            FX.FCT_TX_UPDATE, FACT_LAYOUT["sort_by"], FACT_LAYOUT["bloom_cols"],
+                            watermark_col="_loaded_at")
     else:
-        tables.write_table(w.fct_transactions, fact_path, **FACT_LAYOUT)
+        tables.write_table(w.fct_transactions, fact_path, **FACT_LAYOUT,
+                           watermark_col="_loaded_at")
     tables.write_table(w.fct_virements, f"{out_dir}/fct_virements")
     fact = tables.read_table(spark, fact_path)
 
@@ -87,7 +88,8 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
     return tables.read_table(spark, f"{out_dir}/dq_report")
 
 
-def _lookback_bound(target: DataFrame, days: int) -> str:
+def _lookback_bound(high, days: int) -> str:
+    """Literal lower bound of the lookback window from the table's newest
+    load time (its recorded watermark); no value means a full build (Q13)."""
     import datetime as dt
-    hi = inc.max_value(target, "_loaded_at")
-    return (hi - dt.timedelta(days=days)).isoformat(sep=" ") if hi else "0001-01-01 00:00:00"
+    return (high - dt.timedelta(days=days)).isoformat(sep=" ") if high else "0001-01-01 00:00:00"

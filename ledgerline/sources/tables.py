@@ -10,28 +10,46 @@ of the touched partitions only:
    path cannot be overwritten while it is being read);
 4. the staged partitions replace the live ones with a dynamic partition
    overwrite; untouched partitions are never rewritten.
+
+Watermark: an incremental run needs the table's newest load time. The
+Parquet reader does not answer ``max`` from footers, so at 100 TB that would
+be a column scan of the whole fact per run. Tables written with
+``watermark_col`` keep that maximum in a one-row side table under
+``_watermark`` (a leading underscore: readers of the table skip it). A full
+write records it once; an upsert raises it from the rewritten partitions only
+(untouched partitions are unchanged, and merged rows never lower the value).
+It is written after the data, so a failure in between leaves it low, which
+only widens the next lookback; a missing one falls back to the scan.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators import incremental as inc
 from ledgerline.session import cut_lineage, scratch_dir
 
 
+WATERMARK_DIR = "_watermark"
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None, bloom_cols: list[str] | None = None,
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", replace: str = "all",
+                watermark_col: str | None = None) -> str:
     """Write ``df`` as Parquet.
 
     ``partition_by`` -> one directory per value (month, never tenant x month,
     to avoid small files); each task writes few partition directories with
     rows sorted by ``sort_by`` (tight row-group min/max for pruning); optional
     Parquet bloom filters serve point lookups on high-cardinality keys.
+    ``replace='all'`` is a full rebuild (every old partition goes);
+    ``'partitions'`` replaces only the partitions present in ``df``.
     """
     w = df
     keys = (partition_by or []) + (sort_by or [])
@@ -44,15 +62,40 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w = w.hint("rebalance")
     if keys:
         w = w.sortWithinPartitions(*keys)
-    writer = w.write.mode(mode)
+    overwrite_mode = {"all": "static", "partitions": "dynamic"}[replace]
+    writer = w.write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
     for c in bloom_cols or []:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if watermark_col and replace == "all":
+        table = read_table(df.sparkSession, path)
+        _store_watermark(df.sparkSession, path, watermark_col,
+                         inc.max_value(table, watermark_col), table.schema[watermark_col].dataType)
     return path
 
 
+def _store_watermark(spark: SparkSession, path: str, col: str, value, dtype) -> None:
+    schema = T.StructType([T.StructField("column", T.StringType()),
+                           T.StructField("high", dtype)])
+    (spark.createDataFrame([(col, value)], schema)
+     .write.mode("overwrite").parquet(f"{path}/{WATERMARK_DIR}"))
+
+
+def table_watermark(spark: SparkSession, path: str, col: str):
+    """Newest value of ``col`` in the table at ``path``: the recorded
+    watermark when there is one for that column, else one max over the
+    column. NULL for an empty table."""
+    try:
+        rows = spark.read.parquet(f"{path}/{WATERMARK_DIR}").where(F.col("column") == col).collect()
+    except AnalysisException:
+        rows = []
+    if rows:
+        return rows[0]["high"]
+    return inc.max_value(read_table(spark, path), col)
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
@@ -66,21 +109,20 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
     stage = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_table(staged, path, partition_by, sort_by, bloom_cols, mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_table(staged, path, partition_by, sort_by, bloom_cols, mode="overwrite",
+                replace="partitions")
     return path
 
 
 def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str] | str,
                  partition_col: str, update_cols: list[str] | None = None,
-                 sort_by: list[str] | None = None, bloom_cols: list[str] | None = None) -> list:
+                 sort_by: list[str] | None = None, bloom_cols: list[str] | None = None,
+                 watermark_col: str | None = None) -> list:
     """F1 storage: merge ``delta`` into the table at ``path``, rewriting only
     the partitions the delta touches. The partition column must not be in the
-    update list (a key never changes partition). Returns the touched values."""
+    update list (a key never changes partition). Returns the touched values.
+    With ``watermark_col`` the recorded watermark is raised from the
+    rewritten partitions."""
     # The delta is used several times (touched partitions, size check, keys,
     # rows): materialise it once in the shared checkpoint folder so its
     # upstream pipeline runs once and a lost executor does not recompute it.
@@ -89,7 +131,13 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
     touched = [r[0] for r in delta.select(partition_col).distinct().collect()]
     if not touched:
         return []
+    before = table_watermark(spark, path, watermark_col) if watermark_col else None
     target = read_table(spark, path).where(F.col(partition_col).isin(touched))
     merged = inc.merge(target, delta, key, update_cols, delta_rows=n_delta)
     overwrite_partitions(merged, path, [partition_col], sort_by, bloom_cols)
+    if watermark_col:
+        table = read_table(spark, path)
+        rewritten = inc.max_value(table.where(F.col(partition_col).isin(touched)), watermark_col)
+        high = max((v for v in (before, rewritten) if v is not None), default=None)
+        _store_watermark(spark, path, watermark_col, high, table.schema[watermark_col].dataType)
     return touched

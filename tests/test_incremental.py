@@ -85,3 +85,47 @@ def test_replace_batches(spark, target):
     out = collect(inc.replace_batches(target, src, "ts", "2024-01-02", "2024-01-03"))
     ids = [r[0] for r in out]
     assert ids == [1, 2, 7]  # day 2 replaced whole (id 3 gone), day 9 outside the batches
+
+
+def _table_path(spark, name):
+    import uuid
+    from ledgerline.session import scratch_dir
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+def test_full_rewrite_replaces_every_partition(spark):
+    """A full rebuild drops partitions the new data lacks, even though the
+    session's default overwrite mode is dynamic."""
+    from ledgerline.sources import tables
+    path = _table_path(spark, "test-rebuild")
+    tables.write_table(frame(spark, [(1, "a", 1, "x", t0(1)), (2, "b", 2, "y", t0(2))]), path, ["statut"])
+    tables.write_table(frame(spark, [(3, "c", 3, "z", t0(3))]), path, ["statut"])
+    assert sorted(r.id for r in tables.read_table(spark, path).collect()) == [3]
+
+
+def test_watermark_recorded_and_raised_by_upsert(spark, target, delta):
+    from pyspark.sql import functions as F
+    from ledgerline.sources import tables
+    path = _table_path(spark, "test-watermark")
+    tables.write_table(target, path, ["statut"], watermark_col="ts")
+    assert tables.table_watermark(spark, path, "ts") == t0(2)
+    # the side table is invisible to readers of the table
+    assert tables.read_table(spark, path).count() == 3
+    tables.upsert_table(spark, path, delta.where(F.col("id") == 4), "id", "statut",
+                        ["montant"], watermark_col="ts")
+    table = tables.read_table(spark, path)
+    assert table.count() == 4
+    assert tables.table_watermark(spark, path, "ts") == inc.max_value(table, "ts") == t0(5)
+    # lookback from the recorded value equals lookback from a scan
+    src = frame(spark, [(9, "validee", 1, "n", t0(1)), (8, "validee", 1, "n", t0(4))])
+    assert (sorted(r.id for r in inc.lookback(src, table, "ts", 2).collect())
+            == sorted(r.id for r in inc.lookback(src, table, "ts", 2,
+                                                 high=tables.table_watermark(spark, path, "ts")).collect())
+            == [8])
+
+
+def test_watermark_falls_back_to_a_scan(spark, target):
+    from ledgerline.sources import tables
+    path = _table_path(spark, "test-nowatermark")
+    tables.write_table(target, path, ["statut"])
+    assert tables.table_watermark(spark, path, "ts") == t0(2)
