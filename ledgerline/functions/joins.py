@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 # Dimension sides with at most this many rows are broadcast.
 DIM_BROADCAST_MAX_ROWS = 1_000_000
+# The account side of the fact joins: a few narrow columns (~80 bytes a row),
+# so 2M accounts is a ~160 MB hash table per executor. Broadcasting it keeps
+# the transaction side (the 100 TB input) from being shuffled at all; past the
+# bound the planner shuffles both sides (sort-merge, AQE skew splits).
+ACCOUNT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:

@@ -1,9 +1,10 @@
 """Enrichment and facts.
 
 Join strategy, with sizes at the 100 TB target in mind:
-* transactions x accounts (both grow with data): equi-join on ``compte_id``;
-  no hint, so AQE picks sort-merge or, when the account side turns out small
-  at runtime, broadcast. A hot account is split by AQE's skew-join handling.
+* transactions x accounts: the account side (7 narrow columns) is broadcast
+  after a bounded row count (``ACCOUNT_BROADCAST_MAX_ROWS``), so the
+  transactions are not shuffled; past the bound the planner shuffles both
+  sides and AQE's skew-join handling splits a hot account.
 * transactions x categories: the category side is broadcast after a bounded
   size check (a hash join on ~hundreds of category ids would skew).
 * transactions x FX: broadcast behind the parameter-derived bound of
@@ -18,16 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import trunc_date
-from ledgerline.functions.joins import broadcast_if_small
+from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def int_transactions_normalisees(stg_tx: DataFrame, stg_comptes: DataFrame,
                                  stg_categories: DataFrame) -> DataFrame:
     """Transactions + account attributes + category labels + calendar keys."""
-    comptes = stg_comptes.select(
+    comptes = broadcast_if_small(stg_comptes.select(
         F.col("compte_id").alias("_c_compte_id"), "type_compte",
         F.col("devise").alias("devise_compte"), "customer_segment",
-        F.col("pays").alias("pays_compte"), "kyc_level", "is_pep")
+        F.col("pays").alias("pays_compte"), "kyc_level", "is_pep"), ACCOUNT_BROADCAST_MAX_ROWS)
     cats = broadcast_if_small(stg_categories.select(
         F.col("categorie_id").alias("_k_categorie_id"), "nom_categorie", "type_categorie",
         "groupe"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import day_diff, month_diff, pct, trunc_date
-from ledgerline.functions.joins import broadcast_if_small
+from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 MONEY = "decimal(18,2)"
 
@@ -92,7 +92,10 @@ def mart_solde_journalier(fact: DataFrame, fct_vir: DataFrame, dim_cpt: DataFram
     are broken by tenant and flow values, so the result is deterministic.
     """
     f = daily_flows(fact, fct_vir, join_tenant)
-    c = dim_cpt.select(F.col("compte_id").alias("_c_compte_id"), "solde_initial")
+    # Opening balances (two columns) are broadcast under the account bound:
+    # the account-day flows stay partitioned as their aggregation left them.
+    c = broadcast_if_small(dim_cpt.select(F.col("compte_id").alias("_c_compte_id"), "solde_initial"),
+                           ACCOUNT_BROADCAST_MAX_ROWS)
     j = f.join(c, f["compte_id"] == c["_c_compte_id"], "inner")
     total = F.col("flux_transactions") + F.col("flux_virements")
     w = (Window.partitionBy("compte_id")
