@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
+
 
 # --- I1-I5: column tests ---------------------------------------------------------
 
@@ -39,8 +41,13 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
-    """I4: non-null child keys without a parent row (left anti join)."""
-    p = parent.select(F.col(field).alias("_p_key")).distinct()
+    """I4: non-null child keys without a parent row (left anti join).
+
+    The parent keys (one column of a dimension) are broadcast under the
+    account bound, so the child — often the fact — is only streamed; a larger
+    parent is left to the planner (sort-merge; AQE splits a hot child key)."""
+    p = broadcast_if_small(parent.select(F.col(field).alias("_p_key")).distinct(),
+                           ACCOUNT_BROADCAST_MAX_ROWS)
     child = df.where(F.col(col).isNotNull())
     return child.join(p, child[col] == p["_p_key"], "left_anti")
 
