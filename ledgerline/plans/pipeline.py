@@ -17,6 +17,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import fixtures as FX
 from ledgerline.plans import suite
 from ledgerline.plans.warehouse import Warehouse
+from ledgerline.session import size_for_input
 from ledgerline.sources import sinks, tables
 
 FACT_LAYOUT = dict(partition_by=["mois_transaction"], sort_by=["tenant_id", "transaction_id"],
@@ -33,6 +34,7 @@ def _exists(path: str) -> bool:
 
 def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFrame:
     spark = w.raw.spark
+    size_for_input(spark, [w.raw.sf_dir])  # cluster runs: partition sizes from the input size
     as_of = f"{w.params.as_of} 00:00:00"
     # 1. source checks (the DAG's guard runs before anything is built)
     if Q.nonempty(w.raw_transactions, "raw_transactions").limit(1).count():

@@ -43,6 +43,58 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# Cluster sizing. Scan splits and shuffle partitions aim at ~256 MB each: large
+# enough that a 100 TB stage is not millions of tiny tasks, small enough that
+# a task's sort and hash buffers fit in executor memory without heavy spill.
+PARTITION_BYTES = 256 * 1024 * 1024
+# Parquet is compressed and columnar; a shuffled row is wider in memory.
+SHUFFLE_EXPANSION = 3.0
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def shuffle_partitions_for(input_bytes: int, parallelism: int,
+                           partition_bytes: int = PARTITION_BYTES,
+                           expansion: float = SHUFFLE_EXPANSION) -> int:
+    """Shuffle width for the largest shuffle of a job over ``input_bytes``.
+
+    At least two tasks per core; at most ``MAX_SHUFFLE_PARTITIONS`` (map
+    output bookkeeping grows with map x reduce tasks). AQE then coalesces the
+    small shuffles (post-aggregation) back down to the advisory size."""
+    want = -(-int(input_bytes * expansion) // partition_bytes)
+    return max(2 * parallelism, min(MAX_SHUFFLE_PARTITIONS, want))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size on storage of ``paths`` (one metadata call per path)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        total += hp.getFileSystem(conf).getContentSummary(hp).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Set scan split, advisory and shuffle partition sizes from the input's
+    size, for settings the cluster's own configuration leaves unset. Returns
+    what was set. Local (test) sessions are left as they are."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return {}
+    n = shuffle_partitions_for(input_bytes(spark, paths), sc.defaultParallelism)
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(n),
+    }
+    done = {}
+    for k, v in wanted.items():
+        if not sc.getConf().contains(k):
+            spark.conf.set(k, v)
+            done[k] = v
+    return done
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
