@@ -8,8 +8,6 @@ incremental upsert) -> marts -> data tests -> exports. Every table lands in
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import fixtures as FX
 from ledgerline.plans import suite
 from ledgerline.plans.warehouse import Warehouse
-from ledgerline.session import size_for_input
+from ledgerline.session import path_exists, size_for_input
 from ledgerline.sources import sinks, tables
 
 FACT_LAYOUT = dict(partition_by=["mois_transaction"], sort_by=["tenant_id", "transaction_id"],
@@ -28,10 +26,6 @@ class PipelineAborted(RuntimeError):
     pass
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(path.replace("file:", ""))
-
-
 def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFrame:
     spark = w.raw.spark
     size_for_input(spark, [w.raw.sf_dir])  # cluster runs: partition sizes from the input size
@@ -48,7 +42,7 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
 
     # 3. fact: first run builds all; later runs upsert the lookback window
     fact_path = f"{out_dir}/fct_transactions"
-    if _exists(fact_path):
+    if path_exists(spark, fact_path):
         high = tables.table_watermark(spark, fact_path, "_loaded_at")
         delta = w.fact_from(w.int_transactions_normalisees.where(
             F.col("_loaded_at") >= F.lit(_lookback_bound(high, lookback_days)).cast("timestamp_ntz")))

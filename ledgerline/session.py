@@ -74,6 +74,15 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the cluster's file system (HDFS, object
+    stores, local), through Hadoop's FileSystem rather than the driver's
+    local disk."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hp.getFileSystem(conf).exists(hp))
+
+
 def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """Set scan split, advisory and shuffle partition sizes from the input's
     size, for settings the cluster's own configuration leaves unset. Returns

@@ -25,3 +25,10 @@ def test_size_for_input_leaves_local_sessions_alone(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert size_for_input(spark, ["/root/testdata/sf0.001"]) == {}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_path_exists_goes_through_the_file_system(spark, tmp_path):
+    from ledgerline.session import path_exists
+    assert path_exists(spark, str(tmp_path))
+    assert path_exists(spark, f"file:{tmp_path}")
+    assert not path_exists(spark, str(tmp_path / "missing"))
