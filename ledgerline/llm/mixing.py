@@ -3,7 +3,8 @@
 Every source is a queue. Its documents stand in a shuffled order (a hash of
 the id), pass after pass while repeats are needed; a document's virtual finish
 time is the running word count of its queue divided by the queue's target, so
-all queues reach time 1 together. The mix is the documents in the order of
+all queues reach time 1 together; a document that would end later stands aside
+for the next that fits. The mix is the documents in the order of
 their finish times, cut at the total budget: the words of all documents.
 
 A queue's target is its weight's share of the budget, at most ``max_passes``
@@ -44,7 +45,7 @@ def document_sizes(docs: DataFrame) -> DataFrame:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes: int = MAX_PASSES) -> DataFrame:
-    """source, source_size, longest (document), most, target: one row per source."""
+    """source, source_size, longest (document), target: one row per source."""
     sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.max("size").alias("longest"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
@@ -59,14 +60,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_pas
     fits = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "level"))).over(Window.partitionBy())
     target = F.when(fits.isNull() | (F.col("ratio") < fits["level"]), F.col("most")) \
         .otherwise(F.col("weight") * fits["level"])
-    return level.select("source", "source_size", "longest", "most", F.least(target, F.col("most")).alias("target"))
+    return level.select("source", "source_size", "longest", F.least(target, F.col("most")).alias("target"))
 
 
-def finish_times(sizes: DataFrame, targets: DataFrame, ranges: int, max_passes: int = MAX_PASSES,
+def queue_words(sizes: DataFrame, targets: DataFrame, ranges: int, max_passes: int = MAX_PASSES,
                  seed: int = 0) -> DataFrame:
-    """One row per document and pass that its queue may reach, with its
-    virtual finish time."""
-    named = targets.select(F.col("source").alias("q"), "source_size", "target")
+    """One row per document and pass that its queue may reach, with ``done``:
+    the queue's words up to its end (over the target: its finish time)."""
+    named = targets.select(F.col("source").alias("q"), "source_size", "longest", "target")
     rows = sizes.join(named, F.col("source").eqNullSafe(F.col("q")), "left").drop("q")
     reach = F.filter(F.sequence(F.lit(0), F.lit(max_passes - 1)), lambda k: (k == 0) | (k * F.col("source_size") <= F.col("target")))
     rows = rows.withColumn("pass", F.explode(reach))
@@ -83,25 +84,45 @@ def finish_times(sizes: DataFrame, targets: DataFrame, ranges: int, max_passes:
                              .rowsBetween(Window.unboundedPreceding, 0))
     done = F.col("pass") * F.col("source_size") + F.col("ahead") + own
     return (rows.join(parts, same, "left").drop("s", "p", "r")
-            .withColumn("finish", F.when(F.col("target") > 0, done / F.col("target"))))
-
-
-def last_time(targets: DataFrame) -> float:
-    """A finish time that the cut can't lie beyond.
-
-    At time t >= 1 every queue that isn't at its limit has given at least
-    t * target less one document, and the others all they have; so once t - 1
-    reaches the sum of the longest documents over the sum of those targets,
-    the budget is used up."""
-    free = F.col("target") < F.col("most")
-    row = targets.agg(F.sum("longest").alias("slack"), F.sum(F.when(free, F.col("target"))).alias("free")).first()
-    return 1.0 + (1.001 * row["slack"] / row["free"] if row["free"] else 0.0)
-
-
-def take(queued: DataFrame, budget: int, ranges: int, last: float) -> DataFrame:
+            .withColumn("done", done))
+
+
+def fill(queued: DataFrame, aside: int = 4, rounds: int = 4) -> DataFrame:
+    """``queued`` with the finish times at which documents really leave.
+
+    A document that would end past its queue's target stands aside, and later
+    ones that still fit move up; who never fits has no finish time. Looked at
+    are the documents within ``aside`` longest documents behind the target, so
+    a queue's window has a few rows however long the queue is."""
+    ends = F.col("target") + aside * F.col("longest")
+    near = (F.col("done") > F.col("target")) & (F.col("done") <= ends) & (F.col("target") > 0) & (F.col("size") > 0)
+    in_time = F.col("done") <= F.col("target")
+    names = queued.columns
+    base = queued.where(in_time).groupBy("source").agg(F.max("done").alias("full"))
+    base = base.select(F.col("source").alias("s"), "full")
+    queue = Window.partitionBy("source")
+    order = queue.orderBy("done", "draw", "doc_id", "twin").rowsBetween(Window.unboundedPreceding, 0)
+    rows = queued.where(near).join(base, F.col("source").eqNullSafe(F.col("s")), "left")
+    rows = rows.withColumn("gap", F.col("target") - F.coalesce("full", F.lit(0))).withColumn("at", F.lit(None).cast("double"))
+    small = F.col("at").isNull() & (F.col("size") <= F.col("gap"))
+    place = (F.col("target") - F.col("gap") + F.col("sum")) / F.col("target")
+    for _ in range(rounds):
+        rows = rows.withColumn("sum", F.sum(F.when(small, F.col("size"))).over(order))
+        rows = rows.withColumn("fits", small & (F.col("sum") <= F.col("gap")))
+        rows = rows.withColumn("at", F.when(F.col("fits"), place).otherwise(F.col("at")))
+        moved = F.coalesce(F.max(F.when(F.col("fits"), F.col("sum"))).over(queue), F.lit(0))
+        rows = rows.withColumn("gap", F.col("gap") - moved)
+    finish = F.col("done") / F.col("target")
+    parts = [queued.where(in_time).withColumn("finish", F.when(F.col("target") > 0, finish)),
+             rows.select(*names, F.col("at").alias("finish")),
+             queued.where(~in_time & ~near).withColumn("finish", F.lit(None).cast("double"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def take(queued: DataFrame, budget: int, ranges: int) -> DataFrame:
     """``queued`` with ``into``: whether the row is in the mix. The finish
-    times up to ``last`` are cut into ranges, each sorted by itself."""
-    late = F.col("finish").isNull() | (F.col("finish") > last)
+    times (0 to 1) are cut into ranges, and each range is sorted by itself."""
+    late = F.col("finish").isNull()
     rows = queued.where(~late).withColumn("slot", F.floor(F.col("finish") * ranges))
     slots = rows.groupBy("slot").agg(F.sum("size").alias("words"))
     ahead = F.sum("words").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1))
@@ -119,8 +140,8 @@ def mixed_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes:
     total = sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).first()
     ranges = max(1, -(-total["n"] // range_rows))
     targets = stored(source_targets(sizes, weights, max_passes), "targets")
-    queued = stored(finish_times(sizes, targets, ranges, max_passes, seed), "queued")
-    chosen = take(queued, total["words"], ranges, last_time(targets))
+    queued = stored(fill(stored(queue_words(sizes, targets, ranges, max_passes, seed), "queued")), "finish")
+    chosen = take(queued, total["words"], ranges)
     by = ["doc_id", "source", "size", "twin"]
     return chosen.groupBy(*by).agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),

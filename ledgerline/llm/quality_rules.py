@@ -34,7 +34,7 @@ SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
 SKETCH_BITS = 5
 #: Features with fences: name, whether a low value also rejects, smallest spread.
-RULES = (("symbol_rate", False, 100), ("repeat_rate", False, 50), ("dup_line_rate", False, 50),
+RULES = (("symbol_rate", False, 100), ("repeat_rate", False, 130), ("dup_line_rate", False, 200),
          ("word_length", True, 400))
 FEATURES = T.StructType([T.StructField(n, T.LongType()) for n in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")])
