@@ -8,7 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontam, mixing, quality_rules, simhash, token_output
+from ledgerline.llm import (decontam, html_extract, mixing, pii, quality_rules, secret_scan, simhash, token_output, warc,
+                            weak_label)
 from ledgerline.llm.common import read_table
 
 
@@ -18,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_label.classify(read_table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -26,10 +31,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_spans(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -41,7 +62,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_decontamination, op3_quality_rules, op5_token_output, op9_simhash, op10_source_mix)
+    own = (op1_quality_classifier, op2_decontamination, op3_quality_rules, op4_warc_archives, op5_token_output,
+           op6_secret_scan, op7_html_text, op8_personal_data, op9_simhash, op10_source_mix)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
