@@ -67,53 +67,63 @@ def base_spans(text):
 
 def battery(value):
     """The tests of one candidate: random (whether it passes those for its
-    alphabet) and p (the chance that ordinary text is as even)."""
-    plain = F.translate(F.regexp_replace(value, "=+$", ""), "-_", "+/")
-    is16 = plain.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
-    is32 = plain.rlike("^[A-Z2-7]+$")
-    alphabet = F.when(is16, F.lit(BASE16)).when(is32, F.lit(BASE32)).otherwise(F.lit(BASE64))
-    text = F.when(is16, F.lower(plain)).otherwise(plain)
-    marks = F.split(text, "(?!^)(?!$)")
-    codes = F.transform(marks, lambda c: F.call_function("instr", alphabet, c) - 1)
-    classes = F.split(F.translate(F.regexp_replace(F.regexp_replace(plain, "[a-z]", "a"), "[A-Z]", "B"),
-                                  "0123456789", "0000000000"), "(?!^)(?!$)")
-    size = F.length(alphabet).cast("double")
-
-    def changes(array):
-        return F.aggregate(F.sequence(F.lit(1), F.size(array) - 1), F.lit(0.0), lambda acc, k: acc + F.when(
-            F.get(array, k) != F.get(array, k - 1), F.lit(1.0)).otherwise(F.lit(0.0)))
-
-    def tests(x):
-        c, n = x["codes"], F.size(x["codes"]).cast("double")
+    alphabet) and p (the chance that ordinary text is as even). Every step is
+    bound before a fold uses it, so the work follows the length."""
+    each = lambda text: F.split(text, "(?!^)(?!$)")
+
+    def encoded(plain):
+        is16 = plain.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+        is32 = plain.rlike("^[A-Z2-7]+$")
+        alphabet = F.when(is16, F.lit(BASE16)).when(is32, F.lit(BASE32)).otherwise(F.lit(BASE64))
+        classes = F.translate(plain, BASE64, "B" * 26 + "a" * 26 + "0" * 10 + "++")
+        return F.struct(each(F.when(is16, F.lower(plain)).otherwise(plain)).alias("marks"), each(classes).alias("classes"),
+                        alphabet.alias("alphabet"), F.length(alphabet).cast("double").alias("size"))
+
+    def numbered(x):
+        codes = F.transform(x["marks"], lambda c: (F.call_function("instr", x["alphabet"], c) - 1).cast("double"))
+        return F.struct(codes.alias("codes"), x["classes"].alias("classes"), x["size"].alias("size"))
+
+    def total(array, of):
+        return F.aggregate(array, F.lit(0.0), lambda acc, y: acc + of(y))
+
+    def steps(array, of):
+        return F.aggregate(F.sequence(F.lit(1), F.size(array) - 1), F.lit(0.0),
+                           lambda acc, k: acc + of(F.get(array, k), F.get(array, k - 1)))
+
+    differ = lambda a, b: F.when(a != b, F.lit(1.0)).otherwise(F.lit(0.0))
+
+    def sums(x):
+        c, size = x["codes"], x["size"]
         squares = F.aggregate(F.array_distinct(c), F.lit(0.0), lambda acc, s: acc + F.pow(
             F.size(F.filter(c, lambda y: y == s)).cast("double"), F.lit(2.0)))
-        mean = F.aggregate(c, F.lit(0.0), lambda acc, y: acc + y) / n
-        half = F.transform(c, lambda y: (y * 2 >= size).cast("int"))
-        high = F.aggregate(half, F.lit(0.0), lambda acc, y: acc + y)
-        spread = F.aggregate(c, F.lit(0.0), lambda acc, y: acc + F.pow(y - mean, F.lit(2.0)))
-        shared = F.aggregate(F.sequence(F.lit(1), F.size(c) - 1), F.lit(0.0), lambda acc, k: acc + (
-            F.get(c, k) - mean) * (F.get(c, k - 1) - mean))
-        return F.struct(n.alias("n"), squares.alias("squares"), high.alias("high"), bind(half, changes).alias("turns"),
-                        spread.alias("spread"), shared.alias("shared"), changes(x["classes"]).alias("switches"))
+        high = lambda y: y * 2 >= size
+        return F.struct(F.size(c).cast("double").alias("n"), size.alias("size"), squares.alias("squares"),
+                        total(c, lambda y: high(y).cast("double")).alias("high"),
+                        steps(c, lambda a, b: differ(high(a), high(b))).alias("turns"),
+                        total(c, lambda y: y).alias("s1"), total(c, lambda y: y * y).alias("s2"),
+                        steps(c, lambda a, b: a * b).alias("s11"), F.get(c, 0).alias("first"),
+                        F.element_at(c, -1).alias("last"), steps(x["classes"], differ).alias("switches"))
 
     def verdict(t):
-        n = t["n"]
+        n, size, mean = t["n"], t["size"], t["s1"] / t["n"]
+        spread = t["s2"] - n * mean * mean
+        shared = t["s11"] - mean * (2 * t["s1"] - t["first"] - t["last"]) + (n - 1) * mean * mean
         chi = (size / n * t["squares"] - n - (size - 1)) / F.sqrt(2 * (size - 1) * (1 - 1 / n))
         split = 2 * t["high"] * (n - t["high"])
         var = split * (split - n) / (n * n * (n - 1))
-        runs = F.when(var > 0, (t["turns"] + 1 - 1 - split / n) / F.sqrt(F.greatest(var, F.lit(1e-9)))).otherwise(F.lit(9.0))
-        serial = F.when(t["spread"] > 0, (t["shared"] / F.greatest(t["spread"], F.lit(1e-9)) + 1 / n) * F.sqrt(n)) \
+        runs = F.when(var > 0, (t["turns"] - split / n) / F.sqrt(F.greatest(var, F.lit(1e-9)))).otherwise(F.lit(9.0))
+        serial = F.when(spread > 1e-9, (shared / F.greatest(spread, F.lit(1e-9)) + 1 / n) * F.sqrt(n)) \
             .otherwise(F.lit(9.0))
         pairs = n * (n - 1) / 2
-        coincide = (t["squares"] - n) / 2
-        few = (pairs * PAIR - coincide) / F.sqrt(
+        few = (pairs * PAIR - (t["squares"] - n) / 2) / F.sqrt(
             pairs * PAIR * (1 - PAIR) + n * (n - 1) * (n - 2) * (TRIPLE - PAIR * PAIR))
         often = (t["switches"] - SWITCH * (n - 1)) / F.sqrt(SWITCH * (1 - SWITCH) * (n - 1))
         return F.struct(((chi < 4) & (F.abs(runs) < 4) & (F.abs(serial) < 4)).alias("random"),
                         tail((few + often) / math.sqrt(2.0)).alias("p"))
 
-    return bind(F.struct(codes.alias("codes"), classes.alias("classes")), lambda x: F.when(
-        F.size(x["codes"]) >= 16, bind(tests(x), verdict)))
+    plain = F.translate(F.regexp_replace(value, "=+$", ""), "-_", "+/")
+    return bind(bind(plain, lambda p: F.when(F.length(p) >= 16, bind(encoded(p), numbered))),
+                lambda x: F.when(x.isNotNull(), bind(sums(x), lambda t: bind(verdict(t), lambda v: v))))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
