@@ -115,7 +115,8 @@ def main() -> None:
         src = fact_of(f.events_altered(), ew)
         batch = inc.replace_batches(None, src, "date_transaction", FX.MICROBATCH_START,
                                     FX.MICROBATCH_END)
-        tables.overwrite_partitions(batch, ev_path, ["jour_transaction"], ["transaction_id"])
+        tables.replace_days(batch, ev_path, "jour_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END,
+                            ["transaction_id"])
     timed("microbatch_replace", microbatch)
     timed("anomaly_zscore", lambda: noop(marts.anomaly_zscore(tables.read_table(spark, ev_path))))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import day_diff, surrogate_key, ts_text
-from ledgerline.functions.joins import broadcast_if_small
 
 
 def dim_tenants(stg_tenants: DataFrame, as_of) -> DataFrame:
@@ -27,11 +26,9 @@ def activity_segment(days) -> "F.Column":
 
 
 def dim_comptes(stg_comptes: DataFrame, dim_ten: DataFrame, as_of) -> DataFrame:
-    """Current account dimension. The tenant side (partner banks, a
-    few rows) is broadcast after a size check: hash-joining accounts on
-    tenant_id would put each tenant's accounts in one task."""
-    t = broadcast_if_small(
-        dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code", "tenant_name"))
+    """Current account dimension. The tenant side is a few rows, which
+    the planner broadcasts; were it large, AQE would split a hot tenant."""
+    t = dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code", "tenant_name")
     today = F.lit(as_of).cast("date")
     j = stg_comptes.join(t, stg_comptes["tenant_id"] == t["_t_tenant_id"], "left")
     inactivity = day_diff("date_derniere_activite", today)

@@ -1,14 +1,10 @@
 """Enrichment and facts.
 
-Join strategy, with sizes at the 100 TB target in mind:
-* transactions x accounts: the account side (7 narrow columns) is broadcast
-  after a bounded row count (``ACCOUNT_BROADCAST_MAX_ROWS``), so the
-  transactions are not shuffled; past the bound the planner shuffles both
-  sides and AQE's skew-join handling splits a hot account.
-* transactions x categories: the category side is broadcast after a bounded
-  size check (a hash join on ~hundreds of category ids would skew).
-* transactions x FX: broadcast behind the parameter-derived bound of
-  ``fx_for_join``.
+Join strategy: accounts, categories and FX rates are left joins whose strategy
+is the planner's. A side whose size it knows to be under the broadcast
+threshold (a stored dimension, or one that AQE measured) is broadcast and the
+transactions stay where they are; a larger one is shuffled, and AQE's skew-join
+splits a hot account, category or (day, currency).
 The fact's row filter (``statut``, ``is_reversal``) is written before the joins
 so it is applied in the scan stage, not after the shuffle.
 """
@@ -19,19 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import trunc_date
-from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def int_transactions_normalisees(stg_tx: DataFrame, stg_comptes: DataFrame,
                                  stg_categories: DataFrame) -> DataFrame:
     """Transactions + account attributes + category labels + calendar keys."""
-    comptes = broadcast_if_small(stg_comptes.select(
+    comptes = stg_comptes.select(
         F.col("compte_id").alias("_c_compte_id"), "type_compte",
         F.col("devise").alias("devise_compte"), "customer_segment",
-        F.col("pays").alias("pays_compte"), "kyc_level", "is_pep"), ACCOUNT_BROADCAST_MAX_ROWS)
-    cats = broadcast_if_small(stg_categories.select(
-        F.col("categorie_id").alias("_k_categorie_id"), "nom_categorie", "type_categorie",
-        "groupe"))
+        F.col("pays").alias("pays_compte"), "kyc_level", "is_pep")
+    cats = stg_categories.select(F.col("categorie_id").alias("_k_categorie_id"), "nom_categorie",
+                                 "type_categorie", "groupe")
     out = (stg_tx
            .join(comptes, stg_tx["compte_id"] == comptes["_c_compte_id"], "left")
            .join(cats, stg_tx["categorie_id"] == cats["_k_categorie_id"], "left"))

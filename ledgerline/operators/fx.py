@@ -15,13 +15,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Upper bound on distinct quote currencies: the ISO 4217 active code list has
-# fewer than 200 entries. Used to prove the densified FX table's size before
-# broadcasting it.
-MAX_CURRENCIES = 200
-# Broadcast limit for the densified FX table (rows x ~64 bytes).
-FX_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def _d(x) -> dt.date:
     return x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x))
@@ -44,8 +37,8 @@ def densify_ffill(df: DataFrame, keys: list[str], date_col: str, value_col: str,
     """C2+C3: last observation carried forward over [start, end) per key.
 
     Days before a key's first observation produce no row; observations outside
-    the spine are ignored; NULL values do not interrupt the carry. Requires one
-    row per (keys, date) (checked separately by ``dq_unique``).
+    the spine are ignored; NULL values do not interrupt the carry. Observations
+    of one key and day stay on that day, each a row; the last one is carried.
     """
     start_d, last_d = _d(start), _d(end) - dt.timedelta(days=1)
     obs = (df.where(F.col(value_col).isNotNull()
@@ -53,7 +46,7 @@ def densify_ffill(df: DataFrame, keys: list[str], date_col: str, value_col: str,
            .select(*keys, date_col, value_col))
     w = Window.partitionBy(*keys).orderBy(date_col)
     nxt = F.lead(date_col).over(w)
-    upto = F.coalesce(F.date_sub(nxt, 1), F.lit(last_d))
+    upto = F.when(nxt.isNull(), F.lit(last_d)).otherwise(F.greatest(F.date_sub(nxt, 1), F.col(date_col)))
     return (obs.withColumn("_upto", upto)
             .select(*keys, F.explode(F.sequence(F.col(date_col), F.col("_upto"))).alias(date_col),
                     value_col))
@@ -75,17 +68,15 @@ def fx_rates_daily(stg_fx: DataFrame, start, end) -> DataFrame:
     return filled.unionByName(eur)
 
 
-def fx_for_join(fx_daily: DataFrame, start, end) -> DataFrame:
+def fx_for_join(fx_daily: DataFrame) -> DataFrame:
     """The (day, currency) -> rate side of the fact's FX join.
 
-    Its row count is at most spine_days x MAX_CURRENCIES (one row per day and
-    currency), a bound known from parameters alone; under the limit it is
-    broadcast, otherwise the join is left to AQE / sort-merge.
-    """
-    side = fx_daily.select("date_cotation", F.col("devise_cible").alias("fx_devise"), "taux")
-    if spine_days(start, end) * MAX_CURRENCIES <= FX_BROADCAST_MAX_ROWS:
-        return F.broadcast(side)
-    return side
+    Q16: a second rate for a day and currency would double the fact's rows, so
+    the job fails when there is one."""
+    side = fx_daily.groupBy("date_cotation", F.col("devise_cible").alias("fx_devise")).agg(
+        F.max("taux").alias("taux"), F.count(F.lit(1)).alias("_n"))
+    message = F.concat_ws(" ", F.lit("more than one rate for"), F.col("date_cotation").cast("string"), "fx_devise")
+    return side.where(F.when(F.col("_n") > 1, F.raise_error(message)).isNull()).drop("_n")
 
 
 def spine_between(df: DataFrame, date_col: str, col: str = "date_day") -> DataFrame:

@@ -2,13 +2,12 @@
 
 Level-by-level expansion: start from the roots, join the children of the
 current frontier, repeat until the frontier is empty. Each level is one
-distributed join; the driver only asks "is the frontier empty?" once per level
-(a ``limit(1)`` probe), never collects rows. Lineage is cut every few levels
-with a reliable checkpoint into the cluster's checkpoint folder.
+distributed join, checkpointed once into the cluster's checkpoint folder; the
+driver learns its row count, never its rows.
 
 Nodes that are not reachable from a root (children of a filtered-out parent,
 cycles) do not appear, as in the reference; ``unreachable_nodes`` reports them.
-A tree deeper than ``max_depth`` raises instead of losing its lower levels.
+Any depth is resolved; an id that is its own ancestor raises.
 """
 
 from __future__ import annotations
@@ -19,45 +18,55 @@ from pyspark.sql import functions as F
 from ledgerline.session import cut_lineage
 
 
-class HierarchyDepthError(RuntimeError):
+class HierarchyCycleError(RuntimeError):
     pass
 
 
+HierarchyDepthError = HierarchyCycleError
+
+
 def resolve_hierarchy(df: DataFrame, id_col: str = "categorie_id",
                       parent_col: str = "categorie_parent_id",
                       label_col: str = "nom_categorie", sep: str = " > ",
-                      max_depth: int = 50, checkpoint_every: int = 8,
+                      max_depth: int | None = None,
                       path_col: str = "chemin_complet", root_col: str = "id_racine") -> DataFrame:
+    """Level by level from the roots until a level is empty, however deep.
+    Each level is checkpointed once, so none is computed again for the next.
+    An id that stands on its own path (duplicate ids that loop) raises;
+    ``max_depth``, when given, raises on a deeper tree."""
     cols = df.columns
-    frontier = (df.where(F.col(parent_col).isNull())
-                .select(*cols, F.col(label_col).alias(path_col), F.col(id_col).alias(root_col)))
+    ids = F.col(id_col)
+    frontier = cut_lineage(df.where(F.col(parent_col).isNull())
+                           .select(*cols, F.col(label_col).alias(path_col), ids.alias(root_col),
+                                   F.array(ids).alias("_path")))
     levels = [frontier]
     child = df.select(*[F.col(c).alias(f"_c_{c}") for c in cols])
-    for depth in range(1, max_depth + 1):
-        nxt = (frontier.select(F.col(id_col).alias("_p_id"), F.col(path_col).alias("_p_path"),
-                               F.col(root_col).alias("_p_root"))
-               .join(child, F.col("_p_id") == F.col(f"_c_{parent_col}"), "inner")
-               .select(*[F.col(f"_c_{c}").alias(c) for c in cols],
-                       F.concat(F.col("_p_path"), F.lit(sep), F.col(f"_c_{label_col}")).alias(path_col),
-                       F.col("_p_root").alias(root_col)))
-        if depth % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        if nxt.limit(1).count() == 0:
+    while True:
+        nxt = cut_lineage(
+            frontier.select(ids.alias("_p_id"), F.col(path_col).alias("_p_path"), F.col(root_col).alias("_p_root"),
+                            F.col("_path").alias("_p_ids"))
+            .join(child, F.col("_p_id") == F.col(f"_c_{parent_col}"), "inner")
+            .select(*[F.col(f"_c_{c}").alias(c) for c in cols],
+                    F.concat(F.col("_p_path"), F.lit(sep), F.col(f"_c_{label_col}")).alias(path_col),
+                    F.col("_p_root").alias(root_col),
+                    F.concat("_p_ids", F.array(F.col(f"_c_{id_col}"))).alias("_path")))
+        looped = F.size(F.array_distinct("_path")) < F.size("_path")
+        found = nxt.agg(F.count(F.lit(1)).alias("n"), F.max(F.when(looped, ids)).alias("loop")).first()
+        if not found["n"]:
             break
-        if depth == max_depth:
-            # Levels 0..max_depth-1 are allowed; a non-empty next level means a
-            # deeper tree (or duplicate ids forming a loop reachable from a
-            # root). Fail rather than drop those rows.
+        if found["loop"] is not None:
+            raise HierarchyCycleError(f"{id_col} {found['loop']} is its own ancestor")
+        if len(levels) == max_depth:
             raise HierarchyDepthError(f"hierarchy deeper than max_depth={max_depth}")
         levels.append(nxt)
         frontier = nxt
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    return out
+    return out.drop("_path")
 
 
-def dim_categories(stg_categories: DataFrame, max_depth: int = 50) -> DataFrame:
+def dim_categories(stg_categories: DataFrame, max_depth: int | None = None) -> DataFrame:
     src = stg_categories.select("categorie_id", "nom_categorie", "type_categorie", "groupe",
                                 "categorie_parent_id", "niveau_hierarchique")
     return resolve_hierarchy(src, max_depth=max_depth).select(

@@ -3,30 +3,44 @@
 All are pure ``DataFrame -> DataFrame`` functions; ``sources.tables`` writes
 their results so only touched partitions are rewritten.
 
-Merge plans, chosen from the delta's measured size:
-* small delta (row count under ``broadcast_rows``): the delta's keys are
-  broadcast and the target is only *streamed* — a left-semi pass finds the
-  matched target rows, a left-anti pass keeps the untouched ones. The target
-  is never shuffled, which is what an incremental run needs on a 100 TB fact.
-* large delta: one full outer join on the key (both sides shuffled once).
-Both give the same rows.
+Merge is one plan: the target left-joined to the delta, and the delta's
+unmatched rows. How to join is the planner's choice (AQE broadcasts a delta
+that turns out small, and splits a hot key's partition); nothing is counted
+beforehand. ``plan='outer'`` is one full outer join with the same rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Deltas with at most this many rows take the broadcast-key plan.
-MERGE_BROADCAST_ROWS = 2_000_000
+class SchemaChangeError(ValueError):
+    pass
 
 
-class SchemaChangeError(ValueError):
+class DuplicateKeyError(ValueError):
     pass
 
 
+def check_unique(delta: DataFrame, keys: list[str]) -> None:
+    """Raise when a key stands in ``delta`` twice: which row wins would be
+    left to chance. One aggregation; an example reaches the driver."""
+    twice = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    row = twice.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*keys)).alias("first")).first()
+    if row["n"]:
+        raise DuplicateKeyError(f"{row['n']} keys stand in the delta more than once, such as {row['first']}")
+
+
+def unique_or_raise(delta: DataFrame, keys: list[str]) -> DataFrame:
+    """``delta``, failing when it is read if a key stands in it twice."""
+    per_key = Window.partitionBy(*keys)
+    message = F.concat_ws(" ", F.lit("key stands in the delta more than once:"), *[F.col(k).cast("string") for k in keys])
+    rows = delta.withColumn("_n", F.count(F.lit(1)).over(per_key))
+    return rows.where(F.when(F.col("_n") > 1, F.raise_error(message)).isNull()).drop("_n")
+
+
 def align_schema(target: DataFrame, delta: DataFrame, on_schema_change: str = "append"
                  ) -> tuple[list[str], list[str]]:
     """decide the output columns. Returns (output columns, new columns).
@@ -49,41 +63,27 @@ def align_schema(target: DataFrame, delta: DataFrame, on_schema_change: str = "a
     raise ValueError(on_schema_change)
 
 
-def _col_or_null(df: DataFrame, c: str, like: DataFrame) -> Column:
-    if c in df.columns:
-        return df[c]
-    return F.lit(None).cast(like.schema[c].dataType)
-
-
 def merge(target: DataFrame | None, delta: DataFrame, key: list[str] | str,
           update_cols: list[str] | None = None, on_schema_change: str = "append",
-          broadcast_rows: int = MERGE_BROADCAST_ROWS, delta_rows: int | None = None,
-          delete_keys: DataFrame | None = None) -> DataFrame:
+          delete_keys: DataFrame | None = None, plan: str = "left", checked: bool = False) -> DataFrame:
     """upsert ``delta`` into ``target`` on ``key``.
 
     Matched keys take the delta's values for ``update_cols`` only (all non-key
     columns when None) and keep the target's values elsewhere; new keys are
     inserted whole; target-only keys are kept. No target = full build.
     ``delete_keys`` (optional) removes those keys from the result (the
-    ``delete_unqualified`` option for quirk Q3).
-    A delta with duplicate keys is an error upstream (``dq_unique``), as in
-    the warehouse.
+    ``delete_unqualified`` option for quirk Q3). A key that stands in the delta
+    twice fails the job (``checked``: the caller has made sure of that).
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if not checked:
+        delta = unique_or_raise(delta, keys)
     if target is None:
         return delta
-    out_cols, new_cols = align_schema(target, delta, on_schema_change)
+    out_cols, _ = align_schema(target, delta, on_schema_change)
     non_key = [c for c in out_cols if c not in keys]
-    if update_cols is None:
-        upd = set(c for c in non_key if c in delta.columns)
-    else:
-        upd = set(update_cols)
-    if delta_rows is None:
-        delta_rows = delta.count()  # small side; one aggregate pass
-    if delta_rows <= broadcast_rows:
-        res = _merge_broadcast(target, delta, keys, out_cols, upd, new_cols)
-    else:
-        res = _merge_outer(target, delta, keys, out_cols, upd)
+    upd = {c for c in non_key if c in delta.columns} if update_cols is None else set(update_cols)
+    res = {"left": _merge_left, "outer": _merge_outer}[plan](target, delta, keys, out_cols, upd)
     if delete_keys is not None:
         res = res.join(delete_keys.select(*keys), keys, "left_anti")
     return res.select(*out_cols)
@@ -117,30 +117,21 @@ def _merge_outer(target: DataFrame, delta: DataFrame, keys: list[str], out_cols:
     return j.select(*cols)
 
 
-def _merge_broadcast(target: DataFrame, delta: DataFrame, keys: list[str], out_cols: list[str],
-                     upd: set[str], new_cols: list[str]) -> DataFrame:
-    dkeys = F.broadcast(delta.select(*keys))
-    untouched = target.join(dkeys, keys, "left_anti")
-    hits = target.join(dkeys, keys, "left_semi")
-    # hits and delta are both delta-sized: this join is small.
-    h = _prefixed(hits, "_h_")
-    d = _prefixed(delta, "_d_")
-    matched = h.join(d, [F.col(f"_h_{k}") == F.col(f"_d_{k}") for k in keys], "inner")
-    m_cols = []
+def _merge_left(target: DataFrame, delta: DataFrame, keys: list[str], out_cols: list[str],
+                upd: set[str]) -> DataFrame:
+    t = _prefixed(target, "_t_")
+    d = _prefixed(delta, "_d_").withColumn("_in_d", F.lit(True))
+    on = [F.col(f"_t_{k}") == F.col(f"_d_{k}") for k in keys]
+    cols = []
     for c in out_cols:
-        if c in keys:
-            m_cols.append(F.col(f"_h_{c}").alias(c))
-        elif c in upd and c in delta.columns:
-            m_cols.append(F.col(f"_d_{c}").alias(c))
-        elif c in target.columns:
-            m_cols.append(F.col(f"_h_{c}").alias(c))
-        else:  # new column outside the update list: NULL on matched rows
-            m_cols.append(F.lit(None).cast(delta.schema[c].dataType).alias(c))
-    updated = matched.select(*m_cols)
-    inserts = delta.join(F.broadcast(hits.select(*keys)), keys, "left_anti")
-    ins = inserts.select(*[(_col_or_null(inserts, c, target)).alias(c) for c in out_cols])
-    old = untouched.select(*[(_col_or_null(untouched, c, delta)).alias(c) for c in out_cols])
-    return old.unionByName(updated).unionByName(ins)
+        tv = _typed(f"_t_{c}" if c in target.columns else None, delta, c)
+        if c not in keys and c in upd and c in delta.columns:
+            tv = F.when(F.col("_in_d"), F.col(f"_d_{c}")).otherwise(tv)
+        cols.append(tv.alias(c))
+    updated = t.join(d, on, "left").select(*cols)
+    fresh = d.join(t.select(*[f"_t_{k}" for k in keys]), on, "left_anti")
+    inserted = fresh.select(*[_typed(f"_d_{c}" if c in delta.columns else None, target, c).alias(c) for c in out_cols])
+    return updated.unionByName(inserted)
 
 
 def max_value(df: DataFrame, col: str):

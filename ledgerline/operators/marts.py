@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import day_diff, month_diff, pct, trunc_date
-from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 MONEY = "decimal(18,2)"
 
@@ -43,8 +42,7 @@ def mart_tenant_kpis_daily(fact: DataFrame, dim_ten: DataFrame) -> DataFrame:
         F.avg("fraud_score").cast("decimal(10,6)").alias("fraud_score_moyen"),
         F.max("fraud_score").alias("fraud_score_max"),
     )
-    t = broadcast_if_small(dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code",
-                                          "tenant_name", "contract_tier"))
+    t = dim_ten.select(F.col("tenant_id").alias("_t_tenant_id"), "tenant_code", "tenant_name", "contract_tier")
     j = agg.join(t, agg["tenant_id"] == t["_t_tenant_id"], "left")
     return j.select(
         "jour", "tenant_id", "tenant_code", "tenant_name", "contract_tier", "nb_transactions",
@@ -92,10 +90,7 @@ def mart_solde_journalier(fact: DataFrame, fct_vir: DataFrame, dim_cpt: DataFram
     are broken by tenant and flow values, so the result is deterministic.
     """
     f = daily_flows(fact, fct_vir, join_tenant)
-    # Opening balances (two columns) are broadcast under the account bound:
-    # the account-day flows stay partitioned as their aggregation left them.
-    c = broadcast_if_small(dim_cpt.select(F.col("compte_id").alias("_c_compte_id"), "solde_initial"),
-                           ACCOUNT_BROADCAST_MAX_ROWS)
+    c = dim_cpt.select(F.col("compte_id").alias("_c_compte_id"), "solde_initial")
     j = f.join(c, f["compte_id"] == c["_c_compte_id"], "inner")
     total = F.col("flux_transactions") + F.col("flux_virements")
     w = (Window.partitionBy("compte_id")

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.joins import ACCOUNT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 # --- I1-I5: column tests ---------------------------------------------------------
@@ -43,11 +42,9 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
     """I4: non-null child keys without a parent row (left anti join).
 
-    The parent keys (one column of a dimension) are broadcast under the
-    account bound, so the child — often the fact — is only streamed; a larger
-    parent is left to the planner (sort-merge; AQE splits a hot child key)."""
-    p = broadcast_if_small(parent.select(F.col(field).alias("_p_key")).distinct(),
-                           ACCOUNT_BROADCAST_MAX_ROWS)
+    How to join is the planner's choice: a small parent is broadcast and the
+    child — often the fact — only streamed; AQE splits a hot child key."""
+    p = parent.select(F.col(field).alias("_p_key")).distinct()
     child = df.where(F.col(col).isNotNull())
     return child.join(p, child[col] == p["_p_key"], "left_anti")
 
@@ -118,44 +115,6 @@ def nonempty(df: DataFrame, name: str = "") -> DataFrame:
                                            F.lit(True).alias("is_empty"))
 
 
-# --- I10-I11: contracts ----------------------------------------------------------
-
-def contract(spark, df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Mismatches between the frame's schema and the contract:
-    (column, expected_type, actual_type, problem). Schema metadata only; no
-    data is read."""
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    want = {f.name: f.dataType.simpleString() for f in expected.fields}
-    rows = []
-    for c, t in want.items():
-        if c not in actual:
-            rows.append((c, t, None, "missing"))
-        elif actual[c] != t:
-            rows.append((c, t, actual[c], "type"))
-    for c, t in actual.items():
-        if c not in want:
-            rows.append((c, None, t, "unexpected"))
-    return spark.createDataFrame(rows, "column string, expected_type string, actual_type string, "
-                                       "problem string")
-
-
-def schema_diff(spark, old: T.StructType, new: T.StructType) -> DataFrame:
-    """(column, change, breaking). Removal and type change are breaking;
-    an added nullable column is not."""
-    o = {f.name: f for f in old.fields}
-    n = {f.name: f for f in new.fields}
-    rows = []
-    for c, f in o.items():
-        if c not in n:
-            rows.append((c, "removed", True))
-        elif n[c].dataType != f.dataType:
-            rows.append((c, f"type {f.dataType.simpleString()} -> {n[c].dataType.simpleString()}", True))
-    for c, f in n.items():
-        if c not in o:
-            rows.append((c, "added", not f.nullable))
-    return spark.createDataFrame(rows, "column string, change string, breaking boolean")
-
-
 # --- I12-I15: business checks ---------------------------------------------------
 
 def one_current(scd2: DataFrame, source: DataFrame, key: str = "compte_id") -> DataFrame:
@@ -171,15 +130,32 @@ def one_current(scd2: DataFrame, source: DataFrame, key: str = "compte_id") -> D
             .where((F.col("n_current") > 1) | ((F.col("n_current") == 0) & F.col("in_source"))))
 
 
-def fx_recompute(fact: DataFrame, fx_daily: DataFrame, tolerance: float = 1e-4) -> DataFrame:
-    """Recompute every EUR amount from the rate table (all rows, not a
-    sample) and return those whose relative error exceeds ``tolerance``."""
-    r = fx_daily.select(F.col("date_cotation").alias("_d"), F.col("devise_cible").alias("_ccy"),
-                        F.col("taux").alias("_rate"))
-    j = fact.join(r, (fact["jour_transaction"] == r["_d"]) & (fact["devise"] == r["_ccy"]), "inner")
-    expect = F.round(F.col("montant") * F.col("_rate"), 2).cast("decimal(18,2)")
+def fx_recompute(fact: DataFrame, quotes: DataFrame, source: DataFrame, start, end, tolerance: float = 1e-4,
+                 fx_mode: str = "multiply") -> DataFrame:
+    """Recompute every EUR amount (all rows, not a sample) and return
+    those whose relative error exceeds ``tolerance``.
+
+    The rate comes from the staged quotes, not from the table that the fact
+    used: the newest quote of the currency up to the row's day, among those of
+    the spine [start, end), 1 for EUR. Rows without one are held against the fallback: the rate of the source row
+    (``source``: transaction_id, taux_change_applique), else 1."""
+    ranges = Window.partitionBy("devise_cible").orderBy("date_cotation")
+    inside = (F.col("date_cotation") >= F.lit(start).cast("date")) & (F.col("date_cotation") < F.lit(end).cast("date"))
+    q = (quotes.where("taux is not null and devise_cible <> 'EUR'").where(inside)
+         .select(F.col("devise_cible").alias("_ccy"), F.col("date_cotation").alias("_from"), F.col("taux").alias("_taux"),
+                 F.coalesce(F.lead("date_cotation").over(ranges), F.lit(end).cast("date")).alias("_next")))
+    days = F.sequence(F.trunc("_from", "MM"), F.trunc(F.date_sub("_next", 1), "MM"), F.expr("interval 1 month"))
+    by_month = q.where("_next > _from").select("*", F.explode(days).alias("_month"))
+    src = source.select(F.col("transaction_id").alias("_id"), "taux_change_applique")
+    rows = fact.join(src, fact["transaction_id"] == src["_id"], "left").withColumn("_m", F.trunc("jour_transaction", "MM"))
+    j = rows.join(by_month, (F.col("devise") == F.col("_ccy")) & (F.col("_m") == F.col("_month"))
+                  & (F.col("jour_transaction") >= F.col("_from")) & (F.col("jour_transaction") < F.col("_next")), "left")
+    one = F.lit(1).cast("decimal(18,8)")
+    spine = F.col("jour_transaction").between(F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1))
+    rate = F.when((F.col("devise") == "EUR") & spine, one).otherwise(F.coalesce("_taux", "taux_change_applique", one))
+    raw = F.col("montant") * rate if fx_mode == "multiply" else F.col("montant") / rate
     out = j.select("transaction_id", "devise", "jour_transaction", "montant", "montant_eur",
-                   expect.alias("montant_eur_recalcule"))
+                   F.round(raw, 2).cast("decimal(18,2)").alias("montant_eur_recalcule"))
     diff = F.abs(F.col("montant_eur") - F.col("montant_eur_recalcule"))
     return out.where((diff > F.abs(F.col("montant_eur_recalcule")) * F.lit(tolerance))
                      | (F.col("montant_eur").isNull() != F.col("montant_eur_recalcule").isNull()))
@@ -187,12 +163,20 @@ def fx_recompute(fact: DataFrame, fx_daily: DataFrame, tolerance: float = 1e-4)
 
 def volume_anomaly(df: DataFrame, ts: str = "date_transaction", days: int = 28,
                    threshold: float = 3.0) -> DataFrame:
-    """Daily row counts scored against the trailing ``days`` days.
+    """Daily row counts scored against the trailing ``days`` days. A day
+    without rows, between the first and the last, counts 0: an outage shows.
 
     Counts are aggregated per day first, so the window runs over one row per
     day; it has no partition key because the series is global, and its size
     is bounded by the calendar, not by the data volume."""
-    daily = df.groupBy(F.to_date(ts).alias("jour")).agg(F.count(F.lit(1)).alias("n"))
+    counted = (df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("jour"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    counted = counted.withColumn("_next", F.lead("jour").over(Window.orderBy("jour")))
+    gap = F.when(F.col("_next") > F.date_add("jour", 1), F.sequence(F.date_add("jour", 1), F.date_sub("_next", 1)))
+    daily = counted.select(F.inline(F.concat(
+        F.array(F.struct(F.col("jour"), F.col("n"))),
+        F.transform(F.coalesce(gap, F.array().cast("array<date>")),
+                    lambda d: F.struct(d.alias("jour"), F.lit(0).cast("long").alias("n"))))))
     w = Window.orderBy(F.unix_date("jour")).rangeBetween(-days, -1)
     stats = daily.select("jour", "n", F.avg("n").over(w).alias("_m"),
                          F.stddev_samp("n").over(w).alias("_sd"))

@@ -15,7 +15,8 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import fixtures as FX
 from ledgerline.plans import suite
 from ledgerline.plans.warehouse import Warehouse
-from ledgerline.session import path_exists, size_for_input
+from ledgerline.contracts import FCT_TRANSACTIONS_CONTRACT
+from ledgerline.session import size_for_input
 from ledgerline.sources import sinks, tables
 
 FACT_LAYOUT = dict(partition_by=["mois_transaction"], sort_by=["tenant_id", "transaction_id"],
@@ -42,7 +43,7 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
 
     # 3. fact: first run builds all; later runs upsert the lookback window
     fact_path = f"{out_dir}/fct_transactions"
-    if path_exists(spark, fact_path):
+    if tables.table_state(spark, fact_path):
         high = tables.table_watermark(spark, fact_path, "_loaded_at")
         delta = w.fact_from(w.int_transactions_normalisees.where(
             F.col("_loaded_at") >= F.lit(_lookback_bound(high, lookback_days)).cast("timestamp_ntz")))
@@ -51,7 +52,7 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFram
                             watermark_col="_loaded_at")
     else:
         tables.write_table(w.fct_transactions, fact_path, **FACT_LAYOUT,
-                           watermark_col="_loaded_at")
+                           watermark_col="_loaded_at", contract=FCT_TRANSACTIONS_CONTRACT)
     tables.write_table(w.fct_virements, f"{out_dir}/fct_virements")
     fact = tables.read_table(spark, fact_path)
 

@@ -6,14 +6,19 @@ Every builder takes ``(spark, sf_dir)`` and reads the driver tables at
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerline.functions.columns import trunc_date
 from ledgerline.operators import dims, fx, marts
 from ledgerline.plans import oracle as O
 from ledgerline.plans.warehouse import Params, Warehouse
+from ledgerline.session import scratch_dir
+from ledgerline.sources import tables
 from ledgerline.sources.adapters import EVENTS_AS_OF, RawTables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -330,10 +335,10 @@ def q_merge_upsert(spark, sf):
 @register("merge_upsert_outer_join", fx_sql(
     O.merge_sql("stg_t", "stg_d", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE), _MERGE_CTES))
 def q_merge_upsert_outer(spark, sf):
-    """Same merge forced through the full-outer-join plan (large-delta path)."""
+    """The same merge as one full outer join."""
     _, f = _fix(spark, sf)
     return inc.merge(staging.stg_transactions(f.tx_cut()), staging.stg_transactions(f.tx_delta()),
-                     "transaction_id", FX.STG_TX_UPDATE, broadcast_rows=-1)
+                     "transaction_id", FX.STG_TX_UPDATE, plan="outer")
 
 
 @register("merge_all_columns", fx_sql(
@@ -378,19 +383,29 @@ def incremental_fact_run(w: Warehouse, raw_before: DataFrame, raw_after: DataFra
     both update lists, so an updated row advances the watermark;
     ``delete_unqualified`` (Q3) removes from the fact the keys whose new
     version no longer qualifies (rejected, cancelled, reversal)."""
+    spark = w.raw.spark
     extra = ["_loaded_at"] if touch_loaded_at else []
-    stg_t = staging.stg_transactions(raw_before)
-    stg_d = staging.stg_transactions(inc.lookback(raw_after, stg_t, "_loaded_at", days))
-    stg_new = inc.merge(stg_t, stg_d, "transaction_id", FX.STG_TX_UPDATE + extra)
-    norm = lambda stg: facts.int_transactions_normalisees(stg, w.stg_comptes, w.stg_categories)
-    fct_t = w.fact_from(norm(stg_t))
-    window = inc.lookback(stg_new, fct_t, "_loaded_at", days)
-    fct_d = w.fact_from(norm(window))
+    base = scratch_dir(spark, f"run-{uuid.uuid4().hex}")
+    stg_path, fact_path = f"{base}/stg_transactions", f"{base}/fct_transactions"
+    month = "mois_transaction"
+    staged = lambda raw: staging.stg_transactions(raw).withColumn(month, trunc_date("month", "date_transaction"))
+    fact_of = lambda stg: w.fact_from(facts.int_transactions_normalisees(
+        stg.drop(month), w.stg_comptes, w.stg_categories))
+    tables.write_table(staged(raw_before), stg_path, [month], watermark_col="_loaded_at")
+    tables.write_table(fact_of(tables.read_table(spark, stg_path)), fact_path, [month],
+                       watermark_col="_loaded_at")
+    recent = lambda source, path: inc.lookback(
+        source, source, "_loaded_at", days, high=tables.table_watermark(spark, path, "_loaded_at"))
+    tables.upsert_table(spark, stg_path, staged(recent(raw_after, stg_path)), "transaction_id", month,
+                        FX.STG_TX_UPDATE + extra, watermark_col="_loaded_at")
+    window = recent(tables.read_table(spark, stg_path), fact_path)
     drop = None
     if delete_unqualified:
         keep = F.col("statut").isin(*facts.FACT_STATUSES) & (F.col("is_reversal") == F.lit(False))
         drop = window.where(~F.coalesce(keep, F.lit(False))).select("transaction_id")
-    return inc.merge(fct_t, fct_d, "transaction_id", FX.FCT_TX_UPDATE + extra, delete_keys=drop)
+    tables.upsert_table(spark, fact_path, fact_of(window), "transaction_id", month, FX.FCT_TX_UPDATE + extra,
+                        watermark_col="_loaded_at", delete_keys=drop)
+    return tables.read_table(spark, fact_path)
 
 
 def _lookback_ctes(extra: list[str] | None = None, delete: bool = False) -> dict[str, str]:
@@ -667,24 +682,35 @@ def q_dq_one_current(spark, sf):
     return Q.one_current(dims.dim_comptes_scd2(snapshot_runs(spark, sf, 3)), f.accounts_at(3))
 
 
-@register("dq_fx_recompute", O.model_query("""
+_FX_SPINE = (f"DATE '{Params().fx_start}'", f"DATE '{Params().fx_end}'")
+
+
+@register("dq_fx_recompute", O.model_query(f"""
     SELECT * FROM (
       SELECT f.transaction_id, f.devise, f.jour_transaction, f.montant, f.montant_eur,
-             CAST(round(CAST(f.montant AS DECIMAL(38,2)) * r.taux, 2) AS DECIMAL(18,2)) AS montant_eur_recalcule
-      FROM fct_transactions f JOIN int_fx_rates_daily r
-        ON f.jour_transaction = r.date_cotation AND f.devise = r.devise_cible)
+             CAST(round(CAST(f.montant AS DECIMAL(38,2)) * CASE WHEN f.devise = 'EUR' AND f.jour_transaction >= {_FX_SPINE[0]} AND f.jour_transaction < {_FX_SPINE[1]} THEN 1
+                             WHEN f.jour_transaction >= {_FX_SPINE[1]} THEN coalesce(s.taux_change_applique, 1)
+                        ELSE coalesce(q.taux, s.taux_change_applique, 1) END, 2) AS DECIMAL(18,2))
+               AS montant_eur_recalcule
+      FROM fct_transactions f LEFT JOIN stg_transactions s ON f.transaction_id = s.transaction_id
+      ASOF LEFT JOIN (SELECT * FROM stg_fx_rates WHERE taux IS NOT NULL AND devise_cible <> 'EUR'
+          AND date_cotation >= {_FX_SPINE[0]} AND date_cotation < {_FX_SPINE[1]}) q
+        ON f.devise = q.devise_cible AND f.jour_transaction >= q.date_cotation)
     WHERE abs(montant_eur - montant_eur_recalcule) > abs(montant_eur_recalcule) * 0.0001
        OR (montant_eur IS NULL) <> (montant_eur_recalcule IS NULL)"""))
 def q_dq_fx_recompute(spark, sf):
     w = wh(spark, sf)
-    return Q.fx_recompute(w.fct_transactions, w.int_fx_rates_daily)
+    return Q.fx_recompute(w.fct_transactions, w.stg_fx_rates, w.stg_transactions, w.params.fx_start, w.params.fx_end)
 
 
 @register("dq_volume_anomaly", O.model_query("""
     SELECT jour, n, round(m, 6) AS moyenne, round(sd, 6) AS ecart_type,
            round(CASE WHEN sd > 0 THEN (n - m) / sd END, 6) AS z_score
     FROM (SELECT jour, n, avg(n) OVER w AS m, stddev_samp(n) OVER w AS sd
-          FROM (SELECT CAST(date_transaction AS DATE) AS jour, count(*) AS n FROM fct_transactions GROUP BY 1)
+          FROM (SELECT CAST(d.jour AS DATE) AS jour, count(f.date_transaction) AS n
+                FROM (SELECT unnest(generate_series(min(CAST(date_transaction AS DATE)),
+                             max(CAST(date_transaction AS DATE)), INTERVAL 1 DAY)) AS jour FROM fct_transactions) d
+                LEFT JOIN fct_transactions f ON CAST(f.date_transaction AS DATE) = CAST(d.jour AS DATE) GROUP BY 1)
           WINDOW w AS (ORDER BY jour - DATE '1970-01-01' RANGE BETWEEN 28 PRECEDING AND 1 PRECEDING))
     WHERE abs(round(CASE WHEN sd > 0 THEN (n - m) / sd END, 6)) > 3"""))
 def q_dq_volume_anomaly(spark, sf):
@@ -701,20 +727,6 @@ def q_dq_allocation_sum(spark, sf):
     return Q.allocation_sum(wh(spark, sf).bridge_comptes_titulaires)
 
 
-@register("dq_contract", None)
-def q_dq_contract(spark, sf):
-    from ledgerline.contracts import FCT_TRANSACTIONS_CONTRACT
-    return Q.contract(spark, wh(spark, sf).fct_transactions, FCT_TRANSACTIONS_CONTRACT)
-
-
-@register("dq_schema_diff", None)
-def q_dq_schema_diff(spark, sf):
-    """Schema change of the staging table when the delta brings a new column."""
-    old = q_merge_upsert(spark, sf).schema
-    new = q_merge_new_cols(spark, sf).schema
-    return Q.schema_diff(spark, old, new)
-
-
 # --- bulk load (A1-A7) ---------------------------------------------------------------
 
 from ledgerline import schemas as SCH  # noqa: E402
@@ -767,31 +779,22 @@ def q_load_history(spark, sf):
 # --- generator, exports, audit, streaming (A12-A14, F10, K1) ------------------------
 
 import datetime as _dt  # noqa: E402
-import uuid as _uuid  # noqa: E402
 
 from ledgerline.operators import audit  # noqa: E402
-from ledgerline.session import scratch_dir  # noqa: E402
-from ledgerline.sources import sinks, synth  # noqa: E402
-from ledgerline.sources import tables as TB  # noqa: E402
+from ledgerline.sources import sinks  # noqa: E402
 from ledgerline.streaming.stream_merge import stream_merge  # noqa: E402
 
 
-@register("synthetic_transactions", None)
-def q_synth(spark, sf):
-    """One synthetic bank transaction per driver order key (scales with orders)."""
-    raw = RawTables(spark, sf)
-    ids = raw.driver("orders").select(F.col("o_orderkey").alias("id"))
-    return synth.synthetic_transactions(ids, raw._n_customers(), n_tenants=8, seed=42)
-
-
 def _kpi_sql() -> str:
     return REGISTRY["mart_tenant_kpis_daily"][1]
 
 
 @register("export_tenant_kpis", f"SELECT * FROM ({_kpi_sql()}) k QUALIFY jour = max(jour) OVER ()")
 def q_export_kpis(spark, sf):
-    out = scratch_dir(spark, f"export-kpis-{_uuid.uuid4().hex[:8]}")
-    return sinks.export_tenant_kpis(wh(spark, sf).mart_tenant_kpis_daily, out)
+    out = scratch_dir(spark, f"export-kpis-{uuid.uuid4().hex[:8]}")
+    kpis = wh(spark, sf).mart_tenant_kpis_daily
+    sinks.export_tenant_kpis(kpis, out)
+    return spark.read.schema(kpis.schema).json(out).select(*kpis.columns)
 
 
 @register("export_compliance", O.model_query("""
@@ -799,26 +802,20 @@ def q_export_kpis(spark, sf):
            aml_score, fraud_score, is_flagged_for_review, statut
     FROM fct_transactions WHERE aml_flag <> 'clean'"""))
 def q_export_compliance(spark, sf):
-    out = scratch_dir(spark, f"export-aml-{_uuid.uuid4().hex[:8]}")
-    return sinks.export_compliance_report(wh(spark, sf).fct_transactions, out)
+    out = scratch_dir(spark, f"export-aml-{uuid.uuid4().hex[:8]}")
+    fact = wh(spark, sf).fct_transactions
+    sinks.export_compliance_report(fact, out)
+    kind = sinks.compliance_extract(fact).schema
+    files = T.StructType([f for f in kind if f.name != "tenant_id"] + [kind["tenant_id"]])  # CSV goes by position
+    return spark.read.schema(files).option("header", True).csv(out).select(*kind.names)
 
 
 _RUN_ID = "run-0001"
 
 
-_LB_CTES = {
-    "stg_t": O.stg_tx_sql("tx_cut"),
-    "stg_lb": O.stg_tx_sql(f"({O.lookback_sql('tx_v2', 'stg_t', 7)})"),
-    "stg_new": O.merge_sql("stg_t", "stg_lb", ["transaction_id"], STG_TX, STG_TX, FX.STG_TX_UPDATE),
-    "norm_t": O.norm_sql("stg_t"), "fct_t": O.fact_sql("norm_t"),
-    "norm_d": O.norm_sql(f"({O.lookback_sql('stg_new', 'fct_t', 7)})"), "fct_d": O.fact_sql("norm_d"),
-    "merged": O.merge_sql("fct_t", "fct_d", ["transaction_id"], _FCT, _FCT, FX.FCT_TX_UPDATE),
-}
-
-
 @register("run_audit", fx_sql(f"""
     SELECT '{_RUN_ID}' AS run_id, 'fct_transactions' AS model, 'pre' AS phase, count(*) AS row_count FROM fct_t
-    UNION ALL SELECT '{_RUN_ID}', 'fct_transactions', 'post', count(*) FROM merged""", _LB_CTES))
+    UNION ALL SELECT '{_RUN_ID}', 'fct_transactions', 'post', count(*) FROM merged""", _lookback_ctes()))
 def q_run_audit(spark, sf):
     w, f = _fix(spark, sf)
     started = _dt.datetime(2000, 1, 5, 6, 0, 0)
@@ -829,23 +826,24 @@ def q_run_audit(spark, sf):
     rows = (audit.audit_row(spark, before, _RUN_ID, "fct_transactions", "pre", "inv-1", "dev", started)
             .unionByName(audit.audit_row(spark, after, _RUN_ID, "fct_transactions", "post", "inv-1",
                                          "dev", started)))
-    audit.append_audit(rows, scratch_dir(spark, f"audit-{_uuid.uuid4().hex[:8]}"))
-    return rows.select("run_id", "model", "phase", "row_count")
+    path = scratch_dir(spark, f"audit-{uuid.uuid4().hex[:8]}")
+    audit.append_audit(rows, path)
+    return spark.read.parquet(path).select("run_id", "model", "phase", "row_count")
 
 
 @register("stream_merge", REGISTRY["merge_upsert"][1])
 def q_stream_merge(spark, sf):
     _, f = _fix(spark, sf)
-    base = scratch_dir(spark, f"stream-{_uuid.uuid4().hex[:8]}")
+    base = scratch_dir(spark, f"stream-{uuid.uuid4().hex[:8]}")
     month = F.trunc(F.col("date_transaction"), "MM").alias("_mois")
     target = staging.stg_transactions(f.tx_cut())
-    TB.write_table(target.select("*", month), f"{base}/table", ["_mois"], ["transaction_id"])
+    tables.write_table(target.select("*", month), f"{base}/table", ["_mois"], ["transaction_id"])
     delta = staging.stg_transactions(f.tx_delta())
     delta.repartition(3).write.mode("overwrite").parquet(f"{base}/input")
     stream_merge(spark, f"{base}/input", delta.schema, f"{base}/table", "transaction_id", "_mois",
                  FX.STG_TX_UPDATE, f"{base}/_checkpoint", max_files_per_trigger=1,
                  prepare=lambda b: b.select("*", F.trunc(F.col("date_transaction"), "MM").alias("_mois")))
-    return TB.read_table(spark, f"{base}/table").select(*STG_TX)
+    return tables.read_table(spark, f"{base}/table").select(*STG_TX)
 
 
 # --- options of the quirks and small operators (Q5, Q14, Q16, A10) -----------------
@@ -911,6 +909,103 @@ REGISTRY["merge_delete_unqualified"] = (REGISTRY["merge_delete_unqualified"][0],
                                                _lookback_ctes(["_loaded_at"], delete=True)))
 
 
+# --- stored tables, read back (F1, F5, F6, F11) ---------------------------------------
+
+def _stored_stg(spark, f) -> str:
+    """Staging transactions of the first cut as a stored table by month; other
+    rows than debits have no month."""
+    path = f"{scratch_dir(spark, f'stored-{uuid.uuid4().hex[:8]}')}/stg_transactions"
+    tables.write_table(_by_month(staging.stg_transactions(f.tx_cut())), path, ["mois"], ["transaction_id"])
+    return path
+
+
+def _by_month(stg: DataFrame) -> DataFrame:
+    month = trunc_date("month", "date_transaction")
+    return stg.withColumn("mois", F.when(F.col("type_operation") == "debit", month))
+
+
+_MOIS = "CASE WHEN type_operation = 'debit' THEN CAST(date_trunc('month', date_transaction) AS DATE) END AS mois"
+_STORED_CTES = {**_MERGE_CTES, "t_m": f"SELECT *, {_MOIS} FROM stg_t", "d_m": f"SELECT *, {_MOIS} FROM stg_d"}
+_STG_M = [*STG_TX, "mois"]
+
+
+@register("stored_upsert_null_month", fx_sql(
+    O.merge_sql("t_m", "d_m", ["transaction_id"], _STG_M, _STG_M, FX.STG_TX_UPDATE), _STORED_CTES))
+def q_stored_null_month(spark, sf):
+    """Upsert into a table some of whose partition values are null."""
+    _, f = _fix(spark, sf)
+    path = _stored_stg(spark, f)
+    tables.upsert_table(spark, path, _by_month(staging.stg_transactions(f.tx_delta())), "transaction_id", "mois",
+                        FX.STG_TX_UPDATE, ["transaction_id"])
+    return tables.read_table(spark, path)
+
+
+@register("stored_upsert_moved_month", fx_sql(
+    O.merge_sql("t_m", "d_moved", ["transaction_id"], _STG_M, _STG_M, FX.STG_TX_UPDATE),
+    {**_STORED_CTES, "d_moved": "SELECT * REPLACE (CAST(mois + INTERVAL 1 MONTH AS DATE) AS mois) FROM d_m"}))
+def q_stored_moved(spark, sf):
+    """Known keys that come with another month stay one row, where they were."""
+    _, f = _fix(spark, sf)
+    path = _stored_stg(spark, f)
+    delta = _by_month(staging.stg_transactions(f.tx_delta())).withColumn("mois", F.add_months("mois", 1))
+    tables.upsert_table(spark, path, delta, "transaction_id", "mois", FX.STG_TX_UPDATE, ["transaction_id"])
+    return tables.read_table(spark, path)
+
+
+@register("stored_upsert_new_column", fx_sql(
+    O.merge_sql("step1", "d_plain", ["transaction_id"], [*_STG_M, "canal_detail"], [*_STG_M, "canal_detail"],
+                [*FX.STG_TX_UPDATE]),
+    {**_STORED_CTES, "d_new": "SELECT *, canal || '/' || moyen_paiement AS canal_detail FROM d_m",
+     "step1": O.merge_sql("t_m", "d_new", ["transaction_id"], _STG_M, [*_STG_M, "canal_detail"],
+                          [*FX.STG_TX_UPDATE, "canal_detail"]),
+     "d_plain": "SELECT *, CAST(NULL AS VARCHAR) AS canal_detail FROM d_m"}))
+def q_stored_new_column(spark, sf):
+    """A column that one upsert adds survives a later one that lacks it."""
+    _, f = _fix(spark, sf)
+    path = _stored_stg(spark, f)
+    delta = _by_month(staging.stg_transactions(f.tx_delta()))
+    wider = delta.withColumn("canal_detail", F.concat(F.col("canal"), F.lit("/"), F.col("moyen_paiement")))
+    tables.upsert_table(spark, path, wider, "transaction_id", "mois", [*FX.STG_TX_UPDATE, "canal_detail"])
+    tables.upsert_table(spark, path, delta, "transaction_id", "mois", FX.STG_TX_UPDATE)
+    return tables.read_table(spark, path)
+
+
+@register("stored_upsert_delete", fx_sql(
+    "SELECT * FROM up WHERE transaction_id NOT IN (SELECT transaction_id FROM stg_d WHERE statut = 'rejetee')",
+    {**_STORED_CTES, "up": O.merge_sql("t_m", "d_m", ["transaction_id"], _STG_M, _STG_M, FX.STG_TX_UPDATE)}))
+def q_stored_delete(spark, sf):
+    """An upsert that also removes the keys whose new version is rejected."""
+    _, f = _fix(spark, sf)
+    path = _stored_stg(spark, f)
+    delta = _by_month(staging.stg_transactions(f.tx_delta()))
+    tables.upsert_table(spark, path, delta, "transaction_id", "mois", FX.STG_TX_UPDATE, ["transaction_id"],
+                        delete_keys=delta.where("statut = 'rejetee'").select("transaction_id"))
+    return tables.read_table(spark, path)
+
+
+@register("stored_microbatch", fx_sql(
+    f"SELECT * FROM ev_fct_t WHERE NOT ({_EV_DAY}) UNION ALL "
+    f"SELECT * FROM ev_fct_s WHERE {_EV_DAY} AND jour_transaction <> DATE '{FX.MICROBATCH_START}'",
+    {"ev_stg_t": O.stg_tx_sql(f"(SELECT * FROM raw_event_transactions WHERE date_transaction < "
+                              f"TIMESTAMP '{FX.MICROBATCH_TARGET_END} 00:00:00')"),
+     "ev_norm_t": O.norm_sql("ev_stg_t"), "ev_fct_t": O.fact_sql("ev_norm_t"),
+     "ev_stg_s": O.stg_tx_sql("events_altered"), "ev_norm_s": O.norm_sql("ev_stg_s"),
+     "ev_fct_s": O.fact_sql("ev_norm_s")}))
+def q_stored_microbatch(spark, sf):
+    """Day batches replaced in the stored table; the first day of the range,
+    of which the source has no row, is emptied."""
+    w, f = _fix(spark, sf)
+    path = f"{scratch_dir(spark, f'micro-{uuid.uuid4().hex[:8]}')}/fct"
+    fact_of = lambda raw: w.fact_from(facts.int_transactions_normalisees(
+        staging.stg_transactions(raw), w.stg_comptes, w.stg_categories))
+    before = F.col("date_transaction") < F.lit(f"{FX.MICROBATCH_TARGET_END} 00:00:00").cast("timestamp_ntz")
+    tables.write_table(fact_of(w.raw.event_transactions().where(before)), path, ["jour_transaction"])
+    source = fact_of(f.events_altered()).where(F.col("jour_transaction") != F.lit(FX.MICROBATCH_START).cast("date"))
+    batch = inc.replace_batches(None, source, "date_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END)
+    tables.replace_days(batch, path, "jour_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END)
+    return tables.read_table(spark, path)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -106,7 +106,7 @@ class Warehouse:
     def fact_from(self, normalised: DataFrame) -> DataFrame:
         p = self.params
         return facts.fct_transactions(normalised,
-                                      fx.fx_for_join(self.int_fx_rates_daily, p.fx_start, p.fx_end),
+                                      fx.fx_for_join(self.int_fx_rates_daily),
                                       p.fx_mode)
 
     @cached_property

@@ -49,7 +49,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 PARTITION_BYTES = 256 * 1024 * 1024
 # Parquet is compressed and columnar; a shuffled row is wider in memory.
 SHUFFLE_EXPANSION = 3.0
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def shuffle_partitions_for(input_bytes: int, parallelism: int,
@@ -57,11 +56,11 @@ def shuffle_partitions_for(input_bytes: int, parallelism: int,
                            expansion: float = SHUFFLE_EXPANSION) -> int:
     """Shuffle width for the largest shuffle of a job over ``input_bytes``.
 
-    At least two tasks per core; at most ``MAX_SHUFFLE_PARTITIONS`` (map
-    output bookkeeping grows with map x reduce tasks). AQE then coalesces the
-    small shuffles (post-aggregation) back down to the advisory size."""
+    At least two tasks per core, and no upper limit: a partition stays at
+    ``partition_bytes`` however large the input. AQE then coalesces the small
+    shuffles (post-aggregation) back down to the advisory size."""
     want = -(-int(input_bytes * expansion) // partition_bytes)
-    return max(2 * parallelism, min(MAX_SHUFFLE_PARTITIONS, want))
+    return max(2 * parallelism, want)
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -96,9 +95,11 @@ def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.shuffle.partitions": str(n),
     }
+    own = dict(spark.sparkContext.getConf().getAll())
+    defaults = spark.newSession().conf  # the cluster's settings, before anyone changed this session's
     done = {}
     for k, v in wanted.items():
-        if not sc.getConf().contains(k):
+        if k not in own and spark.conf.get(k) == defaults.get(k):
             spark.conf.set(k, v)
             done[k] = v
     return done

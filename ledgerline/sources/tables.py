@@ -1,143 +1,283 @@
-"""Parquet tables: layout (A11), full rebuild (A9), partition-scoped upsert.
-
-No lakehouse format is available, so the incremental write is copy-on-write
-of the touched partitions only:
-
-1. the partition values hit by the delta are listed (a distinct over the
-   delta's partition column: one value per touched month, tiny);
-2. only those partitions of the target are read (partition pruning);
-3. the merge result for them is staged in the shared checkpoint folder (a
-   path cannot be overwritten while it is being read);
-4. the staged partitions replace the live ones with a dynamic partition
-   overwrite; untouched partitions are never rewritten.
-
-Watermark: an incremental run needs the table's newest load time. The
-Parquet reader does not answer ``max`` from footers, so at 100 TB that would
-be a column scan of the whole fact per run. Tables written with
-``watermark_col`` keep that maximum in a one-row side table under
-``_watermark`` (a leading underscore: readers of the table skip it). A full
-write records it once; an upsert raises it from the rewritten partitions only
-(untouched partitions are unchanged, and merged rows never lower the value).
-It is written after the data, so a failure in between leaves it low, which
-only widens the next lookback; a missing one falls back to the scan.
+"""Stored Parquet tables: layout (A11), full rebuild (A9), upsert.
+
+No lakehouse format is available, so a table keeps its own small record:
+
+* data files live under ``data/<partition>=<value>/ver=<id>/``; every write
+  goes to directories of a new ``ver``, never over live files;
+* ``_state/<n>.json`` names, for each partition value, the ``ver`` that is
+  live, and holds the table's schema and watermark. Readers take the newest
+  record. A record appears by one rename, so a run that dies before it leaves
+  the table as it was, and a second writer of the same number fails.
+
+A read is one scan: the live (partition, ver) pairs are a filter on partition
+columns, so files of other versions are pruned before anything is opened. The
+record has an entry per partition value (months, days: bounded by the
+calendar), never per row or file. What a write replaced is deleted once the
+new record is in place.
+
+Upsert, one pass over what it touches:
+
+1. the delta is materialised once, and its keys are checked to be unique;
+2. the delta's keys are looked up over the whole table (key and partition
+   columns only), so a known key is found in whatever partition it lies;
+3. the partitions that hold a matched or deleted key, or that new rows go to,
+   are merged and written once, as a new ``ver``. Null partition values
+   compare like any other.
+
+Watermark: an incremental run needs the table's newest load time. The Parquet
+reader does not answer ``max`` from footers, so the record keeps it: set at a
+full write, raised by an upsert from the rewritten partitions only.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import incremental as inc
-from ledgerline.session import cut_lineage, scratch_dir
+from ledgerline.session import cut_lineage
 
+VER = "ver"
+NULL_PART = "__null__"
 
-WATERMARK_DIR = "_watermark"
 
+class ContractError(ValueError):
+    pass
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, bloom_cols: list[str] | None = None,
-                mode: str = "overwrite", replace: str = "all",
-                watermark_col: str | None = None) -> str:
-    """Write ``df`` as Parquet.
-
-    ``partition_by`` -> one directory per value (month, never tenant x month,
-    to avoid small files); each task writes few partition directories with
-    rows sorted by ``sort_by`` (tight row-group min/max for pruning); optional
-    Parquet bloom filters serve point lookups on high-cardinality keys.
-    ``replace='all'`` is a full rebuild (every old partition goes);
-    ``'partitions'`` replaces only the partitions present in ``df``.
-    """
-    w = df
-    keys = (partition_by or []) + (sort_by or [])
-    if partition_by:
-        # REBALANCE: AQE hashes rows on the partition column, coalesces small
-        # partitions and splits a skewed one (a hot month) over several
-        # tasks; unlike a range repartition it needs no sampling pass.
-        w = w.hint("rebalance", *partition_by)
-    elif sort_by:
-        w = w.hint("rebalance")
+
+def check_contract(df: DataFrame, contract: T.StructType) -> None:
+    """Raise unless ``df`` has the contract's columns and types, and no
+    others."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in contract.fields}
+    wrong = [f"{c}: {have.get(c, 'missing')} instead of {t}" for c, t in want.items() if have.get(c) != t]
+    wrong += [f"{c}: unexpected" for c in have if c not in want]
+    if wrong:
+        raise ContractError("; ".join(wrong))
+
+
+def check_compatible(old: T.StructType, new: T.StructType) -> None:
+    """A removed column or a changed type breaks the table's readers."""
+    have = {f.name: f.dataType for f in new.fields}
+    wrong = [f"{f.name}: {'removed' if f.name not in have else have[f.name].simpleString()}"
+             for f in old.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ContractError("breaking change: " + "; ".join(wrong))
+
+
+# --- the record ------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _state_files(spark: SparkSession, path: str) -> list[int]:
+    fs, folder = _fs(spark, f"{path}/_state")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def table_state(spark: SparkSession, path: str) -> dict | None:
+    """The table's newest record; None when there is no table."""
+    numbers = _state_files(spark, path)
+    return _read_state(spark, path, numbers[-1]) if numbers else None
+
+
+def _read_state(spark: SparkSession, path: str, number: int) -> dict:
+    fs, record = _fs(spark, f"{path}/_state/{number:08d}.json")
+    stream = fs.open(record)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text) | {"version": number}
+
+
+def _commit(spark: SparkSession, path: str, state: dict, after: int) -> None:
+    number = after + 1
+    fs, temp = _fs(spark, f"{path}/_state/.{uuid.uuid4().hex}")
+    out = fs.create(temp, False)
+    out.write(bytearray(json.dumps({k: v for k, v in state.items() if k != "version"}).encode()))
+    out.close()
+    target = _fs(spark, f"{path}/_state/{number:08d}.json")[1]
+    if fs.exists(target) or not fs.rename(temp, target):
+        raise RuntimeError(f"{path}: another writer has made version {number}")
+    _clean(spark, path, state, number)
+
+
+def _clean(spark: SparkSession, path: str, state: dict, number: int) -> None:
+    """Delete what older records name and this one does not, then those
+    records. A run that died in between leaves it to the next commit."""
+    for old in (n for n in _state_files(spark, path) if n < number):
+        before = _read_state(spark, path, old)
+        for part, ver in before["live"].items():
+            if state["live"].get(part) != ver:
+                fs, pattern = _fs(spark, f"{path}/data/{'*/' if before['partition_by'] else ''}{VER}={ver}")
+                for s in fs.globStatus(pattern) or []:
+                    name = s.getPath().getParent().getName().partition("=")[2]
+                    if not before["partition_by"] or _unescaped(spark, name) == part:
+                        fs.delete(s.getPath(), True)
+        fs, record = _fs(spark, f"{path}/_state/{old:08d}.json")
+        fs.delete(record, False)
+
+
+def _part_name(column):
+    """A partition value as the record's key (an empty string is stored as
+    null, as in any Hive-style layout)."""
+    return F.coalesce(F.nullif(column.cast("string"), F.lit("")), F.lit(NULL_PART))
+
+
+def _unescaped(spark: SparkSession, name: str) -> str:
+    """A partition directory's value as the record's key."""
+    if name == "__HIVE_DEFAULT_PARTITION__":
+        return NULL_PART
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+
+
+# --- write and read ----------------------------------------------------------------
+
+def _write_version(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None,
+                   bloom_cols: list[str] | None) -> dict:
+    """Write ``df`` as a new ``ver``; {partition value: ver} of what it holds."""
+    ver = uuid.uuid4().hex
+    # REBALANCE: AQE hashes rows on the partition column, coalesces small
+    # partitions and splits a skewed one (a hot month) over several tasks.
+    w = df.hint("rebalance", *partition_by) if partition_by or sort_by else df
+    keys = [*partition_by, *(sort_by or [])]
     if keys:
         w = w.sortWithinPartitions(*keys)
-    overwrite_mode = {"all": "static", "partitions": "dynamic"}[replace]
-    writer = w.write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
+    writer = w.withColumn(VER, F.lit(ver)).write.mode("append")
     for c in bloom_cols or []:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    if watermark_col and replace == "all":
-        table = read_table(df.sparkSession, path)
-        _store_watermark(df.sparkSession, path, watermark_col,
-                         inc.max_value(table, watermark_col), table.schema[watermark_col].dataType)
-    return path
+        # adaptive: each file keeps the smallest filter that fits its keys
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
+    writer.partitionBy(*partition_by, VER).parquet(f"{path}/data")
+    if not partition_by:
+        return {"": ver}
+    spark = df.sparkSession
+    fs, pattern = _fs(spark, f"{path}/data/*/{VER}={ver}")
+    names = [s.getPath().getParent().getName().partition("=")[2] for s in fs.globStatus(pattern) or []]
+    return {_unescaped(spark, n): ver for n in names}
+
 
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                sort_by: list[str] | None = None, bloom_cols: list[str] | None = None,
+                watermark_col: str | None = None, contract: T.StructType | None = None) -> str:
+    """A full rebuild, as a new version of the table at ``path``.
 
-def _store_watermark(spark: SparkSession, path: str, col: str, value, dtype) -> None:
-    schema = T.StructType([T.StructField("column", T.StringType()),
-                           T.StructField("high", dtype)])
-    (spark.createDataFrame([(col, value)], schema)
-     .write.mode("overwrite").parquet(f"{path}/{WATERMARK_DIR}"))
+    ``partition_by``: at most one column, one directory per value (month,
+    never tenant x month); rows sorted by ``sort_by`` (tight row-group bounds);
+    bloom filters serve point lookups. ``contract``: refuse another schema."""
+    spark = df.sparkSession
+    if contract is not None:
+        check_contract(df, contract)
+    before = table_state(spark, path)
+    parts = list(partition_by or [])
+    live = _write_version(df, path, parts, sort_by, bloom_cols)
+    state = {"schema": df.schema.jsonValue(), "partition_by": parts, "live": live, "watermark_col": watermark_col,
+             "high": None}
+    if watermark_col:
+        high = inc.max_value(_read(spark, path, state), watermark_col)
+        state["high"] = None if high is None else high.isoformat()
+    _commit(spark, path, state, before["version"] if before else 0)
+    return path
 
 
-def table_watermark(spark: SparkSession, path: str, col: str):
-    """Newest value of ``col`` in the table at ``path``: the recorded
-    watermark when there is one for that column, else one max over the
-    column. NULL for an empty table."""
-    try:
-        rows = spark.read.parquet(f"{path}/{WATERMARK_DIR}").where(F.col("column") == col).collect()
-    except AnalysisException:
-        rows = []
-    if rows:
-        return rows[0]["high"]
-    return inc.max_value(read_table(spark, path), col)
+def _read(spark: SparkSession, path: str, state: dict) -> DataFrame:
+    schema, parts = T.StructType.fromJson(state["schema"]), state["partition_by"]
+    stored = [f for f in schema.fields if f.name not in parts]
+    tail = [schema[c] for c in parts] + [T.StructField(VER, T.StringType())]
+    rows = spark.read.schema(T.StructType(stored + tail))
+    if not state["live"]:
+        return spark.createDataFrame([], schema)
+    rows = rows.option("basePath", f"{path}/data").parquet(f"{path}/data")
+    if parts:
+        pairs = [f"{k}|{v}" for k, v in state["live"].items()]
+        rows = rows.where(F.concat(_part_name(F.col(parts[0])), F.lit("|"), F.col(VER)).isin(pairs))
+    else:
+        rows = rows.where(F.col(VER) == state["live"][""])
+    return rows.select(*schema.names)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """The table's live rows, with its recorded schema: columns that older
+    files lack are null."""
+    state = table_state(spark, path)
+    df = _read(spark, path, state) if state else spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
-                         sort_by: list[str] | None = None, bloom_cols: list[str] | None = None) -> str:
-    """F6 storage: replace exactly the partitions present in ``df``. The frame
-    is staged first, so it may be derived from the table itself."""
+def table_watermark(spark: SparkSession, path: str, col: str):
+    """Newest value of ``col``: the recorded watermark when there is one for
+    that column, else one max over the column. None for an empty table."""
+    state = table_state(spark, path)
+    if state and state["watermark_col"] == col:
+        return dt.datetime.fromisoformat(state["high"]) if state["high"] else None
+    return inc.max_value(read_table(spark, path), col)
+
+
+def replace_days(df: DataFrame, path: str, partition_col: str, start, end, sort_by: list[str] | None = None,
+                 bloom_cols: list[str] | None = None) -> list[str]:
+    """F6 storage: the partitions of [start, end) become exactly ``df``'s
+    rows; a day that ``df`` has no row of goes. Returns the days that hold rows."""
     spark = df.sparkSession
-    stage = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    write_table(staged, path, partition_by, sort_by, bloom_cols, mode="overwrite",
-                replace="partitions")
-    return path
+    state = table_state(spark, path)
+    live = _write_version(df, path, [partition_col], sort_by, bloom_cols)
+    outside = [k for k in live if not str(start) <= k[:10] < str(end)]
+    if outside:
+        raise ValueError(f"rows outside of [{start}, {end}): {outside[:3]}")
+    kept = {k: v for k, v in (state or {"live": {}})["live"].items()
+            if k == NULL_PART or not str(start) <= k[:10] < str(end)}
+    new = (state or {"schema": df.schema.jsonValue(), "partition_by": [partition_col], "watermark_col": None,
+                     "high": None}) | {"live": kept | live}
+    _commit(spark, path, new, state["version"] if state else 0)
+    return sorted(live)
 
 
-def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str] | str,
-                 partition_col: str, update_cols: list[str] | None = None,
-                 sort_by: list[str] | None = None, bloom_cols: list[str] | None = None,
-                 watermark_col: str | None = None) -> list:
-    """F1 storage: merge ``delta`` into the table at ``path``, rewriting only
-    the partitions the delta touches. The partition column must not be in the
-    update list (a key never changes partition). Returns the touched values.
-    With ``watermark_col`` the recorded watermark is raised from the
-    rewritten partitions."""
-    # The delta is used several times (touched partitions, size check, keys,
-    # rows): materialise it once in the shared checkpoint folder so its
-    # upstream pipeline runs once and a lost executor does not recompute it.
+def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str] | str, partition_col: str,
+                 update_cols: list[str] | None = None, sort_by: list[str] | None = None,
+                 bloom_cols: list[str] | None = None, watermark_col: str | None = None,
+                 delete_keys: DataFrame | None = None, on_schema_change: str = "append") -> list:
+    """F1 storage: merge ``delta`` into the table at ``path``; returns the
+    partition values rewritten. A matched row keeps its partition unless the
+    partition column is updated too. ``delete_keys``: keys to remove."""
+    keys = [key] if isinstance(key, str) else list(key)
+    state = table_state(spark, path)
+    # Used for the key lookup and the merge: materialised once in the shared
+    # checkpoint folder, so its pipeline runs once and survives lost executors.
     delta = cut_lineage(delta)
-    n_delta = delta.count()
-    touched = [r[0] for r in delta.select(partition_col).distinct().collect()]
+    inc.check_unique(delta, keys)
+    target = _read(spark, path, state)
+    moves = update_cols is None or partition_col in update_cols
+    where = target.select(*keys, _part_name(F.col(partition_col)).alias("_part"))
+    incoming = delta.select(*keys, _part_name(F.col(partition_col)).alias("_to"))
+    placed = incoming.join(where, keys, "left").select(
+        "_part", F.when(F.col("_part").isNull() | F.lit(moves), F.col("_to")).alias("_to"))
+    found = placed.select(F.explode(F.array_compact(F.array("_part", "_to"))).alias("p"))
+    if delete_keys is not None:
+        delete_keys = cut_lineage(delete_keys.select(*keys).distinct())
+        found = found.unionByName(where.join(delete_keys, keys, "left_semi").select(F.col("_part").alias("p")))
+    touched = sorted(r["p"] for r in found.distinct().collect())  # one value per partition
     if not touched:
         return []
-    before = table_watermark(spark, path, watermark_col) if watermark_col else None
-    target = read_table(spark, path).where(F.col(partition_col).isin(touched))
-    merged = inc.merge(target, delta, key, update_cols, delta_rows=n_delta)
-    overwrite_partitions(merged, path, [partition_col], sort_by, bloom_cols)
+    old = target.where(_part_name(F.col(partition_col)).isin(touched))
+    merged = inc.merge(old, delta, keys, update_cols, on_schema_change, delete_keys=delete_keys, checked=True)
+    live = _write_version(merged, path, state["partition_by"], sort_by, bloom_cols)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in merged.schema.fields])
+    new = state | {"schema": schema.jsonValue(),
+                   "live": {k: v for k, v in state["live"].items() if k not in touched} | live}
     if watermark_col:
-        table = read_table(spark, path)
-        rewritten = inc.max_value(table.where(F.col(partition_col).isin(touched)), watermark_col)
-        high = max((v for v in (before, rewritten) if v is not None), default=None)
-        _store_watermark(spark, path, watermark_col, high, table.schema[watermark_col].dataType)
-    return touched
+        part = _read(spark, path, new | {"live": live})
+        highs = [table_watermark(spark, path, watermark_col), inc.max_value(part, watermark_col)]
+        high = max((h for h in highs if h is not None), default=None)
+        new |= {"watermark_col": watermark_col, "high": None if high is None else high.isoformat()}
+    _commit(spark, path, new, state["version"])
+    return [None if p == NULL_PART else p for p in touched]

@@ -32,10 +32,10 @@ def collect(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, -1])
-def test_column_limited_update(target, delta, broadcast_rows):
+@pytest.mark.parametrize("plan", ["left", "outer"])
+def test_column_limited_update(target, delta, plan):
     out = {r.id: r for r in inc.merge(target, delta, "id", ["statut"],
-                                      broadcast_rows=broadcast_rows).collect()}
+                                      plan=plan).collect()}
     assert out[1].statut == "validee" and out[1].montant == 10 and out[1].note == "a"
     assert out[4].montant == 40  # inserted whole
     assert out[2].statut == "validee" and out[3].montant == 30  # kept
@@ -48,8 +48,8 @@ def test_all_columns_update(target, delta):
 
 
 def test_plans_agree_and_merge_is_idempotent(target, delta):
-    a = inc.merge(target, delta, "id", ["statut", "ts"], broadcast_rows=10**6)
-    b = inc.merge(target, delta, "id", ["statut", "ts"], broadcast_rows=-1)
+    a = inc.merge(target, delta, "id", ["statut", "ts"], plan="left")
+    b = inc.merge(target, delta, "id", ["statut", "ts"], plan="outer")
     assert collect(a) == collect(b)
     assert collect(inc.merge(a, delta, "id", ["statut", "ts"])) == collect(a)
 

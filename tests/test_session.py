@@ -1,6 +1,6 @@
 """Cluster sizing helpers."""
 
-from ledgerline.session import (MAX_SHUFFLE_PARTITIONS, PARTITION_BYTES, input_bytes,
+from ledgerline.session import (PARTITION_BYTES, input_bytes,
                                 shuffle_partitions_for, size_for_input)
 
 TB = 1024 ** 4
@@ -11,7 +11,7 @@ def test_shuffle_width_follows_input_size():
     mid = shuffle_partitions_for(TB, parallelism=8000)
     assert mid == 16000  # floor of 2 per core dominates 12,288 ~256 MB partitions
     assert shuffle_partitions_for(10 * TB, parallelism=800) == -(-int(10 * TB * 3.0) // PARTITION_BYTES)
-    assert shuffle_partitions_for(100 * TB, parallelism=8000) == MAX_SHUFFLE_PARTITIONS
+    assert shuffle_partitions_for(100 * TB, parallelism=8000) == -(-int(100 * TB * 3.0) // PARTITION_BYTES)
 
 
 def test_input_bytes_is_the_size_on_storage(spark, tmp_path):
