@@ -167,36 +167,34 @@ def mart_cohortes_retention(fact: DataFrame, dim_cpt: DataFrame, horizon: int =
                             zero_fill: bool = False) -> DataFrame:
     """Cohort = opening month; active in a month = >= 1 validated transaction.
 
-    Activity is reduced to distinct (account, month) before the join, so the
-    join carries at most one row per account-month. ``zero_fill`` (Q9) also
-    emits offsets with no active account, from a 0..horizon generator per
-    cohort (bounded by horizon+1 rows per cohort, not a cross join).
+    One aggregate counts everything: an account stands once in its cohort (at
+    offset -1, the cohort's size) and once at each offset it is active in. The
+    size is then spread over the cohort's few rows by a window. ``zero_fill``
+    (Q9) also emits offsets without activity, generated per cohort.
     """
-    comptes = (dim_cpt.where(F.col("date_ouverture").isNotNull())
-               .select("compte_id", trunc_date("month", "date_ouverture").alias("cohort_mois")))
-    activite = (fact.where(F.col("statut") == "validee")
-                .select(F.col("compte_id").alias("_a_compte_id"),
-                        trunc_date("month", "date_transaction").alias("mois_activite"))
-                .distinct())
-    ca = comptes.join(activite, comptes["compte_id"] == activite["_a_compte_id"], "left")
-    ca = ca.withColumn("mois_offset", month_diff("cohort_mois", "mois_activite"))
-    taille = comptes.groupBy("cohort_mois").agg(
-        F.countDistinct("compte_id").alias("nb_utilisateurs_cohorte"))
-    actifs = (ca.where((F.col("mois_offset") >= 0) & (F.col("mois_offset") <= horizon))
-              .groupBy("cohort_mois", "mois_offset")
+    opened = (dim_cpt.where("date_ouverture is not null")
+              .select("compte_id", trunc_date("month", "date_ouverture").alias("cohort_mois")))
+    months = (fact.where("statut = 'validee'").groupBy(
+        F.col("compte_id").alias("_id"), trunc_date("month", "date_transaction").alias("_mois")).agg(F.count(F.lit(1)).alias("_n")))
+    at = month_diff("cohort_mois", "_mois")
+    active = (opened.join(months, F.col("compte_id") == F.col("_id"))
+              .select("compte_id", "cohort_mois", at.cast("bigint").alias("mois_offset"))
+              .where(F.col("mois_offset").between(0, horizon)))
+    born = opened.withColumn("mois_offset", F.lit(-1).cast("bigint"))
+    counts = (born.unionByName(active).groupBy("cohort_mois", "mois_offset")
               .agg(F.countDistinct("compte_id").alias("nb_utilisateurs_actifs")))
     if zero_fill:
-        grid = taille.select("cohort_mois",
-                             F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                  F.lit(horizon).cast("bigint"))).alias("mois_offset"))
-        actifs = (grid.join(actifs, ["cohort_mois", "mois_offset"], "left")
-                  .select("cohort_mois", "mois_offset",
-                          F.coalesce("nb_utilisateurs_actifs", F.lit(0).cast("bigint"))
-                          .alias("nb_utilisateurs_actifs")))
-    j = actifs.join(taille, "cohort_mois", "inner")
-    return (j.select("cohort_mois", "mois_offset", "nb_utilisateurs_cohorte",
-                     "nb_utilisateurs_actifs",
-                     pct("nb_utilisateurs_actifs", "nb_utilisateurs_cohorte").alias("taux_retention_pct"))
+        offsets = F.sequence(F.lit(0).cast("bigint"), F.lit(horizon).cast("bigint"))
+        empty = (counts.where("mois_offset = -1")
+                 .select("cohort_mois", F.explode(offsets).alias("mois_offset"),
+                         F.lit(0).cast("bigint").alias("nb_utilisateurs_actifs")))
+        counts = (counts.unionByName(empty).groupBy("cohort_mois", "mois_offset")
+                  .agg(F.max("nb_utilisateurs_actifs").alias("nb_utilisateurs_actifs")))
+    size = F.max(F.when(F.col("mois_offset") == -1, F.col("nb_utilisateurs_actifs"))).over(
+        Window.partitionBy("cohort_mois"))
+    return (counts.withColumn("nb_utilisateurs_cohorte", size).where("mois_offset >= 0")
+            .select("cohort_mois", "mois_offset", "nb_utilisateurs_cohorte", "nb_utilisateurs_actifs",
+                    pct("nb_utilisateurs_actifs", "nb_utilisateurs_cohorte").alias("taux_retention_pct"))
             .orderBy("cohort_mois", "mois_offset"))
 
 

@@ -165,18 +165,29 @@ def q_kpis(spark, sf):
     return wh(spark, sf).mart_tenant_kpis_daily
 
 
-_FLOWS = {"flows": """
-      SELECT coalesce(tx.tenant_id, v.tenant_id) AS tenant_id, coalesce(tx.compte_id, v.compte_id) AS compte_id,
-             coalesce(tx.jour, v.jour) AS jour,
-             CAST(coalesce(tx.s, 0) AS DECIMAL(18,2)) AS flux_transactions,
-             CAST(coalesce(v.s, 0) AS DECIMAL(18,2)) AS flux_virements
-      FROM (SELECT tenant_id, compte_id, jour_transaction AS jour, sum(montant_signe_eur) AS s
-            FROM fct_transactions WHERE statut = 'validee' GROUP BY 1, 2, 3) tx
-      FULL OUTER JOIN
-           (SELECT tenant_id, compte_id, CAST(date_virement AS DATE) AS jour,
-                   sum(CASE WHEN virement_leg = 'sortant' THEN -montant ELSE montant END) AS s
-            FROM fct_virements GROUP BY 1, 2, 3) v
-        ON tx.compte_id = v.compte_id AND tx.jour = v.jour"""}
+# Both kinds of movement in one signed list; a day's sums per kind and tenant.
+_MOVES = """
+      SELECT compte_id, jour, tenant_id, kind, sum(amount) AS s FROM (
+        SELECT compte_id, jour_transaction AS jour, tenant_id, 'tx' AS kind, montant_signe_eur AS amount
+        FROM fct_transactions WHERE statut = 'validee'
+        UNION ALL
+        SELECT compte_id, CAST(date_virement AS DATE), tenant_id, 'vir',
+               montant * (CASE virement_leg WHEN 'sortant' THEN -1 ELSE 1 END) FROM fct_virements)
+      GROUP BY ALL"""
+# As coded (Q5) the tenant is no part of the match: each tenant's transactions
+# of an account and day meet each tenant's transfers of it.
+_FLOWS = {"moves": _MOVES, "flows": """
+      SELECT coalesce(a.t, b.t) AS tenant_id, compte_id, jour, CAST(coalesce(a.s, 0) AS DECIMAL(18,2)) AS flux_transactions,
+             CAST(coalesce(b.s, 0) AS DECIMAL(18,2)) AS flux_virements
+      FROM (SELECT compte_id, jour, unnest(coalesce(x, [NULL])) AS a, y
+            FROM (SELECT compte_id, jour, list({'t': tenant_id, 's': s}) FILTER (kind = 'tx') AS x,
+                         list({'t': tenant_id, 's': s}) FILTER (kind = 'vir') AS y FROM moves GROUP BY ALL)) l,
+           LATERAL (SELECT unnest(coalesce(l.y, [NULL])) AS b) r"""}
+_FLOWS_TENANT = {"moves": _MOVES, "flows": """
+      SELECT tenant_id, compte_id, jour,
+             CAST(coalesce(sum(s) FILTER (kind = 'tx'), 0) AS DECIMAL(18,2)) AS flux_transactions,
+             CAST(coalesce(sum(s) FILTER (kind = 'vir'), 0) AS DECIMAL(18,2)) AS flux_virements
+      FROM moves GROUP BY ALL"""}
 
 
 @register("mart_solde_journalier", O.with_models("""
@@ -214,39 +225,28 @@ def q_recon(spark, sf):
     return wh(spark, sf).mart_reconciliation
 
 
-_COHORT_SQL = """
-    SELECT a.cohort_mois, a.mois_offset, t.nb_utilisateurs_cohorte, a.nb_utilisateurs_actifs,
-           {pct} AS taux_retention_pct
-    FROM ({actifs}) a
-    JOIN (SELECT cohort_mois, count(DISTINCT compte_id) AS nb_utilisateurs_cohorte FROM cohort_accts
-          GROUP BY cohort_mois) t ON a.cohort_mois = t.cohort_mois
-    ORDER BY a.cohort_mois, a.mois_offset"""
-
+# Months are numbers (12 * year + month); every account looks at each of the 13
+# months from its own one, and finds a validated transaction there or not.
 _COHORT_CTES = {
-    "cohort_accts": "SELECT compte_id, CAST(date_trunc('month', date_ouverture) AS DATE) AS cohort_mois "
-                    "FROM dim_comptes WHERE date_ouverture IS NOT NULL",
-    "cohort_act": """
-        SELECT c.cohort_mois, c.compte_id,
-               CAST((year(a.m) - year(c.cohort_mois)) * 12 + month(a.m) - month(c.cohort_mois) AS BIGINT) AS mois_offset
-        FROM cohort_accts c LEFT JOIN (SELECT DISTINCT compte_id, CAST(date_trunc('month', date_transaction) AS DATE) AS m
-                                       FROM fct_transactions WHERE statut = 'validee') a
-          ON c.compte_id = a.compte_id""",
-    "cohort_actifs": "SELECT cohort_mois, mois_offset, count(DISTINCT compte_id) AS nb_utilisateurs_actifs "
-                     "FROM cohort_act WHERE mois_offset BETWEEN 0 AND 12 GROUP BY 1, 2",
+    "members": "SELECT compte_id, CAST(date_trunc('month', date_ouverture) AS DATE) AS cohort_mois, "
+               "12 * year(date_ouverture) + month(date_ouverture) AS born FROM dim_comptes "
+               "WHERE date_ouverture IS NOT NULL",
+    "busy": "SELECT DISTINCT compte_id, 12 * year(date_transaction) + month(date_transaction) AS at "
+            "FROM fct_transactions WHERE statut = 'validee'",
+    "cells": """
+        SELECT m.cohort_mois, CAST(o AS BIGINT) AS mois_offset, count(DISTINCT m.compte_id) AS nb_utilisateurs_cohorte,
+               count(DISTINCT m.compte_id) FILTER (b.at IS NOT NULL) AS nb_utilisateurs_actifs
+        FROM members m, range(13) r(o) LEFT JOIN busy b ON b.compte_id = m.compte_id AND b.at = m.born + o
+        GROUP BY ALL""",
 }
+_COHORT_SQL = ("SELECT *, " + O.pct_sql("nb_utilisateurs_actifs", "nb_utilisateurs_cohorte")
+               + " AS taux_retention_pct FROM cells WHERE {} ORDER BY cohort_mois, mois_offset")
 
-register("mart_cohortes_retention", O.with_models(_COHORT_SQL.format(
-    pct=O.pct_sql("a.nb_utilisateurs_actifs", "t.nb_utilisateurs_cohorte"),
-    actifs="SELECT * FROM cohort_actifs"), *O.ALL_MODELS, _COHORT_CTES))(
+register("mart_cohortes_retention", O.with_models(
+    _COHORT_SQL.format("nb_utilisateurs_actifs > 0"), *O.ALL_MODELS, _COHORT_CTES))(
     lambda spark, sf: wh(spark, sf).mart_cohortes_retention)
 
-register("mart_cohortes_zero_fill", O.with_models(_COHORT_SQL.format(
-    pct=O.pct_sql("a.nb_utilisateurs_actifs", "t.nb_utilisateurs_cohorte"),
-    actifs="""SELECT g.cohort_mois, g.mois_offset, coalesce(x.nb_utilisateurs_actifs, 0) AS nb_utilisateurs_actifs
-              FROM (SELECT DISTINCT cohort_mois, CAST(o AS BIGINT) AS mois_offset
-                    FROM cohort_accts, range(0, 13) r(o)) g
-              LEFT JOIN cohort_actifs x ON g.cohort_mois = x.cohort_mois AND g.mois_offset = x.mois_offset"""),
-    *O.ALL_MODELS, _COHORT_CTES))(
+register("mart_cohortes_zero_fill", O.with_models(_COHORT_SQL.format("true"), *O.ALL_MODELS, _COHORT_CTES))(
     lambda spark, sf: (lambda w: marts.mart_cohortes_retention(w.fct_transactions, w.dim_comptes,
                                                                zero_fill=True))(wh(spark, sf)))
 
@@ -848,11 +848,6 @@ def q_stream_merge(spark, sf):
 
 # --- options of the quirks and small operators (Q5, Q14, Q16, A10) -----------------
 
-_FLOWS_TENANT = {"flows": _FLOWS["flows"].replace(
-    "ON tx.compte_id = v.compte_id AND tx.jour = v.jour",
-    "ON tx.compte_id = v.compte_id AND tx.jour = v.jour AND tx.tenant_id = v.tenant_id")}
-
-
 @register("mart_solde_join_tenant", O.with_models("""
     SELECT f.tenant_id, f.compte_id, f.jour, f.flux_transactions, f.flux_virements,
            CAST(f.flux_transactions + f.flux_virements AS DECIMAL(18,2)) AS flux_total_jour,
