@@ -215,6 +215,16 @@ def _report_row(c: Check, n: Column) -> Column:
                     F.lit(c.severity).alias("severity"), n.cast("bigint").alias("n_failures"))
 
 
+def store_failures(checks: list[Check], report: DataFrame, path: str) -> list[str]:
+    """Write the failing rows of every test that fails, a folder per test, and
+    return those tests. The report (one row per test) is what is looked at."""
+    failed = {r["test_name"] for r in report.where("n_failures > 0").select("test_name").collect()}
+    for c in checks:
+        if c.name in failed:
+            c.failing().write.mode("overwrite").parquet(f"{path}/{c.name}")
+    return sorted(failed)
+
+
 def run_suite(checks: list[Check]) -> DataFrame:
     """Report: one row per check with its failure count and status.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.schemas import RAW_TRANSACTIONS
 from ledgerline.functions.columns import signed, surrogate_key
 
 
@@ -54,29 +55,10 @@ _TX_LOWER = ("type_operation", "sens", "moyen_paiement", "canal", "statut")
 _TX_TS = ("date_transaction", "date_valeur", "date_comptabilisation", "date_reception",
           "date_traitement", "date_settlement")
 
-STG_TRANSACTIONS_COLUMNS = [
-    "transaction_id", "external_transaction_id", "tenant_id", "compte_id",
-    "compte_source_iban", "compte_dest_iban",
-    *_TX_TS,
-    "montant", "devise", "montant_eur", "taux_change_applique", "frais", "frais_devise",
-    "montant_net", "type_operation", "sens", "montant_signe", "montant_signe_eur",
-    "categorie_id", "categorie_auto_detectee", "confiance_categorie", "sous_categorie", "tags",
-    "marchand_nom", "marchand_id", "marchand_categorie", "marchand_pays", "marchand_mcc",
-    "marchand_siret",
-    "moyen_paiement", "carte_id", "carte_last4", "carte_type", "carte_reseau",
-    "authentification_3ds",
-    "canal", "device_type", "device_id", "user_agent", "ip_address", "session_id",
-    "geolocation_lat", "geolocation_lon",
-    "statut", "statut_precedent", "nb_tentatives", "date_derniere_tentative", "raison_rejet",
-    "code_erreur", "message_erreur",
-    "aml_score", "aml_flag", "aml_reviewed_by", "aml_review_date", "fraud_score",
-    "fraud_rules_triggered", "is_flagged_for_review",
-    "is_reconciled", "date_reconciliation", "reconciliation_batch_id", "external_reference",
-    "internal_reference",
-    "description", "description_brute", "description_enrichie", "libelle_court",
-    "source_system", "source_file_batch_id", "created_at", "updated_at", "loaded_at",
-    "processing_version", "is_test", "is_reversal", "original_transaction_id", "_loaded_at",
-]
+# Fixed output contract: the raw columns in their order, the signed amounts
+# behind ``sens``.
+STG_TRANSACTIONS_COLUMNS = [c for name, _ in RAW_TRANSACTIONS
+                            for c in ([name, "montant_signe", "montant_signe_eur"] if name == "sens" else [name])]
 
 
 def _tx_column(name: str) -> Column:

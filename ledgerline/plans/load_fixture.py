@@ -87,7 +87,7 @@ def write_csv(df: DataFrame, schema: list[tuple[str, str]], path: str, **kw) ->
 
 
 def build_load_fixture(raw: RawTables) -> dict[str, str]:
-    """Write the three fixture files; returns table -> path. Paths live in the
+    """Write a file for each of the eight raw tables; returns table -> path. Paths live in the
     shared checkpoint folder, keyed by the scale-factor folder name."""
     base = scratch_dir(raw.spark, os.path.join("load-fixture", os.path.basename(raw.sf_dir)))
     paths = {
@@ -96,6 +96,8 @@ def build_load_fixture(raw: RawTables) -> dict[str, str]:
         "raw_transactions": write_csv(raw.transactions(), S.RAW_TRANSACTIONS, f"{base}/transactions",
                                       corruptions=TX_CORRUPTIONS, short=SHORT_RECORD, long=LONG_RECORD),
     }
+    for name in ("categories", "fx_rates", "virements", "titulaires", "compte_titulaires"):
+        paths[f"raw_{name}"] = write_csv(getattr(raw, name)(), S.RAW_SCHEMAS[f"raw_{name}"], f"{base}/{name}")
     return paths
 
 

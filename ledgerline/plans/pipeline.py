@@ -1,17 +1,23 @@
 """End-to-end run in production order, as plain function calls (no scheduler).
 
-freshness -> row-count guard -> staging/dims -> fact (full build or
-incremental upsert) -> marts -> data tests -> exports. Every table lands in
-``out_dir`` as Parquet; the fact is partitioned by month and sorted by
-(tenant, id) with a bloom filter on the id. Returns the data-test report.
+source checks -> account snapshot, SCD2, dimensions -> staging, fact and
+transfers (built at first, then merged within their lookback, an audit row
+before and after each) -> marts -> data tests with stored failures -> exports.
+Every table lands in ``out_dir`` (``sources.tables``); the large ones are
+partitioned by month. Returns the data-test report.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import trunc_date
+from ledgerline.operators import audit, dims, facts, marts, staging
+from ledgerline.operators import incremental as inc
 from ledgerline.operators import quality as Q
+from ledgerline.operators.snapshot import snapshot_check
 from ledgerline.plans import fixtures as FX
 from ledgerline.plans import suite
 from ledgerline.plans.warehouse import Warehouse
@@ -27,66 +33,86 @@ class PipelineAborted(RuntimeError):
     pass
 
 
-def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3) -> DataFrame:
+def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str = "run") -> DataFrame:
     spark = w.raw.spark
     size_for_input(spark, [w.raw.sf_dir])  # cluster runs: partition sizes from the input size
-    as_of = f"{w.params.as_of} 00:00:00"
+    started = dt.datetime.fromisoformat(f"{w.params.as_of} 00:00:00")
     # 1. source checks (the DAG's guard runs before anything is built)
     if Q.nonempty(w.raw_transactions, "raw_transactions").limit(1).count():
         raise PipelineAborted("raw_transactions is empty")
-    fresh = Q.freshness(w.raw_transactions, "_loaded_at", as_of, 2, 6, "raw_transactions")
-    tables.write_table(fresh, f"{out_dir}/source_freshness")
-
-    # 2. dimensions (small tables, full rebuild)
-    for name in ("dim_tenants", "dim_comptes", "dim_categories", "bridge_comptes_titulaires"):
-        tables.write_table(getattr(w, name), f"{out_dir}/{name}")
-
-    # 3. fact: first run builds all; later runs upsert the lookback window
-    fact_path = f"{out_dir}/fct_transactions"
-    if tables.table_state(spark, fact_path):
-        high = tables.table_watermark(spark, fact_path, "_loaded_at")
-        delta = w.fact_from(w.int_transactions_normalisees.where(
-            F.col("_loaded_at") >= F.lit(_lookback_bound(high, lookback_days)).cast("timestamp_ntz")))
-        tables.upsert_table(spark, fact_path, delta, "transaction_id", "mois_transaction",
-                            FX.FCT_TX_UPDATE, FACT_LAYOUT["sort_by"], FACT_LAYOUT["bloom_cols"],
-                            watermark_col="_loaded_at")
-    else:
-        tables.write_table(w.fct_transactions, fact_path, **FACT_LAYOUT,
-                           watermark_col="_loaded_at", contract=FCT_TRANSACTIONS_CONTRACT)
-    tables.write_table(w.fct_virements, f"{out_dir}/fct_virements")
-    fact = tables.read_table(spark, fact_path)
+    tables.write_table(suite.source_freshness(w), f"{out_dir}/source_freshness")
+    tables.write_table(Q.run_suite(suite.source_checks(w)), f"{out_dir}/source_tests")
+
+    # 2. account history, then the dimensions (full rebuild)
+    history = f"{out_dir}/snapshot_comptes"
+    known = tables.read_table(spark, history) if tables.table_state(spark, history) else None
+    source = w.raw.comptes().select(*FX.SNAPSHOT_SOURCE)
+    tables.write_table(snapshot_check(known, source, "compte_id", FX.SNAPSHOT_CHECK, started), history)
+    tables.write_table(dims.dim_comptes_scd2(tables.read_table(spark, history)), f"{out_dir}/dim_comptes_scd2")
+    tables.write_table(w.int_fx_rates_daily, f"{out_dir}/int_fx_rates_daily")
+    for name, order in (("dim_tenants", None), ("dim_comptes", ["tenant_id"]), ("dim_categories", None),
+                        ("bridge_comptes_titulaires", None)):
+        tables.write_table(getattr(w, name), f"{out_dir}/{name}", sort_by=order)
+
+    # 3. staging, fact and transfers: the first run builds all, later runs
+    #    merge what came within the lookback of the stored table's newest load
+    def incremental(name, source, key, build, update, contract=None, month_of="mois_transaction"):
+        """Merge (or build) one table; an audit row before and after."""
+        path = f"{out_dir}/{name}"
+        state = tables.table_state(spark, path)
+        before = tables.read_table(spark, path) if state else None
+        rows = [audit.audit_row(spark, before, run_id, name, "pre", run_id, "prod", started)]
+        audit.append_audit(rows[0], f"{out_dir}/run_audit")
+        if state:
+            high = tables.table_watermark(spark, path, "_loaded_at")
+            delta = build(inc.lookback(source, source, "_loaded_at", lookback_days, high=high) if high else source)
+            tables.upsert_table(spark, path, delta, key, month_of, update, FACT_LAYOUT["sort_by"][:1],
+                                watermark_col="_loaded_at")
+        else:
+            tables.write_table(build(source), path, [month_of], FACT_LAYOUT["sort_by"][:1],
+                               FACT_LAYOUT["bloom_cols"] if name == "fct_transactions" else None,
+                               watermark_col="_loaded_at", contract=contract)
+        table = tables.read_table(spark, path)
+        audit.append_audit(audit.audit_row(spark, table, run_id, name, "post", run_id, "prod", started),
+                           f"{out_dir}/run_audit")
+        return table
+
+    month = lambda c: trunc_date("month", c)
+    stg = incremental("stg_transactions", w.raw_transactions, "transaction_id", lambda raw: staging.stg_transactions(
+        raw).withColumn("mois_transaction", month("date_transaction")), FX.STG_TX_UPDATE)
+    fact = incremental("fct_transactions", stg, "transaction_id", lambda s: w.fact_from(
+        facts.int_transactions_normalisees(s.drop("mois_transaction"), w.stg_comptes, w.stg_categories)),
+        FX.FCT_TX_UPDATE, FCT_TRANSACTIONS_CONTRACT)
+    legs = incremental("fct_virements", w.raw.virements(), ["virement_id", "virement_leg"],
+                       lambda raw: facts.fct_virements(staging.stg_virements(raw)).withColumn(
+                           "mois_virement", month("date_virement")), None, month_of="mois_virement")
+    # A model graph of its own on the stored tables: the caller's ``w`` stays
+    # lazy, and must not pin files that the next run replaces.
+    stored = Warehouse(w.raw, w.params, w.use_events)
+    stored.fct_transactions, stored.fct_virements = fact, legs.drop("mois_virement")
+    for name in ("dim_comptes", "dim_tenants", "dim_categories"):
+        setattr(stored, name, tables.read_table(spark, f"{out_dir}/{name}"))
+    tables.write_table(stored.fct_transactions_v2, f"{out_dir}/fct_transactions_v2", **FACT_LAYOUT)
+    tables.write_table(marts.mart_transactions_anomalies(fact), f"{out_dir}/mart_transactions_anomalies")
 
     # 4. marts read the stored fact
-    from ledgerline.operators import marts
-    tables.write_table(marts.mart_tenant_kpis_daily(fact, w.dim_tenants),
+    tables.write_table(marts.mart_tenant_kpis_daily(fact, stored.dim_tenants),
                        f"{out_dir}/mart_tenant_kpis_daily", sort_by=["jour", "tenant_id"])
-    tables.write_table(marts.mart_solde_journalier(fact, w.fct_virements, w.dim_comptes),
+    tables.write_table(marts.mart_solde_journalier(fact, stored.fct_virements, stored.dim_comptes),
                        f"{out_dir}/mart_solde_journalier", sort_by=["tenant_id", "jour"])
     tables.write_table(marts.mart_reconciliation(fact, w.params.as_of), f"{out_dir}/mart_reconciliation")
-    tables.write_table(marts.mart_cohortes_retention(fact, w.dim_comptes),
+    tables.write_table(marts.mart_cohortes_retention(fact, stored.dim_comptes),
                        f"{out_dir}/mart_cohortes_retention")
     tables.write_table(marts.aml_suspects(fact), f"{out_dir}/mart_aml_suspects", ["tenant_id"])
 
     # 5. data tests on the stored models (each check reads a table, not the
-    #    pipeline that built it); report stored. A separate model graph keeps
-    #    the caller's ``w`` lazy: its frames must not pin this run's files,
-    #    which the next incremental run replaces.
-    stored = Warehouse(w.raw, w.params, w.use_events)
-    stored.fct_transactions = fact
-    for name in ("dim_comptes", "dim_tenants", "dim_categories", "fct_virements"):
-        setattr(stored, name, tables.read_table(spark, f"{out_dir}/{name}"))
-    report = Q.run_suite(suite.reference_checks(stored))
-    tables.write_table(report, f"{out_dir}/dq_report")
+    #    pipeline that built it); the report and the failing rows are stored
+    checks = suite.reference_checks(stored)
+    tables.write_table(Q.run_suite(checks), f"{out_dir}/dq_report")
+    Q.store_failures(checks, tables.read_table(spark, f"{out_dir}/dq_report"), f"{out_dir}/dq_failures")
 
     # 6. exports
     kpis = tables.read_table(spark, f"{out_dir}/mart_tenant_kpis_daily")
     sinks.export_tenant_kpis(kpis, f"{out_dir}/exports/tenant_kpis")
     sinks.export_compliance_report(fact, f"{out_dir}/exports/compliance")
     return tables.read_table(spark, f"{out_dir}/dq_report")
-
-
-def _lookback_bound(high, days: int) -> str:
-    """Literal lower bound of the lookback window from the table's newest
-    load time (its recorded watermark); no value means a full build (Q13)."""
-    import datetime as dt
-    return (high - dt.timedelta(days=days)).isoformat(sep=" ") if high else "0001-01-01 00:00:00"

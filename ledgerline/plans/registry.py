@@ -650,6 +650,44 @@ def q_dq_freshness(spark, sf):
                        "raw_transactions")
 
 
+_SOURCE_HOURS = {t: (6, 24) for t in ("raw_categories", "raw_compte_titulaires", "raw_fx_rates", "raw_tenants",
+                                      "raw_titulaires", "raw_virements")} | {
+    "raw_comptes": (12, 48), "raw_transactions": (2, 6)}
+
+
+@register("dq_freshness_sources", O.model_query(" UNION ALL ".join(f"""
+    SELECT source, max_loaded_at, age_hours, CASE WHEN max_loaded_at IS NULL OR age_hours > {error} THEN 'error'
+           WHEN age_hours > {warn} THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT '{t}' AS source, max(_loaded_at) AS max_loaded_at,
+                 round(epoch_us(TIMESTAMP '{O.AS_OF} 00:00:00') / 3600000000.0 - epoch_us(max(_loaded_at)) / 3600000000.0, 4)
+                   AS age_hours FROM {t})""" for t, (warn, error) in _SOURCE_HOURS.items())))
+def q_dq_freshness_sources(spark, sf):
+    return suite.source_freshness(wh(spark, sf))
+
+
+# The tests declared on the raw sources, written out by hand.
+_SOURCE_TESTS = [
+    ("unique", "raw_fx_rates", "fx_id"), ("not_null", "raw_fx_rates", "fx_id"), ("not_null", "raw_fx_rates", "date_cotation"),
+    ("unique", "raw_comptes", "compte_id"), ("not_null", "raw_comptes", "compte_id"),
+    ("unique", "raw_transactions", "transaction_id"), ("not_null", "raw_transactions", "transaction_id"),
+    ("not_null", "raw_transactions", "tenant_id"), ("relationships", "raw_transactions", "tenant_id"),
+    ("unique", "raw_virements", "virement_id"), ("not_null", "raw_virements", "virement_id"),
+    ("unique", "raw_titulaires", "titulaire_id"), ("not_null", "raw_titulaires", "titulaire_id"),
+    ("unique", "raw_compte_titulaires", "id"), ("not_null", "raw_compte_titulaires", "id"),
+    ("not_null", "raw_compte_titulaires", "compte_id"), ("not_null", "raw_compte_titulaires", "titulaire_id")]
+_SOURCE_COUNT = {
+    "unique": "(SELECT count(*) FROM (SELECT 1 FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))",
+    "not_null": "(SELECT count(*) FROM {t} WHERE {c} IS NULL)",
+    "relationships": "(SELECT count(*) FROM {t} x ANTI JOIN raw_tenants p ON x.{c} = p.tenant_id WHERE x.{c} IS NOT NULL)"}
+
+
+@register("dq_source_suite", O.model_query("SELECT *, CASE WHEN n_failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
+    + " UNION ALL ".join(f"SELECT '{k}_{t}_{c}' AS test_name, '{t}' AS model, '{c}' AS column_name, 'error' AS severity, "
+                         f"{_SOURCE_COUNT[k].format(t=t, c=c)} AS n_failures" for k, t, c in _SOURCE_TESTS) + ")"))
+def q_dq_source_suite(spark, sf):
+    return Q.run_suite(suite.source_checks(wh(spark, sf)))
+
+
 @register("dq_tenant_sla", O.model_query(f"""
     SELECT t.tenant_id, t.tenant_code, t.sla_freshness_hours, l.max_loaded_at,
            round((epoch_us(TIMESTAMP '{_AS_OF_TS}') - epoch_us(l.max_loaded_at)) / 3600000000.0, 4) AS age_hours
@@ -760,15 +798,30 @@ def q_load_abort(spark, sf):
     return _loaded(spark, sf, "raw_tenants", on_error="abort").good
 
 
-@register("load_row_counts", O.model_query(f"""
-    SELECT * FROM (
-      SELECT 'raw_comptes' AS table_name, count(*) AS row_count FROM raw_comptes
-      UNION ALL SELECT 'raw_tenants', count(*) FROM raw_tenants
-      UNION ALL SELECT 'raw_transactions', count(*) FROM ({LF.expected_transactions_sql()}) t)
-    ORDER BY table_name"""))
+_PLAIN_TABLES = [t for t in SCH.RAW_SCHEMAS if t != "raw_transactions"]
+
+
+@register("load_row_counts", O.model_query(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _PLAIN_TABLES)
+    + f" UNION ALL SELECT 'raw_transactions', count(*) FROM ({LF.expected_transactions_sql()}) t) ORDER BY table_name"))
 def q_load_counts(spark, sf):
-    return loader.load_row_counts({t: _loaded(spark, sf, t).good
-                                   for t in ("raw_tenants", "raw_comptes", "raw_transactions")})
+    return loader.load_row_counts({t: _loaded(spark, sf, t).good for t in SCH.RAW_SCHEMAS})
+
+
+@register("load_history_totals", O.model_query(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_parsed, count(*) AS row_count, 0::BIGINT AS error_count FROM {t}"
+        for t in _PLAIN_TABLES)
+    + f" UNION ALL SELECT 'raw_transactions', (SELECT count(*) FROM raw_transactions), "
+      f"(SELECT count(*) FROM ({LF.expected_transactions_sql()}) g), (SELECT count(*) FROM ({LF.expected_rejects_sql()}) r))"))
+def q_load_history_totals(spark, sf):
+    """The load history as appended to its table, read back, per raw table."""
+    path = scratch_dir(spark, f"history-{uuid.uuid4().hex[:8]}")
+    for t in SCH.RAW_SCHEMAS:
+        loader.append_history(_loaded(spark, sf, t).history, t, path)
+    return (loader.read_history(spark, path).groupBy("table_name")
+            .agg(*[F.sum(c).alias(c) for c in ("row_parsed", "row_count", "error_count")]))
 
 
 @register("load_history", None)

@@ -59,6 +59,44 @@ TESTS.append(("not_null", "fct_virements", "virement_id", {}))
 TESTS.append(("accepted_values", "fct_virements", "virement_leg", {"values": TRANSFER_LEGS}))
 
 
+# Declared on the raw sources: keys of every table, and hours to warn and fail.
+SOURCE_TESTS: list[tuple[str, str, str, dict]] = [
+    *[(kind, f"raw_{t}", c, {}) for t, c in (
+        ("fx_rates", "fx_id"), ("comptes", "compte_id"), ("transactions", "transaction_id"), ("virements", "virement_id"),
+        ("titulaires", "titulaire_id"), ("compte_titulaires", "id")) for kind in ("unique", "not_null")],
+    *[("not_null", f"raw_{t}", c, {}) for t, c in (
+        ("fx_rates", "date_cotation"), ("transactions", "tenant_id"), ("compte_titulaires", "compte_id"),
+        ("compte_titulaires", "titulaire_id"))],
+    ("relationships", "raw_transactions", "tenant_id", {"to": "raw_tenants", "field": "tenant_id"})]
+SOURCES = ("tenants", "categories", "fx_rates", "comptes", "transactions", "virements", "titulaires", "compte_titulaires")
+FRESH_HOURS = {"comptes": (12, 48), "transactions": (2, 6)}
+OTHER_FRESH_HOURS = (6, 24)
+
+
+class Sources:
+    """The raw tables by their source names."""
+
+    def __init__(self, w: Warehouse):
+        for t in SOURCES:
+            setattr(self, f"raw_{t}", w.raw_transactions if t == "transactions" else getattr(w.raw, t)())
+
+
+def source_checks(w: Warehouse) -> list[Check]:
+    return _checks(Sources(w), SOURCE_TESTS)
+
+
+def source_freshness(w: Warehouse):
+    """One row per source with its age and status."""
+    as_of = f"{w.params.as_of} 00:00:00"
+    own = Sources(w)
+    parts = [Q.freshness(getattr(own, f"raw_{t}"), "_loaded_at", as_of, *FRESH_HOURS.get(t, OTHER_FRESH_HOURS), f"raw_{t}")
+             for t in SOURCES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def test_name(kind: str, model: str, col: str) -> str:
     return f"{kind}_{model}_{col}"
 
@@ -90,8 +128,12 @@ def _predicate(kind: str, col: str, args: dict):
 
 
 def reference_checks(w: Warehouse) -> list[Check]:
+    return _checks(w, TESTS)
+
+
+def _checks(w, tests: list[tuple[str, str, str, dict]]) -> list[Check]:
     out = []
-    for k, m, c, a in TESTS:
+    for k, m, c, a in tests:
         pred = _predicate(k, c, a)
         out.append(Check(test_name(k, m, c), m, c,
                          (lambda k=k, m=m, c=c, a=a: _failing(w, k, m, c, a)),

@@ -98,6 +98,17 @@ def load_history(flagged: DataFrame, load_ts: Column) -> DataFrame:
                     load_ts.alias("last_load_time"))
 
 
+def append_history(history: DataFrame, table: str, path: str) -> None:
+    """Append a load's history to the history table."""
+    history.select(F.lit(table).alias("table_name"), "*").write.mode("append").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str, failed: bool = False) -> DataFrame:
+    """The history table, newest load first."""
+    rows = spark.read.parquet(path)
+    return (failed_only(rows) if failed else rows).orderBy(F.col("last_load_time").desc(), "table_name", "file_name")
+
+
 def failed_only(history: DataFrame) -> DataFrame:
     """A7 ``RETURN_FAILED_ONLY``: files with at least one rejected record."""
     return history.where(F.col("error_count") > 0)

@@ -23,3 +23,28 @@ def test_run_pipeline_twice(spark):
     fact = spark.read.parquet(f"{out}/fct_transactions")
     assert fact.count() == n1 == w.fct_transactions.count()
     assert fact.select("transaction_id").distinct().count() == n1
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_run_stores_history_transfers_and_audit(spark):
+    """What the run keeps: snapshot and SCD2, merged transfers, audit rows,
+    source checks; and the same rows after a run that brings nothing new."""
+    from ledgerline.plans.pipeline import run_pipeline
+    from ledgerline.plans.warehouse import Warehouse
+    from ledgerline.session import scratch_dir
+    from ledgerline.sources import tables
+    from ledgerline.sources.adapters import RawTables
+    out = scratch_dir(spark, f"test-pipeline-{uuid.uuid4().hex[:8]}")
+    w = Warehouse(RawTables(spark, SF))
+    run_pipeline(w, out)
+    names = ("snapshot_comptes", "dim_comptes_scd2", "fct_virements", "stg_transactions", "fct_transactions_v2")
+    first = {n: tables.read_table(spark, f"{out}/{n}").count() for n in names}
+    assert first["snapshot_comptes"] == w.raw.comptes().count()
+    assert first["fct_virements"] == w.fct_virements.count() and first["stg_transactions"] == w.stg_transactions.count()
+    run_pipeline(Warehouse(RawTables(spark, SF)), out, run_id="again")
+    assert first == {n: tables.read_table(spark, f"{out}/{n}").count() for n in names}
+    audit = {(r["run_id"], r["model"], r["phase"]): r["row_count"] for r in spark.read.parquet(f"{out}/run_audit").collect()}
+    assert audit["run", "fct_virements", "pre"] is None
+    assert audit["again", "fct_virements", "pre"] == audit["again", "fct_virements", "post"] == first["fct_virements"]
+    assert tables.read_table(spark, f"{out}/source_tests").count() == 17
+    assert tables.read_table(spark, f"{out}/source_freshness").count() == 8
