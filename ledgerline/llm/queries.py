@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (decontam, html_extract, mixing, pii, quality_rules, secret_scan, simhash, token_output, warc,
+from ledgerline.llm import (decontam, html_extract, mixing, oracle, pii, quality_rules, secret_scan, simhash, token_output, warc,
                             weak_label)
 from ledgerline.llm.common import read_table
 
@@ -68,4 +68,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express a query; the others are tested by brute force."""
+    return {"op2_decontamination": oracle.CONTAMINATION, "op4_warc_archives": oracle.ARCHIVES,
+            "op3_quality_rules": oracle.quality(quality_rules.RULES, quality_rules.SKETCH_BITS, 200, 3)}
