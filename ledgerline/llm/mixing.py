@@ -15,7 +15,7 @@ at which the rest fits).
 DataFrame functions only. Scale: the texts are read once, for the word counts;
 everything after that handles rows of a few numbers. Running sums never need a
 source, or the order, in one task: the shuffled order and the finish times are
-cut into as many ranges as keep a few thousand rows each, sums per range are
+cut into as many ranges as keep a thousand or so rows each, sums per range are
 aggregated first, and a window runs only inside one range of one source. Only
 the sums per range and per source meet in a window without rows of documents.
 
@@ -34,7 +34,7 @@ from ledgerline.llm.common import free_name, quoted, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
-RANGE_ROWS = 4096
+RANGE_ROWS = 1024
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
