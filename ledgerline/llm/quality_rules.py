@@ -35,7 +35,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 SKETCH_BITS = 5
 #: Features with fences: name, whether a low value also rejects, smallest spread.
 RULES = (("symbol_rate", False, 100), ("repeat_rate", False, 130), ("dup_line_rate", False, 200),
-         ("word_length", True, 400))
+         ("word_length", True, 700))
 FEATURES = T.StructType([T.StructField(n, T.LongType()) for n in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")])
 
@@ -149,13 +149,13 @@ def thresholds(sketch: DataFrame, min_docs: int = 200, reach: int = 3) -> DataFr
         *[F.max(F.when(F.col("feature") == name, F.col("q1") - gap * reach)).alias(f"{name}_low")
           for name, low, _ in RULES if low])
     limits = [f"{name}_high" for name, _, _ in RULES] + [f"{name}_low" for name, low, _ in RULES if low]
-    at = lambda k, a: fences.where(F.col("level") == k).select(
-        F.col("lang").alias(f"lang{a}"), F.col("source").alias(f"source{a}"),
-        F.struct("total", *limits).alias(f"f{a}"))
-    joined = (at(2, 2).join(at(1, 1), F.col("lang2").eqNullSafe(F.col("lang1")), "left")
-              .join(at(0, 0), F.col("source0").eqNullSafe(F.lit(None).cast("string")), "left"))  # level 0: one row
-    pick = (F.when(F.col("f2.total") >= min_docs, F.col("f2"))
-            .when(F.col("f1.total") >= min_docs, F.col("f1")).otherwise(F.col("f0")))
+    fences = stored(fences, "fences")
+    at = lambda k: fences.where(F.col("level") == k).select(
+        F.col("lang").alias(f"lang{k}"), F.col("source").alias(f"source{k}"), F.struct("total", *limits).alias(f"f{k}"))
+    joined = at(2).join(at(1), F.col("lang2").eqNullSafe(F.col("lang1")), "left")
+    corpus = at(0).select("f0.*").first()  # one row; none of an empty corpus
+    f0 = F.struct(*[F.lit(corpus[c] if corpus else None).cast("long").alias(c) for c in ("total", *limits)])
+    pick = F.when(F.col("f2.total") >= min_docs, F.col("f2")).when(F.col("f1.total") >= min_docs, F.col("f1")).otherwise(f0)
     return joined.select(F.col("lang2").alias("lang"), F.col("source2").alias("source"), pick.alias("f")) \
         .select("lang", "source", "f.*")
 
