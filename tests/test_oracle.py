@@ -4,15 +4,14 @@ import os
 
 import pytest
 
+from ledgerline.plans import registry
+
 SF = "/root/testdata/sf0.001"
-QUICK = ["stg_transactions", "int_fx_rates_daily", "dim_categories", "fct_transactions",
-         "fct_virements", "mart_tenant_kpis_daily", "mart_solde_journalier", "mart_reconciliation",
-         "mart_cohortes_retention", "merge_upsert", "merge_lookback", "snapshot_three_runs",
-         "anomaly_zscore", "dq_suite", "bridge_comptes_titulaires", "holder_allocation"]
+EVERY = sorted(registry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", EVERY)
 def test_query_matches_oracle(spark, name):
     import __spark_entry__ as E
     from tools.oracle_check import compare, duck_conn
