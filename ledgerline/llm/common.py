@@ -44,7 +44,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     it is under the session's threshold."""
     spark = df.sparkSession
     path = scratch_path(spark, name) + "/table"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -31,10 +31,12 @@ of their ids' checksums; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +52,14 @@ MAGIC = b"LLTOKS1\n"
 END_ID = 2
 SHARD_IDS = 16_000_000
 BLOCK_IDS = 2_000_000
-CACHED_PARTS = 500_000
+CACHED_PARTS = 400_000
+SLICE_BYTES = 8 << 20
+#: Words that are one piece: letters that every Unicode version knows as such.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: The byte-level alphabet: printable bytes stand for themselves, the others
+#: follow from code point 256 on.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 def _state() -> types.ModuleType:
@@ -68,6 +77,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.parts: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.marker = "<|endoftext|>" if self.tokenizer.token_to_id("<|endoftext|>") is not None else None
 
     @staticmethod
@@ -84,6 +95,8 @@ class Encoder:
     def _fresh(self, parts: list[str]) -> list[bytes]:
         """Ids of texts that begin with a space or stand alone; many go to the
         library in one call, apart by a token that none of them holds."""
+        if not parts:
+            return []
         if self.marker is None or any("<|" in x for x in parts):
             return self.whole(parts)
         end = self.tokenizer.token_to_id(self.marker)
@@ -98,21 +111,58 @@ class Encoder:
             out += [row[a:b].tobytes() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
         return out
 
-    def _look_up(self, parts: list[str], lead: str) -> list[bytes]:
-        found = list(map(self.parts.get, parts)) if lead else [None] * len(parts)
+    def _piece(self, word: str) -> bytes:
+        """Ids of a word of letters behind a space: one piece of the byte-level
+        pattern, so the library's model takes it without the splitting."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LEVEL)
+        ids = array(self.dtype.char, [x.id for x in self.model.tokenize("\u0120" + word)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _look_up(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that stand behind a space. Letters and the marks behind
+        them are pieces of their own, so a word is encoded once, whatever
+        mark follows it."""
+        found = list(map(self.parts.get, parts))
         missing = [k for k, x in enumerate(found) if x is None]
-        if missing:
-            fresh = self._fresh([lead + parts[k] for k in missing])
-            room = CACHED_PARTS - len(self.parts) if lead else 0
-            for n, (k, ids) in enumerate(zip(missing, fresh, strict=True)):
-                found[k] = ids
-                if n < room:
-                    self.parts[parts[k]] = ids
+        if not missing:
+            return found
+        known, tails, other = self.parts, self.tails, []
+        for k in missing:
+            core, tail = parts[k], b""
+            word = core.rstrip(".,;:!?")
+            if len(word) < len(core) and word.isalpha():
+                marks = core[len(word):]
+                if marks not in tails:
+                    tails[marks] = self.whole([marks])[0]
+                core, tail = word, tails[marks]
+            ids = known.get(core)
+            if ids is None:
+                if not PLAIN.fullmatch(core):
+                    other.append((k, core, tail))
+                    continue
+                ids = self._piece(core)
+                if len(known) < CACHED_PARTS:
+                    known[core] = ids
+            found[k] = ids + tail
+        for (k, core, tail), ids in zip(other, self._fresh([" " + x for _, x, _ in other]), strict=True):
+            found[k] = ids + tail
+            if len(known) < CACHED_PARTS:
+                known[core] = ids
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text (null: none), as bytes."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        """The ids of each text (null: none), as bytes. Works through the
+        texts some ``SLICE_BYTES`` at a time, which bounds the memory of a
+        batch (one longer text is a slice of its own)."""
+        bounds = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(bounds)) + 1).tolist(), len(texts)]
+        return [x for a, b in zip(cuts, cuts[1:], strict=False) for x in self._encode(texts.slice(a, b - a))]
+
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] ").to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
         if odd.any():
@@ -127,21 +177,22 @@ class Encoder:
         flat = split.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets = offsets - offsets[0]
         coded = flat.dictionary_encode()
-        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         firsts = flat.take(pa.array(offsets[:-1])).dictionary_encode()
-        known = self._look_up(coded.dictionary.to_pylist(), " ")
+        known = self._look_up(coded.dictionary.to_pylist())
         number[offsets[:-1]] = len(known) + firsts.indices.to_numpy(zero_copy_only=False)
-        known += self._look_up(firsts.dictionary.to_pylist(), "")
+        known += self._fresh(firsts.dictionary.to_pylist())
         width = self.dtype.itemsize
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // width
-        begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // width
+        begins = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32)[:-1])).astype(np.int32)
         table = np.frombuffer(b"".join(known), self.dtype)
-        upto = np.concatenate(([0], np.cumsum(sizes[number])))
+        upto = np.concatenate(([0], np.cumsum(sizes[number], dtype=np.int32))).astype(np.int32)
         for k in range(0, len(plain), 256):  # bounded memory: some documents at a time
             a, b = offsets[k], offsets[min(k + 256, len(plain))]
             own = number[a:b]
             shift = np.repeat(begins[own] - (upto[a:b] - upto[a]), sizes[own])
-            ids = table[shift + np.arange(len(shift))]
+            shift += np.arange(len(shift), dtype=np.int32)
+            ids = table[shift]
             at = upto[offsets[k:min(k + 256, len(plain)) + 1]] - upto[a]
             for i, x, y in zip(plain[k:k + 256].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
                 out[i] = ids[x:y].tobytes()
@@ -212,8 +263,9 @@ def id_counts(tokens: DataFrame, dtype: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
+            column = batch.column(0)
+            for k in range(0, len(column), 512):
+                own = np.bincount(np.frombuffer(b"".join(column.slice(k, 512).to_pylist()), dtype))
                 if len(own) > len(total):
                     total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
                 total[:len(own)] += own
