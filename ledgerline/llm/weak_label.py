@@ -114,28 +114,42 @@ class Hasher:
     """Hashed features of texts: per word the slots of the word and its shape,
     and of the shape pair that it ends; a word equal to the last has its own."""
 
-    def __init__(self):
-        self.known: dict[bytes, tuple[int, int]] = {}
+    ROOM = 500_000  # different words kept at a time
 
-    def _slots(self, word: bytes) -> tuple[int, int]:
-        got = self.known.get(word)
-        if got is None:
-            shape = zlib.crc32(shape_of(word), 7) % DIMS
-            got = (zlib.crc32(word.lower()) % DIMS, shape)
-            if len(self.known) < 500_000:
-                self.known[word] = got
-        return got
+    def __init__(self):
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.table = np.zeros((2, 1024), np.int64)
+
+    def _learn(self, words: set[bytes]) -> None:
+        fresh = [w for w in words if w not in self.number]
+        if len(self.number) + len(fresh) > self.ROOM:
+            self._clear()
+            fresh = list(words)
+        start = len(self.number)
+        while start + len(fresh) > self.table.shape[1]:
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)), axis=1)
+        for k, w in enumerate(fresh, start):
+            self.number[w] = k
+            self.table[:, k] = zlib.crc32(w.lower()) % DIMS, zlib.crc32(shape_of(w), 7) % DIMS
 
     def slots(self, text: bytes | None) -> np.ndarray:
         """(3, n) slots of a text's n words."""
         words = (text or b"").split()
         if not words:
             return np.zeros((3, 0), np.int64)
-        first = np.array([self._slots(w) for w in words], np.int64).T
-        last = np.concatenate(([0], first[1][:-1]))
-        same = np.concatenate(([False], first[0][1:] == first[0][:-1]))
-        pairs = (last * 31 + first[1] * 17 + 5) % (DIMS - 1)
-        return np.stack([first[0], first[1], np.where(same, DIMS - 1, pairs)])
+        try:
+            ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            self._learn(set(words))
+            ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        own, shape = self.table[:, ids]
+        last = np.concatenate(([0], shape[:-1]))
+        same = np.concatenate(([False], own[1:] == own[:-1]))
+        pairs = (last * 31 + shape * 17 + 5) % (DIMS - 1)
+        return np.stack([own, shape, np.where(same, DIMS - 1, pairs)])
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 6, rate: float = 2.0) -> np.ndarray:
