@@ -6,7 +6,10 @@ with their class names, digits made alike. Spark counts the votes of each
 host. Second pass: every page is read again and the containers at its host's
 winning path are its main text; a page without such a container keeps its own
 best one. So a page whose menu or comments outweigh its article follows the
-other pages of its host.
+other pages of its host. Noisy names (sidebar, widget), forms and roles drop an
+element, but not one around the page's article, nor those that hold most of the
+page's text outside of links; navigation, footers, asides and hidden elements
+always go.
 
 Scale: the votes are aggregated map-side to one row per host and path; the
 winners (one row per host) are written, and the planner broadcasts them while
@@ -33,7 +36,8 @@ from ledgerline.llm.common import stored
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute: its whole name, then its value; what stands in a value is no name.
+ATTRIBUTE = re.compile(r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noframes noembed".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
@@ -44,23 +48,51 @@ BLOCK = frozenset("address article aside blockquote center details dialog dir di
 #: An opening tag that closes a sibling left open.
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
-DROPPED = frozenset("nav header footer aside form button select menu svg math object audio video canvas dialog "
+DROPPED = frozenset("nav header footer aside button select menu svg math object audio video canvas dialog "
                     "fieldset input datalist head".split())
 #: Parts of class names and ids that mark what is no article text.
 NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav "
                   "navbar navigation breadcrumb breadcrumbs sidebar sidebars footer masthead cookie cookies consent "
                   "notice notices popup modal newsletter subscribe signup share sharing social related recommended "
                   "comment comments disqus replies reply widget toolbar pager pagination paywall".split())
+#: Of these, what can outweigh an article without being one, whatever else is in the name.
+TALK = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent "
+                 "notice notices popup modal newsletter subscribe comment comments disqus replies reply".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 ARTICLE = ("article", "main")
+#: Elements that hold text but are no containers.
+LEAF = INLINE | frozenset("p li h1 h2 h3 h4 h5 h6 pre dd dt blockquote".split())
 
 
 class Node:
-    __slots__ = ("article", "dropped", "link", "path", "score", "tag", "text")
+    """``gone``: inside of what is always dropped; ``noise``: the marks of its
+    own for which it would be dropped; ``dropped``: what ``settle`` decides."""
 
-    def __init__(self, tag: str, path: str, dropped: bool, link: bool, article: Node | None):
-        self.tag, self.path, self.dropped, self.link, self.article = tag, path, dropped, link, article
-        self.score, self.text = 0.0, []
+    __slots__ = ("article", "dropped", "gone", "link", "main", "noise", "parent", "path", "score", "tag")
+
+    def __init__(self, tag: str, path: str, parent: Node | None, gone: bool, link: bool, article: Node | None, noise: tuple):
+        self.tag, self.path, self.parent, self.gone, self.link, self.article = tag, path, parent, gone, link, article
+        self.noise, self.main, self.dropped, self.score = noise, False, gone, 0.0
+
+    def up(self) -> Iterator[Node]:
+        """The node and what it is in, outwards."""
+        node = self
+        while node is not None:
+            yield node
+            node = node.parent
+
+
+def attributes(tag: str) -> dict[str, str]:
+    """The attributes of an opening tag; of a repeated name the first counts."""
+    values: dict[str, str] = {}
+    for a in ATTRIBUTE.findall(tag):
+        values.setdefault(a[0].lower(), a[1] or a[2] or a[3])
+    return values
+
+
+def hidden(values: dict[str, str]) -> bool:
+    return ("hidden" in values or values.get("aria-hidden", "").strip().lower() == "true"
+            or re.search(r"visibility\s*:\s*hidden", values.get("style", ""), re.I) is not None)
 
 
 def step_of(tag: str, names: str) -> str:
@@ -69,37 +101,38 @@ def step_of(tag: str, names: str) -> str:
     return ".".join([tag, *classes])
 
 
-def noisy(names: str, role: str, inside: bool) -> bool:
-    """Whether class names, id or role mark what is no article text; a header
-    by name counts only outside of an article."""
-    parts = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", names).lower()))
-    return role in ROLES or not NOISE.isdisjoint(parts) or ("header" in parts and not inside)
+def words_of(name: str) -> set[str]:
+    return set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
 
 
-def parse(page: str, keep) -> list[Node]:
-    """The containers of a page, in order, with their scores. ``keep(node,
-    stack, piece, first)``: gets every piece of text outside of what is
-    dropped; piece None: a break between blocks."""
-    root = Node("#root", "", False, False, None)
-    stack, nodes, at = [root], [root], 0
-    run = link = 0  # characters of the block at hand
+def noise_of(names: str, own_id: str, role: str, inside: bool) -> tuple:
+    """The class names (``.x``), id (``#x``) and role (``@x``) that mark what
+    is no article text; a header by name counts only outside of an article."""
+    marks = [f"{kind}{x}" for kind, value in ((".", names), ("#", own_id)) for x in value.split()
+             if not NOISE.isdisjoint(parts := words_of(x)) or ("header" in parts and not inside)]
+    return (*marks, f"@{role}") if role in ROLES else tuple(marks)
 
-    def flush() -> None:
-        nonlocal run, link
-        if run:
-            weight = max(0, run - 2 * link)
-            holders = [x for x in stack if x.tag not in INLINE and x.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5",
-                                                                                 "h6", "pre", "dd", "dt", "blockquote")]
-            for share, holder in zip((1.0, 0.5, 0.25), holders[::-1], strict=False):
-                holder.score += weight * share
-        run = link = 0
+
+def weak(mark: str) -> bool:
+    """Whether a mark may well be that of a wrapper: a form, or a noisy word
+    as a part of a longer name (has-sidebar)."""
+    parts = words_of(mark[1:]) - {""}
+    return mark == "form" or (mark[0] != "@" and not parts <= NOISE and TALK.isdisjoint(parts))
+
+
+def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
+    """The elements of a page in order, and its text in order: (node, piece)
+    outside of what is always dropped; piece '' a break, None the end of a
+    block."""
+    root = Node("#root", "", None, False, False, None, ())
+    stack, nodes, at = [root], [root], 0
+    told: list[tuple[Node, str | None]] = []
 
     def close(tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == tag:
                 if any(x.tag not in INLINE for x in stack[k:]):
-                    flush()
-                    keep(None, stack)
+                    told.append((stack[-1], None))
                 del stack[k:]
                 return
 
@@ -107,12 +140,8 @@ def parse(page: str, keep) -> list[Node]:
     while at < end:
         m = TOKEN.search(page, at)
         piece = page[at:m.start()] if m else page[at:]
-        if piece and not stack[-1].dropped:
-            own = entities.unescape(piece)
-            n = len(own.strip())
-            run += n
-            link += n * stack[-1].link
-            keep(own, stack)
+        if piece and not stack[-1].gone:
+            told.append((stack[-1], entities.unescape(piece)))
         if not m:
             break
         at = m.end()
@@ -121,14 +150,11 @@ def parse(page: str, keep) -> list[Node]:
             continue
         if m[1]:
             if tag == "p" and not any(x.tag == "p" for x in stack):
-                keep(None, stack)
+                told.append((stack[-1], ""))
             close(tag)
             continue
-        top = stack[-1]
         if tag == "br" or tag in BLOCK or tag in SIBLING:
-            if tag != "br":
-                flush()
-            keep(None, stack)
+            told.append((stack[-1], "" if tag == "br" else None))
         if tag in VOID:
             continue
         if tag in RAW:
@@ -140,65 +166,134 @@ def parse(page: str, keep) -> list[Node]:
             continue
         if tag in BLOCK and any(x.tag == "p" for x in stack):
             close("p")
-            top = stack[-1]
         for sibling in SIBLING.get(tag, ()):
             for x in stack[:0:-1]:
                 if x.tag == sibling:
                     close(sibling)
                 if x.tag in ("ul", "ol", "dl", "table", "select", sibling):
                     break
-            top = stack[-1]
+        top = stack[-1]
         if m[3].endswith("/") and tag not in BLOCK and tag not in INLINE:
             continue
-        values = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m[3])}
-        names = values.get("class", "")
-        drop = (top.dropped or tag in DROPPED or "hidden" in values
-                or (tag not in ("html", "body", *ARTICLE) and noisy(
-                    f"{names} {values.get('id', '')}", values.get("role", "").lower(), top.article is not None)))
-        path = top.path if tag in INLINE else f"{top.path}>{step_of(tag, names)}"
-        node = Node(tag, path, drop, top.link or tag == "a", top.article)
-        if node.article is None and not drop and (tag in ARTICLE or values.get("role") == "main"):
-            node.article = node
+        values = attributes(m[3]) if m[3] else {}
+        names, role = values.get("class", ""), values.get("role", "").strip().lower()
+        gone = top.gone or tag in DROPPED or (bool(values) and hidden(values))
+        chief = tag in ARTICLE or role == "main"
+        noise: tuple = ()
+        named = noise_of(names, values.get("id", ""), role, top.article is not None) if values and not gone else ()
+        if not chief and not gone and tag not in ("html", "body"):
+            noise = (*named, "form") if tag == "form" else named
+        node = Node(tag, top.path if tag in INLINE else f"{top.path}>{step_of(tag, names)}", top, gone,
+                    top.link or tag == "a", top.article, noise)
+        if chief and not gone:
+            node.main = tag != "article" or not named
+            node.article = node.article or node
         stack.append(node)
-        if tag not in INLINE and not drop:
-            nodes.append(node)
-    flush()
-    return nodes
+        nodes.append(node)
+    told.append((stack[-1], None))
+    return nodes, told
+
+
+def settle(nodes: list[Node], told: list, path: str | None = None) -> None:
+    """Decides what is dropped: what has a noisy mark. On a page whose article
+    would go with it, an element around that article stays, and so do the
+    elements with a mark that together hold most of the page's text outside
+    of links (if the mark isn't ``weak``: and little of it is elsewhere). The
+    marks that the host's ``path`` names don't count on the way to it."""
+    for n in nodes:
+        n.dropped = n.gone
+    if not any(n.noise for n in nodes):
+        return
+    marks: dict[Node, frozenset] = {}
+    for n in nodes:
+        around = marks[n.parent] if n.parent else frozenset()
+        marks[n] = around.union(n.noise) if n.noise else around
+    total = live = 0
+    held: dict[str, int] = {}
+    articles: dict[Node, int] = {}
+    for n, piece in told:
+        if piece and not n.link and (size := len(piece.strip())):
+            total += size
+            live += size * (not marks[n])
+            for mark in marks[n]:
+                held[mark] = held.get(mark, 0) + size
+            if n.article:
+                articles[n.article] = articles.get(n.article, 0) + size
+    chief = [n for n in nodes if n.main and not n.gone and n.article is n and articles.get(n)]
+    cleared: set[str] = set()
+    if all(marks[n] for n in chief):  # no article that stays anyway
+        cleared = {x for x, size in held.items() if size * 2 > total and (weak(x) or live * 10 < total)}
+        chief = [n for n in chief if n.tag != "article" or articles[n] > live]
+    else:
+        chief = []
+    spared = {x for n in chief for x in n.up()}
+    for n in nodes[1:]:
+        own = [x for x in n.noise if x not in cleared] if n not in spared else []
+        if own and path is not None and n.tag not in INLINE and (path == n.path or path.startswith(f"{n.path}>")):
+            own = [x for x in own if x[0] in "#@"]
+        n.dropped = n.gone or n.parent.dropped or bool(own)
+
+
+def rate(told: list) -> None:
+    """Scores the containers by the blocks of text in them."""
+    run = link = 0
+    for n, piece in told:
+        if piece:
+            if not n.dropped:
+                size = len(piece.strip())
+                run += size
+                link += size * n.link
+        elif piece is None and run:
+            holders = (x for x in n.up() if x.tag not in LEAF)
+            weight = max(0, run - 2 * link)
+            for share, holder in zip((1.0, 0.5, 0.25), holders, strict=False):
+                holder.score += weight * share
+            run = link = 0
+
+
+def best_node(page: tuple) -> Node:
+    """A settled page's best container; the article that it is in, if there is one."""
+    nodes, told = page
+    rate(told)
+    best = max((n for n in nodes if n.tag not in INLINE and not n.dropped), key=lambda n: n.score)
+    return best.article or best
 
 
 def best_container(page: str) -> tuple[str, float]:
-    """The path and the score of a page's best container; the article that
-    the container is in, if there is one."""
-    nodes = parse(page, lambda *_: None)
-    best = max(nodes, key=lambda n: n.score)
-    whole = best.article or best
-    return whole.path, best.score
-
-
-def text_at(page: str, path: str) -> str | None:
-    """The text of the containers at ``path``; None if there is none."""
-    pieces: list[str] = []
-    seen = False
-
-    def keep(piece: str | None, stack: list[Node]) -> None:
-        nonlocal seen
-        if path == "" or any(n.path == path for n in stack):
-            seen = True
-            pieces.append(" " if piece is None else piece)
-
-    nodes = parse(page, keep)
-    if not seen and not any(n.path == path for n in nodes):
-        return None
+    """The path and the score of a page's best container."""
+    nodes, told = parse(page)
+    settle(nodes, told)
+    whole = best_node((nodes, told))
+    return whole.path, max(n.score for n in nodes)
+
+
+def joined_text(pieces: list[str]) -> str:
     return " ".join("".join(pieces).split())
 
 
+def text_under(page: tuple, path: str) -> str | None:
+    """The text of a settled page's containers at ``path``; None if there is none."""
+    nodes, told = page
+    inside: dict[Node, bool] = {}
+    for n in nodes:
+        inside[n] = n.path == path or (n.parent is not None and inside[n.parent])
+    if not any(inside[n] and not n.dropped for n in nodes):
+        return None
+    return joined_text([piece or " " for n, piece in told if inside[n] and not (piece and n.dropped)])
+
+
 def main_text(page: str | None, path: str | None) -> str:
     """The text at the host's path, else at the page's own best container."""
     if not page:
         return ""
-    text = text_at(page, path) if path is not None else None
+    parsed = parse(page)
+    text = None
+    if path is not None:
+        settle(*parsed, path)
+        text = text_under(parsed, path)
     if not text:
-        text = text_at(page, best_container(page)[0])
+        settle(*parsed)
+        text = text_under(parsed, best_node(parsed).path)
     return text or ""
 
 

@@ -87,6 +87,49 @@ def test_main_text_of_a_page():
     html_extract.main_text("<div " * 2000 + "<p>x" + "<b>" * 2000, None)
 
 
+WORDS = "the words of the article " * 8
+AROUND = [
+    '<div style="overflow:hidden">%s</div>', '<div aria-hidden="false">%s</div>', '<div data-x="a hidden id=menu">%s</div>',
+    '<div title="class=sidebar">%s</div>', '<div class="page has-sidebar">%s<div class="sidebar">side</div></div>',
+    '<div class="page has-sidebar"><article>%s</article><div class="sidebar">side</div></div>',
+    '<div class="elementor-widget-container">%s</div>', '<form action="/default.aspx"><input>%s</form>',
+    '<div class="widget-area"><main>%s</main></div>', '<div id="page-with-banner">%s</div>',
+    '<div class="social">%s</div><section class="comments"><p>nice</p></section>']
+
+
+@pytest.mark.parametrize("around", AROUND)
+def test_wrappers_are_not_dropped(around):
+    page = f"<body><nav>menu</nav>{around % f'<h1>Head</h1><p>{WORDS}</p>'}</body>"
+    path, score = html_extract.best_container(page)
+    assert score > 0 and html_extract.main_text(page, path) == html_extract.main_text(page, None) == f"Head {WORDS.strip()}"
+
+
+def test_noise_still_goes():
+    body = f"<div class='text'><p>{WORDS}</p></div>"
+    for noise in ("<p hidden>no</p>", "<div aria-hidden='true'>no</div>", "<div class='sidebar'>no</div>", "<form>no</form>",
+                  "<div role='dialog'>no</div>", "<div id='comments'><article><p>no</p></article></div>",
+                  f"<div class='comments'><p>{WORDS * 3}</p></div>", f"<nav>{WORDS * 3}</nav>", f"<p hidden>{WORDS * 3}</p>"):
+        for page in (body + noise, noise + body, f"<div class='text'><p>{WORDS}</p>{noise}</div>"):
+            assert html_extract.main_text(f"<body>{page}</body>", None) == WORDS.strip(), noise
+
+
+def test_widgets_share_an_article():
+    """Each widget has less than half of the text; all of them have it all."""
+    widget = "<div class='elementor-widget'><div class='elementor-widget-container'><p>%s</p></div></div>"
+    page = f"<body><div class='elementor-widget-wrap'>{''.join(widget % (w * 30) for w in ('a ', 'b ', 'c '))}</div></body>"
+    path = html_extract.best_container(page)[0]
+    assert html_extract.main_text(page, path).split() == ["a"] * 30 + ["b"] * 30 + ["c"] * 30
+
+
+def test_a_short_article_follows_its_host(spark):
+    """The noisy wrapper on the host's path counts as the article's, also on a page where comments have more text."""
+    page = "<body><div class='post has-sidebar'><p>%s</p></div><div class='comments'><p>%s</p></div></body>"
+    rows = [(k, f"http://h.example/{k}", page % (WORDS, "nice")) for k in range(3)]
+    rows.append((9, "http://h.example/9", page % ("short article", WORDS * 3)))
+    found = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {0: WORDS.strip(), 1: WORDS.strip(), 2: WORDS.strip(), 9: "short article"}
+
+
 def test_hosts_agree(spark):
     """A page whose aside is longer than its article follows its host."""
     page = "<html><body><div class='text'><p>%s</p></div><div class='extra'><p>%s</p></div></body></html>"
