@@ -1,8 +1,10 @@
 """Main text by consensus host paths (operator 7).
 
 First pass: each page's containers are scored by the text they hold outside of
-links, and the page votes for the path of its best one: the tags from the root
-with their class names, digits made alike. Spark counts the votes of each
+links. The page votes for the article that the best one is in; without one, for
+the lowest container that also holds the headings and text next to the best
+one. A vote is a path: the tags from the root with their class names, digits
+made alike. Spark counts the votes of each
 host. Second pass: every page is read again and the containers at its host's
 winning path are its main text; a page without such a container keeps its own
 best one. So a page whose menu or comments outweigh its article follows the
@@ -61,6 +63,7 @@ TALK = frozenset("ad ads advert adverts advertisement advertising sponsor sponso
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 ARTICLE = ("article", "main")
 #: Elements that hold text but are no containers.
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAF = INLINE | frozenset("p li h1 h2 h3 h4 h5 h6 pre dd dt blockquote".split())
 
 
@@ -251,16 +254,72 @@ def rate(told: list) -> None:
             run = link = 0
 
 
+def whole_of(best: Node, nodes: list[Node], told: list) -> Node:
+    """The lowest container that also holds the headings and the text blocks
+    next to ``best``, as far as these have no more links than an article.
+
+    Going outwards, a level counts if it adds a heading, or text; text in the
+    body or beside navigation or the like counts from a tenth of what is there.
+    Blocks of links may come along only if they are less than what is won."""
+    plain, linked, head, own = ({n: 0 for n in nodes} for _ in range(4))
+    for n, piece in told:
+        if piece and not n.dropped:
+            size = len(piece.strip())
+            (linked if n.link else plain)[n] += size
+            own[n] += size * (not n.link)
+    place = {n: k for k, n in enumerate(nodes)}
+    outer = set(best.up())
+    children: dict[Node, list[Node]] = {n: [] for n in outer}
+    for n in nodes[:0:-1]:
+        if n.tag in HEADING:
+            head[n] = plain[n]
+        plain[n.parent] += plain[n]
+        linked[n.parent] += linked[n]
+        head[n.parent] += head[n]
+        if n.parent in outer:
+            children[n.parent].append(n)
+    chosen = last = best
+    won = title = links = 0  # since the chosen one: characters of text, of headings, of blocks of links
+    bounded = False  # whether a level since then is one of the page's layout
+    for level in best.up():
+        if level is best:
+            continue
+        page_wide = level.tag in ("#root", "html", "body")
+        bounded = bounded or page_wide or any(n.noise or n.tag in ("nav", "header", "footer", "aside")
+                                              for n in children[level] if n.dropped)
+        most = max(0.25, 2 * linked[chosen] / max(1, plain[chosen] + linked[chosen]))
+        won += own[level]
+        for n in children[level]:
+            size = plain[n] + linked[n]
+            if n is last or n.dropped or not size:
+                continue
+            before = place[n] < place[last]
+            if n.tag in HEADING and (plain[n] or not page_wide) and (before or not page_wide):
+                title += size
+            elif linked[n] > most * size:
+                links += size
+            elif before and head[n] * 2 >= size:
+                title += size
+            else:
+                won += plain[n]
+        last = level
+        enough = title or (won * 10 >= plain[chosen] if bounded else won)
+        spare = 0 if page_wide else plain[chosen] / 10
+        if enough and links <= won + title + spare and level.tag not in LEAF:
+            chosen, won, title, links, bounded = level, 0, 0, 0, False
+    return chosen
+
+
 def best_node(page: tuple) -> Node:
-    """A settled page's best container; the article that it is in, if there is one."""
+    """A settled page's main container: the article that its best one is in, else what is whole around that."""
     nodes, told = page
     rate(told)
     best = max((n for n in nodes if n.tag not in INLINE and not n.dropped), key=lambda n: n.score)
-    return best.article or best
+    return best.article or whole_of(best, nodes, told)
 
 
 def best_container(page: str) -> tuple[str, float]:
-    """The path and the score of a page's best container."""
+    """The path of a page's main container, and the score of the best one."""
     nodes, told = parse(page)
     settle(nodes, told)
     whole = best_node((nodes, told))

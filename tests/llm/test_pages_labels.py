@@ -130,6 +130,51 @@ def test_a_short_article_follows_its_host(spark):
     assert {r["page_id"]: r["text"] for r in found} == {0: WORDS.strip(), 1: WORDS.strip(), 2: WORDS.strip(), 9: "short article"}
 
 
+INTRO, BODY = "the intro of it " * 8, "many words of the body " * 20
+WHOLE = [
+    "<div class=post><h1>Head</h1><div class=intro>%s</div><div class=body>%s</div></div>",
+    "<div class=post><h1>Head</h1><div class=intro><p>%s</p></div><div class=wrap><div class=body><p>%s</p></div></div></div>",
+    "<h1>Head</h1><div class=intro>%s</div><div class=body>%s</div>",
+    "<div class=wrap><div class=top><h2>Head</h2></div><p>%s</p><div class=body><p>%s</p></div></div>",
+    "<div class=post><h1><a href=/1>Head</a></h1><div class=meta><a href=/a></a></div>%s<div class=body>%s</div></div>",
+    "<table><tr><td><h1>Head</h1><div>%s</div><div class=body>%s</div></td></tr></table>"]
+
+
+@pytest.mark.parametrize("template", WHOLE)
+def test_template_without_article(template):
+    """Heading and intro beside the container with most of the text stay; menus and their like don't come along."""
+    around = "<nav>menu</nav><div class='top'><a href='/'>Home</a> <a href='/x'>Other places of the site</a></div>%s<footer>me</footer>"
+    want = f"Head {INTRO}{BODY}".split()
+    for page in (f"<body>{template % (INTRO, BODY)}</body>", template % (INTRO, BODY)):
+        assert html_extract.main_text(page, html_extract.best_container(page)[0]).split() == want
+    if template.startswith(("<div", "<table")):
+        assert html_extract.main_text(f"<body>{around % (template % (INTRO, BODY))}</body>", None).split() == want
+
+
+def test_sections_and_short_ends_without_article():
+    parts = "".join(f"<div class=part><h2>Part {k}</h2><p>{BODY}</p></div>" for k in range(2))
+    page = f"<body><div class=post><h1>Head</h1>{parts}<div class=last>So it ends.</div></div></body>"
+    assert html_extract.main_text(page, None).split() == f"Head Part 0 {BODY} Part 1 {BODY} So it ends.".split()
+
+
+def test_links_and_small_texts_stay_out():
+    """Around the article there is nothing of it: no climb."""
+    links = "<a href='/x'>another story of this site</a> " * 5
+    for other in (f"<div class=more>{links}</div>", f"<h1><a href='/'>My site</a></h1><div class=more>{links}</div>",
+                  f"<h1>My site</h1><div class=more>{links}</div>", "<div class=end>All rights kept.</div>"):
+        for page in (f"<body>{other}<div class=text><p>{BODY}</p></div></body>",):
+            assert html_extract.main_text(page, None) == BODY.strip(), other
+
+
+def test_host_without_article(spark):
+    """The vote goes to the whole, and holds for the host's other pages."""
+    page = "<html><body><div class=post><h1>Head</h1><div class=intro>%s</div><div class=body>%s</div></div></body></html>"
+    rows = [(k, f"http://h.example/{k}", page % (INTRO, BODY)) for k in range(3)] + [(9, "http://h.example/9", page % (BODY, "x"))]
+    found = {r["page_id"]: r["text"].split() for r in html_extract.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {**{k: f"Head {INTRO}{BODY}".split() for k in range(3)}, 9: f"Head {BODY}x".split()}
+
+
 def test_hosts_agree(spark):
     """A page whose aside is longer than its article follows its host."""
     page = "<html><body><div class='text'><p>%s</p></div><div class='extra'><p>%s</p></div></body></html>"
