@@ -65,17 +65,19 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text",
+                 more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; and the longs ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fp = np.array([fingerprint(x, shingle) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *more])
 
-    rows = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), quoted(text))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), quoted(text), *more)
+    return rows.mapInArrow(run, ", ".join(f"{x} long" for x in ("doc_id", "fp", *more)))
 
 
 def position_sets(max_bits: int) -> list[tuple[int, ...]]:
@@ -169,13 +171,18 @@ def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFra
             .mapInArrow(search, "a long, b long"))
 
 
+def nameless(fp: str):
+    """The node of a class that no id names, beyond every id."""
+    return F.lit(1 << 62) + F.pmod(F.xxhash64(fp), F.lit(1 << 61))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
     """doc_id, fp (signed long) and component_id, one row per document."""
     marked = stored(fingerprints(docs, shingle), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("node"))
     # a class without a non-null id still has to be a node of its own: below every id
-    known = stored(classes.select("fp", F.col("node").alias("own"), F.coalesce(
-        "node", F.lit(1 << 62) + F.pmod(F.xxhash64("fp"), F.lit(1 << 61))).alias("node")), "classes")
+    known = stored(classes.select("fp", F.col("node").alias("own"), F.coalesce("node", nameless("fp")).alias("node")),
+                   "classes")
     roots = components(links(known, max_bits, block))
     named = known.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("at"))
     placed = marked.join(named, "fp")
@@ -187,23 +194,52 @@ def hex_fingerprint(fp):
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
-    """The documents, one of each near-duplicate component: the one whose id
-    names it. Rows that repeat that id keep the one of the smallest text; rows
-    without an id have no name to be dropped by, and stay.
-
-    Only the ids to drop (and those that repeat) are joined to the texts, so
-    the planner can broadcast them while they are few."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits, block)
-    decided = stored(
-        found.where("doc_id is not null").groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
-        .where("doc_id <> component_id or n > 1"), "decided")
-    mark = free_name(docs.columns, "decided_id")
-    drop = decided.where("doc_id <> component_id").select(F.col("doc_id").alias(mark))
-    again = decided.where("doc_id = component_id").select(F.col("doc_id").alias(mark))
-    same = F.col("doc_id") == F.col(mark)
-    kept = docs.join(drop, same, "left_anti")
+    """The documents, one row of each near-duplicate component: the one of the
+    smallest id; of equal ids, or without any, the one of the smallest hash of
+    the text. Rows are told apart by id and text, so rows of one id or of none
+    are judged each by its own text.
+
+    Only what is to drop (and rows that repeat) is joined to the texts: ids of
+    which no row stays by the id alone, the others by id and hashes, so the
+    planner can broadcast them while they are few."""
+    key = ("doc_id", "text_hash", "text_hash2")
+    text = F.coalesce("text", F.lit(""))
+    hashes = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    rows = docs.select("doc_id", "text", *[h.alias(k) for h, k in zip(hashes, key[1:], strict=True)])
+    marked = stored(fingerprints(rows, shingle, more=key[1:]), "fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), *key)
+    classes = marked.groupBy("fp").agg(F.min(own).alias("first"))
+    # of the classes that share their smallest id one is named by it
+    named = classes.where("first.doc_id is not null").groupBy(F.col("first.doc_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("fp").alias("lead")).where("n > 1").select("id", "lead")
+    known = stored(classes.join(named, F.col("first.doc_id") == F.col("id"), "left").select(
+        "fp", "first", F.when(F.coalesce(F.col("fp") == F.col("lead"), F.lit(True)) & F.col("first.doc_id").isNotNull(),
+                              F.col("first.doc_id")).otherwise(nameless("fp")).alias("node")), "classes")
+    roots = components(links(known.select("fp", "node"), max_bits, block))
+    # the root of a component is its smallest node, so the smallest row of that class stays
+    ends = known.join(roots, "node", "left").select("fp", F.when(F.col("root").isNull(), F.col("first")).alias("first"))
+    stays = F.coalesce(F.col("first").eqNullSafe(own) & F.col("first").isNotNull(), F.lit(False))
+    decided = stored(marked.join(ends, "fp").select(*key, stays.alias("stays"))
+                     .groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays")), "decided")
+    gone = stored(decided.where("doc_id is not null").groupBy("doc_id").agg(F.max("stays").alias("stays"))
+                  .where("not stays").select("doc_id"), "gone")
+    rest = stored(decided.where("not stays or n > 1").join(gone, "doc_id", "left_anti"), "rest")
+    names = list(docs.columns)
+    for k in ("doc_key", *key[1:], "row_doc_id", "row_hash", "row_hash2"):
+        names.append(free_name(names, k))
+    mine, marks = names[len(docs.columns):][:3], names[len(docs.columns):][3:]
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias(mine[0]),
+                        *[h.alias(m) for h, m in zip(hashes, mine[1:], strict=True)])
+    pick = lambda which: rest.where(which).select(*[F.col(k).alias(m) for k, m in zip(key, marks, strict=True)])
+    same = F.lit(True)
+    for m, k in zip(mine, marks, strict=True):
+        same = same & F.col(m).eqNullSafe(F.col(k))
+    left = keyed.join(gone.select(F.col("doc_id").alias(marks[0])), F.col(mine[0]) == F.col(marks[0]), "left_anti")
+    kept = left.join(pick("not stays"), same, "left_anti")
+    again = pick("stays")
     row = F.struct(*[quoted(c) for c in docs.columns])
-    one = (kept.join(again, same, "left_semi").groupBy("doc_id")
-           .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias(mark)).select(f"{mark}.*"))
-    return kept.join(again, same, "left_anti").unionByName(one)
+    plain = [F.col(quoted(f.name)) for f in docs.schema.fields
+             if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    one = (kept.join(again, same, "left_semi").groupBy(*mine)
+           .agg(F.min_by(row, F.xxhash64(*plain)).alias(marks[0])).select(f"{marks[0]}.*"))
+    return kept.join(again, same, "left_anti").select(*[quoted(c) for c in docs.columns]).unionByName(one)

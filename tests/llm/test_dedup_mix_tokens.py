@@ -60,6 +60,20 @@ def test_near_duplicates_edge(spark, edge):
     assert left[4] == 1 and left[9] == 1 and 10 not in left and left[None] == 1
 
 
+def test_near_duplicates_go_by_row(spark):
+    """An id may stand for several texts, and rows may have none."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcde")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, d, "x"), (3, d, "y"), (4, d, "x"), (None, e, "x"),
+            (None, e, "y"), (None, a, "x"), (None, None, "x"), (None, "", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_hash string")
+    for part in (docs, docs.repartition(7, "row_hash")):
+        left = simhash.drop_near_duplicates(part)
+        assert left.columns == docs.columns
+        assert Counter((r["doc_id"], r["text"] or "") for r in left.collect()) == Counter(
+            [(1, a), (2, b), (3, c), (3, d), (None, e), (None, "")])
+    assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_mixture(documents, plain):
     want = brute.targets([(r[3], len(brute.SPACED.findall(r[1] or ""))) for r in plain])
     source = {r[0]: r[3] for r in plain}
