@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (decontam, html_extract, mixing, oracle, pii, quality_rules, secret_scan, simhash, token_output, warc,
+from ledgerline.llm import (decontam, html_extract, merkle, mixing, oracle, pii, quality_rules, secret_scan, simhash, token_output, warc,
                             weak_label)
 from ledgerline.llm.common import read_table
 
@@ -61,9 +62,16 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    offered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lowered).otherwise(F.col("text"))
+    return merkle.verify(merkle.build_manifest(docs, offered={"text": offered}))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_quality_classifier, op2_decontamination, op3_quality_rules, op4_warc_archives, op5_token_output,
-           op6_secret_scan, op7_html_text, op8_personal_data, op9_simhash, op10_source_mix)
+           op6_secret_scan, op7_html_text, op8_personal_data, op9_simhash, op10_source_mix, op11_merkle_manifest)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
