@@ -4,7 +4,8 @@ A word is a point: how often it has each letter. One replaced code point moves
 it by 2 in L1 distance, one inserted or deleted code point by 1. So a word's
 near words lie within 2 among the words of its own length and within 1 among
 those one longer: one range search per pair of lengths, and each pair is found
-once, from its shorter word (of one length: by both, kept from the smaller).
+once, from its shorter word (of one length: from the lower box, or in a box
+from the smaller word).
 
 **Two levels of trees.** The words of a length are cut into boxes by a k-d tree
 of splits (letter, count). The splits are fitted on a bounded sample of words
@@ -12,9 +13,10 @@ of splits (letter, count). The splits are fitted on a bounded sample of words
 until a box holds about ``box`` words; any splits give the same result, as
 every word is put into its box and every search visits each box that its ball
 may reach. A box and its searches meet in one task, which builds a k-d tree of
-its own over the box and prunes with exact bounding boxes. A box that grew
-beyond ``box`` all the same (words of one letter count, or a poor sample) is
-split into blocks by hash, and each search visits all of its blocks.
+its own over the box, prunes its leaves the same way, and looks at a leaf's
+words through 64-bit signatures before their letter counts. A box that grew
+beyond twice ``box`` all the same (words of one letter count, or a poor sample)
+is split into blocks by hash, and each search visits all of its blocks.
 
 **Letter order.** What is left within the distance is verified: of one length,
 exactly one position differs; else the longer word without one code point is
@@ -47,8 +49,8 @@ MIN_COUNT = 2
 DROP = 31
 RATIO = 10
 SAMPLE = 100_000
-BOX = 4_000
-LEAF = 48
+BOX = 8_000
+LEAF = 256
 FLUSH = 200_000
 
 
@@ -168,40 +170,44 @@ def route(splits, points: np.ndarray, reach: int) -> list[tuple[int, np.ndarray]
     return out
 
 
-def build_tree(points: np.ndarray, rows: np.ndarray):
-    """A k-d tree: (low corner, high corner, rows or None, sides)."""
-    own = points[rows]
-    split = best_split(own) if len(rows) > LEAF else None
-    if split is None:
-        return own.min(axis=0), own.max(axis=0), rows, ()
-    low = own[:, split[0]] <= split[1]
-    return own.min(axis=0), own.max(axis=0), None, (build_tree(points, rows[low]), build_tree(points, rows[~low]))
-
-
-def range_search(tree, points: np.ndarray, asked: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows of ``asked``, rows of ``points``) whose L1 distance is exactly
-    ``reach`` (one edit gives no other), node by node."""
-    def walk(node, rows):
-        low, high, own, sides = node
-        near = asked[rows]
-        apart = (np.maximum(low - near, 0) + np.maximum(near - high, 0)).sum(axis=1)
-        rows = rows[apart <= reach]
-        if not len(rows):
-            return
-        for side in sides:
-            yield from walk(side, rows)
-        if own is not None:
+def signatures(points: np.ndarray) -> np.ndarray:
+    """64 bits per point; each step of one letter's count flips one bit, so
+    points differ in at most as many bits as their L1 distance."""
+    out = np.zeros(len(points), np.uint64)
+    for d in np.flatnonzero(points.any(axis=0)).tolist():
+        count = points[:, d]
+        spare = 52 + d % 12
+        at = (d, 26 + d, spare) if d < 26 else (spare, spare, spare)
+        for k, bit in enumerate(at[:2]):
+            out ^= (count > k).astype(np.uint64) << np.uint64(bit)
+        out ^= (np.maximum(count - 2, 0) & 1).astype(np.uint64) << np.uint64(at[2])
+    return out
+
+
+class Box:
+    """The words of one box, with a k-d tree of its own over them."""
+
+    def __init__(self, words: list[str], counts: np.ndarray):
+        self.words, self.counts, self.spelt = words, counts, codes(words)
+        self.points = letter_counts(self.spelt)
+        self.marks = signatures(self.points)
+        self.splits = fit_splits(self.points, 1.0, LEAF)
+        self.leaves = dict(route(self.splits, self.points, 0))
+
+    def search(self, asked: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows of ``asked``, rows of the box) whose L1 distance is exactly
+        ``reach`` (one edit gives no other)."""
+        marks = signatures(asked)
+        for number, rows in route(self.splits, asked, reach):
+            own = self.leaves.get(number, ())
             for k in range(0, len(own), 512):
                 part = own[k:k + 512]
                 for j in range(0, len(rows), 512):
                     some = rows[j:j + 512]
-                    gap = np.zeros((len(some), len(part)), np.int32)
-                    for d in np.flatnonzero(points[part].any(axis=0) | asked[some].any(axis=0)):
-                        gap += np.abs(asked[some, d][:, None] - points[part, d][None, :])
-                    q, p = np.nonzero(gap == reach)
-                    yield some[q], part[p]
-
-    yield from walk(tree, np.arange(len(asked)))
+                    q, p = np.nonzero(np.bitwise_count(marks[some][:, None] ^ self.marks[part][None, :]) <= reach)
+                    q, p = some[q], part[p]
+                    ok = np.abs(asked[q] - self.points[p]).sum(axis=1) == reach
+                    yield q[ok], p[ok]
 
 
 def one_edit(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -231,62 +237,64 @@ def near_pairs(words: DataFrame, sample: int = SAMPLE, box: int = BOX) -> DataFr
     trees = {k: fit_splits(letter_counts(codes(v)), scale, box) for k, v in by_length.items()}
     lengths = set(totals)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Words into their boxes (asks false), and into those to search."""
-        for batch in batches:
-            all_lengths = batch.column("length").to_numpy()
-            for n in np.unique(all_lengths).tolist():
-                part = batch.filter(pa.array(all_lengths == n))
-                points = letter_counts(codes(part.column("word").to_pylist()))
-                visits = [(n, 0, False), (n, 2, True)] + [(n + 1, 1, True)] * (n + 1 in lengths)
-                for length, reach, asks in visits:
-                    for number, rows in route(trees.get(length), points, reach):
-                        some = part.take(pa.array(rows))
-                        k = len(rows)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(k, length, np.int32)), pa.array(np.full(k, number, np.int32)),
-                             pa.array(np.full(k, asks)), some.column("word"), some.column("n")],
-                            names=["length", "box", "asks", "word", "n"])
-
-    placed = sized.mapInArrow(place, "length int, box int, asks boolean, word string, n long")
-    own = placed.where("not asks").groupBy("length", "box").agg(F.ceil(F.count(F.lit(1)) / (2 * box)).cast("int").alias("blocks"))
+    def place(asks: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                all_lengths = batch.column("length").to_numpy()
+                for n in np.unique(all_lengths).tolist():
+                    part = batch.filter(pa.array(all_lengths == n))
+                    points = letter_counts(codes(part.column("word").to_pylist()))
+                    home = np.zeros(len(points), np.int64)
+                    for number, rows in route(trees.get(n), points, 0):
+                        home[rows] = number
+                        yield placed_rows(part, rows, n, number, 0)
+                    if not asks:
+                        continue
+                    # of two boxes of one length the lower one's words search the higher one
+                    for number, rows in route(trees.get(n), points, 2):
+                        yield placed_rows(part, rows[home[rows] == number], n, number, 1)
+                        yield placed_rows(part, rows[home[rows] < number], n, number, 2)
+                    if n + 1 in lengths:
+                        for number, rows in route(trees.get(n + 1), points, 1):
+                            yield placed_rows(part, rows, n + 1, number, 3)
+
+        return sized.mapInArrow(run, "length int, box int, role int, word string, n long")
+
+    def placed_rows(part, rows, length, number, role):
+        """Rows of a box: role 0 are its words; 1 its own words as searches, 2
+        words of its length, 3 words one shorter."""
+        some, k = part.take(pa.array(rows)), len(rows)
+        return pa.RecordBatch.from_arrays([*(pa.array(np.full(k, x, np.int32)) for x in (length, number, role)),
+                                           some.column("word"), some.column("n")], names=["length", "box", "role", "word", "n"])
+
+    own = place(False).groupBy("length", "box").agg(F.ceil(F.count(F.lit(1)) / (2 * box)).cast("int").alias("blocks"))
     # a box that is too large is several blocks by hash: a word is in one, a search visits all
-    dealt = placed.join(own, ["length", "box"]).withColumn("block", F.explode(
-        F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = place(True).join(own, ["length", "box"]).withColumn("block", F.explode(
+        F.when(F.col("role") > 0, F.sequence(F.lit(0), F.col("blocks") - 1))
         .otherwise(F.array(F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))))).drop("blocks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = held = points = None
-        key = None
-
-        def ask(asking: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            """Searches of one box, in slices of the words of one length."""
-            texts = asking.column("word").to_pylist()
-            sizes = np.array([len(x) for x in texts])
-            for n in np.unique(sizes).tolist():
-                rows = np.flatnonzero(sizes == n)
-                for k in range(0, len(rows), 4096):
-                    some = rows[k:k + 4096]
-                    spelt = codes([texts[i] for i in some.tolist()])
-                    reach = 2 if n == key[0] else 1
-                    for q, p in range_search(tree, points, letter_counts(spelt), reach):
-                        ok = one_edit(spelt[q], held[0][p])
-                        q, p = q[ok], p[ok]
-                        if reach == 2:
-                            first = [texts[some[i]] < held[1][j] for i, j in zip(q.tolist(), p.tolist(), strict=True)]
-                            q, p = q[first], p[first]
-                        if len(q):
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([texts[i] for i in some[q].tolist()]),
-                                 pa.array(asking.column("n").to_numpy()[some[q]]),
-                                 pa.array([held[1][j] for j in p.tolist()]), pa.array(held[2][p])], names=["a", "n_a", "b", "n_b"])
-
+        def ask(box: Box, role: int, asking: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            texts, counts = asking.column("word").to_pylist(), asking.column("n").to_numpy()
+            for k in range(0, len(texts), 4096):
+                words, times = texts[k:k + 4096], counts[k:k + 4096]
+                spelt = codes(words)
+                for q, p in box.search(letter_counts(spelt), 1 if role == 3 else 2):
+                    ok = one_edit(spelt[q], box.spelt[p])
+                    both = [(i, j) for i, j in zip(q[ok].tolist(), p[ok].tolist(), strict=True)
+                            if role != 1 or words[i] < box.words[j]]
+                    if both:
+                        q, p = np.array(both).T
+                        yield pa.RecordBatch.from_arrays([pa.array([words[i] for i, _ in both]), pa.array(times[q]),
+                                                          pa.array([box.words[j] for _, j in both]), pa.array(box.counts[p])],
+                                                         names=["a", "n_a", "b", "n_b"])
+
+        key = tree = None
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                            for c in ("length", "box", "block", "asks")])
+            ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("length", "box", "block", "role")])
             cuts = [0, *(np.flatnonzero((np.diff(ids, axis=1) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 part, now = batch.slice(a, b - a), tuple(ids[:3, a].tolist())
@@ -297,15 +305,12 @@ def near_pairs(words: DataFrame, sample: int = SAMPLE, box: int = BOX) -> DataFr
                     continue
                 if tree is None and waiting:
                     table = pa.Table.from_batches(waiting)
-                    texts = table.column("word").to_pylist()
-                    held = codes(texts), texts, table.column("n").to_numpy()
-                    points = letter_counts(held[0])
-                    tree = build_tree(points, np.arange(len(texts)))
+                    tree = Box(table.column("word").to_pylist(), table.column("n").to_numpy())
                 if tree is not None:
-                    yield from ask(part)
+                    yield from ask(tree, int(ids[3, a]), part)
 
     keys = ["length", "box", "block"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "asks").mapInArrow(
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(
         search, "a string, n_a long, b string, n_b long")
 
 
