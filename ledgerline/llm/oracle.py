@@ -80,3 +80,99 @@ ARCHIVES = """
            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id <> first THEN first END AS refers_to
     FROM m"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, two half bytes a step."""
+    table = []
+    for k in range(16):
+        for _ in range(4):
+            k = (k >> 1) ^ (0xEDB88320 * (k & 1))
+        table.append(k)
+    lookup = f"({table}::BIGINT[])"
+    half = lambda c, b: f"xor({c} >> 4, {lookup}[(xor({c}, {b}) & 15) + 1])"
+    nibbles = (f"list_transform(range(2 * strlen({text})), lambda k: CAST('0x' || "
+               f"substr(hex(encode({text})), 2 * (k // 2) + 2 - k % 2, 1) AS BIGINT))")
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {nibbles}), lambda c, b: {half('c', 'b')}), 4294967295::BIGINT)"
+
+
+_FIELDS = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+_LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_OFFERED = f"CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_LOWERED} ELSE text END"
+
+# Every level of every tree; the subroots' tree is the one without a source number.
+MANIFEST = f"""
+    WITH RECURSIVE d AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, source, sha256(concat({', '.join(_FIELDS)}, {_field('text')})) AS leaf,
+               sha256(concat({', '.join(_FIELDS)}, {_field(f'({_OFFERED})')})) AS offered FROM documents),
+    p AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+               dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS n FROM d),
+    inner_nodes AS (
+        SELECT g, 0 AS lvl, i, leaf AS h, n FROM p
+        UNION ALL
+        SELECT g, lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 15) // 16 FROM inner_nodes WHERE n > 1
+        GROUP BY g, lvl, i // 16),
+    sub AS (SELECT g, h AS subroot FROM inner_nodes WHERE n = 1),
+    top_nodes AS (
+        SELECT 0 AS lvl, g AS i, subroot AS h, count(*) OVER () AS n FROM sub
+        UNION ALL
+        SELECT lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 15) // 16 FROM top_nodes WHERE n > 1
+        GROUP BY lvl, i // 16),
+    steps AS (
+        SELECT r, 0 AS part, lvl, string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < p.i >> (4 * lvl)) AS b,
+               string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > p.i >> (4 * lvl)) AS a
+        FROM p JOIN inner_nodes x ON x.g = p.g AND x.n > 1 AND x.i // 16 = p.i >> (4 * lvl + 4) GROUP BY r, lvl
+        UNION ALL
+        SELECT r, 1, lvl, string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < p.g >> (4 * lvl)),
+               string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > p.g >> (4 * lvl))
+        FROM p JOIN top_nodes x ON x.n > 1 AND x.i // 16 = p.g >> (4 * lvl + 4) GROUP BY r, lvl),
+    paths AS (SELECT r, string_agg(coalesce(b, '') || coalesce(a, ''), '' ORDER BY part, lvl) AS proof,
+                     list(coalesce(b, '') || '|' || coalesce(a, '') ORDER BY part, lvl) AS sides FROM steps GROUP BY r),
+    folded AS (SELECT p.*, coalesce(proof, '') AS proof, list_reduce(list_concat([offered], coalesce(sides, [])),
+                      lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root
+               FROM p LEFT JOIN paths USING (r))
+    SELECT doc_id, leaf, subroot, (SELECT h FROM top_nodes WHERE n = 1) AS root, sha256(proof) AS proof_sha256, folded_root,
+           folded_root = (SELECT h FROM top_nodes WHERE n = 1) AS verified
+    FROM folded JOIN sub USING (g)"""
+
+_SPACED = rf"regexp_extract_all({_SMALL}, '[^\x20\x09-\x0D]+')"
+
+# Pairs by counting common shingles; copies of a set are one class first.
+JACCARD = rf"""
+    WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct(list_transform(
+            range(CASE WHEN len(w) = 0 THEN 0 ELSE greatest(1, len(w) - 2) END), lambda k: array_to_string(w[k + 1:k + 3], ' ')))) AS s
+        FROM (SELECT doc_id, {_SPACED} AS w FROM documents)),
+    sets AS MATERIALIZED (SELECT row_number() OVER () AS c, min(doc_id) AS least, s, len(s) AS n FROM d WHERE len(s) > 0 GROUP BY s),
+    grams AS (SELECT c, n, unnest(s) AS gram FROM sets),
+    pairs AS MATERIALIZED (SELECT x.c AS a, y.c AS b FROM grams x JOIN grams y ON x.gram = y.gram AND x.c <> y.c AND 10 * x.n >= 9 * y.n
+                AND 10 * y.n >= 9 * x.n GROUP BY ALL HAVING 100 * count(*) >= 90 * (max(x.n) + max(y.n) - count(*))),
+    reach AS (SELECT c, c AS o FROM sets UNION SELECT r.c, p.b FROM reach r JOIN pairs p ON r.o = p.a),
+    ends AS (SELECT r.c, min(o.least) AS component_id FROM reach r JOIN sets o ON o.c = r.o GROUP BY r.c)
+    SELECT doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, CASE WHEN len(d.s) = 0 THEN doc_id ELSE component_id END AS component_id
+    FROM d LEFT JOIN sets ON sets.s = d.s LEFT JOIN ends USING (c)"""
+
+# Words are near if they are equal without one code point of one or of both.
+VARIANTS = rf"""
+    WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')),
+                              '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS run FROM documents),
+    dealt AS (SELECT run, n, {_crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h
+              FROM (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL)),
+    cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+            FROM dealt),
+    words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    less AS MATERIALIZED (SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest
+                          FROM words, LATERAL (SELECT unnest(range(length(word))) AS k)),
+    pairs AS (SELECT x.word AS a, y.word AS b, y.n FROM less x JOIN less y ON x.rest = y.rest AND x.k = y.k AND x.word <> y.word
+              UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+              UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+    best AS (SELECT a, count(*) AS n_near, arg_min(b, (-n, b)) AS b, max(n) AS form_n FROM pairs GROUP BY a),
+    forms AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN b END AS form,
+                                  CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM words LEFT JOIN best ON a = word),
+    chain AS (SELECT word, word AS tip, form AS ahead FROM forms
+              UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.ahead)
+    SELECT word, f.form, tip AS root, f.n, f.n_near, f.form_n FROM chain JOIN forms f USING (word) WHERE ahead IS NULL"""

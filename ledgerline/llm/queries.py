@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (decontam, html_extract, merkle, mixing, oracle, pii, quality_rules, secret_scan, simhash, token_output, variants, warc,
+from ledgerline.llm import (decontam, html_extract, jaccard_join, merkle, mixing, oracle, pii, quality_rules, secret_scan, simhash, token_output, variants, warc,
                             weak_label)
 from ledgerline.llm.common import read_table
 
@@ -69,6 +69,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.build_manifest(docs, offered={"text": offered}))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(read_table(spark, sf_dir, "documents"))
 
@@ -76,11 +80,13 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_quality_classifier, op2_decontamination, op3_quality_rules, op4_warc_archives, op5_token_output,
            op6_secret_scan, op7_html_text, op8_personal_data, op9_simhash, op10_source_mix, op11_merkle_manifest,
-           op13_spelling_variants)
+           op12_jaccard_join, op13_spelling_variants)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query; the others are tested by brute force."""
     return {"op2_decontamination": oracle.CONTAMINATION, "op4_warc_archives": oracle.ARCHIVES,
+            "op11_merkle_manifest": oracle.MANIFEST, "op12_jaccard_join": oracle.JACCARD,
+            "op13_spelling_variants": oracle.VARIANTS,
             "op3_quality_rules": oracle.quality(quality_rules.RULES, quality_rules.SKETCH_BITS, 200, 3)}
