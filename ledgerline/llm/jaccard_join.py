@@ -10,14 +10,17 @@ order, and a pair that lacks one under a single order is out.
 their count and with ties broken by a different hash. What has to be known of
 counts is found without moving all shingles:
 
-1. Rows with the same set are one class; only classes go on.
-2. A class posts a *run*: its shingles of smallest hash, half as many again as
-   its prefix. A shingle that no other class posts is its own. A class with as
-   many shingles of its own as its prefix is long has a prefix that nobody
-   shares, and is out.
-3. The others post their whole sets, counts are taken again, and classes that
-   thereby lose shingles of their own join them, until no class does. Now every
-   class is either out, or wholly posted, with the count of all its shingles.
+1. Rows with the same set are one class.
+2. Each class posts a *run*, its shingles of smallest hash. A shingle that no
+   other class posts is its own. Among the first ``head`` shingles of its run,
+   a class that has a similar one can have fewer own ones than its prefix is
+   long: it has no more shingles that the other lacks, and what the other has
+   of its head lies in the other's run, which is longer than any head of a
+   similar class by a prefix. So a class with as many own ones is linked with
+   nothing, and is out.
+3. Those left post their whole sets, made again from the text of one row each,
+   and are judged once more by all of their shingles. What is left has a count
+   for each shingle that another one has.
 
 **Filters, intersected.** Of the classes left, each posts its prefix under
 every order. A class stays only if it meets another one in every order, and a
@@ -60,6 +63,8 @@ THRESHOLD = (90, 100)
 #: Shingles of a block of a posting list.
 BLOCK = 1_000_000
 ORDERS = 3
+#: Classes (32 bytes each) that are told to the tasks instead of joined.
+FEW = 500_000
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -90,95 +95,116 @@ def class_key(found: np.ndarray) -> tuple[int, int]:
     return int(two[0]), int(two[1])
 
 
+def prefix_length(n, threshold: tuple[int, int] = THRESHOLD):
+    return n - needed(n, threshold) + 1
+
+
+def run_lengths(n: int, threshold: tuple[int, int] = THRESHOLD) -> tuple[int, int]:
+    """How many shingles of smallest hash a set of ``n`` is judged by, and how
+    many it posts: as many as the largest similar set is judged by, and a
+    prefix more."""
+    head = lambda m: -(-3 * prefix_length(m, threshold) // 2)
+    return head(n), head(n * threshold[1] // threshold[0]) + prefix_length(n, threshold)
+
+
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
+
+
+def text_of(value: pa.Scalar) -> bytes | None:
+    buffer = value.as_buffer()
+    return None if buffer is None else buffer.to_pybytes()
+
+
+def with_row_hash(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, row_hash, text): the hash of a row's id and text."""
+    value, own = F.col(quoted(text)).cast("string"), F.col(quoted(doc_id)).cast("long")
+    return docs.select(own.alias("doc_id"), F.xxhash64(own, value).alias("row_hash"), value.alias("text"))
+
+
 def scan(docs: DataFrame, shingle: int, threshold: tuple[int, int], doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text_hash, n, key1, key2, run): one row per row of ``docs``."""
-    schema = "doc_id long, text_hash long, n long, key1 long, key2 long, run array<long>"
+    """(doc_id, row_hash, n, key1, key2, head, run): one row per row of ``docs``."""
+    schema = "doc_id long, row_hash long, n long, key1 long, key2 long, head int, run array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, runs = [], [], [], []
+            rows, runs = [], []
             for value in batch.column(2):
-                buffer = value.as_buffer()
-                found = shingle_set(buffer.to_pybytes() if buffer is not None else None, shingle)
-                prefix = len(found) - needed(len(found), threshold) + 1
-                a, b = class_key(found)
-                sizes.append(len(found))
-                one.append(a)
-                two.append(b)
-                runs.append(found[:prefix + prefix // 2 + 1].view(np.int64).copy())
-            offsets = np.cumsum([0, *map(len, runs)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(runs) if runs else [], pa.int64()))
+                found = shingle_set(text_of(value), shingle)
+                head, posted = run_lengths(len(found), threshold)
+                rows.append((len(found), *class_key(found), head))
+                runs.append(found[:posted].view(np.int64).copy())
+            n, one, two, heads = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 lists], names=["doc_id", "text_hash", "n", "key1", "key2", "run"])
+                [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (n, one, two)), pa.array(heads, pa.int32()),
+                 lists(runs)], names=["doc_id", "row_hash", "n", "key1", "key2", "head", "run"])
 
-    value = F.col(quoted(text)).cast("string")
-    return docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_hash"), value).mapInArrow(run, schema)
+    return with_row_hash(docs, doc_id, text).mapInArrow(run, schema)
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
-    """(node, tokens) of the classes ``wanted`` (node, rep_id, rep_hash, key1,
-    key2), made again from the text of each class's representative row."""
-    value = F.col(quoted(text)).cast("string")
-    rows = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_hash"), value.alias("text"))
-    same = (F.col("text_hash") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
-    found = rows.join(wanted, same).select("node", "key1", "key2", "text")
+def own_counts(postings: DataFrame) -> DataFrame:
+    """(node, own): how many counting tokens only one node posts (token, node,
+    counts). One aggregation; copies of a node's postings change nothing."""
+    one = postings.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other"), F.max("counts").alias("counts"))
+    return one.where("node = other and counts").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def short_of_own(classes: DataFrame, own: DataFrame, node: str, threshold: tuple[int, int]) -> DataFrame:
+    """The classes with fewer own tokens than their prefix is long."""
+    prefix = F.col("n") - F.expr(f"(n * {threshold[0]} + {threshold[1] - 1}) div {threshold[1]}") + 1
+    named = own.withColumnRenamed("node", "own_node")
+    return classes.join(named, F.col(node) == F.col("own_node"), "left").where(F.coalesce("own", F.lit(0)) < prefix).drop("own", "own_node")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int, doc_id: str, text: str, few: int = FEW) -> DataFrame:
+    """(node, tokens) of the classes ``wanted`` (stored; node, rep_hash, key1,
+    key2), made again from the text of each one's representative row. Up to
+    ``few`` classes are told to the tasks, and no text is moved; more are
+    joined. Rows that are equal in id and text give the same row again."""
+    rows = with_row_hash(docs, doc_id, text).select("row_hash", "text")
+    known = None
+    if wanted.limit(few + 1).count() <= few:
+        told = wanted.select("rep_hash", "node", "key1", "key2").toPandas().sort_values("rep_hash")
+        if told["rep_hash"].is_unique:
+            known = told.to_numpy(np.int64)
+    if known is None:
+        rows = rows.join(wanted, F.col("row_hash") == F.col("rep_hash")).select("row_hash", "text", "node", "key1", "key2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if known is None:
+                picked, names = range(batch.num_rows), np.stack([c.to_numpy() for c in batch.columns[2:]], axis=1)
+            else:
+                hashes = batch.column(0).to_numpy()
+                at = np.minimum(np.searchsorted(known[:, 0], hashes), max(0, len(known) - 1))
+                picked = np.flatnonzero(known[at, 0] == hashes).tolist() if len(known) else []
+                names = known[at, 1:] if len(known) else known
             nodes, sets = [], []
-            for node, a, b, value in zip(*batch.columns, strict=True):
-                made = shingle_set(value.as_buffer().to_pybytes(), shingle)
-                if class_key(made) == (a.as_py(), b.as_py()):  # another text may share the hash
-                    nodes.append(node.as_py())
+            for i in picked:
+                made = shingle_set(text_of(batch.column(1)[i]), shingle)
+                if class_key(made) == (names[i, 1], names[i, 2]):  # another row may share the hash
+                    nodes.append(names[i, 0])
                     sets.append(made.view(np.int64))
-            offsets = np.cumsum([0, *map(len, sets)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets) if sets else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], names=["node", "tokens"])
-
-    return found.mapInArrow(run, "node long, tokens array<long>").groupBy("node").agg(F.first("tokens").alias("tokens"))
-
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists(sets)], names=["node", "tokens"])
 
-def counted(postings: DataFrame) -> DataFrame:
-    """(token, n_posts) of the tokens that more than one class posts."""
-    return postings.groupBy("token").agg(F.count(F.lit(1)).alias("n_posts")).where("n_posts > 1")
+    return rows.mapInArrow(run, "node long, tokens array<long>")
 
 
-def undecided(postings: DataFrame, classes: DataFrame, prefix) -> tuple[DataFrame, DataFrame]:
-    """Classes with fewer tokens of their own, among those posted, than their
-    prefix is long; and the shared tokens with their counts."""
-    shared = stored(counted(postings), "shared")
-    lost = postings.join(shared, "token").groupBy("node").agg(F.count(F.lit(1)).alias("lost"))
-    sums = classes.join(lost, "node", "left")
-    open_ = sums.where(F.col("posted") - F.coalesce("lost", F.lit(0)) < prefix)
-    return open_.drop("lost"), shared
-
-
-def live_sets(docs: DataFrame, classes: DataFrame, shingle: int, threshold: tuple[int, int], doc_id: str, text: str) -> DataFrame:
+def live_sets(docs: DataFrame, classes: DataFrame, runs: DataFrame, shingle: int, threshold: tuple[int, int], doc_id: str,
+              text: str, few: int = FEW) -> DataFrame:
     """(node, n, tokens: array of (n_posts, token), shared ones only) of the
-    classes that no prefix of own tokens rules out."""
-    prefix = F.col("n") - F.expr(f"(n * {threshold[0]} + {threshold[1] - 1}) div {threshold[1]}") + 1
-    runs = classes.where("n > 0").withColumn("posted", F.size("run"))
-    heads = runs.drop("run")
-    sets, whole = None, None
-    while True:
-        postings = runs.select("node", F.explode("run").alias("token"))
-        table = heads
-        if whole is not None:
-            postings = postings.join(whole, "node", "left_anti").unionByName(sets.select("node", F.explode("tokens").alias("token")))
-            table = heads.join(whole, "node", "left_anti").unionByName(heads.join(whole, "node").withColumn("posted", F.col("n").cast("int")))
-        postings_done = stored(postings, "postings")
-        found, shared = undecided(postings_done, table, prefix)
-        more = found if whole is None else found.join(whole, "node", "left_anti")
-        more = stored(more.select("node", "rep_id", "rep_hash", "key1", "key2"), "undecided")
-        if more.isEmpty():
-            break
-        made = stored(whole_sets(docs, more, shingle, doc_id, text), "sets")
-        sets = made if sets is None else stored(sets.unionByName(made), "sets")
-        whole = stored(sets.select("node"), "whole")
-    live = stored(found.select("node", "n"), "live")
-    own = postings_done.join(live, "node").join(shared, "token")
-    return own.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("n_posts", "token")).alias("tokens"))
+    classes that may be linked. ``runs``: (key1, head, run)."""
+    posted = runs.select("key1", "head", F.posexplode("run").alias("at", "token"))
+    heads = own_counts(posted.select("token", F.col("key1").alias("node"), (F.col("at") < F.col("head")).alias("counts")))
+    left = stored(short_of_own(classes, heads, "key1", threshold), "left")
+    sets = stored(whole_sets(docs, left, shingle, doc_id, text, few), "sets")
+    tokens = sets.select("node", F.explode("tokens").alias("token"))
+    live = stored(short_of_own(left, own_counts(tokens.withColumn("counts", F.lit(True))), "node", threshold).select("node", "n"), "live")
+    told = sets.join(live, "node").select("node", "n", F.explode("tokens").alias("token"))
+    shared = told.groupBy("token").agg(F.count(F.lit(1)).alias("n_posts"), F.min("node").alias("a"), F.max("node").alias("b")) \
+        .where("a < b").select("token", "n_posts")
+    return told.join(shared, "token").groupBy("node").agg(F.max("n").alias("n"), F.collect_set(F.struct("n_posts", "token")).alias("tokens"))
 
 
 def mixed(tokens: np.ndarray, seed: int) -> np.ndarray:
@@ -191,7 +217,7 @@ def mixed(tokens: np.ndarray, seed: int) -> np.ndarray:
 def prefixes(n: int, tokens: np.ndarray, counts: np.ndarray, threshold: tuple[int, int], orders: int) -> list[np.ndarray]:
     """Positions in ``tokens`` (the shared ones) of the prefix under each
     order; own tokens come first in all of them."""
-    length = n - needed(n, threshold) + 1 - (n - len(tokens))
+    length = prefix_length(n, threshold) - (n - len(tokens))
     out = []
     for k in range(orders):
         # counts as they are, then in powers of two, in powers of four ...
@@ -328,19 +354,17 @@ def links(live: DataFrame, threshold: tuple[int, int] = THRESHOLD, block: int =
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, block: int = BLOCK,
-                       orders: int = ORDERS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                       orders: int = ORDERS, doc_id: str = "doc_id", text: str = "text", few: int = FEW) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
     scanned = stored(scan(docs, shingle, threshold, doc_id, text), "scan")
-    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    classes = scanned.where("n > 0").groupBy("key1", "key2").agg(F.max("n").alias("n"), F.min(first).alias("rep"), F.first("run").alias("run"))
+    filled = scanned.where("n > 0")
     # numbered apart from the ids, which may repeat or be missing
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "n", "key1", "key2", F.col("rep.id").alias("rep_id"),
-                                    F.col("rep.hash").alias("rep_hash"), "run"), "classes")
-    live = live_sets(docs, classes, shingle, threshold, doc_id, text)
+    classes = stored(filled.groupBy("key1", "key2").agg(F.max("n").alias("n"), F.min("doc_id").alias("least"), F.min("row_hash").alias("rep_hash"))
+                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+    live = live_sets(docs, classes, filled.select("key1", "head", "run"), shingle, threshold, doc_id, text, few)
     roots = stored(components(links(live, threshold, block, orders)), "roots")
-    linked = classes.select("node", "key1", "key2", "rep_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = linked.groupBy("root").agg(F.min("rep_id").alias("component_id"))
-    named = linked.join(least, "root").select("key1", "key2", "component_id")
-    filled = scanned.where("n > 0").select("doc_id", "n", "key1", "key2").join(named, ["key1", "key2"])
-    return filled.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
+    linked = classes.select("node", "key1", "key2", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key1", "key2", "component_id")
+    placed = filled.select("doc_id", "n", "key1", "key2").join(named, ["key1", "key2"])
+    return placed.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
         scanned.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -101,7 +101,24 @@ def test_hot_group(spark):
         rows.append((None if k % 7 == 0 else k, " ".join(at)))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = plain(rows)
-    assert found(frame, block=20_000) == want == found(frame)
+    assert found(frame, block=20_000) == want == found(frame, few=0)
+
+
+def test_heads_of_similar_sets_lie_in_runs():
+    """Of the head of a set, what a similar one has is in the other's run."""
+    draw = np.random.default_rng(6)
+    for _ in range(400):
+        n = int(draw.integers(1, 300))
+        common = np.unique(draw.integers(0, 2**62, n))
+        more = int(draw.integers(0, n // 9 + 1))
+        mine, theirs = (np.unique(np.concatenate([common, draw.integers(0, 2**62 if draw.random() < 0.5 else 2**50, k)]))
+                        for k in (more, max(0, n // 9 - more)))
+        if 100 * len(common) < 90 * (len(mine) + len(theirs) - len(common)):
+            continue
+        for a, b in ((mine, theirs), (theirs, mine)):
+            head, run = a[:J.run_lengths(len(a))[0]], b[:J.run_lengths(len(b))[1]]
+            assert set(head) & set(b) <= set(run)
+            assert len(set(a) - set(b)) < J.prefix_length(len(a))
 
 
 def test_prefixes_meet_under_every_order():
