@@ -261,7 +261,7 @@ def rolling_zscore(df: DataFrame, key: str = "compte_id", ts: str = "date_transa
 
 def anomaly_zscore(fact: DataFrame, **kw) -> DataFrame:
     """G6 on validated transactions, with the skew-proof day-split plan."""
-    return rolling_zscore_daysplit(fact.where(F.col("statut") == "validee"), **kw)
+    return rolling_zscore_blocks(fact.where(F.col("statut") == "validee"), **kw)
 
 
 # --- H1-H3, G7 --------------------------------------------------------------
@@ -288,61 +288,57 @@ def bi_aml_filter(fact: DataFrame) -> DataFrame:
                  F.avg("aml_score").cast("decimal(10,6)").alias("aml_score_moyen")))
 
 
-def rolling_zscore_daysplit(df: DataFrame, key: str = "compte_id", ts: str = "date_transaction",
-                            value: str = "montant_eur", days: int = 90,
-                            threshold: float = 3.0) -> DataFrame:
+def running_before(marks: DataFrame, group: list[str], order: str, values: list[str]) -> DataFrame:
+    """``marks`` with ``<value>_before``: the sum over the earlier rows of the
+    group (``order`` is unique in a group)."""
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return marks.select("*", *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}_before") for v in values])
+
+
+def rolling_zscore_blocks(df: DataFrame, key: str = "compte_id", ts: str = "date_transaction",
+                          value: str = "montant_eur", days: int = 90,
+                          threshold: float = 3.0) -> DataFrame:
     """G6, skew-proof form: same rows and values as ``rolling_zscore``.
 
-    The frame [t - days, t) of a row at time t on day D splits into
-      A: rows of day D before t            -> window per (key, day), ordered by time;
-      B: the full days D-days+1 .. D-1     -> per-(key, day) totals, rolled over days
-                                              (one row per account-day: bounded);
-      C: rows of day D-days at or after the same time of day
-                                           -> a probe row per target, placed in day
-                                              D-days, summing what follows it.
-    Every window is partitioned by (key, day) or runs over daily totals, so one
-    account's history is spread over as many tasks as it has days. Count, sum
-    and sum of squares are exact decimals; variance, sd and z are computed
-    from them (no Welford drift), the mean is the exact decimal average.
+    The frame [t - days, t) is the difference of two running sums, "all before
+    t" and "all before t - days". A running sum is added up on three levels:
+    the full days before, the full seconds before in the day, the instants
+    before in the second. Rows are summed per (key, instant) first, so no
+    window partition holds more than the days of the calendar, the 86,400
+    seconds of a day or the 1,000,000 instants of a second, however many rows
+    a key has on one day or at one instant. Count, sum and sum of squares are
+    exact decimals, and so are their differences; variance, sd and z are
+    computed from them (no Welford drift), the mean is the exact decimal
+    average. Rows without key or time have an empty frame.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    day = F.floor(us / F.lit(MICROS_PER_DAY)).cast("bigint")
     x = F.col(value).cast("decimal(18,2)")
-    base = df.select("transaction_id", F.col(key).alias("_k"), key, ts, value,
-                     day.alias("_day"), (us - day * F.lit(MICROS_PER_DAY)).alias("_tod"),
-                     x.alias("_x"))
-
-    def stats(n, s1, s2, p):
-        return [n.alias(f"{p}n"), s1.alias(f"{p}s1"), s2.alias(f"{p}s2")]
-
-    # A: earlier rows of the same day.
-    wa = Window.partitionBy("_k", "_day").orderBy("_tod").rangeBetween(Window.unboundedPreceding, -1)
-    a = base.select("*", *stats(F.count("_x").over(wa), F.sum("_x").over(wa),
-                                F.sum(F.col("_x") * F.col("_x")).over(wa), "a_"))
-    # B: full days in between, from per-day totals.
-    daily = base.groupBy("_k", "_day").agg(F.count("_x").alias("_n"), F.sum("_x").alias("_s1"),
-                                           F.sum(F.col("_x") * F.col("_x")).alias("_s2"))
-    wb = Window.partitionBy("_k").orderBy("_day").rangeBetween(-(days - 1), -1)
-    b = daily.select(F.col("_k").alias("_bk"), F.col("_day").alias("_bday"),
-                     *stats(F.sum("_n").over(wb), F.sum("_s1").over(wb), F.sum("_s2").over(wb), "b_"))
-    # C: tail of day D - days, through probes sorted before equal-time data rows.
-    data = base.select("_k", "_day", "_tod", F.lit(1).alias("_kind"), "_x",
-                       F.lit(None).cast("bigint").alias("_probe"))
-    probes = base.select("_k", (F.col("_day") - days).alias("_day"), "_tod", F.lit(0).alias("_kind"),
-                         F.lit(None).cast("decimal(18,2)").alias("_x"),
-                         F.col("transaction_id").alias("_probe"))
-    wc = (Window.partitionBy("_k", "_day").orderBy("_tod", "_kind")
-          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    c = (data.unionByName(probes)
-         .select("_probe", *stats(F.count("_x").over(wc), F.sum("_x").over(wc),
-                                  F.sum(F.col("_x") * F.col("_x")).over(wc), "c_"))
-         .where(F.col("_probe").isNotNull()))
-    j = (a.join(b, (a["_k"] == b["_bk"]) & (a["_day"] == b["_bday"]), "left")
-         .join(c, a["transaction_id"] == c["_probe"], "left"))
+    base = df.select("transaction_id", key, ts, value, F.col(key).alias("_k"), us.alias("_us"), x.alias("_x"))
+    sums = ["_n", "_s1", "_s2"]
+    total = lambda t, *by: t.groupBy(*by).agg(
+        *[F.sum(v).cast("decimal(38,4)" if v == "_s2" else "decimal(38,2)" if v == "_s1" else "bigint").alias(v) for v in sums])
+    rows = base.where(F.col("_k").isNotNull() & F.col("_us").isNotNull()).select(
+        "_k", "_us", F.when(F.col("_x").isNull(), 0).otherwise(1).cast("bigint").alias("_n"),
+        F.coalesce("_x", F.lit(0)).cast("decimal(18,2)").alias("_s1"), F.coalesce(F.col("_x") * F.col("_x"), F.lit(0)).alias("_s2"))
+    instants = total(rows, "_k", "_us")
+    span = days * MICROS_PER_DAY
+    starts = instants.select("_k", (F.col("_us") - span).alias("_us"), *[(F.col(v) * 0).alias(v) for v in sums])
+    marks = total(instants.unionByName(starts), "_k", "_us").select(
+        "*", F.floor(F.col("_us") / MICROS_PER_DAY).alias("_day"), F.floor(F.col("_us") / 1_000_000).alias("_sec"))
+    seconds = total(marks, "_k", "_day", "_sec")
+    by_day = running_before(total(seconds, "_k", "_day"), ["_k"], "_day", sums).select("_k", "_day", *[F.col(f"{v}_before").alias(f"_d{v}") for v in sums])
+    by_sec = running_before(seconds, ["_k", "_day"], "_sec", sums).join(by_day, ["_k", "_day"]).select(
+        "_k", "_day", "_sec", *[(F.col(f"{v}_before") + F.col(f"_d{v}")).alias(f"_b{v}") for v in sums])
+    upto = running_before(marks, ["_k", "_day", "_sec"], "_us", sums).join(by_sec, ["_k", "_day", "_sec"]).select(
+        "_k", "_us", *[(F.col(f"{v}_before") + F.col(f"_b{v}")).alias(v) for v in sums])
+    start = upto.select(F.col("_k").alias("_sk"), (F.col("_us") + span).alias("_sus"), *[F.col(v).alias(f"_0{v}") for v in sums])
+    frames = upto.join(start, (F.col("_k") == F.col("_sk")) & (F.col("_us") == F.col("_sus"))).select(
+        F.col("_k").alias("_fk"), F.col("_us").alias("_fus"), *[(F.col(v) - F.col(f"_0{v}")).alias(f"_f{v}") for v in sums])
+    j = base.join(frames, (base["_k"] == F.col("_fk")) & (base["_us"] == F.col("_fus")), "left")
     z0 = F.lit(0)
-    n = (F.coalesce("a_n", z0) + F.coalesce("b_n", z0) + F.coalesce("c_n", z0)).cast("bigint")
-    s1 = (F.coalesce("a_s1", z0) + F.coalesce("b_s1", z0) + F.coalesce("c_s1", z0)).cast("decimal(38,2)")
-    s2 = (F.coalesce("a_s2", z0) + F.coalesce("b_s2", z0) + F.coalesce("c_s2", z0)).cast("decimal(38,4)")
+    n = F.coalesce("_f_n", z0).cast("bigint")
+    s1 = F.coalesce("_f_s1", z0).cast("decimal(38,2)")
+    s2 = F.coalesce("_f_s2", z0).cast("decimal(38,4)")
     tot = j.select("transaction_id", key, ts, value, "_x", n.alias("_n"), s1.alias("_s1"),
                    s2.alias("_s2"))
     nd = F.col("_n").cast("decimal(20,0)")

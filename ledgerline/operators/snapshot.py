@@ -64,3 +64,29 @@ def snapshot_check(history: DataFrame | None, current: DataFrame, key: str,
     return (closed.select(*out_cols)
             .unionByName(old_side.select(*out_cols))
             .unionByName(new_side.select(*out_cols)))
+
+
+def snapshot_changes(open_versions: DataFrame, current: DataFrame, key: str, check_cols: list[str], as_of,
+                     hard_deletes: bool = True) -> DataFrame:
+    """What one run adds to a stored history: the versions it closes and the
+    ones it opens, with ``dbt_valid_to`` telling them apart. Unchanged versions
+    don't appear. One full outer join of the open versions with the source; a
+    joined row gives at most one closed and one opened version."""
+    ts = F.lit(str(as_of)).cast("timestamp_ntz")
+    cols, src = open_versions.columns, current.columns
+    o = open_versions.select(F.struct(*cols).alias("o"), F.col(key).alias("_ok"))
+    c = current.select(F.struct(*src).alias("c"), F.col(key).alias("_ck"))
+    j = o.join(c, F.col("_ok") == F.col("_ck"), "full_outer").drop(key)
+    in_o, in_c = F.col("o").isNotNull(), F.col("c").isNotNull()
+    differs = F.lit(False)
+    for x in check_cols:
+        differs = differs | ~F.col(f"o.{x}").eqNullSafe(F.col(f"c.{x}"))
+    closes = in_o & ((in_c & differs) | (~in_c & F.lit(hard_deletes)))
+    opens = in_c & (~in_o | differs)
+    typed = {f.name: f.dataType for f in open_versions.schema.fields}
+    closed = F.struct(*[(ts if x == "dbt_valid_to" else F.col(f"o.{x}")).cast(typed[x]).alias(x) for x in cols])
+    fresh_id = F.md5(F.concat_ws("|", F.col(f"c.{key}").cast("string"), ts_text(ts)))
+    meta = {"dbt_scd_id": fresh_id, "dbt_updated_at": ts, "dbt_valid_from": ts, "dbt_valid_to": F.lit(None)}
+    opened = F.struct(*[(meta[x] if x in meta else F.col(f"c.{x}") if x in src else F.lit(None)).cast(typed[x]).alias(x) for x in cols])
+    both = F.array(F.when(closes, closed), F.when(opens, opened))
+    return j.select(F.inline(F.filter(both, lambda v: v.isNotNull())))

@@ -21,6 +21,9 @@ SNAPSHOT_TIMES = ("2001-10-01 00:00:00", "2001-11-01 00:00:00", "2001-12-01 00:0
 MICROBATCH_TARGET_END = "2024-01-21"      # target holds days through 2024-01-20
 MICROBATCH_START, MICROBATCH_END = "2024-01-18", "2024-01-31"
 EVENTS_ALTERED = "transaction_id % 9 = 0"
+# Day ledger: first day, last day of each of two runs, days with late rows
+# (two and five days before the second run's last day).
+LEDGER_BEGIN, LEDGER_RUNS, LEDGER_LATE = "2024-01-05", ("2024-01-20", "2024-01-22"), ("2024-01-20", "2024-01-17")
 
 # Staging and fact update lists (columns a merge may overwrite).
 STG_TX_UPDATE = ["statut", "statut_precedent", "date_traitement", "date_settlement",

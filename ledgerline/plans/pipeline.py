@@ -17,9 +17,8 @@ from ledgerline.functions.columns import trunc_date
 from ledgerline.operators import audit, dims, facts, marts, staging
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import quality as Q
-from ledgerline.operators.snapshot import snapshot_check
 from ledgerline.plans import fixtures as FX
-from ledgerline.plans import suite
+from ledgerline.plans import history, microbatch, suite
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.contracts import FCT_TRANSACTIONS_CONTRACT
 from ledgerline.session import size_for_input
@@ -44,11 +43,9 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str
     tables.write_table(Q.run_suite(suite.source_checks(w)), f"{out_dir}/source_tests")
 
     # 2. account history, then the dimensions (full rebuild)
-    history = f"{out_dir}/snapshot_comptes"
-    known = tables.read_table(spark, history) if tables.table_state(spark, history) else None
-    source = w.raw.comptes().select(*FX.SNAPSHOT_SOURCE)
-    tables.write_table(snapshot_check(known, source, "compte_id", FX.SNAPSHOT_CHECK, started), history)
-    tables.write_table(dims.dim_comptes_scd2(tables.read_table(spark, history)), f"{out_dir}/dim_comptes_scd2")
+    versions = history.run_snapshot(spark, f"{out_dir}/snapshot_comptes", w.raw.comptes().select(*FX.SNAPSHOT_SOURCE),
+                                    "compte_id", FX.SNAPSHOT_CHECK, started)
+    tables.write_table(dims.dim_comptes_scd2(versions), f"{out_dir}/dim_comptes_scd2")
     tables.write_table(w.int_fx_rates_daily, f"{out_dir}/int_fx_rates_daily")
     for name, order in (("dim_tenants", None), ("dim_comptes", ["tenant_id"]), ("dim_categories", None),
                         ("bridge_comptes_titulaires", None)):
@@ -66,12 +63,13 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str
         if state:
             high = tables.table_watermark(spark, path, "_loaded_at")
             delta = build(inc.lookback(source, source, "_loaded_at", lookback_days, high=high) if high else source)
-            tables.upsert_table(spark, path, delta, key, month_of, update, FACT_LAYOUT["sort_by"][:1],
-                                watermark_col="_loaded_at")
+            # sorted, filtered and checked as the first build was (the table's record says how)
+            tables.upsert_table(spark, path, delta, key, month_of, update, watermark_col="_loaded_at")
         else:
-            tables.write_table(build(source), path, [month_of], FACT_LAYOUT["sort_by"][:1],
+            keys = [key] if isinstance(key, str) else key
+            tables.write_table(build(source), path, [month_of], ["tenant_id", keys[0]],
                                FACT_LAYOUT["bloom_cols"] if name == "fct_transactions" else None,
-                               watermark_col="_loaded_at", contract=contract)
+                               watermark_col="_loaded_at", contract=contract, key=keys)
         table = tables.read_table(spark, path)
         audit.append_audit(audit.audit_row(spark, table, run_id, name, "post", run_id, "prod", started),
                            f"{out_dir}/run_audit")
@@ -83,9 +81,18 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str
     fact = incremental("fct_transactions", stg, "transaction_id", lambda s: w.fact_from(
         facts.int_transactions_normalisees(s.drop("mois_transaction"), w.stg_comptes, w.stg_categories)),
         FX.FCT_TX_UPDATE, FCT_TRANSACTIONS_CONTRACT)
-    legs = incremental("fct_virements", w.raw.virements(), ["virement_id", "virement_leg"],
-                       lambda raw: facts.fct_virements(staging.stg_virements(raw)).withColumn(
+    transfers = incremental("stg_virements", w.raw.virements(), "virement_id", lambda raw: staging.stg_virements(
+        raw).withColumn("mois_virement", month("date_virement")), None, month_of="mois_virement")
+    legs = incremental("fct_virements", transfers, ["virement_id", "virement_leg"],
+                       lambda s: facts.fct_virements(s.drop("mois_virement")).withColumn(
                            "mois_virement", month("date_virement")), None, month_of="mois_virement")
+    # the fact once more, by day batches: the days not done yet, and the last ones again
+    ran = microbatch.run_microbatch(
+        spark, f"{out_dir}/fct_transactions_microbatch", stg, lambda s: w.fact_from(facts.int_transactions_normalisees(
+            s.drop("mois_transaction"), w.stg_comptes, w.stg_categories)), "date_transaction", "jour_transaction",
+        w.params.as_of, w.params.microbatch_begin, sort_by=["tenant_id"], watermark_col="_loaded_at")
+    if failed := [b for b in ran if b.error]:
+        raise PipelineAborted(f"day batches from {failed[0].start}: {failed[0].error}")
     # A model graph of its own on the stored tables: the caller's ``w`` stays
     # lazy, and must not pin files that the next run replaces.
     stored = Warehouse(w.raw, w.params, w.use_events)

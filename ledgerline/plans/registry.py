@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.columns import trunc_date
 from ledgerline.operators import dims, fx, marts
+from ledgerline.plans import history, microbatch
 from ledgerline.plans import oracle as O
 from ledgerline.plans.warehouse import Params, Warehouse
 from ledgerline.session import scratch_dir
@@ -1054,6 +1055,119 @@ def q_stored_microbatch(spark, sf):
     return tables.read_table(spark, path)
 
 
+_MICRO_CTES = {
+    "ev_stg_t": O.stg_tx_sql(f"(SELECT * FROM raw_event_transactions WHERE date_transaction < "
+                             f"TIMESTAMP '{FX.MICROBATCH_TARGET_END} 00:00:00')"),
+    "ev_norm_t": O.norm_sql("ev_stg_t"), "ev_fct_t": O.fact_sql("ev_norm_t"),
+    "ev_stg_s": O.stg_tx_sql("events_altered"), "ev_norm_s": O.norm_sql("ev_stg_s"), "ev_fct_s": O.fact_sql("ev_norm_s")}
+
+
+_STORED_MICRO = REGISTRY["stored_microbatch"][1]
+
+
+def _micro_table(spark, w) -> str:
+    """The fact of the events before the second load, by day."""
+    path = f"{scratch_dir(spark, f'micro-{uuid.uuid4().hex[:8]}')}/fct"
+    before = F.col("date_transaction") < F.lit(f"{FX.MICROBATCH_TARGET_END} 00:00:00").cast("timestamp_ntz")
+    target = w.fact_from(facts.int_transactions_normalisees(
+        staging.stg_transactions(w.raw.event_transactions().where(before)), w.stg_comptes, w.stg_categories))
+    tables.write_table(target, path, ["jour_transaction"], watermark_col="_loaded_at")
+    return path
+
+
+def _micro_batch(f, w) -> DataFrame:
+    """The days that the second load brings, without the first of them."""
+    source = w.fact_from(facts.int_transactions_normalisees(
+        staging.stg_transactions(f.events_altered()), w.stg_comptes, w.stg_categories))
+    return inc.replace_batches(None, source.where(F.col("jour_transaction") != F.lit(FX.MICROBATCH_START).cast("date")),
+                               "date_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END)
+
+
+@register("stored_days_new_column", _STORED_MICRO.replace(
+    "SELECT * FROM ev_fct_t WHERE", "SELECT *, CAST(NULL AS VARCHAR) AS canal_detail FROM ev_fct_t WHERE").replace(
+    "SELECT * FROM ev_fct_s WHERE", "SELECT *, canal || '/' || moyen_paiement AS canal_detail FROM ev_fct_s WHERE"))
+def q_stored_days_new_column(spark, sf):
+    """Replaced days bring a column that the table didn't have."""
+    w, f = _fix(spark, sf)
+    path = _micro_table(spark, w)
+    batch = _micro_batch(f, w).withColumn("canal_detail", F.concat(F.col("canal"), F.lit("/"), F.col("moyen_paiement")))
+    tables.replace_days(batch, path, "jour_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END)
+    return tables.read_table(spark, path)
+
+
+@register("stored_days_watermark", fx_sql("SELECT max(_loaded_at) AS high FROM after_days", {
+    **_MICRO_CTES, "after_days": f"SELECT * FROM ev_fct_t WHERE NOT ({_EV_DAY}) UNION ALL SELECT * FROM ev_fct_s WHERE {_EV_DAY} "
+                                 f"AND jour_transaction <> DATE '{FX.MICROBATCH_START}'"}))
+def q_stored_days_watermark(spark, sf):
+    """The recorded watermark after days were replaced."""
+    w, f = _fix(spark, sf)
+    path = _micro_table(spark, w)
+    tables.replace_days(_micro_batch(f, w), path, "jour_transaction", FX.MICROBATCH_START, FX.MICROBATCH_END)
+    return spark.createDataFrame([(tables.table_watermark(spark, path, "_loaded_at"),)], "high timestamp_ntz")
+
+
+@register("microbatch_two_runs", fx_sql(f"""
+    SELECT * FROM ev_all WHERE jour_transaction BETWEEN DATE '{FX.LEDGER_BEGIN}' AND DATE '{FX.LEDGER_RUNS[1]}'
+      AND NOT (transaction_id % 9 = 0 AND jour_transaction = DATE '{FX.LEDGER_LATE[1]}')""",
+    {"ev_stg": O.stg_tx_sql("raw_event_transactions"), "ev_norm": O.norm_sql("ev_stg"), "ev_all": O.fact_sql("ev_norm")}))
+def q_microbatch_two_runs(spark, sf):
+    """Two runs of the day ledger. Rows that come late lie two and five days
+    before the second run's last day: its lookback of three takes the first
+    ones in, the others stay out."""
+    w, _ = _fix(spark, sf)
+    path = f"{scratch_dir(spark, f'ledger-{uuid.uuid4().hex[:8]}')}/fct"
+    events = w.raw.event_transactions()
+    late = (F.col("transaction_id") % 9 == 0) & F.col("date_transaction").cast("date").isin(
+        *[F.lit(d).cast("date") for d in FX.LEDGER_LATE])
+    build = lambda raw: w.fact_from(facts.int_transactions_normalisees(
+        staging.stg_transactions(raw), w.stg_comptes, w.stg_categories))
+    for source, through in zip((events.where(~late), events), FX.LEDGER_RUNS, strict=True):
+        ran = microbatch.run_microbatch(spark, path, source, build, "date_transaction", "jour_transaction", through,
+                                        FX.LEDGER_BEGIN, watermark_col="_loaded_at")
+        if failed := [b for b in ran if b.error]:
+            raise RuntimeError(failed[0].error)
+    return tables.read_table(spark, path)
+
+
+def _indexed_stg(spark, f) -> str:
+    """As ``_stored_stg``, with a key index (some sixteen ranges at sf0.01)."""
+    path = f"{scratch_dir(spark, f'stored-{uuid.uuid4().hex[:8]}')}/stg_transactions"
+    tables.write_table(_by_month(staging.stg_transactions(f.tx_cut())), path, ["mois"], ["transaction_id"],
+                       ["transaction_id"], key="transaction_id", key_bits=12)
+    return path
+
+
+@register("stored_upsert_key_index", REGISTRY["stored_upsert_delete"][1])
+def q_stored_key_index(spark, sf):
+    """An upsert with deletions whose keys are looked up in the key index;
+    the table is read back through the partitions that the index names."""
+    _, f = _fix(spark, sf)
+    path = _indexed_stg(spark, f)
+    delta = _by_month(staging.stg_transactions(f.tx_delta()))
+    tables.upsert_table(spark, path, delta, "transaction_id", "mois", FX.STG_TX_UPDATE,
+                        delete_keys=delta.where("statut = 'rejetee'").select("transaction_id"))
+    return tables.read_table(spark, path)
+
+
+@register("stored_point_lookup", O.model_query(f"SELECT * FROM fct_transactions WHERE transaction_id = {LOOKUP_TRANSACTION_ID}"))
+def q_stored_point_lookup(spark, sf):
+    """H2 on the stored fact: the key index names the partition to read."""
+    path = f"{scratch_dir(spark, f'lookup-{uuid.uuid4().hex[:8]}')}/fct"
+    tables.write_table(wh(spark, sf).fct_transactions, path, ["mois_transaction"], ["tenant_id", "transaction_id"],
+                       ["transaction_id"], key="transaction_id")
+    return tables.lookup(spark, path, LOOKUP_TRANSACTION_ID)
+
+
+@register("stored_snapshot_three_runs", REGISTRY["snapshot_three_runs"][1])
+def q_stored_snapshot(spark, sf):
+    """Three runs into a stored history that only grows, read from storage."""
+    _, f = _fix(spark, sf)
+    path = f"{scratch_dir(spark, f'history-{uuid.uuid4().hex[:8]}')}/snapshot_comptes"
+    for r in (1, 2, 3):
+        history.run_snapshot(spark, path, f.accounts_at(r), "compte_id", FX.SNAPSHOT_CHECK, FX.SNAPSHOT_TIMES[r - 1])
+    return history.read_history(spark, path)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

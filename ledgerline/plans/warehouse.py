@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ledgerline.operators import dims, facts, fx, hierarchy, marts, staging
-from ledgerline.sources.adapters import AS_OF, FX_SPINE_END, FX_SPINE_START, RawTables
+from ledgerline.sources.adapters import AS_OF, FX_SPINE_END, FX_SPINE_START, MICROBATCH_BEGIN, RawTables
 
 
 @dataclass
@@ -23,6 +23,7 @@ class Params:
     fx_start: str = FX_SPINE_START
     fx_end: str = FX_SPINE_END
     fx_mode: str = "multiply"
+    microbatch_begin: str = MICROBATCH_BEGIN
 
 
 @dataclass

@@ -61,6 +61,7 @@ FX_CURRENCIES = [(1, "USD", "1.08"), (2, "GBP", "0.85"), (3, "CHF", "0.96"),
                  (4, "SEK", "11.2"), (5, "JPY", "160")]
 # Default parameters of the fixture.
 AS_OF = "2001-12-31"
+MICROBATCH_BEGIN = "2001-11-01"  # first day of the fact's day batches
 EVENTS_AS_OF = "2024-02-01"
 FX_SPINE_START = "1995-01-01"
 FX_SPINE_END = "2002-01-01"  # exclusive

@@ -39,7 +39,7 @@ def test_zscore_plans_agree(wh):
     from ledgerline.operators import marts
     a = marts.rolling_zscore(wh.fct_transactions, bucket_days=90)
     b = marts.rolling_zscore(wh.fct_transactions, bucket_days=7)
-    c = marts.rolling_zscore_daysplit(wh.fct_transactions)
+    c = marts.rolling_zscore_blocks(wh.fct_transactions)
     assert rows(a) == rows(b) == rows(c)
 
 

@@ -82,7 +82,7 @@ def test_emptied_day_goes(spark, path):
 
 def test_failed_write_leaves_the_table(spark, path):
     """Files of a run that died before its record are not seen; the next
-    write works; replaced files are deleted."""
+    write works; a sweep deletes what is replaced or in no record."""
     tables.write_table(frame(spark, [(1, "a", "x")]), path, ["part"])
     frame(spark, [(5, "a", "lost")]).withColumn("ver", F.lit("dead")).write.mode("append").partitionBy(
         "part", "ver").parquet(f"{path}/data")
@@ -90,8 +90,145 @@ def test_failed_write_leaves_the_table(spark, path):
     tables.upsert_table(spark, path, frame(spark, [(2, "a", "y")]), "id", "part", ["v"])
     assert content(spark, path) == [(1, "a", "x"), (2, "a", "y")]
     live = tables.table_state(spark, path)["live"]["a"]
-    found = {r["ver"] for r in spark.read.parquet(f"{path}/data").select("ver").distinct().collect()}
-    assert found == {"dead", live}
+    found = lambda: {r["ver"] for r in spark.read.parquet(f"{path}/data").select("ver").distinct().collect()}
+    assert len(found()) == 3 and {"dead", *live} < found()
+    tables.sweep(spark, path, keep=0)
+    assert found() == set(live) and content(spark, path) == [(1, "a", "x"), (2, "a", "y")]
+
+
+def test_open_reader_finishes(spark, path):
+    """A frame opened before a rebuild and an upsert reads its own version."""
+    tables.write_table(frame(spark, [(1, "a", "x"), (2, "b", "x")]), path, ["part"])
+    before = tables.read_table(spark, path)
+    tables.write_table(frame(spark, [(7, "a", "n")]), path, ["part"])
+    tables.upsert_table(spark, path, frame(spark, [(7, "a", "m")]), "id", "part", ["v"])
+    assert sorted(r["id"] for r in before.collect()) == [1, 2]
+    assert content(spark, path) == [(7, "a", "m")]
+    tables.sweep(spark, path, keep=0)
+    assert content(spark, path) == [(7, "a", "m")] and len(tables._state_files(spark, path)) == 1
+
+
+def test_refused_write_leaves_nothing(spark, path):
+    """Rows outside of the range: no commit, and no file after a sweep."""
+    tables.write_table(frame(spark, [(1, "2024-01-01", "x")]), path, ["part"])
+    files = lambda: len(spark.read.parquet(f"{path}/data").inputFiles())
+    n, version = files(), tables.table_state(spark, path)["version"]
+    for bad in ("2024-03-05", None):
+        with pytest.raises(ValueError, match="rows outside of"):
+            tables.replace_days(frame(spark, [(5, "2024-01-02", "y"), (6, bad, "y")]), path, "part", "2024-01-02", "2024-01-04")
+    assert tables.table_state(spark, path)["version"] == version
+    tables.sweep(spark, path, keep=0)
+    assert files() == n and content(spark, path) == [(1, "2024-01-01", "x")]
+
+
+def test_replaced_days_keep_new_columns_and_raise_the_watermark(spark, path):
+    tables.write_table(frame(spark, [(1, "2024-01-01", "x"), (2, "2024-01-02", "x")]), path, ["part"], watermark_col="at")
+    batch = frame(spark, [(3, "2024-01-02", "y")]).withColumn("extra", F.lit("new")).withColumn(
+        "at", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    tables.replace_days(batch, path, "part", "2024-01-02", "2024-01-03")
+    assert {r["id"]: r["extra"] for r in tables.read_table(spark, path).collect()} == {1: None, 3: "new"}
+    assert tables.table_watermark(spark, path, "at") == dt.datetime(2024, 3, 1)
+    tables.replace_days(frame(spark, [(4, "2024-01-01", "z")]), path, "part", "2024-01-01", "2024-01-02")
+    assert {r["id"]: r["extra"] for r in tables.read_table(spark, path).collect()} == {4: None, 3: "new"}
+    assert tables.table_watermark(spark, path, "at") == dt.datetime(2024, 3, 1)
+
+
+def test_every_write_is_gated(spark, path):
+    """The contract and the recorded schema hold for upserts, day
+    batches and appended rows."""
+    good = frame(spark, [(1, "2024-01-01", "x")])
+    tables.write_table(good, path, ["part"], contract=good.schema)
+    wider = good.withColumn("extra", F.lit(1))
+    retyped = good.withColumn("v", F.lit(5))
+    version = tables.table_state(spark, path)["version"]
+    for write in (lambda d: tables.upsert_table(spark, path, d, "id", "part"),
+                  lambda d: tables.replace_days(d, path, "part", "2024-01-01", "2024-01-02"),
+                  lambda d: tables.append_rows(d, path, "part"), lambda d: tables.write_table(d, path, ["part"])):
+        with pytest.raises(tables.ContractError, match="extra: unexpected"):
+            write(wider)
+    other = f"{path}-free"
+    tables.write_table(good, other, ["part"])
+    for write in (lambda d: tables.replace_days(d, other, "part", "2024-01-01", "2024-01-02"),
+                  lambda d: tables.append_rows(d, other, "part"), lambda d: tables.write_table(d, other, ["part"])):
+        with pytest.raises(tables.ContractError, match="breaking change: v: int"):
+            write(retyped)
+    tables.write_table(retyped, other, ["part"], breaking=True)
+    assert tables.read_table(spark, other).schema["v"].dataType == T.IntegerType()
+    assert tables.table_state(spark, path)["version"] == version and content(spark, path) == [(1, "2024-01-01", "x")]
+
+
+def test_layout_stays(spark, path):
+    """Upserts and day batches sort and filter as the first build did."""
+    tables.write_table(frame(spark, [(k, "a", "x") for k in range(9)]), path, ["part"], ["id"], ["id"])
+    tables.upsert_table(spark, path, frame(spark, [(k, "a", "y") for k in range(20, 2, -1)]), "id", "part", ["v"])
+    assert tables.table_state(spark, path)["layout"] == {"sort_by": ["id"], "bloom_cols": ["id"]}
+    ids = [r["id"] for r in tables.read_table(spark, path).collect()]
+    assert ids == sorted(ids)
+
+
+def entries(spark, path):
+    index = tables.table_state(spark, path)["keys"]
+    return sorted(map(tuple, tables._entries(spark, path, index, list(index["live"])).select("id", "_part").collect()))
+
+
+def test_key_index(spark, path):
+    """The index follows inserts, moves and deletions; ranges without a change
+    are not written; lookups read the partition that it names."""
+    rows = [(k, "abc"[k % 3], "x") for k in range(0, 64, 2)]
+    tables.write_table(frame(spark, rows), path, ["part"], key="id", key_bits=4)
+    first = tables.table_state(spark, path)["keys"]["live"]
+    assert set(first) == {"0", "1", "2", "3"} and entries(spark, path) == sorted((i, p) for i, p, _ in rows)
+    tables.upsert_table(spark, path, frame(spark, [(2, "z", "y"), (5, "z", "y"), (64, None, "y")]), "id", "part", ["v"],
+                        delete_keys=frame(spark, [(20, "", ""), (77, "", "")]).select("id"))
+    want = {i: (p, v) for i, p, v in rows if i != 20} | {2: ("c", "y"), 5: ("z", "y"), 64: (None, "y")}
+    assert content(spark, path) == sorted((i, p, v) for i, (p, v) in want.items())
+    assert entries(spark, path) == sorted((i, p or tables.NULL_PART) for i, (p, _) in want.items())
+    state = tables.table_state(spark, path)
+    now = state["keys"]["live"]
+    assert {r for r in now if now[r] == first.get(r)} == {"2", "3"} and state["last"] == {"inserted": 2, "updated": 1, "deleted": 1}
+    tables.upsert_table(spark, path, frame(spark, [(5, "a", "w")]), "id", "part")  # all columns: it moves
+    tables.upsert_table(spark, path, frame(spark, [(8, "c", "w")]), "id", "part", ["v"])  # nothing moves
+    want |= {5: ("a", "w"), 8: ("c", "w")}
+    assert entries(spark, path) == sorted((i, p or tables.NULL_PART) for i, (p, _) in want.items())
+    for i in (5, 8, 40, 64):
+        found = tables.lookup(spark, path, i)
+        assert [tuple(r)[:3] for r in found.collect()] == [(i, *want[i])] and len(found.inputFiles()) == 1
+    assert tables.lookup(spark, path, 20).collect() == [] == tables.lookup(spark, path, 10**6).collect()
+    with pytest.raises(ValueError):
+        tables.append_rows(frame(spark, [(1, "a", "x")]), path, "part")
+
+
+def test_key_index_of_texts_and_pairs(spark, path):
+    rows = [(k, f"k{k % 5}", "x", dt.datetime(2024, 1, 1)) for k in range(40)]
+    table = spark.createDataFrame(rows, SCHEMA.replace("id int", "n int").replace("part string", "leg string")).withColumn(
+        "part", F.col("n") % 3)
+    tables.write_table(table, path, ["part"], key=["leg", "n"])
+    delta = table.where("n < 3").withColumn("v", F.lit("y")).unionByName(table.where("n = 39").withColumn("n", F.lit(99)))
+    tables.upsert_table(spark, path, delta, ["leg", "n"], "part", ["v"])
+    got = {(r["leg"], r["n"]): r["v"] for r in tables.read_table(spark, path).collect()}
+    assert got == {(r[1], r[0]): "y" if r[0] < 3 else "x" for r in rows} | {("k4", 99): "x"}
+    assert [r["v"] for r in tables.lookup(spark, path, "k4", 99).collect()] == ["x"]
+
+
+def test_replayed_stream_batch_is_skipped(spark, path):
+    """A crash between the table's commit and the checkpoint's: the last batch
+    comes again, with its deletions, and changes nothing."""
+    from ledgerline.streaming.stream_merge import stream_merge
+    tables.write_table(frame(spark, [(1, "a", "x"), (2, "a", "x")]), f"{path}/t", ["part"], watermark_col="at")
+    for rows in ([(3, "a", "n"), (1, "a", "u")], [(3, "a", "DELETE"), (2, "a", "u")]):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        run = lambda: stream_merge(spark, f"{path}/in", frame(spark, []).schema, f"{path}/t", "id", "part", ["v"], f"{path}/ckpt",
+                                   prepare=lambda b: b.where("v <> 'DELETE'"),
+                                   deletes=lambda b: b.where("v = 'DELETE'").select("id"), watermark_col="at")
+        run()
+    want, state = [(1, "a", "u"), (2, "a", "u")], tables.table_state(spark, f"{path}/t")
+    assert content(spark, f"{path}/t") == want and list(state["streams"].values()) == [1]
+    fs, done = tables._fs(spark, f"{path}/ckpt/commits/1")
+    fs.delete(done, False)
+    tables.upsert_table(spark, f"{path}/t", frame(spark, [(3, "a", "later")]), "id", "part", ["v"])  # another writer
+    run()
+    assert content(spark, f"{path}/t") == [*want, (3, "a", "later")]
+    assert tables.table_state(spark, f"{path}/t")["version"] == state["version"] + 1
 
 
 def test_contract_gates_the_write(spark, path):
