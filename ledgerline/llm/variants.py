@@ -13,8 +13,8 @@ of splits (letter, count). The splits are fitted on a bounded sample of words
 until a box holds about ``box`` words; any splits give the same result, as
 every word is put into its box and every search visits each box that its ball
 may reach. A box and its searches meet in one task, which builds a k-d tree of
-its own over the box, prunes its leaves the same way, and looks at a leaf's
-words through 64-bit signatures before their letter counts. A box that grew
+its own over the box, prunes by the bounding boxes of its leaves, and looks at
+a leaf's words through 64-bit signatures before their letter counts. A box that grew
 beyond twice ``box`` all the same (words of one letter count, or a poor sample)
 is split into blocks by hash, and each search visits all of its blocks.
 
@@ -50,7 +50,9 @@ DROP = 31
 RATIO = 10
 SAMPLE = 100_000
 BOX = 8_000
-LEAF = 256
+LEAF = 128
+#: Comparisons at a time: what they need stays in a core's cache.
+CELLS = 16_384
 FLUSH = 200_000
 
 
@@ -184,6 +186,17 @@ def signatures(points: np.ndarray) -> np.ndarray:
     return out
 
 
+def unary(points: np.ndarray) -> np.ndarray:
+    """64 bits per point: for each letter, whether it is there and whether it
+    is there twice. Accented letters share bits, so a missing bit is certain
+    and points that differ in k bits have an L1 distance of k at least."""
+    out = np.zeros(len(points), np.uint64)
+    for d in np.flatnonzero(points.any(axis=0)).tolist():
+        for k, bit in enumerate((d, 26 + d) if d < 26 else (52 + d % 12,)):
+            out |= (points[:, d] > k).astype(np.uint64) << np.uint64(bit)
+    return out
+
+
 class Box:
     """The words of one box, with a k-d tree of its own over them."""
 
@@ -191,23 +204,31 @@ class Box:
         self.words, self.counts, self.spelt = words, counts, codes(words)
         self.points = letter_counts(self.spelt)
         self.marks = signatures(self.points)
-        self.splits = fit_splits(self.points, 1.0, LEAF)
-        self.leaves = dict(route(self.splits, self.points, 0))
+        self.leaves = [rows for _, rows in route(fit_splits(self.points, 1.0, LEAF), self.points, 0)]
+        steps = unary(self.points)
+        # the leaves' bounding boxes: steps that all of a leaf's words have, and that any of them has
+        self.low = np.array([np.bitwise_and.reduce(steps[rows]) for rows in self.leaves])
+        self.beyond = np.array([~np.bitwise_or.reduce(steps[rows]) for rows in self.leaves])
 
-    def search(self, asked: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(self, asked: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows of ``asked``, rows of the box) whose L1 distance is exactly
         ``reach`` (one edit gives no other)."""
-        marks = signatures(asked)
-        for number, rows in route(self.splits, asked, reach):
-            own = self.leaves.get(number, ())
-            for k in range(0, len(own), 512):
-                part = own[k:k + 512]
-                for j in range(0, len(rows), 512):
-                    some = rows[j:j + 512]
-                    q, p = np.nonzero(np.bitwise_count(marks[some][:, None] ^ self.marks[part][None, :]) <= reach)
-                    q, p = some[q], part[p]
-                    ok = np.abs(asked[q] - self.points[p]).sum(axis=1) == reach
-                    yield q[ok], p[ok]
+        marks, steps = signatures(asked), unary(asked)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        apart = np.bitwise_count(steps[:, None] & self.beyond) + np.bitwise_count(~steps[:, None] & self.low)
+        for own, reached in zip(self.leaves, (apart <= reach).T, strict=True):
+            rows = np.flatnonzero(reached)
+            for k in range(0, len(own), 4096):
+                part = own[k:k + 4096]
+                near, step = self.marks[part], max(1, CELLS // len(part))
+                for j in range(0, len(rows), step):
+                    some = rows[j:j + step]
+                    hits = np.flatnonzero(np.bitwise_count(marks[some][:, None] ^ near) <= reach)
+                    found.append((some[hits // len(part)], part[hits % len(part)]))
+        q, p = (np.concatenate(x) for x in zip(*found, strict=True))
+        exact = [np.abs(asked[q[k:k + CELLS]] - self.points[p[k:k + CELLS]]).sum(axis=1) == reach for k in range(0, len(q), CELLS)]
+        ok = np.concatenate(exact) if exact else np.zeros(0, bool)
+        return q[ok], p[ok]
 
 
 def one_edit(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -279,15 +300,14 @@ def near_pairs(words: DataFrame, sample: int = SAMPLE, box: int = BOX) -> DataFr
             for k in range(0, len(texts), 4096):
                 words, times = texts[k:k + 4096], counts[k:k + 4096]
                 spelt = codes(words)
-                for q, p in box.search(letter_counts(spelt), 1 if role == 3 else 2):
-                    ok = one_edit(spelt[q], box.spelt[p])
-                    both = [(i, j) for i, j in zip(q[ok].tolist(), p[ok].tolist(), strict=True)
-                            if role != 1 or words[i] < box.words[j]]
-                    if both:
-                        q, p = np.array(both).T
-                        yield pa.RecordBatch.from_arrays([pa.array([words[i] for i, _ in both]), pa.array(times[q]),
-                                                          pa.array([box.words[j] for _, j in both]), pa.array(box.counts[p])],
-                                                         names=["a", "n_a", "b", "n_b"])
+                q, p = box.search(letter_counts(spelt), 1 if role == 3 else 2)
+                ok = one_edit(spelt[q], box.spelt[p])
+                both = [(i, j) for i, j in zip(q[ok].tolist(), p[ok].tolist(), strict=True) if role != 1 or words[i] < box.words[j]]
+                if both:
+                    q, p = np.array(both).T
+                    yield pa.RecordBatch.from_arrays([pa.array([words[i] for i, _ in both]), pa.array(times[q]),
+                                                      pa.array([box.words[j] for _, j in both]), pa.array(box.counts[p])],
+                                                     names=["a", "n_a", "b", "n_b"])
 
         key = tree = None
         waiting: list[pa.RecordBatch] = []
