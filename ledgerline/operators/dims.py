@@ -83,22 +83,34 @@ def bridge_comptes_titulaires(stg_links: DataFrame) -> DataFrame:
     )
 
 
-def holder_allocation(fact: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Split each account's EUR volume between its holders.
+def holder_shares(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Each account's EUR volume split between its active holders, in cents
+    that add up to it: what is left after equal shares goes cent by cent to
+    the first holders by id (the largest remainders, which are equal here).
 
     Amounts are first summed per account (map-side partial aggregation), so
     the join with the bridge carries one row per account, not per
-    transaction. Each holder's share of an account is rounded to the cent
-    (half up); inactive links get 0; a NULL factor gives no share."""
+    transaction. Inactive links get 0; a link of unknown state gets the equal
+    share, rounded (half up), beside the split; no active link, no share."""
     per_acct = fact.groupBy("compte_id").agg(F.sum("montant_eur").alias("_total"))
-    b = bridge.select(F.col("compte_id").alias("_b_compte_id"), "titulaire_id",
-                      "is_active", "allocation_factor",
-                      F.count(F.when(F.col("is_active") == F.lit(True), F.lit(1)))
-                      .over(Window.partitionBy("compte_id")).alias("_n"))
-    j = per_acct.join(b, per_acct["compte_id"] == b["_b_compte_id"], "inner")
+    active = F.col("is_active") == F.lit(True)
+    holders = Window.partitionBy("compte_id")
+    b = bridge.select(
+        F.col("compte_id").alias("_b_compte_id"), "titulaire_id", "is_active", "allocation_factor",
+        F.count(F.when(active, F.lit(1))).over(holders).alias("_n"),
+        F.row_number().over(holders.orderBy(F.coalesce(active, F.lit(False)).desc(), "titulaire_id", "bridge_id")).alias("_k"))
+    cents = F.abs(F.col("_total") * 100).cast("bigint")
+    own = F.expr("div(_cents, nullif(_n, 0))") + (F.col("_k") <= F.col("_cents") % F.nullif(F.col("_n"), F.lit(0))).cast("bigint")
     share = (F.when(F.col("is_active") == F.lit(False), F.lit(0).cast("decimal(18,2)"))
+             .when(active, F.signum("_total").cast("bigint") * own * F.lit(0.01).cast("decimal(3,2)"))
              .otherwise(F.round(F.col("_total") / F.nullif(F.col("_n"), F.lit(0)), 2)))
-    return (j.withColumn("_share", share.cast("decimal(18,2)"))
-            .groupBy("titulaire_id")
-            .agg(F.count("_share").alias("nb_comptes"),
-                 F.sum("_share").cast("decimal(18,2)").alias("montant_alloue_eur")))
+    j = per_acct.join(b, per_acct["compte_id"] == b["_b_compte_id"], "inner").withColumn("_cents", cents)
+    return j.select("compte_id", "titulaire_id", "is_active", F.col("_total").cast("decimal(18,2)").alias("montant_compte_eur"),
+                    share.cast("decimal(18,2)").alias("part_eur"))
+
+
+def holder_allocation(fact: DataFrame, bridge: DataFrame) -> DataFrame:
+    """What each holder has of the volumes of its accounts."""
+    return (holder_shares(fact, bridge).groupBy("titulaire_id")
+            .agg(F.count("part_eur").alias("nb_comptes"),
+                 F.sum("part_eur").cast("decimal(18,2)").alias("montant_alloue_eur")))

@@ -194,6 +194,15 @@ def allocation_sum(bridge: DataFrame, tol: float = 1e-6) -> DataFrame:
     return per.where((F.col("nb_actifs") > 0) & (F.abs(F.col("somme_facteurs") - 1.0) > tol))
 
 
+def shares_add_up(shares: DataFrame) -> DataFrame:
+    """Accounts whose active holders' shares don't add up to the account's
+    volume (``dims.holder_shares``)."""
+    per = shares.where(F.col("is_active") == F.lit(True)).groupBy("compte_id").agg(
+        F.max("montant_compte_eur").alias("montant_compte_eur"),
+        (F.max("montant_compte_eur") - F.sum("part_eur")).cast("decimal(18,2)").alias("ecart_eur"))
+    return per.where(F.col("ecart_eur") != 0)
+
+
 # --- suite ------------------------------------------------------------------------
 
 @dataclass

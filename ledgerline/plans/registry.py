@@ -95,25 +95,38 @@ def q_bridge(spark, sf):
     return wh(spark, sf).bridge_comptes_titulaires
 
 
-@register("holder_allocation", O.model_query("""
-    SELECT titulaire_id, CAST(count(share) AS BIGINT) AS nb_comptes,
-           CAST(sum(share) AS DECIMAL(18,2)) AS montant_alloue_eur
-    FROM (
-      SELECT b.titulaire_id,
-             CASE WHEN b.is_active = false THEN CAST(0 AS DECIMAL(18,2))
-                  WHEN n.nb IS NULL OR n.nb = 0 THEN NULL
-                  ELSE CAST((2 * CAST(a.total * 100 AS HUGEINT) + n.nb) // (2 * n.nb) AS DECIMAL(38,0)) * 0.01
-             END AS share
-      FROM (SELECT compte_id, sum(montant_eur) AS total FROM fct_transactions GROUP BY compte_id) a
-      JOIN stg_compte_titulaires b ON a.compte_id = b.compte_id
-      LEFT JOIN (SELECT compte_id, count(*) AS nb FROM stg_compte_titulaires WHERE is_active = true
-                 GROUP BY compte_id) n ON n.compte_id = b.compte_id
-    ) s GROUP BY titulaire_id"""))
+# The holders of an account in a list; the k-th one's share ends where the next
+# one's begins, and the first (cents mod holders) get a cent more.
+_SHARES = {"account_cents": "SELECT compte_id, CAST(sum(montant_eur) * 100 AS HUGEINT) AS cents FROM fct_transactions GROUP BY 1",
+           "holders": "SELECT compte_id, list(titulaire_id ORDER BY titulaire_id, id) AS h FROM stg_compte_titulaires WHERE is_active "
+                      "GROUP BY 1",
+           "shares": """
+      SELECT compte_id, h[k] AS titulaire_id, cents // len(h) + CASE WHEN k <= cents % len(h) THEN 1 ELSE 0 END AS part
+      FROM account_cents JOIN holders USING (compte_id), LATERAL (SELECT unnest(range(1, len(h) + 1)) AS k)
+      UNION ALL
+      SELECT compte_id, titulaire_id, 0 FROM account_cents JOIN stg_compte_titulaires USING (compte_id) WHERE NOT is_active
+      UNION ALL
+      SELECT compte_id, titulaire_id, (2 * cents + len(h)) // (2 * len(h))
+      FROM account_cents JOIN stg_compte_titulaires USING (compte_id) LEFT JOIN holders USING (compte_id) WHERE is_active IS NULL"""}
+
+
+@register("holder_allocation", O.with_models("""
+    SELECT titulaire_id, count(part) AS nb_comptes, CAST(CAST(sum(part) AS DECIMAL(38,0)) * 0.01 AS DECIMAL(18,2)) AS montant_alloue_eur
+    FROM shares GROUP BY titulaire_id""", *O.ALL_MODELS, _SHARES))
 def q_holder_allocation(spark, sf):
     w = wh(spark, sf)
     return dims.holder_allocation(w.fct_transactions, w.bridge_comptes_titulaires)
 
 
+@register("dq_shares_add_up", O.model_query("""
+    SELECT compte_id, CAST(sum(montant_eur) AS DECIMAL(18,2)) AS montant_compte_eur, CAST(0 AS DECIMAL(18,2)) AS ecart_eur
+    FROM fct_transactions WHERE false GROUP BY 1"""))
+def q_shares_add_up(spark, sf):
+    """Accounts whose active holders' shares don't add up to the cent."""
+    w = wh(spark, sf)
+    return Q.shares_add_up(dims.holder_shares(w.fct_transactions, w.bridge_comptes_titulaires))
+
+
 # --- facts ------------------------------------------------------------------------
 
 @register("fct_transactions", O.model_query("SELECT * FROM fct_transactions"))
