@@ -292,10 +292,12 @@ def cut_spans(docs: DataFrame, hits: str, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0,
+                  length: str = "n_chars") -> DataFrame:
     """The documents without test passages, with their own columns: one whose
     hit share of words is above ``max_coverage`` goes whole, in the others the
-    hit spans (each at least a window long) are cut. At the default of 0 every
+    hit spans (each at least a window long) are cut, and the column ``length``,
+    if there is one, gets the code points left. At the default of 0 every
     document with a hit goes."""
     hits = free_name(docs.columns, "hits")
     scanned = with_hits(docs, items, hits, window=window)
@@ -303,6 +305,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     kept = scanned.where(got["n_hit"] <= got["n_words"] * F.lit(float(max_coverage)))
     if max_coverage > 0:
         kept = cut_spans(kept, hits)
+        if length in docs.columns:
+            own = F.col(quoted(length))
+            left = F.length("text").cast(docs.schema[length].dataType)
+            kept = kept.withColumn(length, F.when(got["n_hit"] > 0, left).otherwise(own))
     return kept.select(*[quoted(c) for c in docs.columns])
 
 

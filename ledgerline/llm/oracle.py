@@ -25,16 +25,16 @@ CONTAMINATION = rf"""
     FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
 
-def quality(rules: tuple, bits: int, min_docs: int, reach: int) -> str:
-    """``rules``: (feature, whether low values reject too, smallest spread)."""
-    rate = {"symbol_rate": ("n_symbols", "n_words"), "repeat_rate": ("n_repeat_words", "n_words"),
-            "dup_line_rate": ("n_dup_lines", "n_lines"), "word_length": ("word_chars", "n_words")}
-    values = ", ".join(f"{a} * 1000 // greatest({b}, 1) AS {k}" for k, (a, b) in rate.items())
-    spread = " ".join(f"WHEN '{k}' THEN {gap}" for k, _, gap in rules)
-    high = ", ".join(f"max(q3 + {reach} * gap) FILTER (feature = '{k}') AS {k}_high" for k, _, _ in rules)
-    low = ", ".join(f"max(q1 - {reach} * gap) FILTER (feature = '{k}') AS {k}_low" for k, down, _ in rules if down)
-    ok = " AND ".join([f"{k} <= f.{k}_high" for k, _, _ in rules] + [f"{k} >= f.{k}_low" for k, down, _ in rules if down])
-    return rf"""
+# Shares in thousandths less one occurrence (six words for a repeated window);
+# a bucket is a value with all but its nine leading bits cleared. Limits are the
+# outer quantile and three times its distance from the median (at least what
+# its bucket hides) beyond it:
+# 90 % of symbols and word length (10 % below), 98 % of repeated words and
+# lines. A language counts as 50 documents of each of its strata, the corpus as
+# 50 of each language.
+_LEADING = "(v >> greatest(length(bin(v)) - 9, 0)) << greatest(length(bin(v)) - 9, 0)"
+_HIDDEN = "(1 << greatest(length(bin(q)) - 9, 0)) - 1"
+QUALITY = rf"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
                       regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
     three AS (SELECT r, k, count(*) OVER (PARTITION BY r, g) AS n
@@ -47,26 +47,36 @@ def quality(rules: tuple, bits: int, min_docs: int, reach: int) -> str:
                       CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
                       coalesce(n_repeat_words, 0) AS n_repeat_words
                FROM d JOIN lines USING (r) LEFT JOIN again USING (r)),
-    rated AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {values} FROM counts),
-    long AS (UNPIVOT (SELECT lang, source, {', '.join(rate)} FROM rated WHERE NOT base_failed)
-             ON {', '.join(rate)} INTO NAME feature VALUE v),
-    levels AS (SELECT level, CASE WHEN level >= 1 THEN lang END AS lang, CASE WHEN level >= 2 THEN source END AS source, feature,
-                      (v >> greatest(length(bin(v)) - {bits}, 0)) << greatest(length(bin(v)) - {bits}, 0) AS bucket
-               FROM long, range(3) x(level)),
-    marks AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, feature ORDER BY bucket) AS upto,
-                     sum(n) OVER (PARTITION BY level, lang, source, feature) AS total
-              FROM (SELECT level, lang, source, feature, bucket, count(*) AS n FROM levels GROUP BY ALL)),
-    quarts AS (SELECT level, lang, source, feature, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q1,
-                      min(bucket) FILTER (4 * upto >= 3 * total) AS q3 FROM marks GROUP BY ALL),
-    fences AS (SELECT level, lang, source, max(total) AS total, {high}, {low}
-               FROM (SELECT *, greatest(q3 - q1, CASE feature {spread} END) AS gap FROM quarts) GROUP BY ALL),
-    chosen AS (SELECT x.r, max(f.level) AS level FROM rated x JOIN fences f
-                 ON (f.level < 1 OR f.lang IS NOT DISTINCT FROM x.lang) AND (f.level < 2 OR f.source IS NOT DISTINCT FROM x.source)
-               WHERE f.total >= {min_docs} OR f.level = 0 GROUP BY x.r)
-    SELECT x.doc_id, x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words, x.base_failed,
-           NOT x.base_failed AND coalesce({ok}, true) AS kept
-    FROM rated x LEFT JOIN chosen c USING (r) LEFT JOIN fences f ON f.level = c.level
-      AND (f.level < 1 OR f.lang IS NOT DISTINCT FROM x.lang) AND (f.level < 2 OR f.source IS NOT DISTINCT FROM x.source)"""
+    rated AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+    vals AS (SELECT r, lang, source, base_failed, x.f, {_LEADING.replace('v', 'x.v')} AS b
+             FROM (SELECT *, unnest([{{'f': 'sym', 'v': greatest(n_symbols - 1, 0) * 1000 // greatest(n_words, 1)}},
+                                     {{'f': 'rep', 'v': greatest(n_repeat_words - 6, 0) * 1000 // greatest(n_words, 1)}},
+                                     {{'f': 'dup', 'v': greatest(n_dup_lines - 1, 0) * 1000 // greatest(n_lines, 1)}},
+                                     {{'f': 'len', 'v': word_chars * 1000 // greatest(n_words, 1)}}]) AS x FROM rated)),
+    good AS (SELECT lang, source, f, b, count(*) AS n FROM vals WHERE NOT base_failed GROUP BY ALL),
+    strata AS (SELECT lang, source, f, sum(n) AS t2, sum(sum(n)) OVER (PARTITION BY lang, f) AS t1, sum(sum(n)) OVER (PARTITION BY f) AS t0
+               FROM good GROUP BY lang, source, f),
+    marks AS (SELECT f, b, sum(n) AS n0 FROM good GROUP BY ALL),
+    weighed AS (SELECT s.lang, s.source, s.f, m.b,
+                       CAST(coalesce(own.n, 0) AS HUGEINT) * t0 * (t1 + 50)
+                       + 50 * (coalesce(l.n1, 0) * t0 + 50 * n0) AS w, CAST(t2 + 50 AS HUGEINT) * t0 * (t1 + 50) AS total
+                FROM strata s JOIN marks m USING (f)
+                LEFT JOIN good own ON own.lang IS NOT DISTINCT FROM s.lang AND own.source IS NOT DISTINCT FROM s.source
+                  AND own.f = s.f AND own.b = m.b
+                LEFT JOIN (SELECT lang, f, b, sum(n) AS n1 FROM good GROUP BY ALL) l
+                  ON l.lang IS NOT DISTINCT FROM s.lang AND l.f = s.f AND l.b = m.b),
+    upto AS (SELECT lang, source, f, b, total, sum(w) OVER (PARTITION BY lang, source, f ORDER BY b) AS c FROM weighed),
+    quants AS (SELECT lang, source, f, min(b) FILTER (2 * c >= total) AS mid, min(b) FILTER (10 * c >= 9 * total) AS q9,
+                      min(b) FILTER (50 * c >= 49 * total) AS q49, min(b) FILTER (10 * c >= total) AS q1
+               FROM upto GROUP BY lang, source, f),
+    fences AS (SELECT *, CASE WHEN f IN ('sym', 'len') THEN q9 ELSE q49 END AS top FROM quants),
+    odd AS (SELECT DISTINCT r FROM vals v JOIN fences q
+              ON q.lang IS NOT DISTINCT FROM v.lang AND q.source IS NOT DISTINCT FROM v.source AND q.f = v.f
+            WHERE v.b > top + 3 * greatest(top - mid, {_HIDDEN.replace('q', 'top')})
+               OR (v.f = 'len' AND v.b < q1 - 3 * greatest(mid - q1, {_HIDDEN.replace('q', 'q1')})))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND r NOT IN (SELECT r FROM odd) AS kept
+    FROM rated"""
 
 
 # Base 32 of a SHA-1: each five hexadecimal digits are four characters.

@@ -34,15 +34,23 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0
 TEL = r"(?<![0-9+.-])\(?0[0-9]{1,4}\)?[\x20/-][0-9](?:[\x20.-]?[0-9]){4,10}+(?![0-9])"
 BASE = ("email", "ip", "card", "phone")
 
-#: Words that make a span likelier, by kind, and that make any span less likely.
-CONTEXT = {"email": "(?i)mail|contact|contacto|kontakt|write to", "ip": "(?i)ip|address|server|host|login",
-           "card": "(?i)card|visa|master|credit|debit|karte|carte|tarjeta", "phone": "(?i)tel|phone|call|fax|mobil",
-           "iban": "(?i)iban|account|konto|compte|cuenta|bank", "tel": "(?i)tel|phone|call|fax|mobil|anruf|appel|llam"}
-AGAINST = "(?i)example|sample|dummy|test|placeholder|invoice no|order no"
+#: Words that make a span likelier, by kind, and that make any span less likely:
+#: whole words, with a plural or feminine ending.
+CONTEXT = {"email": "e?mails?|contacto?s?|kontakt|write to", "ip": "ip|address|server|host|login",
+           "card": "cards?|visa|mastercard|master|credit|debit|karte|carte|tarjeta",
+           "phone": "tel|telephone|telefono|telefon|phones?|call|fax|mobile?|mobil",
+           "iban": "iban|accounts?|konto|comptes?|cuentas?|bank", "tel": "tel|telephone|telefono|telefon|téléphone|teléfono|phones?|call|fax|mobile?"
+           "|anruf|appel|appelez|llamar|llame"}
+AGAINST = "example|sample|dummy|test|placeholder|invoice no|order no"
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.7, "tel": 0.3}
 WIDTH = 48
 
 
+def whole_words(words: str) -> str:
+    """A pattern for any of ``words``, in either case, not inside other words."""
+    return rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
+
+
 def luhn(number):
     """Whether a string of digits passes the Luhn check."""
     def weigh(c, i):
@@ -85,9 +93,9 @@ def scored(text, span):
     prior, words = F.lit(0.0), F.lit(False)
     for kind in PRIOR:
         prior = F.when(span["kind"] == kind, F.lit(PRIOR[kind])).otherwise(prior)
-        words = F.when(span["kind"] == kind, near(text, span, WIDTH, CONTEXT[kind])).otherwise(words)
+        words = F.when(span["kind"] == kind, near(text, span, WIDTH, whole_words(CONTEXT[kind]))).otherwise(words)
     up = F.when(words, F.lit(0.3)).otherwise(F.lit(0.0))
-    down = F.when(near(text, span, WIDTH, AGAINST), F.lit(0.3)).otherwise(F.lit(0.0))
+    down = F.when(near(text, span, WIDTH, whole_words(AGAINST)), F.lit(0.3)).otherwise(F.lit(0.0))
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), prior + up - down))
 
 

@@ -1,14 +1,24 @@
 """Quality rules with adaptive thresholds (operator 3).
 
-Each document's features are integers. Per (lang, source) they are gathered
-in mergeable quantile sketches: histograms whose buckets keep the leading
-``SKETCH_BITS`` bits of a value, so a bucket is at most 1/16 wide relative to
-its value, any two sketches merge by adding counts, and a sketch never has
-more than about a thousand buckets however many rows it describes. A stratum
-of fewer than ``min_docs`` documents uses the merged sketch of its language,
-then that of the whole corpus. The fences are Tukey's: a document is rejected
-when a feature lies more than ``reach`` interquartile ranges (at least
-``min_spread``) beyond the quartiles of its stratum.
+Each document's features are integers, shares in thousandths of which one
+occurrence is taken off first (a single one proves nothing in a short text).
+Per (lang, source) they are gathered in mergeable quantile sketches:
+histograms whose buckets keep the leading ``SKETCH_BITS`` bits of a value, so
+a bucket is at most 1/256 wide relative to its value, any two sketches merge by
+adding counts, and a sketch never has more than some thousand buckets however
+many rows it describes.
+
+**Fences.** A stratum's limit comes from its own sketch and nothing else:
+``reach`` times the distance from the median to an outer quantile, beyond that
+quantile. ``RULES`` gives each feature's quantile, that is the share of a
+stratum that may be unsound before the fence gives way. Where the outer
+quantile is the median, the fence is there: the only smallest distance is what
+a bucket hides (its width less one, nothing for values below 512).
+
+**Small strata.** Every sketch is blended with the wider one: the language's
+sketch, itself blended with the corpus's, counts as ``prior`` documents more.
+A stratum's own documents outweigh it gradually as they become more; no number
+of documents switches anything. The weights are exact integers.
 
 Scale: one scan makes the features; map-side aggregation shrinks them to the
 sketches before any shuffle, so a hot source costs one row per bucket and
@@ -32,10 +42,15 @@ from ledgerline.llm.common import append_struct, free_name, quoted, stored
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
-SKETCH_BITS = 5
-#: Features with fences: name, whether a low value also rejects, smallest spread.
-RULES = (("symbol_rate", False, 100), ("repeat_rate", False, 130), ("dup_line_rate", False, 200),
-         ("word_length", True, 700))
+SKETCH_BITS = 9
+#: Features with fences: name, outer quantile above, and below if a low value
+#: rejects too (as fractions).
+RULES = (("symbol_rate", (9, 10), None), ("repeat_rate", (49, 50), None), ("dup_line_rate", (49, 50), None),
+         ("word_length", (9, 10), (1, 10)))
+PRIOR = 50
+REACH = 3
+#: Words that one repetition of a three-word window covers.
+REPEAT = 6
 FEATURES = T.StructType([T.StructField(n, T.LongType()) for n in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")])
 
@@ -92,9 +107,9 @@ def base_failed(q):
 
 def rates(q) -> dict:
     """The features that get fences, as integers (in thousandths)."""
-    per = lambda a, b: F.floor(a * 1000 / F.greatest(b, F.lit(1)))
-    return {"symbol_rate": per(q["n_symbols"], q["n_words"]), "repeat_rate": per(q["n_repeat_words"], q["n_words"]),
-            "dup_line_rate": per(q["n_dup_lines"], q["n_lines"]), "word_length": per(q["word_chars"], q["n_words"])}
+    per = lambda a, b, one: F.floor(F.greatest(a - one, F.lit(0)) * 1000 / F.greatest(b, F.lit(1)))
+    return {"symbol_rate": per(q["n_symbols"], q["n_words"], 1), "repeat_rate": per(q["n_repeat_words"], q["n_words"], REPEAT),
+            "dup_line_rate": per(q["n_dup_lines"], q["n_lines"], 1), "word_length": per(q["word_chars"], q["n_words"], 0)}
 
 
 def bucket(value):
@@ -103,6 +118,11 @@ def bucket(value):
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
+def bucket_width(value):
+    """How many values a bucket stands for."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0)))
+
+
 def sketches(featured: DataFrame, q: str, lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, feature, bucket, n): one mergeable sketch for each
     stratum and feature. Documents that fail the base rules are left out."""
@@ -114,50 +134,63 @@ def sketches(featured: DataFrame, q: str, lang: str = "lang", source: str = "sou
                         F.col("x.bucket").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def merge_levels(sketch: DataFrame) -> DataFrame:
-    """The sketches of each stratum, of each language and of the corpus;
-    level 2, 1 and 0."""
-    level = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("level")
-    return (sketch.select("*", level)
-            .select("level", F.when(F.col("level") >= 1, F.col("lang")).alias("lang"),
-                    F.when(F.col("level") >= 2, F.col("source")).alias("source"), "feature", "bucket", "n")
-            .groupBy("level", "lang", "source", "feature", "bucket").agg(F.sum("n").alias("n")))
-
-
-def thresholds(sketch: DataFrame, min_docs: int = 200, reach: int = 3) -> DataFrame:
-    """(lang, source, then low and high of each feature) for every stratum.
-
-    A quartile is the bucket at which the running count reaches that share;
+def blended(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(lang, source, feature, bucket, w, total): each stratum's sketch, with
+    its language's (blended with the corpus's) as ``prior`` documents more.
+
+    The weights are whole numbers: a language's are its counts times the
+    corpus's documents plus ``prior`` times the corpus's counts, and a
+    stratum's are made of its own and its language's the same way. They fit in
+    38 digits up to 10 ** 12 documents."""
+    def named(t, suffix, *keys):
+        return t.select(*[F.col(k).alias(k + suffix) for k in keys], *[c for c in t.columns if c not in keys])
+
+    big = lambda c: F.col(c).cast("decimal(38,0)")
+    wide = lambda c: c.cast("decimal(38,0)")
+    own = stored(sketch, "sketch")
+    corpus = own.groupBy("feature", "bucket").agg(F.sum("n").alias("n0"))
+    languages = own.groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n1"))
+    # every document has one bucket per feature, so the totals are those of any feature
+    one = own.where(F.col("feature") == RULES[0][0])
+    t2 = one.groupBy("lang", "source").agg(F.sum("n").alias("t2"))
+    t1 = t2.groupBy("lang").agg(F.sum("t2").alias("t1"))
+    t0 = t1.agg(F.sum("t1").alias("t0")).first()["t0"] or 0
+    per_lang = named(t1, "_a", "lang").join(corpus)
+    same = (F.col("lang_a").eqNullSafe(F.col("lang_b")) & (F.col("feature") == F.col("feature_b")) & (F.col("bucket") == F.col("bucket_b")))
+    lang = per_lang.join(named(languages, "_b", "lang", "feature", "bucket"), same, "left").select(
+        F.col("lang_a"), "feature", "bucket",
+        wide(F.coalesce(big("n1"), F.lit(0)) * F.lit(t0) + big("n0") * F.lit(prior)).alias("w1"),
+        wide((big("t1") + F.lit(prior)) * F.lit(t0)).alias("total1"))
+    strata = t2.join(stored(lang, "languages"), F.col("lang").eqNullSafe(F.col("lang_a")))
+    same = (F.col("lang").eqNullSafe(F.col("lang_c")) & F.col("source").eqNullSafe(F.col("source_c"))
+            & (F.col("feature") == F.col("feature_c")) & (F.col("bucket") == F.col("bucket_c")))
+    return strata.join(named(own, "_c", "lang", "source", "feature", "bucket"), same, "left").select(
+        "lang", "source", "feature", "bucket",
+        wide(F.coalesce(big("n"), F.lit(0)) * big("total1") + big("w1") * F.lit(prior)).alias("w"),
+        wide(big("total1") * (big("t2") + F.lit(prior))).alias("total"))
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR, reach: int = REACH) -> DataFrame:
+    """(lang, source, then high and low of each feature) for every stratum.
+
+    A quantile is the bucket at which the running weight reaches its share;
     the window runs over the buckets of one stratum, never over documents."""
-    levels = merge_levels(sketch)
-    run = "PARTITION BY level, lang, source, feature ORDER BY bucket"
-    whole = "PARTITION BY level, lang, source, feature"
-    marks = levels.select("level", "lang", "source", "feature", "bucket",
-                          F.expr(f"sum(n) OVER ({run} ROWS UNBOUNDED PRECEDING)").alias("upto"),
-                          F.expr(f"sum(n) OVER ({whole})").alias("total"))
-    quart = marks.groupBy("level", "lang", "source", "feature").agg(
-        F.max("total").alias("total"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("bucket"))).alias("q3"))
-    spread = {name: gap for name, _, gap in RULES}
-    gap = F.greatest(F.col("q3") - F.col("q1"),
-                     F.element_at(F.create_map(*[F.lit(x) for kv in spread.items() for x in kv]), F.col("feature")))
-    fences = quart.groupBy("level", "lang", "source").agg(
-        F.max("total").alias("total"),
-        *[F.max(F.when(F.col("feature") == name, F.col("q3") + gap * reach)).alias(f"{name}_high")
-          for name, _, _ in RULES],
-        *[F.max(F.when(F.col("feature") == name, F.col("q1") - gap * reach)).alias(f"{name}_low")
-          for name, low, _ in RULES if low])
-    limits = [f"{name}_high" for name, _, _ in RULES] + [f"{name}_low" for name, low, _ in RULES if low]
-    fences = stored(fences, "fences")
-    at = lambda k: fences.where(F.col("level") == k).select(
-        F.col("lang").alias(f"lang{k}"), F.col("source").alias(f"source{k}"), F.struct("total", *limits).alias(f"f{k}"))
-    joined = at(2).join(at(1), F.col("lang2").eqNullSafe(F.col("lang1")), "left")
-    corpus = at(0).select("f0.*").first()  # one row; none of an empty corpus
-    f0 = F.struct(*[F.lit(corpus[c] if corpus else None).cast("long").alias(c) for c in ("total", *limits)])
-    pick = F.when(F.col("f2.total") >= min_docs, F.col("f2")).when(F.col("f1.total") >= min_docs, F.col("f1")).otherwise(f0)
-    return joined.select(F.col("lang2").alias("lang"), F.col("source2").alias("source"), pick.alias("f")) \
-        .select("lang", "source", "f.*")
+    run = "PARTITION BY lang, source, feature ORDER BY bucket ROWS UNBOUNDED PRECEDING"
+    marks = blended(sketch, prior).select("lang", "source", "feature", "bucket", "total", F.expr(f"sum(w) OVER ({run})").cast(
+        "decimal(38,0)").alias("upto"))
+    at = lambda share: F.min(F.when(F.col("upto") * share[1] >= F.col("total") * share[0], F.col("bucket")))
+    shares = {share for _, *both in RULES for share in both if share} | {(1, 2)}
+    name = lambda share: f"q{share[0]}_{share[1]}"
+    quant = marks.groupBy("lang", "source", "feature").agg(*[at(x).alias(name(x)) for x in sorted(shares)])
+    limits = []
+    for feature, high, low in RULES:
+        for side, share in (("high", high), ("low", low)):
+            if share:
+                outer = F.col(name(share))
+                apart = F.greatest(F.abs(outer - F.col("q1_2")), bucket_width(outer) - 1) * reach
+                limit = outer + apart if side == "high" else outer - apart
+                limits.append(F.max(F.when(F.col("feature") == feature, limit)).alias(f"{feature}_{side}"))
+    return quant.groupBy("lang", "source").agg(*limits)
 
 
 def judge(featured: DataFrame, limits: DataFrame, q: str, verdict: str, lang: str = "lang",
@@ -168,8 +201,8 @@ def judge(featured: DataFrame, limits: DataFrame, q: str, verdict: str, lang: st
     of = dict(zip(limits.columns, own, strict=True))
     col = F.col(quoted(q))
     ok = ~base_failed(col)
-    for name, low, _ in RULES:
-        value = rates(col)[name]
+    for name, _, low in RULES:
+        value = bucket(rates(col)[name].cast("long"))  # as the fences' quantiles are rounded
         ok = ok & (value <= F.coalesce(F.col(of[f"{name}_high"]), value))
         if low:
             ok = ok & (value >= F.coalesce(F.col(of[f"{name}_low"]), value))
@@ -177,24 +210,24 @@ def judge(featured: DataFrame, limits: DataFrame, q: str, verdict: str, lang: st
     return featured.join(named, on, "left").withColumn(verdict, ok).drop(*own)
 
 
-def quality_verdicts(docs: DataFrame, min_docs: int = 200, reach: int = 3) -> DataFrame:
+def quality_verdicts(docs: DataFrame, prior: int = PRIOR, reach: int = REACH) -> DataFrame:
     """doc_id, the base counts, base_failed and kept, one row per document."""
     narrow = docs.select("doc_id", "lang", "source", "text")
     featured = stored(with_features(narrow, "q").drop("text"), "features")
-    limits = stored(thresholds(sketches(featured, "q"), min_docs, reach), "thresholds")
+    limits = stored(thresholds(sketches(featured, "q"), prior, reach), "thresholds")
     out = judge(featured, limits, "q", "kept")
     return out.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words",
                       base_failed(F.col("q")).alias("base_failed"), "kept")
 
 
-def filter_documents(docs: DataFrame, min_docs: int = 200, reach: int = 3) -> DataFrame:
+def filter_documents(docs: DataFrame, prior: int = PRIOR, reach: int = REACH) -> DataFrame:
     """The documents that pass, with their own columns.
 
     The first scan makes the sketches, the second judges each document where
     it is read: the texts are never shuffled while the thresholds are small."""
     q = free_name(docs.columns, "q")
     narrow = docs.select("lang", "source", "text")
-    limits = stored(thresholds(sketches(with_features(narrow, "q"), "q"), min_docs, reach), "thresholds")
+    limits = stored(thresholds(sketches(with_features(narrow, "q"), "q"), prior, reach), "thresholds")
     verdict = free_name([*docs.columns, q], "kept")
     judged = judge(with_features(docs, q), limits, q, verdict)
     return judged.where(F.col(verdict)).select(*[quoted(c) for c in docs.columns])

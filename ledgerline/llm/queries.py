@@ -89,4 +89,4 @@ def oracle_sql() -> dict[str, str]:
     return {"op2_decontamination": oracle.CONTAMINATION, "op4_warc_archives": oracle.ARCHIVES,
             "op11_merkle_manifest": oracle.MANIFEST, "op12_jaccard_join": oracle.JACCARD,
             "op13_spelling_variants": oracle.VARIANTS,
-            "op3_quality_rules": oracle.quality(quality_rules.RULES, quality_rules.SKETCH_BITS, 200, 3)}
+            "op3_quality_rules": oracle.QUALITY}

@@ -23,7 +23,7 @@ Defined cases: null or wordless text has fingerprint zero and links like any
 other; fewer words than a shingle make one shingle of the whole sequence;
 repeated rows get the same class; an empty table gives an empty result; null
 ids keep their row (their class is the smallest non-null id of the component,
-or null); extra columns are ignored.
+or null); ids may be any 64-bit integers; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -171,22 +171,21 @@ def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFra
             .mapInArrow(search, "a long, b long"))
 
 
-def nameless(fp: str):
-    """The node of a class that no id names, beyond every id."""
-    return F.lit(1 << 62) + F.pmod(F.xxhash64(fp), F.lit(1 << 61))
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
     """doc_id, fp (signed long) and component_id, one row per document."""
     marked = stored(fingerprints(docs, shingle), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    # a class without a non-null id still has to be a node of its own: below every id
-    known = stored(classes.select("fp", F.col("node").alias("own"), F.coalesce("node", nameless("fp")).alias("node")),
-                   "classes")
-    roots = components(links(known, max_bits, block))
-    named = known.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("at"))
-    placed = marked.join(named, "fp")
-    return placed.select("doc_id", "fp", F.when(F.col("at") < (1 << 62), F.col("at")).alias("component_id"))
+    # classes are numbered apart from the ids, which may be missing or any 64 bits
+    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+    named = _with_root(classes, max_bits, block)
+    ends = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(named.join(ends, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _with_root(classes: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """``classes`` (stored; fp, node) with the number of their component."""
+    roots = components(links(classes.select("fp", "node"), max_bits, block))
+    return classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def hex_fingerprint(fp):
@@ -209,15 +208,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, b
     marked = stored(fingerprints(rows, shingle, more=key[1:]), "fingerprints")
     own = F.struct(F.col("doc_id").isNull().alias("last"), *key)
     classes = marked.groupBy("fp").agg(F.min(own).alias("first"))
-    # of the classes that share their smallest id one is named by it
-    named = classes.where("first.doc_id is not null").groupBy(F.col("first.doc_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("fp").alias("lead")).where("n > 1").select("id", "lead")
-    known = stored(classes.join(named, F.col("first.doc_id") == F.col("id"), "left").select(
-        "fp", "first", F.when(F.coalesce(F.col("fp") == F.col("lead"), F.lit(True)) & F.col("first.doc_id").isNotNull(),
-                              F.col("first.doc_id")).otherwise(nameless("fp")).alias("node")), "classes")
-    roots = components(links(known.select("fp", "node"), max_bits, block))
-    # the root of a component is its smallest node, so the smallest row of that class stays
-    ends = known.join(roots, "node", "left").select("fp", F.when(F.col("root").isNull(), F.col("first")).alias("first"))
+    known = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    named = _with_root(known, max_bits, block)
+    # the smallest row of the component stays
+    ends = named.select("root", "fp").join(named.groupBy("root").agg(F.min("first").alias("first")), "root")
     stays = F.coalesce(F.col("first").eqNullSafe(own) & F.col("first").isNotNull(), F.lit(False))
     decided = stored(marked.join(ends, "fp").select(*key, stays.alias("stays"))
                      .groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays")), "decided")

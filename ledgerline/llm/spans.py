@@ -68,7 +68,14 @@ def digits(value):
 
 
 def near(text, span, width: int, pattern: str):
-    """Whether ``pattern`` is within ``width`` characters before or after."""
-    before = F.substring(text, F.greatest(span["start"] - width, F.lit(0)) + 1, F.least(span["start"], F.lit(width)))
-    after = F.substring(text, span["stop"] + 1, F.lit(width))
-    return before.rlike(pattern) | after.rlike(pattern)
+    """Whether ``pattern`` is within ``width`` characters before or after.
+
+    The windows are widened to whole words (by one word piece of at most
+    ``width`` characters at each outer edge), so that a word which the edge
+    would cut is seen as a whole or, where it is longer, not as a shorter one."""
+    far = 2 * width
+    before = F.substring(text, F.greatest(span["start"] - far, F.lit(0)) + 1, F.least(span["start"], F.lit(far)))
+    after = F.substring(text, span["stop"] + 1, F.lit(far))
+    ahead = F.regexp_extract(before, rf"(?s)[\p{{L}}\p{{N}}]*.{{0,{width}}}$", 0)
+    behind = F.regexp_extract(after, rf"(?s)^.{{0,{width}}}[\p{{L}}\p{{N}}]*", 0)
+    return ahead.rlike(pattern) | behind.rlike(pattern)

@@ -55,6 +55,20 @@ def contamination(text, known, lengths):
     return len(w), len(hit), len(items), sha(",".join(sorted(map(str, items)))), bool(hit)
 
 
+def cut(text, known, lengths, limit):
+    """The text without its hit spans, or None if they are more than ``limit``
+    of its words."""
+    at = [(m.start(), m.end()) for m in WORDS.finditer(low(text or ""))]
+    w = [low(text)[a:b] for a, b in at]
+    hit = {k + o for n in lengths for k in range(len(w) - n + 1) if tuple(w[k:k + n]) in known for o in range(n)}
+    if len(hit) > limit * len(w):
+        return None
+    gone = set()
+    for k in hit:
+        gone.update(range(at[k][0], at[k + 1][0] if k + 1 in hit else at[k][1]))
+    return "".join(c for i, c in enumerate(text) if i not in gone) if hit else text
+
+
 def quality(text):
     text = text or ""
     w = SPACED.findall(text)

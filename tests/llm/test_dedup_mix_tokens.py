@@ -10,6 +10,7 @@ from brute import EDGE
 
 import corpus_pipeline
 from ledgerline.llm import graph, mixing, simhash, token_output
+from ledgerline.llm.common import stored
 from ledgerline.llm.queries import tokenizer_path
 
 
@@ -60,6 +61,17 @@ def test_near_duplicates_edge(spark, edge):
     assert left[4] == 1 and left[9] == 1 and 10 not in left and left[None] == 1
 
 
+def test_classes_of_any_ids(spark):
+    """Ids over the whole 64-bit range, and rows without one, keep their class."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(2**63 - 1, a), (2**62 + 5, b), (2**62 + 7, b), (2**62 + 9, b + " b60"), (-2**63, c), (None, a), (None, "x y z q")]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = Counter((r["doc_id"], r["component_id"]) for r in found.collect())
+    least = 2**62 + 9 if brute.classes({0: brute.simhash(b), 1: brute.simhash(b + " b60")})[1] else 2**62 + 5
+    assert got == Counter([(2**63 - 1, 2**63 - 1), (2**62 + 5, 2**62 + 5), (2**62 + 7, 2**62 + 5), (2**62 + 9, least),
+                           (-2**63, -2**63), (None, 2**63 - 1), (None, None)])
+
+
 def test_near_duplicates_go_by_row(spark):
     """An id may stand for several texts, and rows may have none."""
     a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcde")
@@ -146,11 +158,24 @@ def test_tokens_empty(edge):
     assert token_output.token_output(edge.limit(0), tokenizer_path()).count() == 0
 
 
+def test_pipeline_edge(spark, data, edge):
+    """Edge rows, clashing columns and an empty table go through every stage."""
+    long = " ".join(f"w{k} x{k % 97}" for k in range(400))
+    rows = [(50, long, "en", "a"), (50, long, "en", "a"), (None, long + " more", "en", None), (51, "other " + long[::-1], None, "b")]
+    extra = edge.sparkSession.createDataFrame([(*r, "x", 1, True, [1]) for r in rows], edge.schema)
+    for docs in (edge.unionByName(extra), edge.limit(0)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, data), name)
+            assert name == "token_output" or docs.columns == columns
+        ids = {r["doc_id"] for r in docs.collect()}
+        assert ids <= {50, 51, None} and (not columns or bool(ids) == bool(docs.count()))
+
+
 def test_pipeline(spark, data, documents, plain):
     """Every stage against a plain version of it on its own input."""
     from tokenizers import Tokenizer
     from ledgerline.llm import quality_rules
-    from ledgerline.llm.common import stored
     steps = dict(corpus_pipeline.STAGES)
     assert list(steps) == ["quality_rules", "simhash_near_dedup", "decontamination", "mixing", "token_output"]
     docs, seen = documents, {}
@@ -166,10 +191,14 @@ def test_pipeline(spark, data, documents, plain):
     up = brute.classes({i: brute.simhash(text[i]) for i in kept})
     assert ids["decontamination"] == Counter({i: 1 for i, c in up.items() if i == c})
     known = brute.windows([tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()])
-    clean = {i for i in ids["decontamination"] if not brute.contamination(text[i], *known)[4]}
-    assert ids["mixing"] == Counter({i: 1 for i in clean})
+    cut = {i: brute.cut(text[i], *known, corpus_pipeline.MAX_COVERAGE) for i in ids["decontamination"]}
+    clean = {i: x for i, x in cut.items() if x is not None}
+    left = {r["doc_id"]: (r["text"], r["n_chars"]) for r in seen["mixing"].collect()}
+    size = {r["doc_id"]: r["n_chars"] for r in documents.collect()}
+    assert left == {i: (x, len(x) if x != text[i] else size[i]) for i, x in clean.items()}
+    assert any(x != text[i] for i, x in clean.items()) and ids["mixing"] == Counter({i: 1 for i in clean})
     taken = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mixed_sizes(seen["mixing"]).collect() if r["taken"]}
     assert ids["token_output"] == Counter(taken)
-    want = brute.token_rows([(i, text[i]) for i, n in taken.items() for _ in range(n)],
+    want = brute.token_rows([(i, clean[i]) for i, n in taken.items() for _ in range(n)],
                             Tokenizer.from_file(tokenizer_path()))
     assert sorted(map(tuple, docs.collect()), key=lambda r: r[1]) == want
