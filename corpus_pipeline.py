@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet in the shared folder and read again as the next one's docs.
+
+Defined cases, stage by stage as in each operator's docstring: null and empty
+texts fail the base quality rules and go with the first stage; rows without an
+id are judged by their texts; of rows that are equal one stays; ties go to the
+smallest id; an empty table gives empty stages and no shards; extra columns,
+whatever their names, go along up to the last stage.
 """
 
 from __future__ import annotations
@@ -22,9 +28,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
+#: Share of a document's words from which it goes whole for its test passages.
+MAX_COVERAGE = 0.2
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go (a coverage limit of 0)."""
-    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    """Passages of the benchmark are cut out of the texts; documents that
+    consist of them by more than ``MAX_COVERAGE`` go."""
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), max_coverage=MAX_COVERAGE)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
