@@ -25,7 +25,7 @@ of writes that were refused or died.
 contract, and against a breaking change of its recorded schema.
 
 **Key index.** A table with ``key`` columns keeps a second set of files,
-``keys/``: (key, partition value) sorted by key, one directory per range of
+``_keys/``: (key, partition value) sorted by key, one directory per range of
 keys, named by the same record. A point lookup reads one range and then the
 partitions it names; an upsert looks its keys up in the ranges they fall into
 and rewrites only the ranges whose entries change. Without an index the lookup
@@ -151,7 +151,7 @@ def sweep(spark: SparkSession, path: str, keep: float | None = None) -> list[str
             fs.delete(record, False)
     states = [x for x, follower in zip(states, [*states[1:], None], strict=True) if not follower or follower["at"] > since]
     gone = []
-    for folder, of in (("data", lambda x: x), ("keys", lambda x: x.get("keys"))):
+    for folder, of in (("data", lambda x: x), ("_keys", lambda x: x.get("keys"))):
         named = {(part, ver) for x in states if of(x) for part, vers in of(x)["live"].items() for ver in vers}
         parts = any(of(x) and of(x)["partition_by"] for x in states)
         fs, pattern = _fs(spark, f"{path}/{folder}/{'*/' if parts else ''}{VER}=*")
@@ -307,7 +307,7 @@ def _range(index: dict):
 def _write_index(index: dict, path: str, rows: DataFrame) -> dict:
     """Entries (key columns, _part) as a new version of their ranges."""
     entries = rows.withColumn("_range", _range(index))
-    live, _ = _write_version(entries, f"{path}/keys", ["_range"], {"sort_by": index["columns"]})
+    live, _ = _write_version(entries, f"{path}/_keys", ["_range"], {"sort_by": index["columns"]})
     return {"live": live, "schema": entries.schema.jsonValue()}
 
 
@@ -319,8 +319,8 @@ def _entries(spark: SparkSession, path: str, index: dict, ranges: list[str]) ->
         return spark.createDataFrame([], schema).drop("_range")
     fields = [f for f in schema.fields if f.name != "_range"]
     rows = spark.read.schema(T.StructType([*fields, schema["_range"], T.StructField(VER, T.StringType())]))
-    return rows.option("basePath", f"{path}/keys").parquet(
-        *_folders(spark, f"{path}/keys", "_range", index["live"], kept)).select(*[f.name for f in fields])
+    return rows.option("basePath", f"{path}/_keys").parquet(
+        *_folders(spark, f"{path}/_keys", "_range", index["live"], kept)).select(*[f.name for f in fields])
 
 
 def _ranges(index: dict, *frames: DataFrame | None) -> list[str]:

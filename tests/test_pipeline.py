@@ -8,23 +8,6 @@ import pytest
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-def test_run_pipeline_twice(spark):
-    from ledgerline.plans.pipeline import run_pipeline
-    from ledgerline.plans.warehouse import Warehouse
-    from ledgerline.session import scratch_dir
-    from ledgerline.sources.adapters import RawTables
-    out = scratch_dir(spark, f"test-pipeline-{uuid.uuid4().hex[:8]}")
-    w = Warehouse(RawTables(spark, SF))
-    rep = {r.test_name: r for r in run_pipeline(w, out).collect()}
-    assert rep["unique_fct_transactions_transaction_id"].status == "pass"
-    n1 = spark.read.parquet(f"{out}/fct_transactions").count()
-    run_pipeline(Warehouse(RawTables(spark, SF)), out)  # incremental: same input -> same table
-    fact = spark.read.parquet(f"{out}/fct_transactions")
-    assert fact.count() == n1 == w.fct_transactions.count()
-    assert fact.select("transaction_id").distinct().count() == n1
-
-
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 def test_run_stores_history_transfers_and_audit(spark):
     """What the run keeps: snapshot and SCD2, merged transfers, audit rows,
@@ -36,7 +19,8 @@ def test_run_stores_history_transfers_and_audit(spark):
     from ledgerline.sources.adapters import RawTables
     out = scratch_dir(spark, f"test-pipeline-{uuid.uuid4().hex[:8]}")
     w = Warehouse(RawTables(spark, SF))
-    run_pipeline(w, out)
+    report = {r["test_name"]: r["status"] for r in run_pipeline(w, out).collect()}
+    assert report["unique_fct_transactions_transaction_id"] == "pass"
     names = ("snapshot_comptes", "dim_comptes_scd2", "fct_virements", "stg_virements", "stg_transactions", "fct_transactions_v2",
              "fct_transactions_microbatch")
     first = {n: tables.read_table(spark, f"{out}/{n}").count() for n in names}
@@ -47,6 +31,8 @@ def test_run_stores_history_transfers_and_audit(spark):
     audit = {(r["run_id"], r["model"], r["phase"]): r["row_count"] for r in spark.read.parquet(f"{out}/run_audit").collect()}
     assert audit["run", "fct_virements", "pre"] is None
     assert audit["again", "fct_virements", "pre"] == audit["again", "fct_virements", "post"] == first["fct_virements"]
+    fact = tables.read_table(spark, f"{out}/fct_transactions")
+    assert fact.count() == w.fct_transactions.count() == fact.select("transaction_id").distinct().count()
     assert tables.read_table(spark, f"{out}/source_tests").count() == 17
     assert tables.read_table(spark, f"{out}/source_freshness").count() == 8
 
