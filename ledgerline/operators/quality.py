@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import remove_path
+
 
 
 # --- I1-I5: column tests ---------------------------------------------------------
@@ -226,11 +228,14 @@ def _report_row(c: Check, n: Column) -> Column:
 
 def store_failures(checks: list[Check], report: DataFrame, path: str) -> list[str]:
     """Write the failing rows of every test that fails, a folder per test, and
-    return those tests. The report (one row per test) is what is looked at."""
+    return those tests. The report (one row per test) is what is looked at.
+    Rows that an earlier run stored for tests of the suite that pass now go."""
     failed = {r["test_name"] for r in report.where("n_failures > 0").select("test_name").collect()}
     for c in checks:
         if c.name in failed:
             c.failing().write.mode("overwrite").parquet(f"{path}/{c.name}")
+        else:
+            remove_path(report.sparkSession, f"{path}/{c.name}")
     return sorted(failed)
 
 

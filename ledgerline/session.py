@@ -82,6 +82,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hp.getFileSystem(conf).exists(hp))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the cluster's file system, if it is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(conf).delete(hp, True)
+
+
 def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """Set scan split, advisory and shuffle partition sizes from the input's
     size, for settings the cluster's own configuration leaves unset. Returns

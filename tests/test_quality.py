@@ -25,3 +25,17 @@ def test_suite_report(spark):
                        Q.Check("n", "m", "k", lambda: Q.not_null(df, "k"), "warn")])
     got = {r.test_name: (r.n_failures, r.status) for r in rep.collect()}
     assert got == {"u": (1, "fail"), "n": (0, "pass")}
+
+
+def test_stored_failures_of_a_test_that_passes_now_go(spark):
+    import uuid
+
+    from ledgerline.operators import quality as Q
+    from ledgerline.session import path_exists, scratch_dir
+    path = scratch_dir(spark, f"failures-{uuid.uuid4().hex}")
+    table = spark.createDataFrame([(1,), (None,), (None,)], "a int")
+    for rows, left in ((table, 2), (table.where("a = 1"), None)):
+        checks = [Q.Check("not_null_a", "t", "a", lambda rows=rows: rows.where("a IS NULL"))]
+        failed = Q.store_failures(checks, Q.run_suite(checks), path)
+        assert failed == (["not_null_a"] if left else [])
+        assert path_exists(spark, f"{path}/not_null_a") == bool(left)
