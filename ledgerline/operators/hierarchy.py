@@ -1,21 +1,24 @@
-"""Recursive hierarchy resolution.
+"""Recursive hierarchy resolution (D2), by pointer doubling.
 
-Level-by-level expansion: start from the roots, join the children of the
-current frontier, repeat until the frontier is empty. Each level is one
-distributed join, checkpointed once into the cluster's checkpoint folder; the
-driver learns its row count, never its rows.
+Every row starts with its own piece of path and a pointer to its parent. In a
+round each unfinished row takes over the piece and the pointer of the row it
+points at, so pieces double in length: a tree of n levels takes log2(n) rounds
+of one distributed join each. A round is written once to the shared scratch
+folder and replaces the one before; the driver learns counts, never rows.
 
 Nodes that are not reachable from a root (children of a filtered-out parent,
 cycles) do not appear, as in the reference; ``unreachable_nodes`` reports them.
-Any depth is resolved; an id that is its own ancestor raises.
+Any depth is resolved; an id that is its own ancestor below a root raises.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import cut_lineage
+from ledgerline.session import remove_path, scratch_dir
 
 
 class HierarchyCycleError(RuntimeError):
@@ -30,40 +33,43 @@ def resolve_hierarchy(df: DataFrame, id_col: str = "categorie_id",
                       label_col: str = "nom_categorie", sep: str = " > ",
                       max_depth: int | None = None,
                       path_col: str = "chemin_complet", root_col: str = "id_racine") -> DataFrame:
-    """Level by level from the roots until a level is empty, however deep.
-    Each level is checkpointed once, so none is computed again for the next.
-    An id that stands on its own path (duplicate ids that loop) raises;
-    ``max_depth``, when given, raises on a deeper tree."""
-    cols = df.columns
-    ids = F.col(id_col)
-    frontier = cut_lineage(df.where(F.col(parent_col).isNull())
-                           .select(*cols, F.col(label_col).alias(path_col), ids.alias(root_col),
-                                   F.array(ids).alias("_path")))
-    levels = [frontier]
-    child = df.select(*[F.col(c).alias(f"_c_{c}") for c in cols])
+    """``df``'s rows that hang below a root, with their path of labels (null
+    below a null label) and their root's id. Rows of one id are each a node,
+    and a child of that id hangs below each of them. An id that stands on its
+    own path (duplicate ids that loop) raises; ``max_depth``, when given,
+    raises on a deeper tree."""
+    spark, cols = df.sparkSession, df.columns
+    base = scratch_dir(spark, f"hierarchy-{uuid.uuid4().hex}")
+
+    def written(rows: DataFrame, number: int) -> DataFrame:
+        rows.write.parquet(f"{base}/{number}")
+        return spark.read.schema(rows.schema).parquet(f"{base}/{number}")
+
+    now = written(df.select(*cols, F.array(label_col).alias("_labels"), F.array(id_col).alias("_ids"),
+                            F.col(parent_col).alias("_next")), 0)
+    looped = F.size(F.array_distinct("_ids")) < F.size("_ids")
+    finished, number = F.col("_next").isNull(), 0
     while True:
-        nxt = cut_lineage(
-            frontier.select(ids.alias("_p_id"), F.col(path_col).alias("_p_path"), F.col(root_col).alias("_p_root"),
-                            F.col("_path").alias("_p_ids"))
-            .join(child, F.col("_p_id") == F.col(f"_c_{parent_col}"), "inner")
-            .select(*[F.col(f"_c_{c}").alias(c) for c in cols],
-                    F.concat(F.col("_p_path"), F.lit(sep), F.col(f"_c_{label_col}")).alias(path_col),
-                    F.col("_p_root").alias(root_col),
-                    F.concat("_p_ids", F.array(F.col(f"_c_{id_col}"))).alias("_path")))
-        looped = F.size(F.array_distinct("_path")) < F.size("_path")
-        found = nxt.agg(F.count(F.lit(1)).alias("n"), F.max(F.when(looped, ids)).alias("loop")).first()
-        if not found["n"]:
-            break
+        found = now.agg(F.count(F.when(~finished, 1)).alias("left"), F.max(F.when(finished & looped, F.col(id_col))).alias("loop"),
+                        F.max(F.when(finished, F.size("_ids"))).alias("depth")).first()
         if found["loop"] is not None:
             raise HierarchyCycleError(f"{id_col} {found['loop']} is its own ancestor")
-        if len(levels) == max_depth:
+        if max_depth is not None and (found["depth"] or 0) > max_depth:
             raise HierarchyDepthError(f"hierarchy deeper than max_depth={max_depth}")
-        levels.append(nxt)
-        frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out.drop("_path")
+        if not found["left"]:
+            break
+        above = now.select(F.col(id_col).alias("_a_id"), F.col("_labels").alias("_a_labels"), F.col("_ids").alias("_a_ids"),
+                           F.col("_next").alias("_a_next"))
+        joined = now.where(~finished).join(above, F.col("_next") == F.col("_a_id")).select(
+            *cols, F.concat("_a_labels", "_labels").alias("_labels"), F.concat("_a_ids", "_ids").alias("_ids"),
+            F.col("_a_next").alias("_next"))
+        # what loops without a root stays out; a loop below a root shows when it is finished
+        number += 1
+        after = written(now.where(finished).unionByName(joined.where(finished | ~looped)), number)
+        remove_path(spark, f"{base}/{number - 1}")
+        now = after
+    path = F.when(~F.exists("_labels", lambda x: x.isNull()), F.array_join("_labels", sep))
+    return now.select(*cols, path.alias(path_col), F.col("_ids")[0].alias(root_col))
 
 
 def dim_categories(stg_categories: DataFrame, max_depth: int | None = None) -> DataFrame:

@@ -57,9 +57,9 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str
         """Merge (or build) one table; an audit row before and after."""
         path = f"{out_dir}/{name}"
         state = tables.table_state(spark, path)
-        before = tables.read_table(spark, path) if state else None
-        rows = [audit.audit_row(spark, before, run_id, name, "pre", run_id, "prod", started)]
-        audit.append_audit(rows[0], f"{out_dir}/run_audit")
+        log = lambda phase: audit.append_audit(audit.recorded_audit_row(
+            spark, tables.table_state(spark, path), run_id, name, phase, run_id, "prod", started), f"{out_dir}/run_audit")
+        log("pre")
         if state:
             high = tables.table_watermark(spark, path, "_loaded_at")
             delta = build(inc.lookback(source, source, "_loaded_at", lookback_days, high=high) if high else source)
@@ -70,10 +70,8 @@ def run_pipeline(w: Warehouse, out_dir: str, lookback_days: int = 3, run_id: str
             tables.write_table(build(source), path, [month_of], ["tenant_id", keys[0]],
                                FACT_LAYOUT["bloom_cols"] if name == "fct_transactions" else None,
                                watermark_col="_loaded_at", contract=contract, key=keys)
-        table = tables.read_table(spark, path)
-        audit.append_audit(audit.audit_row(spark, table, run_id, name, "post", run_id, "prod", started),
-                           f"{out_dir}/run_audit")
-        return table
+        log("post")
+        return tables.read_table(spark, path)
 
     month = lambda c: trunc_date("month", c)
     stg = incremental("stg_transactions", w.raw_transactions, "transaction_id", lambda raw: staging.stg_transactions(

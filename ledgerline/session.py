@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the operators assume. ANSI stays on (division by zero raises, so
 # every ratio goes through nullif); NTZ timestamps are read as wall clock, so
@@ -132,13 +132,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

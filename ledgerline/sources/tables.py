@@ -6,8 +6,8 @@ No lakehouse format is available, so a table keeps its own small record:
 * data files live under ``data/<partition>=<value>/ver=<id>/``; every write
   goes to directories of a new ``ver``, never over live files;
 * ``_state/<n>.json`` names, for each partition value, the ``ver``s that are
-  live, and holds the table's schema, contract, layout, watermark, day ledger
-  and stream positions. Readers take the newest record. A record appears by
+  live, and holds the table's schema, contract, layout, watermark, day ledger,
+  stream positions and, while writes tell it, its number of rows. Readers take the newest record. A record appears by
   one rename, so a run that dies before it leaves the table as it was, and a
   second writer of the same number fails.
 
@@ -179,35 +179,37 @@ def _unescaped(spark: SparkSession, name: str) -> str:
 # --- write and read ----------------------------------------------------------------
 
 def _write_version(df: DataFrame, folder: str, partition_by: list[str], layout: dict, watermark_col: str | None = None
-                   ) -> tuple[dict, object]:
+                   ) -> tuple[dict, dict]:
     """Write ``df`` as a new ``ver`` under ``folder``; ({partition value:
-    [ver]} of what it holds, the newest ``watermark_col`` written)."""
-    ver, spark, seen = uuid.uuid4().hex, df.sparkSession, None
+    [ver]} of what it holds, what the write observed: ``rows``, and ``high``,
+    the newest ``watermark_col``)."""
+    ver, spark, seen = uuid.uuid4().hex, df.sparkSession, Observation()
     # REBALANCE: AQE hashes rows on the partition column, coalesces small
     # partitions and splits a skewed one (a hot month) over several tasks.
     w = df.hint("rebalance", *partition_by) if partition_by or layout.get("sort_by") else df
     keys = [*partition_by, *(layout.get("sort_by") or [])]
     if keys:
         w = w.sortWithinPartitions(*keys)
-    if watermark_col:
-        seen = Observation()
-        w = w.observe(seen, F.max(watermark_col).alias("high"))
+    # after the rebalance, so each row is observed once, in the task that writes it
+    newest = [F.max(watermark_col).alias("high")] if watermark_col else []
+    w = w.observe(seen, F.count(F.lit(1)).alias("rows"), *newest)
     writer = w.withColumn(VER, F.lit(ver)).write.mode("append")
     for c in layout.get("bloom_cols") or []:
         # adaptive: each file keeps the smallest filter that fits its keys
         writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
                   .option("parquet.bloom.filter.adaptive.enabled", "true"))
     writer.partitionBy(*partition_by, VER).parquet(folder)
-    high = seen.get.get("high") if seen else None
+    got = {"rows": seen.get.get("rows") or 0, "high": seen.get.get("high")}
     if not partition_by:
-        return {"": [ver]}, high
+        return {"": [ver]}, got
     fs, pattern = _fs(spark, f"{folder}/*/{VER}={ver}")
     names = [s.getPath().getParent().getName().partition("=")[2] for s in fs.globStatus(pattern) or []]
-    return {_unescaped(spark, n): [ver] for n in names}, high
+    return {_unescaped(spark, n): [ver] for n in names}, got
 
 
-def _raised(state: dict, high) -> str | None:
-    """The recorded watermark after rows up to ``high`` have come."""
+def _raised(state: dict, got: dict) -> str | None:
+    """The recorded watermark after a write that observed ``got``."""
+    high = got["high"]
     before = dt.datetime.fromisoformat(state["high"]) if state.get("high") else None
     newest = max((h for h in (before, high) if h is not None), default=None)
     return None if newest is None else newest.isoformat()
@@ -241,9 +243,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
             "schema": (before or {}).get("schema", df.schema.jsonValue())}
     schema = _checked(gate, df.schema, breaking)
     layout = {"sort_by": sort_by, "bloom_cols": bloom_cols}
-    live, high = _write_version(df, f"{path}/data", parts, layout, watermark_col)
+    live, got = _write_version(df, f"{path}/data", parts, layout, watermark_col)
     state = {"schema": schema.jsonValue(), "partition_by": parts, "live": live, "watermark_col": watermark_col,
-             "high": _raised({}, high), "contract": gate["contract"], "layout": layout, "days": {}, "streams": {}, "keys": None}
+             "rows": got["rows"], "high": _raised({}, got), "contract": gate["contract"], "layout": layout, "days": {}, "streams": {}, "keys": None}
     if keys:
         integral = isinstance(schema[keys[0]].dataType, (T.LongType, T.IntegerType))
         state["keys"] = {"columns": keys, "bits": key_bits if integral else None, "partition_by": ["_range"], "live": {}}
@@ -368,7 +370,7 @@ def _widened(df: DataFrame, state: dict | None) -> DataFrame:
 
 def _fresh_state(schema: T.StructType, partition_col: str, watermark_col: str | None) -> dict:
     return {"schema": schema.jsonValue(), "partition_by": [partition_col], "watermark_col": watermark_col, "high": None,
-            "live": {}, "contract": None, "layout": {}, "days": {}, "streams": {}, "keys": None}
+            "live": {}, "contract": None, "layout": {}, "days": {}, "streams": {}, "keys": None, "rows": 0}
 
 
 def replace_days(df: DataFrame, path: str, partition_col: str, start, end, sort_by: list[str] | None = None,
@@ -389,7 +391,7 @@ def replace_days(df: DataFrame, path: str, partition_col: str, start, end, sort_
     inside = (F.col(partition_col).cast("date") >= F.lit(start).cast("date")) & (F.col(partition_col).cast("date") < F.lit(end).cast("date"))
     guarded = df.where(F.when(inside, True).otherwise(F.raise_error(F.concat_ws(": ", F.lit(name), F.col(partition_col).cast("string"))).isNull()))
     try:
-        live, high = _write_version(guarded, f"{path}/data", [partition_col], _layout(state, sort_by, bloom_cols), watermark_col)
+        live, got = _write_version(guarded, f"{path}/data", [partition_col], _layout(state, sort_by, bloom_cols), watermark_col)
     except Exception as error:
         if name in str(error):
             raise ValueError(f"{name}: nothing was written") from error
@@ -398,7 +400,7 @@ def replace_days(df: DataFrame, path: str, partition_col: str, start, end, sort_
     kept = {k: v for k, v in state["live"].items() if k == NULL_PART or not str(start) <= k[:10] < str(end)}
     days = state["days"] | ({d: "done" for d in _days(start, end)} if done else {})
     _commit(spark, path, state | {"schema": schema.jsonValue(), "live": kept | live, "watermark_col": watermark_col,
-                                  "high": _raised(state, high), "days": days}, state.get("version", 0))
+                                  "high": _raised(state, got), "days": days, "rows": None}, state.get("version", 0))
     return sorted(live)
 
 
@@ -425,10 +427,12 @@ def append_rows(df: DataFrame, path: str, partition_col: str, sort_by: list[str]
     df = _widened(df, state)
     schema = _checked(state, df.schema)
     state = state or _fresh_state(schema, partition_col, None)
-    live, high = _write_version(df, f"{path}/data", [partition_col], _layout(state, sort_by, None), state["watermark_col"])
+    live, got = _write_version(df, f"{path}/data", [partition_col], _layout(state, sort_by, None), state["watermark_col"])
+    rows = None if replacing or state.get("rows") is None else state["rows"] + got["rows"]
     before = {k: v for k, v in state["live"].items() if k not in set(replacing)}
     merged = {k: before.get(k, []) + live.get(k, []) for k in before | live}
-    _commit(spark, path, state | {"schema": schema.jsonValue(), "live": merged, "high": _raised(state, high)}, state.get("version", 0))
+    _commit(spark, path, state | {"schema": schema.jsonValue(), "live": merged, "high": _raised(state, got), "rows": rows},
+            state.get("version", 0))
 
 
 def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str] | str, partition_col: str,
@@ -477,7 +481,8 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
             touched |= {r["_part"] for r in deleted}
         last = {"inserted": sum(r["n"] for r in pairs if r["_part"] is None),
                 "updated": sum(r["n"] for r in pairs if r["_part"] is not None), "deleted": sum(r["n"] for r in deleted)}
-        done = state | {"last": last, "streams": state["streams"] | ({stream[0]: stream[1]} if stream else {})}
+        rows = None if state.get("rows") is None else state["rows"] + last["inserted"] - last["deleted"]
+        done = state | {"last": last, "rows": rows, "streams": state["streams"] | ({stream[0]: stream[1]} if stream else {})}
         if not touched:
             if stream:
                 _commit(spark, path, done, state["version"])
@@ -485,13 +490,13 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
         merged = inc.merge(_read(spark, path, state, touched), delta, keys, update_cols, on_schema_change, delete_keys=delete_keys,
                            checked=True, new_keys=placed.where(F.col("_part").isNull()).select(*keys))
         watermark_col = watermark_col or state["watermark_col"]
-        live, high = _write_version(merged, f"{path}/data", state["partition_by"], _layout(state, sort_by, bloom_cols), watermark_col)
+        live, got = _write_version(merged, f"{path}/data", state["partition_by"], _layout(state, sort_by, bloom_cols), watermark_col)
         done |= {"schema": schema.jsonValue(), "live": {k: v for k, v in state["live"].items() if k not in touched} | live}
         if watermark_col:
             known = state if state["watermark_col"] == watermark_col else {"high": None}
             if known is not state:
-                high = inc.max_value(_read(spark, path, done), watermark_col)
-            done |= {"watermark_col": watermark_col, "high": _raised(known, high)}
+                got["high"] = inc.max_value(_read(spark, path, done), watermark_col)
+            done |= {"watermark_col": watermark_col, "high": _raised(known, got)}
         if index:
             done["keys"] = _index_after(spark, path, index, placed, delete_keys, last["deleted"])
         _commit(spark, path, done, state["version"])

@@ -49,3 +49,28 @@ def test_hierarchy_depth_is_never_truncated(spark):
     assert resolve_hierarchy(df, max_depth=4).count() == 4  # exactly max_depth levels: kept whole
     with pytest.raises(HierarchyDepthError):
         resolve_hierarchy(df, max_depth=3)  # a fourth level exists: fail, do not drop it
+
+
+def test_hierarchy_of_a_thousand_levels(spark, monkeypatch):
+    """A chain takes log2 of its length in rounds; ids that repeat give a row
+    for each path, null labels none; a loop below a root raises."""
+    import pytest
+    from pyspark.sql import DataFrame
+
+    from ledgerline.operators import hierarchy
+    kind = "categorie_id bigint, categorie_parent_id bigint, nom_categorie string"
+    chain = [(i, i - 1 if i else None, f"L{i}") for i in range(1000)] + [(5000, 4999, "orphan"), (5001, 5000, "orphan")]
+    rounds, write = [], hierarchy.remove_path
+    monkeypatch.setattr(hierarchy, "remove_path", lambda *a: (rounds.append(a), write(*a)))
+    res = resolve_hierarchy(spark.createDataFrame(chain, kind).repartition(3))
+    got = {r.categorie_id: (r.chemin_complet, r.id_racine) for r in res.collect()}
+    assert got == {i: (" > ".join(f"L{k}" for k in range(i + 1)), 0) for i in range(1000)} and len(rounds) == 10
+    twice = [(1, None, "A"), (1, None, "B"), (2, 1, "C"), (3, 2, None), (4, 3, "D")]
+    rows = resolve_hierarchy(spark.createDataFrame(twice, kind)).collect()
+    assert sorted(str((r.categorie_id, r.chemin_complet)) for r in rows) == sorted(map(str, [
+        (1, "A"), (1, "B"), (2, "A > C"), (2, "B > C"), (3, None), (3, None), (4, None), (4, None)]))
+    loop = [(1, None, "A"), (1, 2, "B"), (2, 1, "C"), (7, 7, "own parent")]
+    with pytest.raises(hierarchy.HierarchyCycleError):
+        resolve_hierarchy(spark.createDataFrame(loop, kind))
+    assert resolve_hierarchy(spark.createDataFrame(loop[3:], kind)).count() == 0
+    assert isinstance(resolve_hierarchy(spark.createDataFrame([], kind)), DataFrame)

@@ -28,7 +28,10 @@ def test_run_stores_history_transfers_and_audit(spark):
     assert first["fct_virements"] == w.fct_virements.count() and first["stg_transactions"] == w.stg_transactions.count()
     run_pipeline(Warehouse(RawTables(spark, SF)), out, run_id="again")
     assert first == {n: tables.read_table(spark, f"{out}/{n}").count() for n in names}
-    audit = {(r["run_id"], r["model"], r["phase"]): r["row_count"] for r in spark.read.parquet(f"{out}/run_audit").collect()}
+    logged = {(r["run_id"], r["model"], r["phase"]): r for r in spark.read.parquet(f"{out}/run_audit").collect()}
+    audit = {k: r["row_count"] for k, r in logged.items()}
+    assert logged["again", "fct_transactions", "post"]["rows_inserted"] == 0 == logged["again", "fct_virements", "post"]["rows_deleted"]
+    assert logged["again", "stg_transactions", "post"]["rows_updated"] > 0 and logged["run", "fct_virements", "post"]["rows_updated"] is None
     assert audit["run", "fct_virements", "pre"] is None
     assert audit["again", "fct_virements", "pre"] == audit["again", "fct_virements", "post"] == first["fct_virements"]
     fact = tables.read_table(spark, f"{out}/fct_transactions")

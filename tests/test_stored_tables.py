@@ -186,6 +186,7 @@ def test_key_index(spark, path):
     state = tables.table_state(spark, path)
     now = state["keys"]["live"]
     assert {r for r in now if now[r] == first.get(r)} == {"2", "3"} and state["last"] == {"inserted": 2, "updated": 1, "deleted": 1}
+    assert state["rows"] == len(want) == tables.read_table(spark, path).count()
     tables.upsert_table(spark, path, frame(spark, [(5, "a", "w")]), "id", "part")  # all columns: it moves
     tables.upsert_table(spark, path, frame(spark, [(8, "c", "w")]), "id", "part", ["v"])  # nothing moves
     want |= {5: ("a", "w"), 8: ("c", "w")}
@@ -295,3 +296,19 @@ def test_building_a_query_starts_no_job(spark):
         assert list(tracker.getJobIdsForGroup(group)) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_writes_of_no_rows(spark, path):
+    """Empty builds, day batches, appended rows and upserts finish, and say so."""
+    none = frame(spark, [])
+    tables.write_table(none, path, ["part"], ["id"], watermark_col="at", key="id")
+    assert content(spark, path) == [] and tables.table_watermark(spark, path, "at") is None
+    tables.upsert_table(spark, path, none, "id", "part", ["v"])
+    tables.upsert_table(spark, path, frame(spark, [(1, "a", "x")]), "id", "part", ["v"])
+    assert content(spark, path) == [(1, "a", "x")] and tables.table_state(spark, path)["rows"] == 1
+    tables.replace_days(none, f"{path}-days", "part", "2024-01-01", "2024-01-05", done=True)
+    tables.append_rows(none, f"{path}-days", "part")
+    state = tables.table_state(spark, f"{path}-days")
+    assert content(spark, f"{path}-days") == [] and len(state["days"]) == 4
+    tables.write_table(spark.createDataFrame([], "a int"), f"{path}-plain")
+    assert tables.read_table(spark, f"{path}-plain").collect() == [] and tables.table_state(spark, f"{path}-plain")["rows"] == 0
