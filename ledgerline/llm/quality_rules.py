@@ -150,12 +150,11 @@ def blended(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
     own = stored(sketch, "sketch")
     corpus = own.groupBy("feature", "bucket").agg(F.sum("n").alias("n0"))
     languages = own.groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n1"))
-    # every document has one bucket per feature, so the totals are those of any feature
-    one = own.where(F.col("feature") == RULES[0][0])
-    t2 = one.groupBy("lang", "source").agg(F.sum("n").alias("t2"))
-    t1 = t2.groupBy("lang").agg(F.sum("t2").alias("t1"))
-    t0 = t1.agg(F.sum("t1").alias("t0")).first()["t0"] or 0
-    per_lang = named(t1, "_a", "lang").join(corpus)
+    # every document has one bucket per feature: a feature's counts add up to the documents
+    t2 = own.where(F.col("feature") == RULES[0][0]).groupBy("lang", "source").agg(F.sum("n").alias("t2"))
+    t1 = languages.groupBy("lang", "feature").agg(F.sum("n1").alias("t1"))
+    t0 = t2.agg(F.sum("t2").alias("t0")).first()["t0"] or 0
+    per_lang = named(t1, "_a", "lang").join(corpus, "feature")
     same = (F.col("lang_a").eqNullSafe(F.col("lang_b")) & (F.col("feature") == F.col("feature_b")) & (F.col("bucket") == F.col("bucket_b")))
     lang = per_lang.join(named(languages, "_b", "lang", "feature", "bucket"), same, "left").select(
         F.col("lang_a"), "feature", "bucket",
