@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -85,43 +84,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def match_spans(text, pattern: str, kind: str):
-    """Array of structs (kind, start, stop, value): the leftmost
-    non-overlapping matches of a Java pattern, in code points, end exclusive.
-
-    The matches and the gaps between them (``split`` with the same pattern)
-    alternate, so the running length of both gives each position. Texts
-    without a match skip the split."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-
-    def place(values):
-        gaps = F.split(text, pattern, -1)
-        lengths = F.zip_with(gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("own")))
-        start = F.struct(F.lit(0).alias("at"),
-                         F.array().cast("array<struct<kind:string,start:int,stop:int,value:string>>").alias("spans"))
-
-        def step(acc, i):
-            at = acc["at"] + lengths[i]["gap"]
-            stop = at + lengths[i]["own"]
-            one = F.struct(F.lit(kind).alias("kind"), at.alias("start"), stop.alias("stop"), values[i].alias("value"))
-            return F.struct(stop.alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), start, step, lambda acc: acc["spans"])
-
-    none = F.array().cast("array<struct<kind:string,start:int,stop:int,value:string>>")
-    return F.when(F.size(found) > 0, place(found)).otherwise(none)
-
-
-def span_text(spans):
-    """kind:start:stop of each span, comma-joined, in the array's order."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
-
-
 def word_count(text):
     """Number of whitespace words of a text (null: 0), as a long."""
     return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
-
-
-def to_pattern(chars: str) -> bytes:
-    """Bytes of the characters that a regular-expression class lists."""
-    return bytes(b for b in range(128) if re.fullmatch(chars, chr(b)))
