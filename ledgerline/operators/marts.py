@@ -110,7 +110,8 @@ def mart_solde_dense(fact: DataFrame, fct_vir: DataFrame, dim_cpt: DataFrame, en
     Built like the FX densification: each movement day expands to the days up
     to the account's next movement, so no (account x calendar) grid is joined.
     Flows are summed per (account, day) first (tenant dropped), so each day has
-    one row.
+    one row. Amounts get their type before they expand: a day copies a compact
+    decimal instead of casting a wide one.
     """
     f = (daily_flows(fact, fct_vir)
          .groupBy("compte_id", "jour")
@@ -122,15 +123,15 @@ def mart_solde_dense(fact: DataFrame, fct_vir: DataFrame, dim_cpt: DataFrame, en
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     last_day = F.date_sub(F.lit(end).cast("date"), 1)
     upto = F.coalesce(F.date_sub(F.lead("jour").over(w), 1), last_day)
-    base = j.select("tenant_id", "compte_id", "jour", "flux", running.alias("_bal"),
-                    upto.alias("_upto")).where(F.col("jour") <= last_day)
+    base = (j.select("tenant_id", "compte_id", "jour", "flux", running.alias("_bal"), upto.alias("_upto"))
+            .where(F.col("jour") <= last_day)
+            .withColumns({"flux": F.col("flux").cast(MONEY), "_bal": F.col("_bal").cast(MONEY)}))
     days = base.select("tenant_id", "compte_id", "jour", "flux", "_bal",
                        F.explode(F.sequence("jour", "_upto")).alias("_d"))
     return days.select(
         "tenant_id", "compte_id", F.col("_d").alias("jour"),
-        F.when(F.col("_d") == F.col("jour"), F.col("flux")).otherwise(F.lit(0))
-        .cast(MONEY).alias("flux_total_jour"),
-        F.col("_bal").cast(MONEY).alias("solde_cumule_eur"))
+        F.when(F.col("_d") == F.col("jour"), F.col("flux")).otherwise(F.lit(0).cast(MONEY)).alias("flux_total_jour"),
+        F.col("_bal").alias("solde_cumule_eur"))
 
 
 # --- G3 ---------------------------------------------------------------------
