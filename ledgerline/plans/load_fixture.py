@@ -4,14 +4,14 @@ The file content is derived from the driver tables (the raw adapters), so it
 grows with the scale factor. Records are built as text so the fixture can
 hold what a real export holds: blank and NULL tokens, padded values, quoted
 commas, short and long records and values that do not cast. Every file
-starts with a header line (prepended per partition).
+starts with a header line (prepended per partition). A table's files are
+written when a query first loads that table.
 """
 
 from __future__ import annotations
 
 import os
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,38 +67,27 @@ def csv_lines(df: DataFrame, schema: list[tuple[str, str]], corruptions=(),
     return df.select(line.alias("value"))
 
 
-def _with_header(header: str):
-    def per_partition(batches):
-        first = True
-        for pdf in batches:
-            if first and len(pdf):
-                pdf = pd.concat([pd.DataFrame({"value": [header]}), pdf], ignore_index=True)
-                first = False
-            yield pdf
-    return per_partition
+#: ``monotonically_increasing_id`` numbers the rows of a partition in its lower bits.
+_ROW_IN_PARTITION = (1 << 33) - 1
 
 
 def write_csv(df: DataFrame, schema: list[tuple[str, str]], path: str, **kw) -> str:
+    """One gzip file per partition; the header goes before its first row."""
     header = ",".join(n for n, _ in schema if n != "_loaded_at")
-    lines = csv_lines(df, schema, **kw)
-    (lines.mapInPandas(_with_header(header), "value string")
-     .write.mode("overwrite").option("compression", "gzip").text(path))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION)) == 0
+    lines = csv_lines(df, schema, **kw).select(
+        F.when(first, F.concat(F.lit(f"{header}\n"), "value")).otherwise(F.col("value")).alias("value"))
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
     return path
 
 
-def build_load_fixture(raw: RawTables) -> dict[str, str]:
-    """Write a file for each of the eight raw tables; returns table -> path. Paths live in the
-    shared checkpoint folder, keyed by the scale-factor folder name."""
+def build_load_fixture(raw: RawTables, table: str) -> str:
+    """Write the file of one raw table; returns its path, in the shared
+    checkpoint folder, keyed by the scale-factor folder name."""
     base = scratch_dir(raw.spark, os.path.join("load-fixture", os.path.basename(raw.sf_dir)))
-    paths = {
-        "raw_tenants": write_csv(raw.tenants(), S.RAW_TENANTS, f"{base}/tenants"),
-        "raw_comptes": write_csv(raw.comptes(), S.RAW_COMPTES, f"{base}/comptes"),
-        "raw_transactions": write_csv(raw.transactions(), S.RAW_TRANSACTIONS, f"{base}/transactions",
-                                      corruptions=TX_CORRUPTIONS, short=SHORT_RECORD, long=LONG_RECORD),
-    }
-    for name in ("categories", "fx_rates", "virements", "titulaires", "compte_titulaires"):
-        paths[f"raw_{name}"] = write_csv(getattr(raw, name)(), S.RAW_SCHEMAS[f"raw_{name}"], f"{base}/{name}")
-    return paths
+    name = table.removeprefix("raw_")
+    bad = dict(corruptions=TX_CORRUPTIONS, short=SHORT_RECORD, long=LONG_RECORD) if name == "transactions" else {}
+    return write_csv(getattr(raw, name)(), S.RAW_SCHEMAS[table], f"{base}/{name}", **bad)
 
 
 # --- expected result of the load (oracle side) --------------------------------------

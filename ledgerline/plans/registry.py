@@ -798,14 +798,14 @@ from ledgerline import schemas as SCH  # noqa: E402
 from ledgerline.plans import load_fixture as LF  # noqa: E402
 from ledgerline.sources import loader  # noqa: E402
 
-_LOAD_MEMO: dict[tuple[str, str], dict[str, str]] = {}
+_LOAD_MEMO: dict[tuple[str, str, str], str] = {}
 
 
 def _loaded(spark, sf, table: str, on_error: str = "continue") -> loader.LoadResult:
-    k = (spark.sparkContext.applicationId, sf)
+    k = (spark.sparkContext.applicationId, sf, table)
     if k not in _LOAD_MEMO:
-        _LOAD_MEMO[k] = LF.build_load_fixture(RawTables(spark, sf))
-    return loader.load_csv(spark, _LOAD_MEMO[k][table], SCH.RAW_SCHEMAS[table], LF.LOAD_TS,
+        _LOAD_MEMO[k] = LF.build_load_fixture(RawTables(spark, sf), table)
+    return loader.load_csv(spark, _LOAD_MEMO[k], SCH.RAW_SCHEMAS[table], LF.LOAD_TS,
                            on_error=on_error, repartition=spark.sparkContext.defaultParallelism)
 
 

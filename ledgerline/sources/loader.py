@@ -8,9 +8,11 @@ type. A row is rejected when some column had a value that did not cast.
 * ``on_error='abort'``: any reject raises (tenants, categories, FX).
 * ``on_error='continue'``: rejects are returned next to the good rows.
 
-gzip is not splittable: a ``.csv.gz`` file is parsed by one task, so the
-frame is repartitioned after the scan to spread the casts and everything
-downstream across the cluster.
+gzip is not splittable: a ``.csv.gz`` file is parsed by one task. Where there
+are fewer files than the caller asks tasks for, the good rows are repartitioned
+after the scan to spread the casts and everything downstream across the
+cluster; more files are as many tasks already. Rejects and history check each
+row in the task that parsed it: only counts and rejected rows leave the scan.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def read_strings(spark: SparkSession, path: str, columns: list[str], header: boo
           .option("encoding", "UTF-8").schema(schema).csv(path)
           .select(*[_null_tokens(F.trim(F.col(c))).alias(c) for c in columns],
                   F.col("_metadata.file_name").alias("_file")))
-    if repartition:
+    if repartition and len(df.inputFiles()) < repartition:
         df = df.repartition(repartition)
     return df
 
@@ -65,15 +67,15 @@ def load_csv(spark: SparkSession, path: str, schema: list[tuple[str, str]], load
     stamped with ``load_ts``. Returns good rows (typed), rejects (raw text +
     ``_error_columns``) and a per-file history frame."""
     file_cols = [n for n, _ in schema if n != "_loaded_at"]
-    raw = read_strings(spark, path, file_cols, header, delimiter, repartition)
     types = dict(schema)
     casts = {c: F.col(c).try_cast(S.spark_type(types[c])) for c in file_cols}
     bad = [F.when(F.col(c).isNotNull() & casts[c].isNull(), F.lit(c)) for c in file_cols]
-    flagged = raw.select("*", F.concat_ws(",", *bad).alias("_error_columns"))
+    flagged, spread = (read_strings(spark, path, file_cols, header, delimiter, n).select(
+        "*", F.concat_ws(",", *bad).alias("_error_columns")) for n in (None, repartition))
     ok = F.col("_error_columns") == ""
     ts = F.lit(load_ts).cast("timestamp_ntz")
-    good = flagged.where(ok).select(*[casts[c].alias(c) for c in file_cols],
-                                    ts.alias("_loaded_at"))
+    good = spread.where(ok).select(*[casts[c].alias(c) for c in file_cols],
+                                   ts.alias("_loaded_at"))
     rejects = flagged.where(~ok).select(*file_cols, "_file", "_error_columns")
     if on_error == "abort":
         n_bad = rejects.limit(1).count()
