@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Off: a join may use frames that are dealt by some of its keys.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
 class SchemaChangeError(ValueError):
     pass
 
@@ -88,6 +92,7 @@ def merge(target: DataFrame | None, delta: DataFrame, key: list[str] | str,
     twice fails the job (``checked``: the caller has made sure of that).
     ``new_keys``: the delta's keys that the target lacks, when the caller knows
     them, which saves a second read of the target's keys.
+    A stored table is merged by ``merge_dealt``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not checked:
@@ -155,6 +160,39 @@ def _merge_left(target: DataFrame, delta: DataFrame, keys: list[str], out_cols:
     return updated.unionByName(inserted)
 
 
+def merge_dealt(target: DataFrame, delta: DataFrame, keys: list[str], at: str, update_cols: list[str] | None = None,
+                on_schema_change: str = "append", gone: DataFrame | None = None, slices: int = 1) -> DataFrame:
+    """``merge`` for rows that are written by ``at`` afterwards, moved once.
+
+    ``at`` is a column of every frame: the partition that a key's row lies in,
+    or goes to when it is new. Target and delta are dealt by it (into
+    ``slices`` by key within it) and joined where they lie (under
+    ``CO_PARTITION``, or the join would deal them again), so the write finds
+    the rows of a partition together. ``gone``: (keys, ``at``) of rows to
+    leave out. The caller has made sure that a key stands in the delta once."""
+    out_cols, _ = align_schema(target.drop(at), delta.drop(at), on_schema_change)
+    upd = {c for c in out_cols if c in delta.columns and c not in keys and (update_cols is None or c in update_cols)}
+    on = [at, "_slice", *keys]
+
+    def dealt(df: DataFrame) -> DataFrame:
+        # each side's keys in the target's types, as their hashes depend on it
+        typed = [F.col(k).cast(target.schema[k].dataType) for k in keys]
+        return df.withColumn("_slice", F.pmod(F.xxhash64(*typed), F.lit(slices))).repartition(at, "_slice")
+
+    known = F.lit(True)  # a null key meets nothing, and is not inserted
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    delta = delta.where(known)
+    if gone is None:
+        return _merge_outer(dealt(target), dealt(delta), on, [*out_cols, at, "_slice"], upd).select(*out_cols)
+    # deletions come with the delta: one that stands for a key replaces its row
+    marked = dealt(delta.withColumn("_gone", F.lit(False)).unionByName(
+        gone.select(*keys, at, F.lit(True).alias("_gone")), allowMissingColumns=True))
+    marked = marked.withColumn("_any", F.max("_gone").over(Window.partitionBy(*on))).where(F.col("_gone") | ~F.col("_any")).drop("_any")
+    merged = _merge_outer(dealt(target), marked, on, [*out_cols, at, "_slice", "_gone"], {*upd, "_gone"})
+    return merged.where(~F.coalesce(F.col("_gone"), F.lit(False))).select(*out_cols)
+
+
 def max_value(df: DataFrame, col: str):
     """One global max (partial per task); with Parquet statistics this reads
     footers, not rows. NULL for an empty frame."""

@@ -37,9 +37,10 @@ Upsert, one pass over what it touches:
 2. its keys are looked up, so a known key is found in whatever partition it
    lies; they have to be unique;
 3. the partitions that hold a matched or deleted key, or that new rows go to,
-   are merged and written once, as a new ``ver``: their columns are read once,
-   and what is inserted is known from the lookup. Null partition values
-   compare like any other.
+   are merged and written once, as a new ``ver``: their columns are read and
+   shuffled once, together with the delta, by the partition that the lookup
+   names (a large one in slices by key). Null partition values compare like
+   any other.
 
 Watermark: an incremental run needs the table's newest load time. The Parquet
 reader does not answer ``max`` from footers, so the record keeps it, raised by
@@ -59,7 +60,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import incremental as inc
-from ledgerline.session import scratch_dir
+from ledgerline.session import input_bytes, scratch_dir
 
 VER = "ver"
 NULL_PART = "__null__"
@@ -69,6 +70,11 @@ KEEP = 24 * 3600
 #: of other types are dealt to KEY_BUCKETS ranges by hash.
 KEY_BITS = 20
 KEY_BUCKETS = 256
+#: Ranges that a table is built with at most: where the keys span more, each
+#: holds more of them, as a range is a directory to write and to list.
+KEY_RANGES = 1024
+#: Files of a partition that one task of an upsert merges and writes.
+SLICE_BYTES = 32 * 1024 * 1024
 
 
 class ContractError(ValueError):
@@ -178,15 +184,16 @@ def _unescaped(spark: SparkSession, name: str) -> str:
 
 # --- write and read ----------------------------------------------------------------
 
-def _write_version(df: DataFrame, folder: str, partition_by: list[str], layout: dict, watermark_col: str | None = None
-                   ) -> tuple[dict, dict]:
+def _write_version(df: DataFrame, folder: str, partition_by: list[str], layout: dict, watermark_col: str | None = None,
+                   dealt: bool = False) -> tuple[dict, dict]:
     """Write ``df`` as a new ``ver`` under ``folder``; ({partition value:
     [ver]} of what it holds, what the write observed: ``rows``, and ``high``,
-    the newest ``watermark_col``)."""
+    the newest ``watermark_col``). ``dealt``: its rows lie by partition value
+    already."""
     ver, spark, seen = uuid.uuid4().hex, df.sparkSession, Observation()
     # REBALANCE: AQE hashes rows on the partition column, coalesces small
     # partitions and splits a skewed one (a hot month) over several tasks.
-    w = df.hint("rebalance", *partition_by) if partition_by or layout.get("sort_by") else df
+    w = df.hint("rebalance", *partition_by) if not dealt and (partition_by or layout.get("sort_by")) else df
     keys = [*partition_by, *(layout.get("sort_by") or [])]
     if keys:
         w = w.sortWithinPartitions(*keys)
@@ -248,8 +255,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
              "rows": got["rows"], "high": _raised({}, got), "contract": gate["contract"], "layout": layout, "days": {}, "streams": {}, "keys": None}
     if keys:
         integral = isinstance(schema[keys[0]].dataType, (T.LongType, T.IntegerType))
-        state["keys"] = {"columns": keys, "bits": key_bits if integral else None, "partition_by": ["_range"], "live": {}}
         rows = _read(spark, path, state).select(*keys, _part_name(F.col(parts[0])).alias("_part"))
+        bits = _range_bits(rows, keys[0], key_bits) if integral else None
+        state["keys"] = {"columns": keys, "bits": bits, "partition_by": ["_range"], "live": {}}
         state["keys"] |= _write_index(state["keys"], path, rows)
     _commit(spark, path, state, before["version"] if before else 0)
     return path
@@ -306,6 +314,14 @@ def _range(index: dict):
     return F.pmod(F.xxhash64(*index["columns"]), F.lit(KEY_BUCKETS)).cast("string")
 
 
+def _range_bits(rows: DataFrame, key: str, bits: int) -> int:
+    """``bits``, or as many more as keep the keys within ``KEY_RANGES``."""
+    span = rows.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    while span["low"] is not None and (span["high"] >> bits) - (span["low"] >> bits) >= KEY_RANGES:
+        bits += 1
+    return bits
+
+
 def _write_index(index: dict, path: str, rows: DataFrame) -> dict:
     """Entries (key columns, _part) as a new version of their ranges."""
     entries = rows.withColumn("_range", _range(index))
@@ -468,12 +484,13 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
         else:
             where = _read(spark, path, state).select(*keys, _part_name(F.col(partition_col)).alias("_part"))
         moves = update_cols is None or partition_col in update_cols
-        incoming = delta.select(*keys, _part_name(F.col(partition_col)).alias("_to"))
+        own = _part_name(F.col(partition_col)) if partition_col in delta.columns else F.lit(NULL_PART)
+        incoming = delta.select(*keys, own.alias("_own"))
         placed = _held(incoming.join(where, keys, "left").select(
-            *keys, "_part", F.when(F.col("_part").isNull() | F.lit(moves), F.col("_to")).otherwise(F.col("_part")).alias("_to")),
+            *keys, "_part", "_own", F.when(F.col("_part").isNull() | F.lit(moves), F.col("_own")).otherwise(F.col("_part")).alias("_to")),
             f"{work}/placed")
         inc.check_unique(placed, keys)
-        pairs = placed.groupBy("_part", "_to").agg(F.count(F.lit(1)).alias("n")).collect()  # by partition value
+        pairs = placed.groupBy("_part", "_own", "_to").agg(F.count(F.lit(1)).alias("n")).collect()  # by partition value
         touched = {p for r in pairs for p in (r["_part"], r["_to"]) if p is not None}
         deleted = []
         if delete_keys is not None:
@@ -487,10 +504,28 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
             if stream:
                 _commit(spark, path, done, state["version"])
             return []
-        merged = inc.merge(_read(spark, path, state, touched), delta, keys, update_cols, on_schema_change, delete_keys=delete_keys,
-                           checked=True, new_keys=placed.where(F.col("_part").isNull()).select(*keys))
+        # Delta rows meet the target's where those lie; few lie elsewhere than the row itself says.
+        at = F.col("_own")
+        routed = delta.withColumn("_own", own)
+        if any(r["_part"] not in (None, r["_own"]) for r in pairs):
+            away = _held(placed.where("_part <> _own").select(*keys, "_part"), f"{work}/away")
+            routed, at = routed.join(away, keys, "left"), F.coalesce("_part", "_own")
+        routed = routed.select(*delta.columns, at.alias("_at"))
+        gone = None
+        if delete_keys is not None:
+            gone = where.select(*keys, F.col("_part").alias("_at")).unionByName(
+                placed.where(F.col("_part").isNull()).select(*keys, F.col("_own").alias("_at"))).join(delete_keys, keys, "left_semi")
+        target = _read(spark, path, state, touched).withColumn("_at", _part_name(F.col(partition_col)))
+        merged = inc.merge_dealt(target, routed, keys, "_at", update_cols, on_schema_change, gone,
+                                 _slices(spark, path, state, touched, f"{work}/delta", pairs))
         watermark_col = watermark_col or state["watermark_col"]
-        live, got = _write_version(merged, f"{path}/data", state["partition_by"], _layout(state, sort_by, bloom_cols), watermark_col)
+        before = spark.conf.get(inc.CO_PARTITION)
+        spark.conf.set(inc.CO_PARTITION, "false")
+        try:
+            live, got = _write_version(merged, f"{path}/data", state["partition_by"], _layout(state, sort_by, bloom_cols),
+                                       watermark_col, dealt=True)
+        finally:
+            spark.conf.set(inc.CO_PARTITION, before)
         done |= {"schema": schema.jsonValue(), "live": {k: v for k, v in state["live"].items() if k not in touched} | live}
         if watermark_col:
             known = state if state["watermark_col"] == watermark_col else {"high": None}
@@ -506,6 +541,20 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, key: list[str
     return [None if p == NULL_PART else p for p in sorted(touched)]
 
 
+def _slices(spark: SparkSession, path: str, state: dict, touched: Iterable[str], delta: str, pairs: list) -> int:
+    """Into how many slices the largest touched partition is dealt, so that
+    none takes more than some ``SLICE_BYTES`` of files: from the sizes on
+    storage, the delta's by its rows per partition value."""
+    arriving: dict[str, int] = {}
+    for r in pairs:
+        arriving[r["_to"]] = arriving.get(r["_to"], 0) + r["n"]
+    per_row = input_bytes(spark, [delta]) / max(1, sum(arriving.values()))
+    by = state["partition_by"][0]
+    sizes = [input_bytes(spark, _folders(spark, f"{path}/data", by, state["live"], [p] if p in state["live"] else []))
+             + arriving.get(p, 0) * per_row for p in touched]
+    return max(1, -(-int(max(sizes)) // SLICE_BYTES))
+
+
 def _index_after(spark: SparkSession, path: str, index: dict, placed: DataFrame, delete_keys: DataFrame | None, n_deleted: int) -> dict:
     """The index once the keys of ``placed`` lie in ``_to``: only the ranges
     with new, moved or deleted keys are written."""

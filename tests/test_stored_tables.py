@@ -312,3 +312,42 @@ def test_writes_of_no_rows(spark, path):
     assert content(spark, f"{path}-days") == [] and len(state["days"]) == 4
     tables.write_table(spark.createDataFrame([], "a int"), f"{path}-plain")
     assert tables.read_table(spark, f"{path}-plain").collect() == [] and tables.table_state(spark, f"{path}-plain")["rows"] == 0
+
+
+def test_upsert_moves_rows_once(spark, path, monkeypatch):
+    """The target's rows are dealt by partition and slice, joined there and
+    written: no second shuffle of theirs, whatever the delta's size."""
+    plans = []
+    write = tables._write_version
+    monkeypatch.setattr(tables, "_write_version", lambda df, folder, *a, **kw: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()) if kw.get("dealt") else None, write(df, folder, *a, **kw))[1])
+    monkeypatch.setattr(tables, "SLICE_BYTES", 700)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables.write_table(frame(spark, [(k, "ab"[k % 2], "x") for k in range(40)] + [(None, "a", "x"), (7, "a", "x")]), path, ["part"])
+        delta = frame(spark, [(k, "a", "y") for k in range(30, 50) if k != 33] + [(None, "a", "lost")])
+        gone = frame(spark, [(k, "", "") for k in (2, 31, 45, 46, 99, None)]).select("id")
+        tables.upsert_table(spark, path, delta, "id", "part", ["v"], delete_keys=gone)
+        got = tables.read_table(spark, path).collect()
+        assert spark.conf.get(inc.CO_PARTITION) == "true"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = {k: ("ab"[k % 2] if k < 40 else "a", "y" if k > 29 and k != 33 else "x") for k in range(50) if k not in (2, 31, 45, 46)}
+    assert sorted((r["id"], r["part"], r["v"]) for r in got if r["id"] is not None) == sorted(
+        [*((k, *x) for k, x in want.items()), (7, "a", "x")])
+    assert [(r["part"], r["v"]) for r in got if r["id"] is None] == [("a", "x")]
+    assert len(plans) == 1 and "FullOuter" in plans[0]
+    wide = [line for line in plans[0].split("\n") if "Exchange" in line and "hashpartitioning(_at" in line]
+    assert len([x for x in wide if "_slice" in x]) == 2 and "rebalance" not in plans[0].lower()
+
+
+def test_key_index_has_few_ranges(spark, path, monkeypatch):
+    """A range of the index is a directory: their number stays bounded however
+    far the keys span."""
+    monkeypatch.setattr(tables, "KEY_RANGES", 8)
+    tables.write_table(frame(spark, [(k * 1000, "a", "x") for k in range(100)]), path, ["part"], key="id", key_bits=4)
+    index = tables.table_state(spark, path)["keys"]
+    assert len(index["live"]) <= 9 and len(entries(spark, path)) == 100
+    tables.upsert_table(spark, path, frame(spark, [(5000, "a", "y")]), "id", "part", ["v"])
+    assert [r["v"] for r in tables.lookup(spark, path, 5000).collect()] == ["y"]
