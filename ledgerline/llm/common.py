@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from ledgerline.session import ensure_checkpoint_dir
 
 #: A word of the whitespace-word operators: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a Python worker turns into objects at a time.
+PIECE_BYTES = 1 << 20
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -60,22 +64,39 @@ def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def append_struct(df: DataFrame, name: str, kind: T.StructType, text: str,
-                  make: Callable[[list], dict[str, list]]) -> DataFrame:
-    """``df`` with one more struct column ``name``, made batch by batch from
-    the UTF-8 bytes (None for null) of column ``text``."""
+def pieces(batch: pa.RecordBatch, at: int, size: int | None = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of the texts in column
+    ``at`` (one longer text is a slice of its own; None: the whole batch)."""
+    if size is None:
+        yield batch
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for k in np.flatnonzero(sizes).tolist():
+        if held and held + sizes[k] > size:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += int(sizes[k])
+    yield batch.slice(start)
+
+
+def append_struct(df: DataFrame, name: str, kind: T.StructType, text: str, make: Callable[..., dict[str, list]],
+                  more: tuple[str, ...] = (), piece_bytes: int | None = PIECE_BYTES) -> DataFrame:
+    """``df`` with one more struct column ``name``, made piece by piece from
+    the UTF-8 bytes (None for null) of column ``text`` and the columns ``more``."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_kind = to_arrow_type(kind)
     schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    at = df.columns.index(text)
+    at, others = df.columns.index(text), [df.columns.index(c) for c in more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = make(batch.column(at).cast(pa.binary()).to_pylist())
-            parts = [pa.array(made[f.name], type=f.type) for f in arrow_kind]
-            column = pa.StructArray.from_arrays(parts, fields=list(arrow_kind))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+            for piece in pieces(batch, at, piece_bytes):
+                made = make(piece.column(at).cast(pa.binary()).to_pylist(), *[piece.column(k).to_pylist() for k in others])
+                parts = [pa.array(made[f.name], type=f.type) for f in arrow_kind]
+                column = pa.StructArray.from_arrays(parts, fields=list(arrow_kind))
+                yield pa.RecordBatch.from_arrays([*piece.columns, column], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 

@@ -13,7 +13,8 @@ driver one block at a time (at most ``block_words`` words) and broadcast in
 groups of at most ``group_bytes``; a larger benchmark takes further passes of
 the same scan, so neither the driver nor a task ever holds more than that.
 Words outside the items, and word pairs that no item has, are skipped by
-numpy before the automaton walks the rest.
+numpy before the automaton walks the rest. A task has the words of one text at
+a time, and the last pass also cuts, so a task has one Python worker a pass.
 
 Defined cases: null or wordless text has no words and no hits; an item without
 words or text is no window; an item without id marks words but is not listed;
@@ -31,20 +32,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import append_struct, free_name, quoted
+from ledgerline.llm.common import PIECE_BYTES, append_struct, free_name, quoted
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
 GROUP_BYTES = 128 << 20
+#: Automata that a task has at a time.
+KEPT = 4
 #: A-Z to a-z; every other ASCII character that is no letter or digit to a space.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
     T.StructField("items", T.ArrayType(T.LongType())),
     T.StructField("spans", T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()),
                                                      T.StructField("stop", T.IntegerType())])))])
+#: With the text that is left where there are hits.
+CUT = T.StructType([*HITS.fields, T.StructField("left", T.StringType())])
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -206,39 +211,60 @@ def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int |
         yield block
 
 
-def _scan_group(docs: DataFrame, name: str, text: str, blocks: list, window: int) -> DataFrame:
-    """One pass: ``docs`` with a struct column ``name``. ``blocks``: broadcasts."""
-    kept: dict[int, Automaton] = {}
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans, from the first word of each to the end of
+    its last."""
+    at = [m.span() for m in WORD.finditer(text)]
+    keep, last = [], 0
+    for first, stop in spans:
+        keep.append(text[last:at[first][0]])
+        last = at[stop - 1][1]
+    return b"".join([*keep, text[last:]])
 
-    def automaton(k: int) -> Automaton:
+
+def _scan_group(docs: DataFrame, name: str, text: str, blocks: list, window: int, before: tuple[str, ...],
+                cut: bool) -> DataFrame:
+    """One pass: ``docs`` with a struct column ``name``, which counts in what
+    the column ``before`` has. ``blocks``: broadcasts."""
+    kept: dict[int, list[Automaton]] = {}
+
+    def automata(k: int) -> list[Automaton]:
         if k not in kept:
-            while len(kept) >= 4:
-                kept.pop(next(iter(kept)))
-            kept[k] = Automaton(blocks[k].value, window)
+            kept.clear()
+            kept[k] = [Automaton(x.value, window) for x in blocks[k:k + KEPT]]
         return kept[k]
 
-    def make(texts: list) -> dict[str, list]:
-        words = [words_of(x) for x in texts]
-        spans: list[list] = [[] for _ in texts]
-        items: list[set] = [set() for _ in texts]
-        for k in range(len(blocks)):
-            own = automaton(k)
-            for i, x in enumerate(words):
-                got, found = own.scan(x)
-                if got:
-                    spans[i] = merged(spans[i] + got) if spans[i] else got
-                    items[i] |= found
-        return {"n_words": [len(x) for x in words], "n_hit": [sum(b - a for a, b in x) for x in spans],
+    def make(texts: list, earlier: list | None = None) -> dict[str, list]:
+        n_words = [0] * len(texts)
+        spans: list[list] = [[(s["first"], s["stop"]) for s in x["spans"]] for x in earlier or ()] or [[] for _ in texts]
+        items: list[set] = [set(x["items"]) for x in earlier or ()] or [set() for _ in texts]
+        for k in range(0, max(1, len(blocks)), KEPT):
+            group = automata(k)
+            for i, x in enumerate(texts):
+                words = words_of(x)
+                n_words[i] = len(words)
+                for own in group:
+                    got, found = own.scan(words)
+                    if got:
+                        spans[i] = merged(spans[i] + got) if spans[i] else got
+                        items[i] |= found
+        made = {"n_words": n_words, "n_hit": [sum(b - a for a, b in x) for x in spans],
                 "items": [sorted(i for i in x if i is not None) for x in items],
                 "spans": [[{"first": a, "stop": b} for a, b in x] for x in spans]}
+        if cut:
+            made["left"] = [without(x, own) if own else None for x, own in zip(texts, spans, strict=True)]
+        return made
 
-    return append_struct(docs, name, HITS, text, make)
+    # more blocks than a task keeps are gone through once a batch, not once a piece
+    return append_struct(docs, name, CUT if cut else HITS, text, make, before,
+                         PIECE_BYTES if len(blocks) <= KEPT else None)
 
 
 def with_hits(docs: DataFrame, items: DataFrame, name: str, text: str = "text", window: int = WINDOW,
-              block_words: int = BLOCK_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+              block_words: int = BLOCK_WORDS, group_bytes: int = GROUP_BYTES, cut: bool = False) -> DataFrame:
     """``docs`` with a struct column ``name``: n_words, n_hit, the item_ids
-    with occurring windows and the hit spans, in words."""
+    with occurring windows and the hit spans, in words; with ``cut`` also left,
+    the text without the hit spans (null if it has none)."""
     sc = docs.sparkSession.sparkContext
     groups, held = [[]], 0
     for block in item_blocks(items, block_words):
@@ -247,49 +273,12 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str, text: str = "text",
             groups, held = [*groups, []], 0
         groups[-1].append(sc.broadcast(block))
         held += size
-    out = _scan_group(docs, name, text, groups[0], window)
-    for blocks in groups[1:]:
-        more = free_name(out.columns, name)
-        out = _scan_group(out, more, text, blocks, window)
-        a, b = F.col(quoted(name)), F.col(quoted(more))
-        covered = F.array_distinct(F.flatten(F.transform(F.concat(a["spans"], b["spans"]), lambda s: F.sequence(
-            s["first"], s["stop"] - 1))))
-        hit = F.array_sort(covered)
-        firsts = F.filter(hit, lambda x: ~F.array_contains(hit, x - 1))
-        stops = F.filter(hit, lambda x: ~F.array_contains(hit, x + 1))
-        both = F.struct(a["n_words"].alias("n_words"), F.size(hit).cast("long").alias("n_hit"),
-                        F.array_sort(F.array_union(a["items"], b["items"])).alias("items"),
-                        F.transform(F.arrays_zip(firsts.alias("f"), stops.alias("s")), lambda x: F.struct(
-                            x["f"].alias("first"), (x["s"] + 1).alias("stop"))).alias("spans"))
-        out = out.withColumn(name, both).drop(more)
-    return out
-
-
-def cut_spans(docs: DataFrame, hits: str, text: str = "text") -> DataFrame:
-    """``docs`` with the hit spans cut out of the text, from the first word of
-    each span to the end of its last."""
-
-    import pyarrow as pa
-
-    t, h = docs.columns.index(text), docs.columns.index(hits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(t).to_pylist()
-            spans = batch.column(h).field("spans").to_pylist()
-            for i, (x, own) in enumerate(zip(texts, spans, strict=True)):
-                if own:
-                    at = [(m.start(), m.end()) for m in WORD.finditer(x)]
-                    keep, last = [], 0
-                    for s in own:
-                        keep.append(x[last:at[s["first"]][0]])
-                        last = at[s["stop"] - 1][1]
-                    texts[i] = "".join([*keep, x[last:]])
-            columns = list(batch.columns)
-            columns[t] = pa.array(texts, type=batch.schema.field(t).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return docs.mapInArrow(run, docs.schema)
+    out, before = docs, ()
+    for k, blocks in enumerate(groups):
+        own = free_name(out.columns, name)
+        out = _scan_group(out, own, text, blocks, window, before, cut and k == len(groups) - 1).drop(*before)
+        before = (own,)
+    return out.withColumnRenamed(own, name)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0,
@@ -300,11 +289,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     if there is one, gets the code points left. At the default of 0 every
     document with a hit goes."""
     hits = free_name(docs.columns, "hits")
-    scanned = with_hits(docs, items, hits, window=window)
+    scanned = with_hits(docs, items, hits, window=window, cut=max_coverage > 0)
     got = F.col(quoted(hits))
     kept = scanned.where(got["n_hit"] <= got["n_words"] * F.lit(float(max_coverage)))
     if max_coverage > 0:
-        kept = cut_spans(kept, hits)
+        kept = kept.withColumn("text", F.coalesce(got["left"], F.col("text")))
         if length in docs.columns:
             own = F.col(quoted(length))
             left = F.length("text").cast(docs.schema[length].dataType)

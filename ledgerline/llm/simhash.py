@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import free_name, quoted, stored
+from ledgerline.llm.common import free_name, pieces, quoted, stored
 from ledgerline.llm.graph import components
 
 SEED = 42
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = (x for piece in pieces(batch, 1) for x in piece.column(1).cast(pa.binary()).to_pylist())
             fp = np.array([fingerprint(x, shingle) for x in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *batch.columns[2:]],
                                              names=["doc_id", "fp", *more])

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import files
-from ledgerline.llm.common import scratch_path, stored
+from ledgerline.llm.common import pieces, scratch_path, stored
 
 MAGIC = b"LLTOKS1\n"
 END_ID = 2
@@ -247,10 +247,10 @@ def token_ids(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(path)
         end = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
-        for batch in batches:
-            ids = [x + end for x in encoder.encode(batch.column(1))]
+        for piece in (x for batch in batches for x in pieces(batch, 1, SLICE_BYTES)):
+            ids = [x + end for x in encoder.encode(piece.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
+                [piece.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
                 names=["doc_id", "ids", "sum"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

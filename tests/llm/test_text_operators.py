@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import brute
+import pyarrow as pa
 import pytest
 from brute import EDGE
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.llm import decontam, pii, quality_rules, secret_scan
+from ledgerline.llm import common, decontam, pii, quality_rules, secret_scan
 
 
 def by_id(frame):
@@ -59,6 +61,40 @@ def test_decontaminate_cuts_or_drops(spark, edge):
     assert cut[7] == EDGE[8][1]
 
 
+def test_decontaminate_takes_one_python_worker(spark, edge):
+    """A scan and a cut in one task would be two Python workers at a time."""
+    items = spark.createDataFrame([(1, "brown FOX; jumps")], "item_id long, text string")
+    frame = decontam.decontaminate(edge, items, max_coverage=0.5)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_cut_in_passes(documents, items):
+    """The last of several passes cuts what all of them found."""
+    docs = documents.select("doc_id", "text")
+    one = decontam.with_hits(docs, items, "h", cut=True).selectExpr("doc_id", "h")
+    many = decontam.with_hits(docs, items, "h", block_words=300, group_bytes=8_000, cut=True).selectExpr("doc_id", "h")
+    found = sorted(map(str, one.collect()))
+    assert found == sorted(map(str, many.collect()))
+    assert one.where("(h.n_hit > 0) <> (h.left is not null)").count() == 0 < one.where("h.n_hit > 0").count()
+
+
+def test_pieces_bound_what_a_worker_holds(spark):
+    """Every row once and in order; no slice has more text than asked for,
+    but for one longer text."""
+    texts = ["x" * n for n in (0, 5, 4, 30, 0, 3, 3, 3, 3, 12)] + [None, "ä" * 5, ""]
+    batch = pa.RecordBatch.from_pydict({"n": range(len(texts)), "text": pa.array(texts, pa.string())})
+    found = list(common.pieces(batch.slice(1), 1, 10))
+    assert [x for p in found for x in p.column(0).to_pylist()] == list(range(1, len(texts)))
+    sizes = [[len(x.encode()) for x in p.column(1).to_pylist() if x] for p in found]
+    assert all(sum(x) <= 10 or len(x) == 1 for x in sizes) and len(found) == 6
+    assert [p.num_rows for p in common.pieces(batch.slice(0, 0), 1)] == [0]
+    docs = spark.range(0, 40, 1, 1).selectExpr("id as doc_id", "repeat('word and ', 20000) as text")
+    kind = T.StructType([T.StructField("n", T.LongType())])
+    made = common.append_struct(docs, "made", kind, "text", lambda x: {"n": [sum(map(len, x))] * len(x)})
+    assert made.count() == 40 and made.selectExpr("max(made.n)").first()[0] <= common.PIECE_BYTES
+
+
 def test_contamination_empty(spark, edge, items):
     assert decontam.contamination(edge.limit(0), items).count() == 0
     assert decontam.contamination(edge, items.limit(0)).where("contaminated").count() == 0
